@@ -17,6 +17,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table of texts; a file too small to give every core a split is spread out first."""
+    df = table(spark, sf, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def usages(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(USAGES, "usageId int, usage_name string")
 
