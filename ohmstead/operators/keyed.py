@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def sealed(df: DataFrame) -> DataFrame:
+    """The same rows, one generated row each.
+
+    A later filter or explode on a costly column is then applied to the finished value; without
+    the generator Spark would push it down and evaluate the whole column expression again.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False) -> DataFrame:
     """First (or last) row per key in a stated order, as a partial aggregate rather than a ranking."""
     rest = [c for c in df.columns if c not in keys]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ohmstead.functions import text as tx
-from ohmstead.operators.keyed import keep_one, top_n
+from ohmstead.operators.keyed import keep_one, sealed, top_n
 
 # Picture file types, and equipment families by page title.
 IMAGE_TYPES = [".png", ".jpg", ".jpeg", ".gif", ".webp", ".bmp"]
@@ -107,9 +107,9 @@ def fill_captions(images: Column, fallback: Column) -> Column:
 
 def page_cards(pages: DataFrame, max_bullets: int = 10, max_images: int = 4) -> DataFrame:
     """Title, bullets, chosen pictures and full text per page; empty pages are skipped."""
-    x = pages.withColumn("raw_text", full_text()).withColumn("title", tx.strip(F.coalesce("title", F.lit("Page"))))
-    x = x.withColumn("bullets", tx.bullets("raw_text", max_bullets)).withColumn("_images", captioned_images())
-    x = x.withColumn("images", rank_images(F.col("_images"), tx.keywords(F.col("title"), F.col("bullets")), max_images))
+    x = sealed(pages.select("page_id", tx.strip(F.coalesce("title", F.lit("Page"))).alias("title"), full_text().alias("raw_text"), captioned_images().alias("images")))
+    x = sealed(x.withColumn("bullets", tx.bullets("raw_text", max_bullets)))
+    x = sealed(x.withColumn("images", rank_images(F.col("images"), tx.keywords(F.col("title"), F.col("bullets")), max_images)))
     kind = F.when(F.size("images") > 0, "CONTENT_TEXT_IMAGES").otherwise("CONTENT_TEXT")
     return x.where((F.col("bullets") != "") | (F.size("images") > 0)).select("page_id", "title", kind.alias("type"), "bullets", "images", "raw_text")
 
@@ -160,7 +160,8 @@ def equipment_list(pages: DataFrame, keys: Sequence[str], order: str, lines: str
     titled = F.contains(tx.fold(F.col("title")), F.lit(words[0]))
     spoken = F.contains(tx.fold(F.array_join(lines, " ")), F.lit(words[1]))
     rank = F.when(titled, 0).when(spoken, 1)
-    best = pages.withColumn("_rank", rank).where("_rank IS NOT NULL").groupBy(*keys).agg(
+    x = sealed(pages.select(*keys, order, "page_id", lines, rank.alias("_rank")))
+    best = x.where("_rank IS NOT NULL").groupBy(*keys).agg(
         F.min_by(F.struct("page_id", lines), F.struct("_rank", order)).alias("_p"))
     item = F.transform(F.col(f"_p.{lines}"), lambda s: F.regexp_replace(tx.strip(F.regexp_replace(tx.strip(s), "^[-•]+", "")), r"^[0-9]+[).-]\s*", ""))
     items = F.transform(F.filter(item, lambda s: F.length(s).between(2, 140)), lambda s: F.struct(s.alias("s"), tx.fold(s).alias("n")))

@@ -9,7 +9,7 @@ from ohmstead.functions import text as tx
 from ohmstead.operators import pages as pg
 from ohmstead.operators import reports as rp
 from ohmstead.operators import routing as rt
-from ohmstead.operators.keyed import keep_one, top_n
+from ohmstead.operators.keyed import sealed
 from ohmstead.plans.base_sql import with_
 from ohmstead.plans.registry import Catalogue
 from ohmstead.sources import pages as src
@@ -123,7 +123,7 @@ def _report_docs(s, sf) -> DataFrame:
 
 @query("report_blocks", with_(RBLK) + "SELECT doc_id, COUNT(*) AS n_blocks, COUNT(CASE WHEN type = 'heading' THEN 1 END) AS n_headings, md5(string_agg(type || ':' || l, chr(10) ORDER BY rn)) AS digest FROM rb GROUP BY 1")
 def report_blocks(s, sf):
-    x = _report_docs(s, sf).where(F.size("blocks") > 0)
+    x = sealed(_report_docs(s, sf)).where(F.size("blocks") > 0)
     heads = F.filter("blocks", lambda b: b["type"] == "heading")
     joined = F.array_join(F.transform("blocks", lambda b: F.concat(b["type"], F.lit(":"), b["text"])), "\n")
     return x.select("doc_id", F.size("blocks").cast("long").alias("n_blocks"), F.size(heads).cast("long").alias("n_headings"), F.md5(joined).alias("digest"))
@@ -211,7 +211,7 @@ caps AS (SELECT ims.page_id, ims.path, ims.rn, COALESCE(nullif(expl, ''), substr
 
 @query("image_captions", with_(BLK, _IMG) + "SELECT page_id, path, caption FROM caps")
 def image_captions(s, sf):
-    x = _notes(s, sf).select("page_id", F.explode(pg.captioned_images()).alias("im"))
+    x = sealed(_notes(s, sf).select("page_id", pg.captioned_images().alias("im"))).select("page_id", F.explode("im").alias("im"))
     return x.select("page_id", "im.path", "im.caption")
 
 
@@ -233,7 +233,7 @@ def page_cards(s, sf):
 
 @query("caption_fill", with_(BLK, _IMG) + "SELECT page_id, path, CASE WHEN trim(caption) = '' THEN 'Note ' || page_id ELSE caption END AS caption FROM caps")
 def caption_fill(s, sf):
-    x = _notes(s, sf).select("page_id", F.explode(pg.fill_captions(pg.captioned_images(), F.col("title"))).alias("im"))
+    x = sealed(_notes(s, sf).select("page_id", pg.fill_captions(pg.captioned_images(), F.col("title")).alias("im"))).select("page_id", F.explode("im").alias("im"))
     return x.select("page_id", "im.path", "im.caption")
 
 
@@ -283,12 +283,12 @@ _PARTS = "prt AS (SELECT page_id, doc_id, section, 0 AS rn, 'title' AS type, ANY
 
 
 def _with_parts(s, sf) -> DataFrame:
-    return _notes(s, sf).withColumn("parts", pg.text_parts())
+    return sealed(_notes(s, sf).withColumn("parts", pg.text_parts()))
 
 
 @query("section_lines", with_(BLK, _PARTS) + "SELECT page_id, COUNT(*) AS n_lines, md5(string_agg(text, chr(10) ORDER BY rn)) AS digest FROM prt WHERE rn > 0 GROUP BY 1")
 def section_lines(s, sf):
-    x = _with_parts(s, sf).withColumn("lines", pg.page_lines(F.filter("parts", lambda p: p["type"] != "title"))).where(F.size("lines") > 0)
+    x = sealed(_with_parts(s, sf).withColumn("lines", pg.page_lines(F.filter("parts", lambda p: p["type"] != "title")))).where(F.size("lines") > 0)
     return x.select("page_id", F.size("lines").cast("long").alias("n_lines"), F.md5(F.array_join("lines", "\n")).alias("digest"))
 
 
@@ -431,7 +431,7 @@ _SNIP = "sn AS (SELECT page_id, rn, type, CASE WHEN " + _REQ + " THEN 'request'
 
 @query("page_snippets", with_(BLK, _PARTS, _SNIP) + "SELECT page_id, type, kind, text FROM sn")
 def page_snippets(s, sf):
-    x = _with_parts(s, sf).select("page_id", F.explode(rt.snippets(F.col("parts"), ["the", "les", "token"])).alias("e"))
+    x = sealed(_with_parts(s, sf).select("page_id", rt.snippets(F.col("parts"), ["the", "les", "token"]).alias("_e"))).select("page_id", F.explode("_e").alias("e"))
     return x.select("page_id", "e.type", "e.kind", "e.text")
 
 
@@ -483,7 +483,7 @@ tt AS (SELECT doc_id, ARG_MIN(title, pos) AS title, MIN(pos) AS pos, n FROM tn W
 
 @query("structure_titles", with_(_TITLES) + "SELECT doc_id, COUNT(*) AS n, md5(string_agg(title, chr(10) ORDER BY pos)) AS digest FROM tt GROUP BY 1")
 def structure_titles(s, sf):
-    x = _packs(s, sf).withColumn("titles", rp.structure_titles("outline")).where(F.size("titles") > 0)
+    x = sealed(_packs(s, sf).withColumn("titles", rp.structure_titles("outline"))).where(F.size("titles") > 0)
     return x.select("doc_id", F.size("titles").cast("long").alias("n"), F.md5(F.array_join("titles", "\n")).alias("digest"))
 
 
@@ -686,7 +686,7 @@ def plan_scaffold(s, sf):
         return F.when(p == 2, F.lit("### Plan attendu")).when((p > 2) & (p % 3 == 0), F.concat(F.lit("#### "), x)).when(p % 7 == 0, F.lit("")).otherwise(x)
 
     x = t.texts(s, sf, "documents").select("doc_id", F.array_join(F.transform(F.split("text", "\n"), line), "\n").alias("p"))
-    x = x.withColumn("s", rp.scaffold("p")).where(F.size("s") > 0)
+    x = sealed(x.withColumn("s", rp.scaffold("p"))).where(F.size("s") > 0)
     return x.select("doc_id", F.array_join("s", " | ").alias("scaffold"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ohmstead.functions import text as tx
+from ohmstead.operators.keyed import sealed
 from ohmstead.sources.tables import texts
 
 BLOCK = "struct<block_id:string,type:string,text:string,path:string,transcript:string,image_block_id:string,level:int,source_line:int>"
@@ -130,7 +131,7 @@ def html_pages(pages: DataFrame) -> DataFrame:
     raw = pages.select(F.col("page_id").cast("string").alias("page_id"), "html").mapInPandas(
         _parse_batches, "page_id string, title string, raw array<struct<type:string,text:string,path:string,level:int>>"
     )
-    x = raw.withColumn("blocks", numbered(without_repeats(F.col("raw"))))
+    x = sealed(raw.select("page_id", "title", numbered(without_repeats(F.col("raw"))).alias("blocks")))
     return x.select(
         "page_id", "title",
         "blocks",
@@ -194,12 +195,13 @@ def markdown_pages(df: DataFrame, text: str, stem: str) -> DataFrame:
     found = F.filter(one, lambda b: b["type"].isNotNull())
     x = x.withColumn("blocks", tx.let(found, linked).cast(f"array<{BLOCK}>"))
     keep = [c for c in df.columns if c not in META_KEYS and c != text]
-    return x.select(
+    x = sealed(x.select(*dict.fromkeys([*keep, stem]), "_head", "blocks"))
+    return sealed(x.select(
         *keep, F.coalesce(meta("page_id"), F.col(stem).cast("string")).alias("page_id"), F.coalesce(meta("title"), F.col(stem).cast("string")).alias("title"),
         *[meta(k).alias(k) for k in META_KEYS[2:]], "blocks",
         F.transform(F.filter("blocks", lambda b: b["type"] == "image"), lambda b: b["path"]).alias("images"),
         F.transform(F.filter("blocks", lambda b: b["type"] == "audio"), lambda b: b["path"]).alias("audio"),
-    )
+    ))
 
 
 # ---- packs on disk -------------------------------------------------------------------------
