@@ -173,7 +173,7 @@ def train_and_score(hist: DataFrame, weather: DataFrame | None, level: str, ids:
     """Hold out the last days, fit on the rest, score the hold-out. None when a gate fails."""
     if target in enrich.discover_targets([target]) and hist.where(F.col(target) > 0).limit(50).count() < 50:
         return None, None
-    frame = series.split_last_days(feature_frame(hist, weather, ids, target, cfg), cfg.valid_days)
+    frame = cut_lineage(series.split_last_days(cut_lineage(feature_frame(hist, weather, ids, target, cfg)), cfg.valid_days))
     parts = {r["part"]: r["count"] for r in frame.groupBy("part").count().collect()}
     if sum(parts.values()) < 30 or not parts.get("train") or not parts.get("valid"):
         return None, None

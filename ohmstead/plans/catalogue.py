@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ohmstead.operators import clean, enrich, metrics, series
-from ohmstead.plans import consumption, reports
+from ohmstead.plans import consumption, drawings, reports, rules
 from ohmstead.plans.registry import Query
 from ohmstead.sources import tables as t
 
-MODULES = [consumption, reports]
+MODULES = [consumption, reports, rules, drawings]
 
 
 def all_queries() -> dict[str, Query]:
