@@ -288,7 +288,7 @@ def big_triangle(points: Column, min_box: Column, min_area: Column) -> Column:
         straight = F.exists(F.sequence(F.lit(0), n - 1), lambda i: angle_at(F.get(u, (i + n - 1) % n), F.get(u, i), F.get(u, (i + 1) % n)) > 170)
         return n.isin(3, 4) & (_span(u) >= min_box) & (_ring_area(u, n) >= min_area) & ((n == 3) | straight)
 
-    first, last = F.get(points, F.lit(0)), F.element_at(points, -1)
+    first, last = F.get(points, F.lit(0)), F.try_element_at(points, F.lit(-1))
     open_ = F.when((F.size(points) >= 2) & (first["x"] == last["x"]) & (first["y"] == last["y"]), F.slice(points, F.lit(1), F.size(points) - 1)).otherwise(points)
     return F.when(F.size(points) >= 3, tx.let(open_, test)).otherwise(F.lit(False))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -49,17 +49,13 @@ class Fitted:
     model: PipelineModel | None = field(default=None, repr=False)
 
     def metadata(self, spark: SparkSession) -> DataFrame:
-        d = {k: v for k, v in asdict(self).items() if k != "model"}
-        d["modes"], d["medians"] = json.dumps(d["modes"]), json.dumps(d["medians"])
-        return spark.createDataFrame([d], "level string, target string, features array<string>, cat_columns array<string>, log1p boolean, modes string, medians string, valid_days int")
+        """One row that tells how the target was trained."""
+        row = (self.level, self.target, self.features, self.cat_columns, self.log1p, json.dumps(self.modes), json.dumps(self.medians), self.valid_days)
+        return spark.createDataFrame([row], "level string, target string, features array<string>, cat_columns array<string>, log1p boolean, modes string, medians string, valid_days int")
 
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/{self.level}_{self.target}")
-        self.metadata(self.model_session()).write.mode("overwrite").json(f"{path}/{self.level}_{self.target}.meta")
-
-    @staticmethod
-    def model_session() -> SparkSession:
-        return SparkSession.getActiveSession()
+        self.metadata(SparkSession.active()).write.mode("overwrite").json(f"{path}/{self.level}_{self.target}.meta")
 
 
 def load_fitted(spark: SparkSession, path: str, level: str, target: str) -> Fitted:

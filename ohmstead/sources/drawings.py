@@ -22,7 +22,7 @@ def _at(a: Column, i: Column | int) -> Column:
 
 def closed_ring(points: Column, closed: Column) -> Column:
     """Points with the first one repeated when the line is closed and does not end there."""
-    first, last = _at(points, 0), F.element_at(points, -1)
+    first, last = _at(points, 0), F.try_element_at(points, F.lit(-1))
     return F.when(closed & (F.size(points) >= 2) & ~((first["x"] == last["x"]) & (first["y"] == last["y"])), F.concat(points, F.array(first))).otherwise(points)
 
 
@@ -52,7 +52,7 @@ def with_geometry(df: DataFrame) -> DataFrame:
         edges(closed_ring(F.col("points"), F.col("closed"))).alias("_e"),
     ))
     w, h = F.col("bbox_max_x") - F.col("bbox_min_x"), F.col("bbox_max_y") - F.col("bbox_min_y")
-    first, last = _at(F.col("points"), 0), F.element_at("points", -1)
+    first, last = _at(F.col("points"), 0), F.try_element_at("points", F.lit(-1))
     ring = (F.size("points") >= 3) & (F.col("closed") | ((first["x"] == last["x"]) & (first["y"] == last["y"])))
     return x.select(
         *[c for c in x.columns if c != "_e"], w.alias("bbox_width"), h.alias("bbox_height"), F.sqrt(w * w + h * h).alias("bbox_diag"),
