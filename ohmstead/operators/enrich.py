@@ -70,8 +70,8 @@ def usage_column(meter: str, usage: str) -> Column:
 
 
 def name_log(log: DataFrame, usages: DataFrame, meters: DataFrame) -> DataFrame:
-    """Left joins to the two code tables and the usage column name."""
-    x = log.join(F.broadcast(usages), "usageId", "left").join(F.broadcast(meters), "meterTypeId", "left")
+    """Left joins to the two code tables, broadcast by Spark while they are small, and the column name."""
+    x = log.join(usages, "usageId", "left").join(meters, "meterTypeId", "left")
     return x.withColumn("usage_col", usage_column("meter_name", "usage_name"))
 
 

@@ -189,13 +189,18 @@ def noisy_layers(df: DataFrame, keys: Sequence[str], min_entities: int, small: f
 
 
 def review_table(classified: DataFrame, decisions: DataFrame) -> DataFrame:
-    """One row per layer: counts, types, classes, mean scores, decision and suggestion."""
+    """One row per layer: counts, types, classes, mean scores, decision and suggestion.
+
+    Block names fill at most 300 characters, so the first 150 distinct ones are enough.
+    """
     names = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ", ")
     g = classified.groupBy("layer").agg(
         F.count("*").alias("n_entities"), names("entity_type").alias("entity_types"),
-        F.substring(F.array_join(F.sort_array(F.collect_set(F.when(F.col("source_block") != "", F.col("source_block")))), ", "), 1, 300).alias("blocks"),
         names("feature_class").alias("classes"), *[F.avg(f"{c}_score").alias(f"{c}_score") for c in PHYSICAL],
         F.count_if(F.col("decision") == "keep").alias("keep_count"), F.count_if(F.col("decision") == "drop").alias("drop_count"))
+    blocks = top_n(classified.where("source_block <> ''").select("layer", "source_block").distinct(), ["layer"], [F.col("source_block")], 150)
+    blocks = blocks.groupBy("layer").agg(F.substring(names("source_block"), 1, 300).alias("blocks"))
+    g = g.join(blocks, "layer", "left").withColumn("blocks", F.coalesce("blocks", F.lit("")))
     return with_decision(g, decisions).withColumn("suggested_action", F.when(F.col("drop_count") > F.col("keep_count"), "drop").otherwise("keep"))
 
 
@@ -216,8 +221,9 @@ def move_layers(decisions: DataFrame, moves: DataFrame) -> DataFrame:
 
 
 def decision_lists(review: DataFrame) -> DataFrame:
+    """Sorted layers per decision, as rows; an unknown decision counts as undecided."""
     known = F.when(F.lower("decision").isin("keep", "drop", "undecided"), F.lower("decision")).otherwise("undecided")
-    return review.groupBy(known.alias("decision")).agg(F.array_join(F.sort_array(F.collect_set("layer")), ",").alias("layers"))
+    return review.select(known.alias("decision"), "layer").distinct().orderBy("decision", "layer")
 
 
 def listing(manifest: DataFrame, decisions: DataFrame, status: str = "all", search: str = "") -> DataFrame:

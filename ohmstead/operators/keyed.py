@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ohmstead.session import cut_lineage
+
 
 def sealed(df: DataFrame) -> DataFrame:
     """The same rows, one generated row each.
@@ -18,6 +20,15 @@ def sealed(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
+def small_side(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """A per-key table for a join: written out once, and broadcast only when it is seen to be small.
+
+    Beyond ``most`` rows it stays an ordinary side, for Spark to shuffle and to split where skewed.
+    """
+    done = cut_lineage(df)
+    return F.broadcast(done) if done.limit(most + 1).count() <= most else done
+
+
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False) -> DataFrame:
     """First (or last) row per key in a stated order, as a partial aggregate rather than a ranking."""
     rest = [c for c in df.columns if c not in keys]
@@ -39,25 +50,28 @@ def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, r
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], bins: int = 256) -> DataFrame:
-    """Interpolated exact quantiles for few, very large groups.
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], side: int = 32) -> DataFrame:
+    """Interpolated exact quantiles for few, very large groups, such as one per target.
 
-    ``keys`` must have a number of values fixed by the schema (targets, column pairs), since the
-    per-key tables below are broadcast. Equal values collapse to (value, count) first; a mergeable
-    sketch then gives cut points, bin counts locate the wanted ranks, and only the bins holding
-    one of them are sorted. No group is ever held whole by a task.
+    Equal values collapse to (value, count) first; a mergeable
+    sketch then gives ``side`` squared bins, bin counts locate the wanted ranks, and only the bins
+    holding one of them are sorted. No group is ever held whole by a task.
     """
     keys = list(keys)
+    bins = side * side
     one = F.lit(1).alias("_one")
     vals = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
     grid = F.array(*[F.lit(i / bins) for i in range(1, bins)])
     cuts = vals.groupBy(*keys, one).agg(
         F.percentile_approx("_v", grid, bins * 20).alias("_cuts"), F.sum("_c").alias("_n")
     )
+    # two steps of ``side`` comparisons find the bin: first among every side-th cut, then between two
+    fine = F.filter(F.slice("_cuts", F.col("_big") * side + 1, F.lit(side - 1)), lambda c: c < F.col("_v"))
     binned = (
         vals.withColumn("_one", F.lit(1))
-        .join(F.broadcast(cuts), [*keys, "_one"])
-        .withColumn("_bin", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
+        .join(small_side(cuts, 10_000), [*keys, "_one"])
+        .withColumn("_big", F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(side - 1)), lambda k: F.get("_cuts", k * side - 1)), lambda c: c < F.col("_v"))))
+        .withColumn("_bin", F.col("_big") * side + F.size(fine))
         .select(*keys, "_one", "_bin", "_v", "_c")
     )
     wk = Window.partitionBy(*keys, "_one")
@@ -80,7 +94,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     wanted = counts.where(inside).select(*keys, "_one", "_bin", "_before", "_n")
     wb = Window.partitionBy(*keys, "_one", "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        binned.join(F.broadcast(wanted), [*keys, "_one", "_bin"])
+        binned.join(small_side(wanted), [*keys, "_one", "_bin"])
         .withColumn("_hi", F.sum("_c").over(wb) + F.col("_before"))
         .withColumn("_lo", F.col("_hi") - F.col("_c"))
     )

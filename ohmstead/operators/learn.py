@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ohmstead.operators import enrich, series
-from ohmstead.operators.keyed import keep_one
+from ohmstead.operators.keyed import exact_quantiles, keep_one, small_side
 from ohmstead.session import cut_lineage
 
 # Targets trained by default at each level, and the categorical features.
@@ -121,6 +121,27 @@ def _impute(df: DataFrame, f: Fitted) -> DataFrame:
     return df.withColumns(out)
 
 
+def _long(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast(kind).alias("value")) for c in cols])
+    return df.select(F.explode(cells).alias("e")).select("e.*").where("value IS NOT NULL")
+
+
+def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
+    """Most frequent value per column, the smallest among equals; one row per column comes back."""
+    if not cols:
+        return {}
+    n = _long(df, cols, "string").groupBy("feature", "value").agg(F.count("*").alias("n"))
+    best = n.groupBy("feature").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("value"))
+    return {r.feature: r.value for r in best.collect()}
+
+
+def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """Exact median per column, selected without gathering a column; one row per column comes back."""
+    if not cols:
+        return {}
+    return {r.feature: float(r.m) for r in exact_quantiles(_long(df, cols, "double"), ["feature"], "value", {"m": 0.5}).collect()}
+
+
 def fit(train: DataFrame, level: str, ids: Sequence[str], target: str, cfg: Settings = Settings()) -> Fitted | None:
     """Imputation, full one-hot with an unknown slot, then ridge or boosted trees."""
     feats = series.feature_columns(train.columns, ids, cfg.weather, cfg.static)
@@ -128,17 +149,10 @@ def fit(train: DataFrame, level: str, ids: Sequence[str], target: str, cfg: Sett
     nums = [c for c in feats if c not in cats]
     use_log = enrich.is_consumption(target)
     y = F.log1p("y") if use_log else F.col("y")
-    stats = train.agg(
-        F.count("*").alias("_n"), F.stddev_pop(y).alias("_sd"),
-        *[F.mode(F.col(c).cast("string"), True).alias(c) for c in cats],
-        *[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in nums],
-    ).first()
+    stats = train.agg(F.count("*").alias("_n"), F.stddev_pop(y).alias("_sd")).first()
     if not stats["_n"]:
         return None
-    f = Fitted(
-        level, target, feats, cats, use_log, {c: stats[c] for c in cats if stats[c] is not None},
-        {c: float(stats[c]) for c in nums if stats[c] is not None}, cfg.valid_days,
-    )
+    f = Fitted(level, target, feats, cats, use_log, modes(train, cats), medians(train, nums), cfg.valid_days)
     stages = []
     if cats:
         stages.append(StringIndexer(inputCols=[f"_c_{c}" for c in cats], outputCols=[f"_i_{c}" for c in cats], handleInvalid="keep"))
@@ -253,4 +267,4 @@ def id_codes(df: DataFrame, col: str) -> DataFrame:
     sizes = parts.groupBy("_part").agg(F.count("*").alias("_size"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_off"))
-    return parts.join(F.broadcast(offsets), "_part").select(col, (F.col("_off") + F.col("_pos")).cast("long").alias("code"))
+    return parts.join(small_side(offsets), "_part").select(col, (F.col("_off") + F.col("_pos")).cast("long").alias("code"))

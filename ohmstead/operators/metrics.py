@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ohmstead.operators.keyed import exact_quantiles
+from ohmstead.operators.keyed import exact_quantiles, small_side
 
 
 def _pair(truth: str, pred: str) -> tuple[Column, Column, Column]:
@@ -54,8 +54,8 @@ def global_report(df: DataFrame, keys: Sequence[str], surface: str | None = None
     """Whole-table metrics per target; the median error uses a distributed selection."""
     base = errors(df, keys, ["n", "MAE", "RMSE", "WAPE", "Bias", "sMAPE", "R2"])
     med = exact_quantiles(df.withColumn("_e", F.abs(F.col("y_pred") - F.col("y_true"))), keys, "_e", {"MedAE": 0.5})
-    out = base.join(F.broadcast(med), list(keys), "left")
-    return out.join(F.broadcast(per_surface(df, keys, surface)), list(keys), "left") if surface else out
+    out = base.join(small_side(med), list(keys), "left")
+    return out.join(small_side(per_surface(df, keys, surface)), list(keys), "left") if surface else out
 
 
 def pair_errors(df: DataFrame, pairs: dict[str, str], keys: Sequence[str] = ()) -> DataFrame:
@@ -117,8 +117,8 @@ def parity_histogram(df: DataFrame, keys: Sequence[str], top: float | None = 0.9
     if not log:
         lim = lim.withColumn("lo", F.lit(0.0)).withColumn("hi", F.greatest("hi", F.lit(1e-9)))
     n = x.groupBy(*keys).agg(F.when(F.count("*") > 5000, 80).otherwise(60).alias("bins"))
-    lim = lim.join(F.broadcast(n), list(keys)).where("hi > lo")
-    j = x.join(F.broadcast(lim), list(keys))
+    lim = lim.join(small_side(n), list(keys)).where("hi > lo")
+    j = x.join(small_side(lim), list(keys))
     bx, by = (_bin(F.col(c), F.col("lo"), F.col("hi"), F.col("bins")) for c in ("_a", "_b"))
     return j.select(*keys, bx.alias("bx"), by.alias("by")).dropna(subset=["bx", "by"]).groupBy(*keys, "bx", "by").agg(F.count("*").alias("n"))
 
@@ -127,7 +127,7 @@ def residual_histogram(df: DataFrame, keys: Sequence[str], bins: int = 80) -> Da
     a, b, ok = _pair("y_true", "y_pred")
     x = df.where(ok).select(*keys, (b - a).alias("_e"))
     lim = exact_quantiles(x, keys, "_e", {"lo": 0.01, "hi": 0.99})
-    j = x.join(F.broadcast(lim), list(keys))
+    j = x.join(small_side(lim), list(keys))
     return j.select(*keys, _bin(F.col("_e"), F.col("lo"), F.col("hi"), F.lit(bins)).alias("bin")).dropna(subset=["bin"]).groupBy(*keys, "bin").agg(F.count("*").alias("n"))
 
 
@@ -136,7 +136,7 @@ def hex_density(df: DataFrame, keys: Sequence[str], grid: int = 55) -> DataFrame
     a, b, ok = _pair("y_true", "y_pred")
     caps = plot_caps(df, keys)
     rows = int(grid / 3 ** 0.5)
-    j = df.where(ok).join(F.broadcast(caps), list(keys))
+    j = df.where(ok).join(small_side(caps), list(keys))
     lim = F.col("lim_full")
     sx = F.least(F.greatest(a, F.lit(0.0)), lim) / lim * grid
     sy = F.least(F.greatest(b, F.lit(0.0)), lim) / lim * rows

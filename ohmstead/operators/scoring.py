@@ -50,26 +50,24 @@ class Rule:
 # ---- rule classes --------------------------------------------------------------------------
 
 
-def rule_rows(spark, rules: Sequence[Rule]) -> DataFrame:
-    return spark.createDataFrame(
-        [(r.rule_id, r.group, r.title, dict(r.needs)) for r in rules], "rule_id string, grp string, title string, needs map<string,int>")
-
-
-def judged(levels: DataFrame, rules: DataFrame, keys: Sequence[str]) -> DataFrame:
+def judged(levels: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
     """Every rule of every report with its observed level and the classes it meets.
 
-    A rule without requirement is met, an unknown level is not. The rule table is a fixed small list.
+    A rule without requirement is met, an unknown level is not. The rules are a fixed list, so one
+    aggregate finds all levels of a report and each report yields one row per rule.
     """
-    reports = levels.select(*keys).distinct()
-    seen = levels.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rule_id", "level"))).alias("_lv"))
-    small = F.broadcast(rules.withColumn("_one", F.lit(1)))
-    x = reports.join(seen, list(keys)).withColumn("_one", F.lit(1)).join(small, "_one").drop("_one")
-    x = x.withColumn("level", F.try_element_at("_lv", "rule_id"))
+    seen = levels.groupBy(*keys).agg(*[F.max(F.when(F.col("rule_id") == r.rule_id, F.col("level"))).alias(f"_l{i}") for i, r in enumerate(rules)])
+
+    def row(i: int, r: Rule) -> Column:
+        needs = [F.lit(dict(r.needs).get(c)).cast("int").alias(f"need_{c}") for c in CLASSES]
+        return F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.group).alias("grp"), F.lit(r.title).alias("title"), F.col(f"_l{i}").alias("level"), *needs)
+
+    x = seen.select(*keys, F.explode(F.array(*[row(i, r) for i, r in enumerate(rules)])).alias("r")).select(*keys, "r.*")
     for c in CLASSES:
-        need = F.try_element_at("needs", F.lit(c))
-        x = x.withColumn(f"need_{c}", need).withColumn(f"meets_{c}", need.isNull() | F.coalesce(F.col("level") >= need, F.lit(False)))
+        need = F.col(f"need_{c}")
+        x = x.withColumn(f"meets_{c}", need.isNull() | F.coalesce(F.col("level") >= need, F.lit(False)))
     rank = F.when(~F.col("meets_C"), 0).when(F.col("meets_A"), 3).when(F.col("meets_B"), 2).otherwise(1)
-    return x.withColumn("rule_rank", rank).drop("_lv", "needs")
+    return x.withColumn("rule_rank", rank)
 
 
 def group_classes(j: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -201,7 +199,6 @@ def quality(sections: DataFrame, keys: Sequence[str], weights: dict[str, int] =
     g = s.groupBy(*keys).agg(
         F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("has_text", "has_pages", "density", "aligned", "forbidden", "placeholders", "duties")],
         *[F.max((F.col("macro_part") == p).cast("int")).alias(f"has_{p}") for p in (1, 2, 3, 4)], F.max("leak").alias("hard_fail"),
-        F.count_if(~F.col("macro_part").isin(1, 2, 3, 4)).alias("odd_parts"),
     )
     cited = sections.select(*keys, "macro_part", F.explode("page_ids").alias("p")).groupBy(*keys, "p").agg(
         F.max((F.col("macro_part") == 1).cast("int")).alias("a"), F.max((F.col("macro_part") == 3).cast("int")).alias("b"))
@@ -210,9 +207,8 @@ def quality(sections: DataFrame, keys: Sequence[str], weights: dict[str, int] =
     n = F.col("n")
     w = {k: float(v) for k, v in weights.items()}
     share = F.coalesce(F.when(F.col("either") > 0, F.col("both") / F.col("either")), F.lit(0.0))
-    exact = (F.col("has_1") + F.col("has_2") + F.col("has_3") == 3) & (F.col("has_4") == 0) & (F.col("odd_parts") == 0)
     struct_ = (
-        F.when(exact, w["structure"] * 0.45).otherwise(w["structure"] * 0.45 * ((F.col("has_1") + F.col("has_2") + F.col("has_3")) / 3.0))
+        w["structure"] * 0.45 * ((F.col("has_1") + F.col("has_2") + F.col("has_3")) / 3.0)
         + F.when(F.col("has_4") == 0, w["structure"] * 0.15).otherwise(0.0) + w["structure"] * 0.40 * F.col("has_text") / n)
     cover = w["evidence_coverage"] * (0.40 * F.col("has_pages") / n + 0.35 * F.col("density") / n + 0.25 * (1 - share))
     sem = F.lit(w["semantic_compliance"])

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ohmstead.operators.keyed import small_side
+
 LAGS = (1, 2, 7, 14)
 ROLLS = (7, 14, 30)
 
@@ -152,7 +154,7 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
 def split_last_days(df: DataFrame, valid_days: int = 60, keys: Sequence[str] = ()) -> DataFrame:
     """Adds ``part``: the days after max(date) - valid_days are for validation."""
     last = df.groupBy(*keys).agg(F.max("date").alias("_last"))
-    x = df.join(F.broadcast(last), list(keys)) if keys else df.withColumn("_last", last.scalar())
+    x = df.join(small_side(last), list(keys)) if keys else df.withColumn("_last", last.scalar())
     cut = F.date_sub("_last", valid_days)
     return x.withColumn("cutoff", cut).withColumn(
         "part", F.when(F.col("date") <= cut, "train").otherwise("valid")

@@ -268,7 +268,7 @@ def moved_decisions(s, sf):
     return en.move_layers(en.settle_decisions(_listed(s, sf)), moves)
 
 
-@query("decision_lists", with_(PTS, _LISTED) + "SELECT decision, string_agg(layer, ',' ORDER BY layer) AS layers FROM sd GROUP BY 1")
+@query("decision_lists", with_(PTS, _LISTED) + "SELECT DISTINCT decision, layer FROM sd ORDER BY 1, 2")
 def decision_lists(s, sf):
     return en.decision_lists(en.settle_decisions(_listed(s, sf)))
 

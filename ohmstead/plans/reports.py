@@ -105,11 +105,12 @@ def html_blocks(s, sf):
     return x.select("page_id", F.explode("blocks").alias("b")).select("page_id", "b.block_id", "b.type", "b.text", "b.level")
 
 
-@query("block_repeats", """
-SELECT conv_id, COUNT(*) AS n FROM (SELECT conv_id, turn, role, LAG(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev FROM conversations) WHERE prev IS DISTINCT FROM role GROUP BY 1""")
+@query("block_repeats", with_(LINES) + """
+, w AS (SELECT doc_id, pos, length(line) % 3 AS kind, LAG(length(line) % 3) OVER (PARTITION BY doc_id ORDER BY pos) AS prev FROM ln)
+SELECT doc_id, string_agg(CAST(kind AS VARCHAR), '' ORDER BY pos) AS kinds FROM w WHERE prev IS DISTINCT FROM kind GROUP BY 1""")
 def block_repeats(s, sf):
-    g = t.texts(s, sf, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("b"))
-    return g.select("conv_id", F.size(src.without_repeats(F.transform("b", lambda b: b["role"]))).cast("long").alias("n"))
+    kinds = F.transform(F.split("text", "\n"), lambda x: (F.length(x) % 3).cast("string"))
+    return t.texts(s, sf, "documents").select("doc_id", F.array_join(src.without_repeats(kinds), "").alias("kinds"))
 
 
 _SHOUT = "(starts_with(lower(l), 'sommaire') OR (length(l) > 6 AND upper(replace(l, 'ß', 'x')) = l AND lower(l) <> l))"
@@ -314,13 +315,10 @@ def section_pictures(s, sf):
     return pg.pictures_in_order(_notes(s, sf), ["section"], ["doc_id"], 2, 6)
 
 
-@query("preferred_order", with_(BLK, PTXT) + "SELECT section, page_id, ROW_NUMBER() OVER (PARTITION BY section ORDER BY CASE WHEN contains(mtext, 'token') THEN 0 ELSE 1 END, doc_id) AS place FROM mt")
+@query("preferred_order", with_(BLK, PTXT) + "SELECT section, page_id, CAST(CASE WHEN contains(mtext, 'token') THEN 0 ELSE 1 END AS INTEGER) AS tier, doc_id FROM mt")
 def preferred_order(s, sf):
-    from pyspark.sql.window import Window
-
-    x = _notes(s, sf)
-    out = pg.preferred_first(x, ["section"], F.contains(pg.matching_text(), F.lit("token")), "doc_id")
-    return out.select("section", "page_id", F.row_number().over(Window.partitionBy("section").orderBy("place")).cast("long").alias("place"))
+    out = pg.preferred_first(_notes(s, sf), ["section"], F.contains(pg.matching_text(), F.lit("token")), "doc_id")
+    return out.select("section", "page_id", "place.*").withColumnRenamed("_tier", "tier")
 
 
 # ---- routing -------------------------------------------------------------------------------

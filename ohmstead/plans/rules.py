@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ohmstead.functions import text as tx
 from ohmstead.operators import reports as rp
@@ -125,10 +124,10 @@ def token_overlap(s, sf):
 
 def _turn_pairs(s, sf, role: str | None = "user") -> DataFrame:
     """Each turn with the next one of its conversation."""
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    x = t.texts(s, sf, "conversations").withColumn("candidate_text", F.lead("text").over(w)).where("candidate_text IS NOT NULL")
-    x = x.where(F.col("role") == role) if role else x
-    return x.select("conv_id", "turn", F.col("text").alias("raw_notes"), "candidate_text")
+    c = t.texts(s, sf, "conversations")
+    after = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("candidate_text"))
+    x = (c.where(F.col("role") == role) if role else c).select("conv_id", "turn", F.col("text").alias("raw_notes"))
+    return x.join(after, ["conv_id", "turn"])
 
 
 _GREEDY = f"""it AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS ls FROM documents),
@@ -254,7 +253,7 @@ def _levels(s, sf) -> DataFrame:
 
 
 def _judged(s, sf) -> DataFrame:
-    return sc.judged(_levels(s, sf), sc.rule_rows(s, RULES), ["doc_id"])
+    return sc.judged(_levels(s, sf), RULES, ["doc_id"])
 
 
 _CLS = """gc AS (SELECT doc_id, grp, CASE MIN(CASE WHEN NOT mc THEN 0 WHEN ma THEN 3 WHEN mb THEN 2 ELSE 1 END) WHEN 0 THEN 'D' WHEN 1 THEN 'C' WHEN 2 THEN 'B' ELSE 'A' END AS achieved_class, COUNT(*) AS rules_count,

@@ -85,7 +85,7 @@ def test_caption_stops_at_body_text(spark):
 
 
 def test_rule_classes(spark):
-    rules = sc.rule_rows(spark, [sc.Rule("1", "A", "x", (("C", 1), ("B", 2), ("A", 3))), sc.Rule("2", "B", "y", ()), sc.Rule("3", "C", "z", (("C", 1),))])
+    rules = [sc.Rule("1", "A", "x", (("C", 1), ("B", 2), ("A", 3))), sc.Rule("2", "B", "y", ()), sc.Rule("3", "C", "z", (("C", 1),))]
     levels = spark.createDataFrame([("r", "1", 2), ("r", "2", None)], "report string, rule_id string, level int")
     g = {r.grp: r for r in sc.group_classes(sc.judged(levels, rules, ["report"]), ["report"]).collect()}
     assert (g["A"].achieved_class, g["B"].achieved_class, g["C"].achieved_class) == ("B", "A", "D")
