@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ohmstead.operators import enrich, series
+from ohmstead.session import cut_lineage
 
 LOG_TYPE = "array<struct<value_col:string,action:string,old:double,new:double,reference:double,gap_days:long,span_days:long>>"
 
@@ -218,7 +219,7 @@ def clean_level(hist: DataFrame, pred: DataFrame, ids: Sequence[str]) -> DataFra
     """Sentinels, spikes, spreads, caps, rebuilt totals, caps again; one row per calendar day."""
     ids = list(ids)
     keys = [*ids, "date"]
-    x = enrich.total_without(enrich.total_accurate(hist))
+    x = enrich.total_without(enrich.total_accurate(cut_lineage(hist)))
     if "indoorTempDegC" in x.columns:
         x = x.withColumn("indoorTempDegC", series.band("indoorTempDegC", 5, 40))
     usages = enrich.discover_usages(x.columns)
@@ -243,6 +244,7 @@ def clean_level(hist: DataFrame, pred: DataFrame, ids: Sequence[str]) -> DataFra
         rules.append(Rule(c, guess, 6.0 if c == "waterM3" else 8.0, scans, c in totals or c == "waterM3"))
     done = drop_and_spread(daily, ids, rules)
     done = cap_outliers(done, ids, {c: 8.0 if c.startswith("elec") else 6.0 for c in source}).withColumnRenamed("caps", "_caps1")
+    done = cut_lineage(done)
     done = enrich.total_without(enrich.total_accurate(done))
     done = cap_outliers(done, ids, {c: 8.0 for c in ("elecTotalAccurateKwh", "elecTotalNoBveKwh")})
     return done.withColumn("caps", F.concat("_caps1", "caps")).drop("_caps1")

@@ -60,7 +60,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     keys = list(keys)
     bins = side * side
     one = F.lit(1).alias("_one")
-    vals = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    vals = cut_lineage(df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c")))
     grid = F.array(*[F.lit(i / bins) for i in range(1, bins)])
     cuts = vals.groupBy(*keys, one).agg(
         F.percentile_approx("_v", grid, bins * 20).alias("_cuts"), F.sum("_c").alias("_n")

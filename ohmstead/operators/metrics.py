@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ohmstead.operators.keyed import exact_quantiles, small_side
+from ohmstead.session import cut_lineage
 
 
 def _pair(truth: str, pred: str) -> tuple[Column, Column, Column]:
@@ -52,6 +53,7 @@ def per_surface(df: DataFrame, keys: Sequence[str], surface: str = "surface_m2")
 
 def global_report(df: DataFrame, keys: Sequence[str], surface: str | None = None) -> DataFrame:
     """Whole-table metrics per target; the median error uses a distributed selection."""
+    df = cut_lineage(df.select(*keys, "y_true", "y_pred", *([surface] if surface else [])))
     base = errors(df, keys, ["n", "MAE", "RMSE", "WAPE", "Bias", "sMAPE", "R2"])
     med = exact_quantiles(df.withColumn("_e", F.abs(F.col("y_pred") - F.col("y_true"))), keys, "_e", {"MedAE": 0.5})
     out = base.join(small_side(med), list(keys), "left")
@@ -110,7 +112,7 @@ def parity_histogram(df: DataFrame, keys: Sequence[str], top: float | None = 0.9
     """2-D counts of truth against prediction, on linear or log10 axes."""
     a, b, ok = _pair("y_true", "y_pred")
     x = df.where(ok & (a > 0) & (b > 0) if log else ok)
-    x = x.select(*keys, (F.log10(a) if log else a).alias("_a"), (F.log10(b) if log else b).alias("_b"))
+    x = cut_lineage(x.select(*keys, (F.log10(a) if log else a).alias("_a"), (F.log10(b) if log else b).alias("_b")))
     both = x.select(*keys, F.explode(F.array("_a", "_b")).alias("_x"))
     probs = {"lo": 0.01, "hi": 0.99} if log else {"hi": top}
     lim = exact_quantiles(both, keys, "_x", probs)
@@ -125,7 +127,7 @@ def parity_histogram(df: DataFrame, keys: Sequence[str], top: float | None = 0.9
 
 def residual_histogram(df: DataFrame, keys: Sequence[str], bins: int = 80) -> DataFrame:
     a, b, ok = _pair("y_true", "y_pred")
-    x = df.where(ok).select(*keys, (b - a).alias("_e"))
+    x = cut_lineage(df.where(ok).select(*keys, (b - a).alias("_e")))
     lim = exact_quantiles(x, keys, "_e", {"lo": 0.01, "hi": 0.99})
     j = x.join(small_side(lim), list(keys))
     return j.select(*keys, _bin(F.col("_e"), F.col("lo"), F.col("hi"), F.lit(bins)).alias("bin")).dropna(subset=["bin"]).groupBy(*keys, "bin").agg(F.count("*").alias("n"))

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from ohmstead.operators import clean, enrich, learn, metrics, series
 from ohmstead.operators.keyed import first_known, keep_one, top_n
 from ohmstead.plans.base_sql import LOG, SH, SI, SP, WX, ZH, ZP, with_
+from ohmstead.plans.component_sql import jump_scan, recursive, spike_scan
 from ohmstead.plans.registry import Catalogue
 from ohmstead.sources import tables as t
 
@@ -298,11 +299,20 @@ def _spike_frame(s, sf, col, pred):
         series.align(t.zone_history(s, sf), t.zone_pred(s, sf), t.ZONE, col, pred), t.ZONE, ["value", "pred"])
 
 
-@query("local_spikes")
+_ZDAYS = """zr AS (SELECT "siteId", "zoneId", MIN(date) AS a, MAX(date) AS b FROM (SELECT "siteId", "zoneId", date FROM zh UNION ALL SELECT "siteId", "zoneId", date FROM zp) GROUP BY 1, 2),
+zd AS (SELECT "siteId", "zoneId", a, CAST(UNNEST(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date FROM zr),
+zv AS (SELECT zd."siteId", zd."zoneId", zd.a, zd.date, CAST(zd.date - zd.a AS BIGINT) AS i, "elecTotalKwh" AS v, "totalKwh" AS pred, zd."siteId" * 1000000 + zd."zoneId" AS z FROM zd
+  LEFT JOIN zh ON zh."siteId" = zd."siteId" AND zh."zoneId" = zd."zoneId" AND zh.date = zd.date LEFT JOIN zp ON zp."siteId" = zd."siteId" AND zp."zoneId" = zd."zoneId" AND zp.date = zd.date)"""
+_SPIKEIN = """sf AS (SELECT z, i, v, pred, LEAD(v) OVER w AS n1, LEAD(v, 2) OVER w AS n2, i - 1 - COALESCE(MAX(CASE WHEN v > 0 THEN i END) OVER (PARTITION BY z ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS gap FROM zv WINDOW w AS (PARTITION BY z ORDER BY i))"""
+_JUMPIN = """jv AS (SELECT z, ROW_NUMBER() OVER (PARTITION BY z ORDER BY i) AS k, i, v, i - LAG(i) OVER (PARTITION BY z ORDER BY i) - 1 AS gap, MEDIAN(v) OVER (PARTITION BY z) AS med FROM zv WHERE v > 0)"""
+
+
+@query("local_spikes", recursive(ZH, ZP, _ZDAYS, _SPIKEIN, spike_scan(6.0)) + """
+SELECT zv."siteId", zv."zoneId", CAST(zv.date AS VARCHAR) AS date, 'local_spike_drop' AS action, zv.v AS old, ROUND(ref, 6) AS reference, gap AS gap_days FROM scan JOIN zv ON zv.z = scan.z AND zv.i = scan.i WHERE zv.v > 0 AND scan.m IS NULL""")
 def local_spikes(s, sf):
     x = clean.drop_and_spread(_spike_frame(s, sf, "elecTotalKwh", "totalKwh"), t.ZONE, [clean.Rule("value", "pred", 6.0)])
     out = x.select(*t.ZONE, "date", F.explode("log").alias("e")).select(*t.ZONE, "date", "e.action", "e.old", "e.reference", "e.gap_days")
-    return _text_date(out, "date")
+    return _text_date(_round(out, 6, "reference"), "date")
 
 
 @query("spike_candidates", with_(ZH) + """
@@ -321,12 +331,14 @@ def spike_candidates(s, sf):
     return _text_date(x.where("hit").select(*t.ZONE, "date", "value", "near"), "date")
 
 
-@query("spread_jumps")
+@query("spread_jumps", recursive(ZH, ZP, _ZDAYS, _JUMPIN, jump_scan(4.0)) + """
+SELECT zv."siteId", zv."zoneId", CAST(zv.date AS VARCHAR) AS date, action, zv.v AS old, ROUND(CASE WHEN action = 'spread' THEN zv.v / (gap + 1) END, 6) AS new, ROUND(ref, 6) AS reference, gap AS gap_days, gap + 1 AS span_days
+FROM jump JOIN zv ON zv.z = jump.z AND zv.i = jump.i WHERE action <> ''""")
 def spread_jumps(s, sf):
     lim = clean.Limits(spread_factor=4.0)
     x = clean.drop_and_spread(_spike_frame(s, sf, "elecTotalKwh", "totalKwh"), t.ZONE, [clean.Rule("value", passes=0, spread=True)], lim)
     out = x.select(*t.ZONE, "date", F.explode("log").alias("e")).select(*t.ZONE, "date", "e.*").drop("value_col")
-    return _text_date(out, "date")
+    return _text_date(_round(out, 6, "new", "reference"), "date")
 
 
 _CEIL = """c AS (SELECT *, CASE WHEN COUNT(value) OVER w >= 4 THEN MEDIAN(value) OVER w END AS roll FROM al WINDOW w AS (PARTITION BY "siteId" ORDER BY date ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)),

@@ -10,6 +10,7 @@ from ohmstead.operators import grid as gd
 from ohmstead.operators import ink as ik
 from ohmstead.operators import regions as rg
 from ohmstead.plans.base_sql import with_
+from ohmstead.plans.component_sql import CLASS_SCORE, PLAN_SCORE, components, fan_passes, grid_cells, growth, recursive, strong_rows
 from ohmstead.plans.registry import Catalogue
 from ohmstead.plans.reports import q, sql_any, sql_list
 from ohmstead.sources import drawings as dr
@@ -123,7 +124,11 @@ def stray_shapes(s, sf):
     return x.select("row_id", en.big_triangle(F.col("p"), F.lit(80.0), F.lit(2000.0)).alias("triangle"), en.big_open_v(F.col("p"), F.lit(60.0), F.lit(80.0)).alias("vee"))
 
 
-@query("fan_removal")
+_FANIN = """sb AS (SELECT plan_id, GREATEST(MAX(GREATEST(x1, x2)) - MIN(LEAST(x1, x2)), MAX(GREATEST(y1, y2)) - MIN(LEAST(y1, y2))) AS ref FROM sg GROUP BY 1),
+fs AS (SELECT plan_id, row_id, seg, (x1 + x2) * 0.5::DOUBLE AS mx, (y1 + y2) * 0.5::DOUBLE AS my, length, angle, ref * 0.012::DOUBLE AS fd, ref * 0.012::DOUBLE AS fr FROM sg JOIN sb USING (plan_id))"""
+
+
+@query("fan_removal", with_(PTS, SEG, _FANIN, fan_passes()) + "SELECT plan_id, COUNT(*) AS segments, ROUND(SUM(length), 3) AS total_length FROM left3 GROUP BY 1")
 def fan_removal(s, sf):
     segs = _segs(s, sf)
     left = en.remove_fans(segs, PLAN, ["plan_id", "row_id", "seg"], en.size_limits(en.segment_box(segs, PLAN)))
@@ -285,29 +290,55 @@ def entity_cells(s, sf):
     return gd.entity_cells(_geo(s, sf), PLAN, 100, 1)
 
 
-@query("cell_components")
+@query("cell_components", recursive(PTS, grid_cells("gc", "en", 60, 0), components("cc", "gc", "plan_id")) + "SELECT plan_id, COUNT(*) AS area, CAST(MIN(x) AS INTEGER) AS x0, CAST(MIN(y) AS INTEGER) AS y0, CAST(MAX(x) AS INTEGER) AS x1, CAST(MAX(y) AS INTEGER) AS y1 FROM cc GROUP BY plan_id, lab")
 def cell_components(s, sf):
     cells = gd.entity_cells(_geo(s, sf), PLAN, 60, 0)
-    comps = gd.components(cells, PLAN)
-    return gd.component_boxes(comps, PLAN)
+    return gd.component_boxes(gd.components(cells, PLAN), PLAN).drop("comp")
+
 
+_MAININ = "mi AS (SELECT *, '' AS fc FROM en)"
 
-@query("main_plan_rows")
+
+@query("main_plan_rows", recursive(PTS, _MAININ, grid_cells("gc", "mi", 120, 1), components("cc", "gc", "plan_id"), strong_rows("st", "mi", "gc", "cc", PLAN_SCORE, 0.18)) + "SELECT plan_id, row_id FROM st")
 def main_plan_rows(s, sf):
     return en.main_plan(_geo(s, sf), PLAN, 120, 1)
 
 
-@query("selected_entities")
+_BASE = f"bm AS (SELECT *, {_in(R.hard_types)} OR {sql_any('blob', R.hard_words)} AS hd, '' AS fc FROM bl),\nmi AS (SELECT * FROM bm WHERE NOT hd AND NOT (length < 0.8 AND bbox_diag < 0.4) AND dcs <> 'drop')"
+_NEAR = "NOT (bbox_max_x < x0 - mg OR bbox_min_x > x1 + mg OR bbox_max_y < y0 - mg OR bbox_min_y > y1 + mg)"
+_RTYPES = _in(R.rescue_types)
+
+
+def _main_box(share: str) -> str:
+    return f"mb0 AS (SELECT mi.plan_id, MIN(bbox_min_x) AS x0, MIN(bbox_min_y) AS y0, MAX(bbox_max_x) AS x1, MAX(bbox_max_y) AS y1 FROM mi SEMI JOIN st USING (plan_id, row_id) GROUP BY 1), mb AS (SELECT *, GREATEST(x1 - x0, y1 - y0, 1) AS md, GREATEST(x1 - x0, y1 - y0, 1) * {share}::DOUBLE AS mg FROM mb0)"
+
+
+@query("selected_entities", recursive(PTS, _BASE, grid_cells("gc", "mi", 120, 1), components("cc", "gc", "plan_id"), strong_rows("st", "mi", "gc", "cc", PLAN_SCORE, 0.18), _main_box("0.10")) + f"""
+, r AS (SELECT bm.plan_id, bm.row_id, hd, dcs, COALESCE(NOT hd AND {_NEAR} AND {_RTYPES} AND length >= 0.6 AND bbox_diag >= 0.35 AND length <= GREATEST(md + 2 * mg, 1) * 0.16::DOUBLE AND ({sql_any('blob', R.rescue_words)} OR dcs = 'drop'), false) AS rescued, st.row_id IS NOT NULL AS main
+ FROM bm LEFT JOIN mb ON mb.plan_id = bm.plan_id LEFT JOIN st ON st.plan_id = bm.plan_id AND st.row_id = bm.row_id)
+SELECT plan_id, row_id, main OR rescued AS selected, rescued AS is_rescued_detail, hd AS hard_drop, dcs = 'drop' AS manual_drop FROM r""")
 def selected_entities(s, sf):
     return en.select_entities(_geo(s, sf), dr.decisions(s), grid=120).select("plan_id", "row_id", "selected", "is_rescued_detail", "hard_drop", "manual_drop")
 
 
-@query("component_clean")
+_PHYSROWS = "mi AS (SELECT *, feature_class AS fc FROM ph WHERE feature_class <> 'noise' AND length >= 0.8 AND bbox_diag >= 0.5)"
+
+
+@query("component_clean", recursive(PTS, PHYS, _PHYSROWS, grid_cells("gc", "mi", 120, 1), components("cc", "gc", "plan_id"), strong_rows("st", "mi", "gc", "cc", CLASS_SCORE, 0.22), _main_box("0.055")) + f"""
+SELECT mi.plan_id, mi.row_id, feature_class, CASE WHEN feature_class IN ('wall', 'door', 'window', 'stairs') THEN feature_class ELSE 'detail' END AS render_class FROM mi JOIN mb ON mb.plan_id = mi.plan_id LEFT JOIN st ON st.plan_id = mi.plan_id AND st.row_id = mi.row_id
+WHERE st.row_id IS NOT NULL OR ({_NEAR} AND {_RTYPES} AND length >= 1.2 AND bbox_diag >= 0.8 AND length <= md * 0.18::DOUBLE)""")
 def component_clean(s, sf):
     return en.component_clean(_geo(s, sf), dr.decisions(s), grid=120).select("plan_id", "row_id", "feature_class", "render_class")
 
 
-@query("strict_clean")
+_STRICT = """pr AS (SELECT * FROM ph WHERE feature_class IN ('wall', 'door', 'window', 'stairs') AND length >= 3 AND bbox_diag >= 2),
+nl AS (SELECT plan_id, layer FROM pr GROUP BY 1, 2 HAVING COUNT(*) >= 80 AND AVG(CASE WHEN length < 12 OR bbox_diag < 12 THEN 1.0 ELSE 0.0 END) >= 0.72 AND 1 <= 0.2),
+mi AS (SELECT * FROM pr ANTI JOIN nl USING (plan_id, layer))"""
+_LARGEST = """lb AS (SELECT plan_id, lab FROM (SELECT plan_id, lab, ROW_NUMBER() OVER (PARTITION BY plan_id ORDER BY COUNT(*) DESC, lab) AS r FROM cc GROUP BY 1, 2) WHERE r = 1),
+la AS (SELECT DISTINCT c.plan_id, c.x + dx AS x, c.y + dy AS y FROM (SELECT * FROM cc SEMI JOIN lb USING (plan_id, lab)) c, (SELECT UNNEST(range(-2, 3)) AS dx) a, (SELECT UNNEST(range(-2, 3)) AS dy) b)"""
+
+
+@query("strict_clean", recursive(PTS, PHYS, _STRICT, grid_cells("gc", "mi", 420, 0), components("cc", "gc", "plan_id"), _LARGEST) + "SELECT mi.plan_id, mi.row_id, feature_class FROM mi SEMI JOIN (SELECT DISTINCT gc.plan_id, row_id FROM gc JOIN la ON la.plan_id = gc.plan_id AND la.x = gc.x AND la.y = gc.y) k ON k.plan_id = mi.plan_id AND k.row_id = mi.row_id")
 def strict_clean(s, sf):
     return en.strict_clean(_geo(s, sf), dr.decisions(s)).select("plan_id", "row_id", "feature_class")
 
@@ -435,26 +466,58 @@ def hairline_removal(s, sf):
     return ik.remove_hairlines(_ink(s, sf), SIZE, min_run=20, dense_min=60)
 
 
-@query("line_run_removal")
+def _thick_sql(name: str, source: str, erode: int, grow: int) -> str:
+    e, g = erode, grow
+    return f"""{name}_e AS (SELECT a.image_id, a.x, a.y FROM {source} a JOIN {source} b ON a.image_id = b.image_id AND b.x BETWEEN a.x - {e} AND a.x + {e} AND b.y BETWEEN a.y - {e} AND a.y + {e} GROUP BY 1, 2, 3
+  HAVING COUNT(*) = (LEAST(a.x + {e}, 169) - GREATEST(a.x - {e}, 0) + 1) * (LEAST(a.y + {e}, 169) - GREATEST(a.y - {e}, 0) + 1)),
+{name} AS (SELECT DISTINCT image_id, x + dx AS x, y + dy AS y FROM {name}_e, (SELECT UNNEST(range({-g}, {g + 1})) AS dx) p, (SELECT UNNEST(range({-g}, {g + 1})) AS dy) r WHERE x + dx BETWEEN 0 AND 169 AND y + dy BETWEEN 0 AND 169)"""
+
+
+def _line_pass(name: str, source: str, a: str, b: str) -> str:
+    """Runs along ``a`` on lines of ``b``; what is left is called ``name``."""
+    return f"""{name}_c AS (SELECT * FROM {source} ANTI JOIN th4 USING (image_id, x, y)),
+{name}_r AS (SELECT image_id, {b} AS ln, MIN({a}) AS s, MAX({a}) + 1 AS e FROM (SELECT *, {a} - ROW_NUMBER() OVER (PARTITION BY image_id, {b} ORDER BY {a}) AS g FROM {name}_c) GROUP BY image_id, {b}, g HAVING COUNT(*) >= 14),
+{name}_s AS (SELECT r.image_id, r.ln, r.s, r.e, COUNT(*) FILTER (WHERE i.{b} BETWEEN ln - 3 AND ln + 3 AND i.{a} >= s AND i.{a} < e) AS k1, COUNT(*) AS k2 FROM {name}_r r JOIN {source} i ON i.image_id = r.image_id AND i.{b} BETWEEN ln - 10 AND ln + 10 AND i.{a} >= s - 10 AND i.{a} < e + 10 GROUP BY 1, 2, 3, 4),
+{name}_g AS (SELECT * FROM {name}_s WHERE CAST(k1 AS DOUBLE) / ((LEAST(ln + 4, 170) - GREATEST(ln - 3, 0)) * (e - s)) <= 0.42 AND CAST(k2 AS DOUBLE) / ((LEAST(ln + 11, 170) - GREATEST(ln - 10, 0)) * (LEAST(e + 10, 170) - GREATEST(s - 10, 0))) < 0.25),
+{name} AS (SELECT i.* FROM {source} i WHERE NOT EXISTS (SELECT 1 FROM {name}_g g JOIN {name}_c c ON c.image_id = g.image_id AND c.{b} = g.ln AND c.{a} >= g.s AND c.{a} < g.e WHERE c.image_id = i.image_id AND c.x = i.x AND c.y = i.y))"""
+
+
+_BIG = "ok AS (SELECT image_id, lab FROM cc GROUP BY 1, 2 HAVING COUNT(*) >= {n})"
+
+
+@query("line_run_removal", recursive(INK, _thick_sql("th4", "ink", 2, 4), _line_pass("l1", "ink", "x", "y"), _line_pass("l2", "l1", "y", "x"), components("cc", "l2", "image_id"), _BIG.format(n=8)) + "SELECT image_id, COUNT(*) AS cells FROM cc SEMI JOIN ok USING (image_id, lab) GROUP BY 1")
 def line_run_removal(s, sf):
     return ik.remove_line_runs(_ink(s, sf), SIZE, min_run=14, dense_min=0.25).groupBy("image_id").agg(F.count("*").alias("cells"))
 
 
-@query("small_component_removal")
+@query("small_component_removal", recursive(INK, components("cc", "ink", "image_id"), _BIG.format(n=40)) + "SELECT image_id, COUNT(*) AS cells FROM cc SEMI JOIN ok USING (image_id, lab) GROUP BY 1")
 def small_component_removal(s, sf):
     return ik.remove_small(_ink(s, sf), 40).groupBy("image_id").agg(F.count("*").alias("cells"))
 
 
-@query("mesh_removal")
+_LINECELLS = "lr AS (" + " UNION ALL ".join(
+    f"SELECT image_id, x, y, '{a}' AS ax FROM (SELECT *, COUNT(*) OVER (PARTITION BY image_id, {line}, g) AS n FROM (SELECT *, {st} - ROW_NUMBER() OVER (PARTITION BY image_id, {line} ORDER BY {st}) AS g FROM tn6)) WHERE n >= {least}"
+    for a, line, st, least in (("h", "y", "x", 14), ("v", "x", "y", 14), ("d", "(y - x)", "x", 12), ("a", "(y + x)", "x", 12))) + "),\nlc AS (SELECT DISTINCT image_id, x, y FROM lr)"
+_MESH = """lk AS (SELECT DISTINCT image_id, x + dx AS x, y + dy AS y FROM lc, (SELECT UNNEST(range(-2, 3)) AS dx) p, (SELECT UNNEST(range(-2, 3)) AS dy) r WHERE x + dx BETWEEN 0 AND 169 AND y + dy BETWEEN 0 AND 169)"""
+_MESH2 = """mbx AS (SELECT image_id, lab, MIN(x) AS x0, MIN(y) AS y0, MAX(x) AS x1, MAX(y) AS y1 FROM cc GROUP BY 1, 2 HAVING MAX(x) - MIN(x) + 1 >= 36 AND MAX(y) - MIN(y) + 1 >= 28),
+mok AS (SELECT b.* FROM mbx b JOIN lr ON lr.image_id = b.image_id AND lr.x BETWEEN x0 AND x1 AND lr.y BETWEEN y0 AND y1 GROUP BY ALL HAVING COUNT(DISTINCT lr.y * 1000 + lr.x) >= 60 AND CAST(COUNT(DISTINCT lr.y * 1000 + lr.x) AS DOUBLE) / ((x1 - x0 + 1) * (y1 - y0 + 1)) >= 0.01 AND COUNT(DISTINCT ax) >= 2),
+mgn AS (SELECT DISTINCT t.image_id, t.x, t.y FROM tn6 t JOIN mok b ON b.image_id = t.image_id AND t.x BETWEEN x0 - 3 AND x1 + 3 AND t.y BETWEEN y0 - 3 AND y1 + 3)"""
+_THIN6 = "tn6 AS (SELECT * FROM ink ANTI JOIN th6 USING (image_id, x, y))"
+
+
+@query("mesh_removal", recursive(INK, _thick_sql("th6", "ink", 2, 6), _THIN6, _LINECELLS, _MESH, components("cc", "lk", "image_id"), _MESH2) + "SELECT image_id, COUNT(*) AS cells FROM ink ANTI JOIN mgn USING (image_id, x, y) GROUP BY 1")
 def mesh_removal(s, sf):
     return ik.remove_meshes(_ink(s, sf), SIZE, min_pixels=60, min_density=0.01).groupBy("image_id").agg(F.count("*").alias("cells"))
 
 
-@query("speck_removal")
+@query("speck_removal", recursive(INK, _thick_sql("th6", "ink", 2, 6), _THIN6, components("cc", "tn6", "image_id")) + """
+, sm AS (SELECT image_id, lab FROM cc GROUP BY 1, 2 HAVING COUNT(*) < 45), nr AS (SELECT DISTINCT image_id, x + dx AS x, y + dy AS y FROM th6, (SELECT UNNEST(range(-7, 8)) AS dx) p, (SELECT UNNEST(range(-7, 8)) AS dy) r),
+sf AS (SELECT DISTINCT cc.image_id, lab FROM cc JOIN nr ON nr.image_id = cc.image_id AND nr.x = cc.x AND nr.y = cc.y), gn AS (SELECT image_id, x, y FROM cc WHERE (image_id, lab) IN (SELECT image_id, lab FROM sm) AND (image_id, lab) NOT IN (SELECT image_id, lab FROM sf))
+SELECT image_id, COUNT(*) AS cells FROM ink ANTI JOIN gn USING (image_id, x, y) GROUP BY 1""")
 def speck_removal(s, sf):
     return ik.remove_specks(_ink(s, sf), SIZE).groupBy("image_id").agg(F.count("*").alias("cells"))
 
 
-@query("main_growth")
+@query("main_growth", recursive(INK, components("cc", "ink", "image_id"), "boxes AS (SELECT image_id, lab, COUNT(*) AS area, MIN(x) AS x0, MIN(y) AS y0, MAX(x) AS x1, MAX(y) AS y1 FROM cc GROUP BY 1, 2 HAVING COUNT(*) >= 8)", growth(SIZE, 0.12, 4)) + "SELECT image_id, COUNT(*) AS cells FROM cc SEMI JOIN kept USING (image_id, lab) GROUP BY 1")
 def main_growth(s, sf):
     return ik.grow_main(_ink(s, sf), SIZE).groupBy("image_id").agg(F.count("*").alias("cells"))
