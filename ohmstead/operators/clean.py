@@ -178,7 +178,8 @@ def clip_to_ceiling(df: DataFrame, ids: Sequence[str], value: str, pred: str, ro
 
 def unit_by_prediction(aligned: DataFrame, ids: Sequence[str], divisors: Sequence[float] = (1000.0, 1e6), tol: float = 3.0, min_pairs: int = 20, min_prop: float = 0.6) -> DataFrame:
     """Groups whose readings are a power of ten off the prediction: divisor, evidence, whole or paired rows."""
-    pairs = aligned.where((F.col("value") > 0) & (F.col("pred") > 0)).withColumn("ratio", F.col("value") / F.col("pred"))
+    pairs = aligned.where((F.col("value") > 0) & (F.col("pred") > 0)).select(*ids, (F.col("value") / F.col("pred")).alias("ratio"))
+    pairs = cut_lineage(pairs)
     med = pairs.groupBy(*ids).agg(F.percentile("ratio", 0.5).alias("median_ratio"), F.count("*").alias("pairs")).where(F.col("pairs") >= min_pairs)
     options = F.array(*[
         F.struct(F.abs(F.log10(F.col("median_ratio") / d)).alias("score"), F.lit(i).alias("pos"), F.lit(float(d)).alias("divisor"))
@@ -190,8 +191,9 @@ def unit_by_prediction(aligned: DataFrame, ids: Sequence[str], divisors: Sequenc
         (F.col("_best.divisor") != 1.0) & (F.col("_best.score") < tol10) & (F.col("_best.score") + 0.15 < F.col("_own"))
     ).select(*ids, "median_ratio", "pairs", F.col("_best.divisor").alias("divisor"))
     close = F.abs(F.log10(F.col("ratio") / F.col("divisor"))) <= tol10
-    share = pairs.join(chosen, list(ids)).groupBy(*ids).agg(F.avg(close.cast("double")).alias("prop_close"))
-    return chosen.join(share, list(ids)).withColumn("whole_group", F.col("prop_close") >= min_prop)
+    out = pairs.join(chosen, list(ids)).groupBy(*ids).agg(
+        F.max("median_ratio").alias("median_ratio"), F.max("pairs").alias("pairs"), F.max("divisor").alias("divisor"), F.avg(close.cast("double")).alias("prop_close"))
+    return out.withColumn("whole_group", F.col("prop_close") >= min_prop)
 
 
 def apply_unit(aligned: DataFrame, fixes: DataFrame, ids: Sequence[str]) -> DataFrame:

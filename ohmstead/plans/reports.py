@@ -384,17 +384,18 @@ def bucket_selection(s, sf):
     return _selected(s, sf).select("section", "report_type", "bucket", "part", "score", "rank")
 
 
+def _plan(s, sf) -> dict[str, DataFrame]:
+    return rt.build_plan(_notes(s, sf), pg.matching_text(), ["section"], "doc_id", TYPES)
+
+
 @query("plan_slots")
 def plan_slots(s, sf):
-    x = rt.build_slots(_selected(s, sf), _ranked(s, sf), ["section"], TYPES)
-    return x.withColumn("buckets", F.array_join("buckets", ","))
+    return _plan(s, sf)["slots"].withColumn("buckets", F.array_join("buckets", ","))
 
 
 @query("plan_routing")
 def plan_routing(s, sf):
-    ranked = _ranked(s, sf)
-    slots = rt.build_slots(_selected(s, sf), ranked, ["section"], TYPES)
-    return rt.route_slots(slots, ranked, ["section"], "doc_id", 5)
+    return _plan(s, sf)["slot_routing"]
 
 
 @query("slot_pages", with_(BLK, PTXT, _HITS) + """
