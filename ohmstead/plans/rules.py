@@ -54,7 +54,8 @@ def section_names(s, sf):
     return x.select("p_partkey", name.alias("name"), (F.when(tx.strip("raw") == name, 1).otherwise(2) + two).alias("n_min"))
 
 
-@query("section_variants")
+@query("section_variants", """
+SELECT p_partkey, UNNEST(list_distinct([p_name || '–' || p_type, p_name || ' - ' || p_type, p_name || ' - ' || upper(p_type), p_name || ' - ' || upper(p_type[1]) || lower(p_type[2:])])) AS variant FROM part""")
 def section_variants(s, sf):
     x = t.table(s, sf, "part").select("p_partkey", F.concat("p_name", F.lit("–"), "p_type").alias("raw"))
     return x.select("p_partkey", F.explode(tx.section_variants("raw")).alias("variant"))
@@ -186,7 +187,13 @@ def chat_cleaning(s, sf):
     return x.select("conv_id", "turn", F.array_join(tx.clean_bullets(ls), "\n").alias("bullets"))
 
 
-@query("toc_titles")
+_TOC = f"""r AS (SELECT doc_id, pos, trim(regexp_replace(trim(CASE (pos - 1) % 3 WHEN 0 THEN '1 - Contexte ' || line WHEN 1 THEN 'Sommaire' ELSE line END || '  12'), '\\s+\\d{{1,3}}$', '')) AS s0 FROM ln),
+e0 AS (SELECT doc_id, pos, trim(regexp_replace(trim(regexp_replace(s0, '^\\s*\\d{{1,2}}\\s*[-–]?\\s*', '')), 'slides?\\s+\\d+\\s*(a|à)\\s*\\d+', '', 'gi')) AS s FROM r WHERE s0 <> '' AND NOT regexp_matches(s0, '(?i)(slides?\\s+\\d+|page\\s+\\d+|^\\d+$)')),
+e1 AS (SELECT *, {sql_plain('s')} AS n FROM e0),
+e2 AS (SELECT doc_id, ARG_MIN(s, pos) AS s, MIN(pos) AS pos FROM e1 WHERE NOT {_NOISE} AND NOT {_DECOR} AND ({sql_any('n', tx.TOC_WORDS)} OR length(n) >= 18) GROUP BY doc_id, n)"""
+
+
+@query("toc_titles", with_(LINES, _TOC) + "SELECT d.doc_id, COALESCE(string_agg(s, ' | ' ORDER BY pos), '') AS entries FROM documents d LEFT JOIN e2 ON e2.doc_id = d.doc_id GROUP BY 1")
 def toc_titles(s, sf):
     ls = F.transform(F.split("text", "\n"), lambda v, i: F.concat(F.when(i % 3 == 0, F.lit("1 - Contexte ")).when(i % 3 == 1, F.lit("Sommaire")).otherwise(F.lit("")), F.when(i % 3 != 1, v).otherwise(F.lit("")), F.lit("  12")))
     x = t.texts(s, sf, "documents").select("doc_id", F.array_join(ls, "\n").alias("t"))
