@@ -93,7 +93,7 @@ def components(cells: DataFrame, keys: Sequence[str], connectivity: int = 8, rou
     for _ in range(rounds if not links.isEmpty() else 0):
         both = links.unionByName(links.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy(*keys, "u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(low, [*keys, "u"]).where("v > u").select(*keys, F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, [*keys, "u"]).where("v > u").select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
         low2 = large.groupBy(*keys, "u").agg(F.min("v").alias("m"))
         tied = large.join(low2, [*keys, "u"])
         small = tied.where("v <> m").select(*keys, F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low2.select(*keys, "u", F.col("m").alias("v")))

@@ -548,13 +548,28 @@ def _headed(s, sf) -> DataFrame:
     return t.texts(s, sf, "documents").select("doc_id", F.transform(ls, block).alias("blocks"))
 
 
-@query("report_chunks")
+def _sql_clean(e: str) -> str:
+    return f"trim(regexp_replace(trim(regexp_replace({e}, '[ \\t]{{2,}}', ' ', 'g'), ' ' || chr(10) || chr(9)), 'Page\\s+\\d+\\s+sur\\s+\\d+', '', 'gi'), ' ' || chr(10) || chr(9))"
+
+
+_NOW, _FULL = "COALESCE(x.mark, a.part)", "length(a.buf) + length(x.text) + 2 > 1200"
+_CHUNK = f"""cb AS (SELECT doc_id, pos, CASE WHEN (doc_id + pos) % 3 = 0 THEN {sql_list(HEAD_WORDS)}[(doc_id + pos) % 12 + 1] ELSE line END AS l, (doc_id + pos) % 3 = 0 AS head, 'p' || lpad(CAST(pos // 20 AS VARCHAR), 3, '0') AS ref FROM ln WHERE trim(line) <> ''),
+ce AS (SELECT doc_id, list({{'outs': CAST([] AS STRUCT(text VARCHAR, refs VARCHAR[], part INTEGER)[]), 'buf': '', 'refs': CAST([] AS VARCHAR[]), 'part': CAST(NULL AS INTEGER), 'text': l, 'ref': ref, 'mark': CASE WHEN head THEN CAST({_PARTSQL} AS INTEGER) END}} ORDER BY pos) AS e FROM cb GROUP BY 1),
+cr AS (SELECT doc_id, list_reduce(list_prepend({{'outs': CAST([] AS STRUCT(text VARCHAR, refs VARCHAR[], part INTEGER)[]), 'buf': '', 'refs': CAST([] AS VARCHAR[]), 'part': CAST(NULL AS INTEGER), 'text': '', 'ref': '', 'mark': CAST(NULL AS INTEGER)}}, e), lambda a, x: {{
+  'outs': CASE WHEN {_FULL} AND {_sql_clean('a.buf')} <> '' THEN list_append(a.outs, {{'text': {_sql_clean('a.buf')}, 'refs': list_sort(list_distinct(a.refs)), 'part': {_NOW}}}) ELSE a.outs END,
+  'buf': CASE WHEN {_FULL} THEN CASE WHEN length(a.buf) > 150 THEN right(a.buf, 150) || chr(10) ELSE '' END ELSE a.buf END || x.text || chr(10),
+  'refs': CASE WHEN {_FULL} THEN [x.ref] ELSE list_append(a.refs, x.ref) END, 'part': {_NOW}, 'text': '', 'ref': '', 'mark': CAST(NULL AS INTEGER)}}) AS s FROM ce),
+cf AS (SELECT doc_id, CASE WHEN {_sql_clean('s.buf')} <> '' THEN list_append(s.outs, {{'text': {_sql_clean('s.buf')}, 'refs': list_sort(list_distinct(s.refs)), 'part': s.part}}) ELSE s.outs END AS o FROM cr),
+ck AS (SELECT doc_id, UNNEST(o) AS c, generate_subscripts(o, 1) AS i FROM cf)"""
+
+
+@query("report_chunks", with_(LINES, _CHUNK) + "SELECT doc_id, 'c' || lpad(CAST(i AS VARCHAR), 5, '0') AS chunk_id, COALESCE(c.part, 0) AS part, array_to_string(c.refs, ',') AS refs, md5(c.text) AS digest, CAST(length(c.text) AS INTEGER) AS n FROM ck")
 def report_chunks(s, sf):
     x = rp.chunked(_headed(s, sf), "doc_id")
     return x.select("doc_id", "chunk_id", F.coalesce("part", F.lit(0)).alias("part"), F.array_join("refs", ",").alias("refs"), F.md5("text").alias("digest"), F.length("text").alias("n"))
 
 
-@query("chunk_manifest")
+@query("chunk_manifest", with_(LINES, _FILES, _CHUNK) + "SELECT pk.doc_id, file, COUNT(i) AS n_chunks, CASE WHEN COUNT(i) = 0 THEN 'no text' END AS error FROM pk LEFT JOIN ck ON ck.doc_id = pk.doc_id GROUP BY 1, 2")
 def chunk_manifest(s, sf):
     return rp.chunk_manifest(_packs(s, sf).select("doc_id", "file"), rp.chunked(_headed(s, sf), "doc_id"), "doc_id")
 
@@ -696,11 +711,11 @@ def _sql_word(e: str, word: str, new: str) -> str:
     return f"regexp_replace({e}, '{_BORDER}{word}{_BORDER.replace('^', '$', 1)}', '\\1{new}\\2', 'gi')"
 
 
-_POLITE = "replace(x0, ' ', '  ')"
+POLITE = "replace(x0, ' ', '  ')"
 for _word, _new in (("ton", "le"), ("ta", "la"), ("tes", "les"), ("tu", "le site")):
-    _POLITE = _sql_word(_POLITE, _word, _new)
+    POLITE = _sql_word(POLITE, _word, _new)
 _THEME = f"""t0 AS (SELECT source, doc_id, pos, trim(regexp_replace(trim(regexp_replace(trim(line), '^(?:- |•+)', '')), '\\s+', ' ', 'g')) AS x0 FROM ln WHERE contains({sql_fold('line')}, 'token') OR contains({sql_fold('line')}, 'http')),
-t1 AS (SELECT source, doc_id, pos, trim(regexp_replace({_POLITE}, '\\s+', ' ', 'g')) AS x FROM t0 WHERE NOT regexp_matches({sql_fold('x0')}, '\\bje peux\\b|\\bje te\\b|\\boui\\b')),
+t1 AS (SELECT source, doc_id, pos, trim(regexp_replace({POLITE}, '\\s+', ' ', 'g')) AS x FROM t0 WHERE NOT regexp_matches({sql_fold('x0')}, '\\bje peux\\b|\\bje te\\b|\\boui\\b')),
 t2 AS (SELECT source, list({{'s': '- ' || x, 't': {sql_tokens("'- ' || x").replace('lambda x: x', 'lambda y: y')}}} ORDER BY doc_id, pos) AS e FROM t1 WHERE x <> '' AND NOT regexp_matches({sql_fold('x')}, '\\btravaux a engager\\b|\\bcctp\\b') GROUP BY 1),
 t3 AS (SELECT source, list_reduce(list_transform(e, lambda v: [v]), lambda a, v: CASE WHEN len(a) >= 12 OR len(list_filter(a, lambda p: len(p.t) > 0 AND len(v[1].t) > 0 AND CAST(len(list_intersect(p.t, v[1].t)) AS DOUBLE) / LEAST(len(p.t), len(v[1].t)) >= 0.82)) > 0 THEN a ELSE list_concat(a, v) END) AS k FROM t2)"""
 

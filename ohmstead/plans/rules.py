@@ -11,7 +11,7 @@ from ohmstead.operators import scoring as sc
 from ohmstead.operators.keyed import sealed
 from ohmstead.plans.base_sql import with_
 from ohmstead.plans.registry import Catalogue
-from ohmstead.plans.reports import LINES, q, sql_any, sql_fold, sql_list, sql_norm, sql_plain, sql_start, sql_tokens
+from ohmstead.plans.reports import LINES, POLITE, q, sql_any, sql_fold, sql_list, sql_norm, sql_plain, sql_start, sql_tidy, sql_tokens
 from ohmstead.sources import tables as t
 
 CAT = Catalogue()
@@ -143,13 +143,48 @@ def greedy_distinct(s, sf):
     return x.select("doc_id", F.array_join("k", "\n").alias("kept"))
 
 
-@query("atomic_facts")
+def _toks(e: str, plus: bool = True) -> str:
+    return sql_tokens(e, plus).replace("lambda x: x", "lambda w: w")
+
+
+def _greedy(name: str, source: str, items: str, threshold: float, most: int | None, plus: bool = True) -> str:
+    """``name``: rows of ``source`` with ``kept``, the greedily distinct strings of list ``items``."""
+    full = f"len(a) >= {most} OR " if most else ""
+    return f"""{name}_0 AS (SELECT * EXCLUDE ({items}), list_transform({items}, lambda s: [{{'s': s, 't': {_toks('s', plus)}}}]) AS e FROM {source}),
+{name} AS (SELECT * EXCLUDE (e), CASE WHEN len(e) = 0 THEN CAST([] AS VARCHAR[]) ELSE list_transform(list_reduce(e, lambda a, x: CASE WHEN {full}len(list_filter(a, lambda p: len(p.t) > 0 AND len(x[1].t) > 0
+  AND CAST(len(list_intersect(p.t, x[1].t)) AS DOUBLE) / LEAST(len(p.t), len(x[1].t)) >= {threshold})) > 0 THEN a ELSE list_concat(a, x) END), lambda p: p.s) END AS kept FROM {name}_0)"""
+
+
+def _noise_of(e: str) -> str:
+    return _NL.replace("f = ''", f"{e} = ''").replace(", f)", f", {e})").replace("(f,", f"({e},")
+
+
+_PAIRS = "pr AS (SELECT * FROM (SELECT conv_id, turn, role, text, LEAD(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt FROM conversations) WHERE role = 'user' AND nxt IS NOT NULL)"
+_LINKED = "(?i)\\s+(?:et|mais|tandis que|ce qui|donc|dans ce cadre|par conséquent)\\s+"
+_FACTS = _PAIRS + f""",
+fl AS (SELECT conv_id, turn, UNNEST(string_split({sql_tidy('text')}, chr(10))) AS l, generate_subscripts(string_split({sql_tidy('text')}, chr(10)), 1) AS pos FROM pr),
+fb AS (SELECT conv_id, turn, pos, trim(regexp_replace(regexp_replace(regexp_replace(trim(l), '^(?:- \\s*)+', ''), '^•+', ''), '\\s+', ' ', 'g')) AS s FROM fl),
+fc AS (SELECT conv_id, turn, pos, list_filter(list_transform(string_split(regexp_replace(s, '([.!?])\\s+', '\\1' || chr(10), 'g'), chr(10)), lambda v: trim(v)), lambda v: v <> '') AS cs FROM (SELECT *, {sql_fold('s', True)} AS f FROM fb) WHERE NOT {_NL}),
+fs AS (SELECT conv_id, turn, pos, flatten(list_transform(cs, lambda v: CASE WHEN length(v) > 320 THEN list_filter(list_transform(string_split(regexp_replace(v, '{_LINKED}', chr(10), 'g'), chr(10)), lambda p: trim(p, ' ,;')), lambda p: p <> '') ELSE [v] END)) AS ss FROM fc),
+fu AS (SELECT conv_id, turn, pos, UNNEST(ss) AS x, generate_subscripts(ss, 1) AS k FROM fs),
+fg AS (SELECT *, {sql_fold('x', True)} AS f FROM (SELECT conv_id, turn, pos, k, trim(x, ' -•' || chr(9)) AS x FROM fu)),
+fh AS (SELECT pr.conv_id, pr.turn, ANY_VALUE(pr.nxt) AS nxt, COALESCE(list(x ORDER BY pos, k) FILTER (WHERE x <> '' AND NOT {_NL} AND length(f) >= 12), CAST([] AS VARCHAR[])) AS items FROM pr LEFT JOIN fg ON fg.conv_id = pr.conv_id AND fg.turn = pr.turn GROUP BY 1, 2),
+""" + _greedy("fk", "fh", "items", 0.88, None) + ",\nfa AS (SELECT conv_id, turn, nxt, kept[1:10] AS facts FROM fk)"
+
+
+@query("atomic_facts", with_(_FACTS) + "SELECT conv_id, turn, array_to_string(facts, ' | ') AS facts FROM fa")
 def atomic_facts(s, sf):
     x = _turn_pairs(s, sf)
     return x.select("conv_id", "turn", F.array_join(tx.facts("raw_notes"), " | ").alias("facts"))
 
 
-@query("candidate_parts")
+_CAND = _PAIRS + f""",
+cl AS (SELECT conv_id, turn, list_transform(list_filter(list_transform(string_split(nxt, chr(10)), lambda v: trim('- ' || v)), lambda v: starts_with(v, '- ')), lambda v: trim(regexp_replace(v, '^(- |•+)', ''))) AS b FROM pr),
+cm AS (SELECT conv_id, turn, list_transform(list_filter(b, lambda v: v <> '' AND NOT regexp_matches(v, '^[A-Za-zÀ-ÿ ''\\-]+\\s*:\\s+')), lambda v: '- ' || CASE WHEN length(v) > 230 THEN rtrim(substr(v, 1, 229)) || '…' ELSE v END) AS items FROM cl),
+""" + _greedy("cg", "cm", "items", 0.86, 8)
+
+
+@query("candidate_parts", with_(_CAND) + "SELECT conv_id, turn, 'CTA 3  –  hall' AS title, array_to_string(kept, chr(10)) AS bullets FROM cg")
 def candidate_parts(s, sf):
     x = _turn_pairs(s, sf).withColumn("c", F.concat(F.lit("Titre: cta3 - hall\n- "), F.array_join(F.split("candidate_text", "\n"), "\n- ")))
     title, body = tx.candidate_parts("c")
@@ -166,21 +201,42 @@ def fact_coverage(s, sf):
     return _turn_pairs(s, sf).select("conv_id", "turn", F.round(tx.coverage(src, tx.bullet_payloads("candidate_text")), 6).alias("coverage"))
 
 
-@query("chosen_bullets")
+_CHOSEN = _FACTS + f""",
+xo AS (SELECT *, list_filter(list_transform(string_split({sql_tidy('nxt')}, chr(10)), lambda v: trim(regexp_replace(regexp_replace(trim(v), '^(?:- \\s*)+', ''), '^•+', ''))), lambda v: v <> '') AS outs, {sql_fold('nxt', True)} AS nf FROM fa),
+xt AS (SELECT *, list_transform(facts, lambda v: {_toks('v')}) AS ft, list_transform(outs, lambda v: {_toks('v')}) AS ot FROM xo),
+xc AS (SELECT *, CASE WHEN len(facts) = 0 THEN 1.0 WHEN len(outs) = 0 THEN 0.0 ELSE CAST(len(list_filter(ft, lambda p: len(list_filter(ot, lambda b: len(p) > 0 AND len(b) > 0 AND CAST(len(list_intersect(p, b)) AS DOUBLE) / LEAST(len(p), len(b)) >= 0.28)) > 0)) AS DOUBLE) / len(facts) END AS cov FROM xt),
+xp AS (SELECT conv_id, turn, nxt, len(facts) AS nfacts, trim(nxt, ' ' || chr(10)) = '' OR ({sql_any('nf', tx.INSUFFICIENT)} AND len(facts) >= 2) OR (len(facts) >= 3 AND (len(outs) <= 1 OR cov < 0.35)) AS poor,
+  list_transform(list_filter(list_transform(facts, lambda v: CASE WHEN length(trim(v, ' .')) > 230 THEN rtrim(substr(trim(v, ' .'), 1, 229)) || '…' ELSE trim(v, ' .') END), lambda v: v <> '')[1:8], lambda v: '- ' || v) AS items FROM xc),
+""" + _greedy("xg", "xp", "items", 0.88, 8)
+
+
+@query("chosen_bullets", with_(_CHOSEN) + "SELECT conv_id, turn, CAST(nfacts AS INTEGER) AS n_facts, poor AS too_poor, CASE WHEN NOT poor AND nxt <> '' THEN nxt WHEN len(kept) = 0 THEN '- Rien à signaler (notes insuffisantes).' ELSE array_to_string(kept, chr(10)) END AS bullets FROM xg")
 def chosen_bullets(s, sf):
     x = sealed(_turn_pairs(s, sf).withColumn("f", tx.facts("raw_notes")))
     return x.select("conv_id", "turn", F.size("f").alias("n_facts"), tx.too_poor(F.col("f"), F.col("candidate_text")).alias("too_poor"),
                     tx.best_bullets(F.col("f"), F.col("candidate_text")).alias("bullets"))
 
 
-@query("title_forms")
+_CAPS = "array_to_string(list_transform(string_split(raw, ' '), lambda w: CASE WHEN lower(w) IN ('tgbt', 'r+2') THEN upper(w) ELSE upper(w[1]) || w[2:] END), ' ')"
+
+
+@query("title_forms", f"""
+WITH r AS (SELECT p_partkey, p_partkey % 6 AS k, p_name, ['cta12 - ', 'td niveau ', 'vrv', 'tgbt ', 'local r+2 ', 'ge'][p_partkey % 6 + 1] || CASE WHEN p_partkey % 6 < 5 THEN p_name ELSE '' END AS raw FROM part)
+SELECT p_partkey, raw, CASE k WHEN 0 THEN 'CTA 12  –  ' || p_name WHEN 1 THEN 'Tableau divisionnaire – Niveau ' || p_name WHEN 5 THEN 'Groupe électrogène' ELSE {_CAPS} END AS title FROM r""")
 def title_forms(s, sf):
     heads = F.array(*[F.lit(w) for w in ("cta12 - ", "td niveau ", "vrv", "tgbt ", "local r+2 ", "ge")])
     x = t.table(s, sf, "part").select("p_partkey", F.concat(F.element_at(heads, (F.col("p_partkey") % 6 + 1).cast("int")), F.when(F.col("p_partkey") % 6 < 5, F.col("p_name")).otherwise("")).alias("raw"))
     return x.select("p_partkey", "raw", tx.normal_title("raw").alias("title"))
 
 
-@query("chat_cleaning")
+_CHAT = f"""h0 AS (SELECT conv_id, turn, UNNEST(string_split(text, chr(10))) AS v, generate_subscripts(string_split(text, chr(10)), 1) AS p FROM conversations),
+h1 AS (SELECT conv_id, turn, p, trim(regexp_replace(CASE (p - 1) % 3 WHEN 0 THEN 'tu ' || v WHEN 1 THEN 'oui ' || v ELSE trim(regexp_replace(trim(v), '^(?:- |•+)', '')) END, '\\s+', ' ', 'g')) AS x0 FROM h0),
+h2 AS (SELECT conv_id, turn, p, trim(regexp_replace({POLITE}, '\\s+', ' ', 'g')) AS x FROM h1 WHERE NOT regexp_matches({sql_fold('x0')}, '\\bje peux\\b|\\bje te\\b|\\boui\\b')),
+h3 AS (SELECT c.conv_id, c.turn, COALESCE(list('- ' || x ORDER BY p) FILTER (WHERE x <> '' AND NOT regexp_matches({sql_fold('x')}, '\\btravaux a engager\\b|\\bcctp\\b')), CAST([] AS VARCHAR[])) AS items FROM conversations c LEFT JOIN h2 ON h2.conv_id = c.conv_id AND h2.turn = c.turn GROUP BY 1, 2),
+""" + _greedy("h4", "h3", "items", 0.82, 12, False)
+
+
+@query("chat_cleaning", with_(_CHAT) + "SELECT conv_id, turn, array_to_string(kept, chr(10)) AS bullets FROM h4")
 def chat_cleaning(s, sf):
     x = t.texts(s, sf, "conversations")
     ls = F.transform(F.split("text", "\n"), lambda v, i: F.when(i % 3 == 0, F.concat(F.lit("- 👉 tu "), v)).when(i % 3 == 1, F.concat(F.lit("oui "), v)).otherwise(v))

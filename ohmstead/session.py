@@ -17,6 +17,7 @@ def build_session(app: str = "ohmstead", cores: int | None = None, shuffle_parti
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or n))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
