@@ -143,7 +143,7 @@ def _fold(rules: Sequence[Rule], lim: Limits):
 
 def drop_and_spread(df: DataFrame, ids: Sequence[str], rules: Sequence[Rule], lim: Limits = Limits()) -> DataFrame:
     """Spike drops, then spreads of cumulated readings, on a filled calendar; adds ``log``."""
-    schema = T.StructType([*df.schema.fields, T.StructField("log", T._parse_datatype_string(LOG_TYPE))])
+    schema = T.StructType([*df.schema.fields, T.StructField("log", T.DataType.fromDDL(LOG_TYPE))])
     folded = df.groupBy(*ids).applyInPandas(_fold(rules, lim), schema)
     doubles = [c for c, kind in df.dtypes if kind == "double"]
     return folded.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in doubles})

@@ -114,14 +114,15 @@ def size_limits(s, sf):
 
 
 @query("stray_shapes", with_(PTS) + """
-, p AS (SELECT row_id, MAX(CASE WHEN i = 0 THEN x END) x0, MAX(CASE WHEN i = 0 THEN y END) y0, MAX(CASE WHEN i = 1 THEN x END) x1, MAX(CASE WHEN i = 1 THEN y END) y1, MAX(CASE WHEN i = 2 THEN x END) x2, MAX(CASE WHEN i = 2 THEN y END) y2 FROM pts WHERE np >= 3 GROUP BY 1),
+, p AS (SELECT * FROM (SELECT row_id, i, x AS x0, y AS y0, LEAD(x) OVER w AS x1, LEAD(y) OVER w AS y1, LEAD(x, 2) OVER w AS x2, LEAD(y, 2) OVER w AS y2 FROM pts WINDOW w AS (PARTITION BY row_id ORDER BY i)) WHERE x2 IS NOT NULL),
 m AS (SELECT *, GREATEST(GREATEST(x0, x1, x2) - LEAST(x0, x1, x2), GREATEST(y0, y1, y2) - LEAST(y0, y1, y2)) AS span, ABS(x0 * y1 - x1 * y0 + x1 * y2 - x2 * y1 + x2 * y0 - x0 * y2) * 0.5::DOUBLE AS area,
  sqrt((x1-x0)*(x1-x0)+(y1-y0)*(y1-y0)) AS l1, sqrt((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1)) AS l2, ABS(degrees(atan2(y1-y0, x1-x0))) % 180 AS a1, ABS(degrees(atan2(y2-y1, x2-x1))) % 180 AS a2 FROM p),
 g AS (SELECT *, CASE WHEN l1 * l2 = 0 THEN 180 ELSE degrees(acos(GREATEST(-1, LEAST(1, ((x0-x1)*(x2-x1) + (y0-y1)*(y2-y1)) / (l1 * l2))))) END AS ang FROM m)
-SELECT row_id, span >= 80 AND area >= 2000 AS triangle, l1 >= 60 AND l2 >= 60 AND NOT (a1 <= 12 OR ABS(a1 - 90) <= 12 OR ABS(a1 - 180) <= 12) AND NOT (a2 <= 12 OR ABS(a2 - 90) <= 12 OR ABS(a2 - 180) <= 12) AND ang BETWEEN 15 AND 120 AND span >= 80 AS vee FROM g""")
+SELECT row_id, CAST(i AS INTEGER) AS i, (x0 <> x2 OR y0 <> y2) AND span >= 80 AND area >= 2000 AS triangle, l1 >= 60 AND l2 >= 60 AND NOT (a1 <= 12 OR ABS(a1 - 90) <= 12 OR ABS(a1 - 180) <= 12) AND NOT (a2 <= 12 OR ABS(a2 - 90) <= 12 OR ABS(a2 - 180) <= 12) AND ang BETWEEN 15 AND 120 AND span >= 80 AS vee FROM g""")
 def stray_shapes(s, sf):
-    x = dr.entities(s, sf).where(F.size("points") >= 3).select("row_id", F.slice("points", 1, 3).alias("p"))
-    return x.select("row_id", en.big_triangle(F.col("p"), F.lit(80.0), F.lit(2000.0)).alias("triangle"), en.big_open_v(F.col("p"), F.lit(60.0), F.lit(80.0)).alias("vee"))
+    x = dr.entities(s, sf).where(F.size("points") >= 3).select("row_id", "points", F.explode(F.sequence(F.lit(0), F.size("points") - 3)).alias("i"))
+    x = x.select("row_id", "i", F.slice("points", F.col("i") + 1, F.lit(3)).alias("p"))
+    return x.select("row_id", "i", en.big_triangle(F.col("p"), F.lit(80.0), F.lit(2000.0)).alias("triangle"), en.big_open_v(F.col("p"), F.lit(60.0), F.lit(80.0)).alias("vee"))
 
 
 _FANIN = """sb AS (SELECT plan_id, GREATEST(MAX(GREATEST(x1, x2)) - MIN(LEAST(x1, x2)), MAX(GREATEST(y1, y2)) - MIN(LEAST(y1, y2))) AS ref FROM sg GROUP BY 1),

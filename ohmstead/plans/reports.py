@@ -600,7 +600,7 @@ def style_exemplars(s, sf):
 
 # ---- evidence texts ------------------------------------------------------------------------
 
-_EVT = """el AS (SELECT doc_id, source, pos, CASE (pos - 1) % 8 WHEN 0 THEN '## Page: ' || trim(substr(line, 1, 30)) || ' (page_id=' || (doc_id % 50) || '_' || pos || ', score=2)' WHEN 5 THEN '## Questions / demandes' WHEN 6 THEN '- Question: ' || line WHEN 7 THEN '  Preuve: page_id=' || doc_id || 'x' ELSE '- ' || line END AS l0 FROM ln),
+_EVT = """el AS (SELECT doc_id, source, pos, CASE (pos - 1) % 8 WHEN 0 THEN '## Page: ' || trim(line) || ' (page_id=' || (doc_id % 50) || '_' || pos || ', score=2)' WHEN 5 THEN '## Questions / demandes' WHEN 6 THEN '- Question: ' || line WHEN 7 THEN '  Preuve: page_id=' || doc_id || 'x' ELSE '- ' || line END AS l0 FROM ln),
 e1 AS (SELECT doc_id, source, trim(l0) AS l, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM el WHERE trim(l0) <> ''),
 e2 AS (SELECT *, CASE WHEN starts_with(l, '## Questions') THEN 'q' WHEN regexp_matches(l, '^##\\s+Page:\\s*(.*?)\\s*\\(page_id=([^,)]+)') THEN 'p' END AS m, LEAD(l) OVER (PARTITION BY doc_id ORDER BY i) AS nx FROM e1),
 e3 AS (SELECT *, MAX(CASE WHEN m IS NOT NULL THEN i END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS h FROM e2),
@@ -613,7 +613,7 @@ def _evidence(s, sf) -> DataFrame:
     def line(x, i):
         k = i % 8
         pid = F.concat((F.col("doc_id") % 50).cast("string"), F.lit("_"), (i + 1).cast("string"))
-        return (F.when(k == 0, F.concat(F.lit("## Page: "), F.trim(F.substring(x, 1, 30)), F.lit(" (page_id="), pid, F.lit(", score=2)")))
+        return (F.when(k == 0, F.concat(F.lit("## Page: "), F.trim(x), F.lit(" (page_id="), pid, F.lit(", score=2)")))
                 .when(k == 5, F.lit("## Questions / demandes")).when(k == 6, F.concat(F.lit("- Question: "), x))
                 .when(k == 7, F.concat(F.lit("  Preuve: page_id="), F.col("doc_id").cast("string"), F.lit("x"))).otherwise(F.concat(F.lit("- "), x)))
 
