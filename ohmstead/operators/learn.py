@@ -194,6 +194,25 @@ def train_and_score(hist: DataFrame, weather: DataFrame | None, level: str, ids:
     return f, score(valid, f).withColumnRenamed("y", "y_true")
 
 
+def train_all(hist: DataFrame, weather: DataFrame | None, level: str, ids: Sequence[str], folder: str, target: str = "all", cfg: Settings = Settings()) -> list[str]:
+    """Fits and saves every wanted target that passes the gates; scored hold-outs are written beside the models.
+
+    The loop runs over target names; each fit and each write is a Spark job of its own.
+    """
+    done = []
+    for name in expand_targets(target, hist.columns):
+        if name not in hist.columns:
+            continue
+        f, scored = train_and_score(hist, weather, level, ids, name, cfg)
+        if f is None:
+            continue
+        f.save(f"{folder}/models")
+        out = scored.select(*ids, "date", "y_true", "y_pred").withColumns({"level": F.lit(level), "target": F.lit(name)})
+        out.write.mode("append").partitionBy("level", "target").parquet(f"{folder}/eval_preds")
+        done.append(name)
+    return done
+
+
 def _window_values(state, k: int):
     return F.filter(F.slice(state, -k, k), lambda v: v.isNotNull())
 

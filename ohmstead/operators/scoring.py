@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ohmstead.functions import text as tx
 from ohmstead.operators.keyed import top_n
+from ohmstead.session import cut_lineage
 
 # Class order, terms a section must not use, placeholder and duty phrases, score weights.
 CLASSES = ["C", "B", "A"]
@@ -250,14 +251,16 @@ def layout_for(need: Column, slots: Sequence[int]) -> Column:
     return F.array_min(options)["n"]
 
 
-def group_paths(spark, groups: DataFrame, most: int = 20) -> DataFrame:
-    """Path of names from the root for a (group_id, parent_id, name) table, one join per level."""
-    done = groups.where("parent_id IS NULL").select("group_id", F.col("name").alias("path"), F.lit(1).alias("depth"))
-    level, out = done, done
-    for _ in range(most):
+def group_paths(groups: DataFrame) -> DataFrame:
+    """Path of names from the root for a (group_id, parent_id, name) table.
+
+    One join per level of the tree, until a level is empty; a group is placed once, so a loop ends.
+    """
+    level = cut_lineage(groups.where("parent_id IS NULL").select("group_id", F.col("name").alias("path"), F.lit(1).alias("depth")))
+    out = level
+    while not level.isEmpty():
         up = level.select(F.col("group_id").alias("parent_id"), F.col("path").alias("_p"), F.col("depth").alias("_d"))
-        level = groups.join(up, "parent_id").select("group_id", F.concat_ws(" / ", "_p", "name").alias("path"), (F.col("_d") + 1).alias("depth"))
-        if level.isEmpty():
-            break
+        below = groups.join(up, "parent_id").join(out.select("group_id"), "group_id", "left_anti")
+        level = cut_lineage(below.select("group_id", F.concat_ws(" / ", "_p", "name").alias("path"), (F.col("_d") + 1).alias("depth")))
         out = out.unionByName(level)
-    return out.groupBy("group_id").agg(F.min_by("path", "depth").alias("path"), F.min("depth").alias("depth"))
+    return out.groupBy("group_id").agg(F.min_by("path", F.struct("depth", "path")).alias("path"), F.min("depth").alias("depth"))

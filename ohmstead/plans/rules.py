@@ -449,4 +449,4 @@ SELECT group_id, path, CAST(depth AS INTEGER) AS depth FROM r""")
 def group_paths(s, sf):
     k = F.col("p_partkey")
     g = t.table(s, sf, "part").select(k.alias("group_id"), F.when(k >= 7, F.floor(k / 7)).alias("parent_id"), F.col("p_name").alias("name"))
-    return sc.group_paths(s, g)
+    return sc.group_paths(g)

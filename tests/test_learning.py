@@ -100,3 +100,12 @@ def test_metric_edges(spark):
     assert np.isnan(out.loc["z", "WAPE"]) and np.isnan(out.loc["z", "MAPE"]) and out.loc["z", "sMAPE"] == 200.0
     assert np.isnan(out.loc["c", "R2"]) and out.loc["c", "WAPE"] == 0.2
     assert out.loc["n", "n"] == 0 and np.isnan(out.loc["n", "MAE"])
+
+
+def test_all_targets_are_trained_saved_and_scored(spark, tmp_path):
+    h = history(spark).withColumns({"elecPcKwh": F.lit(None).cast("double"), "indoorTempDegC": F.col("waterM3") / 10})
+    cfg = learn.Settings(weather=(), static=())
+    assert learn.train_all(h, None, "site", ["siteId"], str(tmp_path), cfg=cfg) == ["waterM3", "indoorTempDegC"]
+    out = spark.read.parquet(str(tmp_path / "eval_preds"))
+    assert {r.target for r in out.select("target").distinct().collect()} == {"waterM3", "indoorTempDegC"}
+    assert not learn.load_fitted(spark, str(tmp_path / "models"), "site", "indoorTempDegC").log1p

@@ -54,3 +54,17 @@ def test_runs_without_sql(spark, data, name):
 def test_flagship(spark):
     df = contract.entry(spark)
     assert df.columns[:3] == ["siteId", "zoneId", "n"] and df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["long_gaps", "keep_last", "plot_caps", "bucket_pages", "cell_components"])
+def test_same_result_for_any_partitioning(spark, data, duck, name):
+    want = rows(duck.sql(SQL[name]).df())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        for parts, adaptive in (("1", "false"), ("13", "false")):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            assert rows(QUERIES[name](spark, data).toPandas()) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
