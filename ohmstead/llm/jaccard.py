@@ -7,10 +7,13 @@ so only that quarter is counted over the corpus, and a prefix seldom reaches a p
 documents share. Classes that meet at a prefix shingle form a group.
 
 Every group has a signature tree: members sorted by set size are the leaves; a node holds the OR of
-its members' bitmaps, their range of sizes, and their component if they have only one. A first wave
+its members' bitmaps, their range of sizes, the most that any of them has from the group's shingle on,
+and their component if they have only one. A first wave
 joins each member with the group's anchor. Then two trees (or a tree and itself) are walked together
 from the roots, and a pair of nodes is dropped when its sizes cannot fit, when the bits that both
-hold bound the overlap below the threshold, or when all its members are linked already. What is left
+hold or what follows the group's shingle bound the overlap below the threshold, or when all its members
+are linked already. (A pair is due in the group of its first common shingle, where neither has a common
+one before it.) What is left
 at the leaves is verified on the exact sets. Groups beyond ``CHUNK`` members become several trees,
 walked pairwise by a join on the group's key, so no task holds a whole group.
 """
@@ -32,6 +35,8 @@ PERCENT = 80
 BITS = 512
 CHUNK = 1024
 LEAF = 16
+#: Anchors that the members of a cluster are joined with in the first wave.
+ANCHORS = 16
 FAN = 8
 #: Word hashes that a task keeps.
 WORDS = 1 << 20
@@ -158,16 +163,16 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Tree:
     """Levels of nodes over members sorted by size, from the leaves' members (level 0) to the root."""
 
-    def __init__(self, fp: np.ndarray, n: np.ndarray, comp: np.ndarray, sig: np.ndarray) -> None:
+    def __init__(self, fp: np.ndarray, n: np.ndarray, comp: np.ndarray, rest: np.ndarray, sig: np.ndarray) -> None:
         self.fp = fp
         excess = n - np.bitwise_count(sig).sum(1).astype(np.int64)
-        self.levels = [(sig, n, n, excess, comp, np.ones(len(n), bool))]
+        self.levels = [(sig, n, n, rest, excess, comp, np.ones(len(n), bool))]
         fan = LEAF
         while len(self.levels[-1][1]) > 1:
-            sig, low, high, excess, comp, same = self.levels[-1]
+            sig, low, high, rest, excess, comp, same = self.levels[-1]
             at = np.arange(0, len(low), fan)
             one = np.minimum.reduceat(comp, at) == np.maximum.reduceat(comp, at)
-            self.levels.append((np.bitwise_or.reduceat(sig, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(excess, at), np.minimum.reduceat(comp, at), one & np.logical_and.reduceat(same, at)))
+            self.levels.append((np.bitwise_or.reduceat(sig, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(rest, at), np.maximum.reduceat(excess, at), np.minimum.reduceat(comp, at), one & np.logical_and.reduceat(same, at)))
             fan = FAN
 
 
@@ -178,13 +183,14 @@ def walk(a: Tree, b: Tree, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarr
     found: list[tuple[np.ndarray, np.ndarray]] = []
 
     def pruned(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        (sa, loa, hia, ea, ca, ua), (sb, lob, hib, eb, cb, ub) = a.levels[la], b.levels[lb]
+        (sa, loa, hia, ra, ea, ca, ua), (sb, lob, hib, rb, eb, cb, ub) = a.levels[la], b.levels[lb]
         keep = (100 * hia[i] >= percent * lob[j]) & (100 * hib[j] >= percent * loa[i]) & ~(ua[i] & ub[j] & (ca[i] == cb[j]))
         if a is b:
             keep &= (i < j) if la == 0 and lb == 0 else (i <= j)
+        keep &= (100 + percent) * np.minimum(ra[i], rb[j]) >= percent * (loa[i] + lob[j])
         i, j = i[keep], j[keep]
         common_bits = np.bitwise_count(sa[i] & sb[j]).sum(1).astype(np.int64)
-        overlap = np.minimum(np.minimum(hia[i], hib[j]), common_bits + np.minimum(ea[i], eb[j]))
+        overlap = common_bits + np.minimum(ea[i], eb[j])
         fits = (100 + percent) * overlap >= percent * (loa[i] + lob[j])
         return i[fits], j[fits]
 
@@ -218,14 +224,14 @@ def walk(a: Tree, b: Tree, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarr
     return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
 
 
-def _member_bytes(fp, n, comp, sig) -> bytes:
-    return np.concatenate([np.stack([fp, n, comp], 1).view(np.uint8).reshape(len(fp), 24), sig.view(np.uint8).reshape(len(fp), BITS // 8)], axis=1).tobytes()
+def _member_bytes(fp, n, comp, rest, sig) -> bytes:
+    return np.concatenate([np.stack([fp, n, comp, rest], 1).view(np.uint8).reshape(len(fp), 32), sig.view(np.uint8).reshape(len(fp), BITS // 8)], axis=1).tobytes()
 
 
 def _tree(raw: bytes) -> Tree:
-    rows = np.frombuffer(raw, np.uint8).reshape(-1, 24 + BITS // 8)
-    head = np.ascontiguousarray(rows[:, :24]).view(np.int64)
-    return Tree(head[:, 0].copy(), head[:, 1].copy(), head[:, 2].copy(), np.ascontiguousarray(rows[:, 24:]).view(np.uint64))
+    rows = np.frombuffer(raw, np.uint8).reshape(-1, 32 + BITS // 8)
+    head = np.ascontiguousarray(rows[:, :32]).view(np.int64)
+    return Tree(head[:, 0].copy(), head[:, 1].copy(), head[:, 2].copy(), head[:, 3].copy(), np.ascontiguousarray(rows[:, 32:]).view(np.uint64))
 
 
 _WALKED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("chunk", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("members", pa.binary())])
@@ -238,7 +244,7 @@ def _pairs(fa: np.ndarray, fb: np.ndarray) -> pa.RecordBatch:
 
 
 def _grouped(percent: int, chunk: int):
-    """From (key, n, comp, fp, sig) sorted by key and size: pairs within each tree, and the trees of groups that have several."""
+    """From (key, n, comp, fp, rest, sig) sorted by key and size: pairs within each tree, and the trees of groups that have several."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, made = None, [], 0
@@ -246,8 +252,8 @@ def _grouped(percent: int, chunk: int):
         def closed(more: bool) -> Iterator[pa.RecordBatch]:
             nonlocal held, made
             if held:
-                n, comp, fp, sig = zip(*held, strict=True)
-                raw = _member_bytes(np.array(fp, np.int64), np.array(n, np.int64), np.array(comp, np.int64), np.frombuffer(b"".join(sig), np.uint8).reshape(len(sig), -1))
+                n, comp, fp, rest, sig = zip(*held, strict=True)
+                raw = _member_bytes(np.array(fp, np.int64), np.array(n, np.int64), np.array(comp, np.int64), np.array(rest, np.int64), np.frombuffer(b"".join(sig), np.uint8).reshape(len(sig), -1))
                 tree = _tree(raw)
                 fa, fb = walk(tree, tree, percent)
                 if len(fa):
@@ -323,11 +329,18 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     per_class = Window.partitionBy("fp", "fp2")
     place = F.row_number().over(per_class.orderBy(F.when(quarter, 0).otherwise(1), "df", "key"))
     alone = F.col("counted") - F.sum(F.when(quarter, 1).otherwise(0)).over(per_class)
-    reach = F.col("n") - F.floor((F.col("n") * percent + 99) / 100).cast("long") + 1
+    # what a class has from a shingle on, itself included; beyond the quarter this is an upper bound
     prefix = counted.join(classes.select("fp", "fp2", "n", "counted", "sig"), "fp").withColumn("_place", place).withColumn("_alone", alone)
-    prefix = common.stored(prefix.where(~quarter | (F.col("_alone") + F.col("_place") <= reach)).select("key", "fp", "n", "sig"), "prefix")
-    anchors = prefix.groupBy("key").agg(F.min(F.struct("fp", "n")).alias("anchor"), F.count("*").alias("size")).where("size > 1")
-    met = common.stored(prefix.join(anchors, "key").select("key", "fp", "n", "sig", F.col("anchor.fp").alias("anchor"), F.col("anchor.n").alias("anchor_n")), "groups")
+    prefix = prefix.withColumn("rest", F.col("n") - F.col("_alone") - F.col("_place") + 1)
+    prefix = common.stored(prefix.where(~quarter | (F.col("rest") * 100 >= F.col("n") * percent)).select("key", "fp", "n", "rest", "sig"), "prefix")
+    # of two sizes, the smaller one's rest must reach the overlap of two sets of its size
+    small = F.col("rest") * (100 + percent) >= F.col("n") * (2 * percent)
+    # groups of one cluster mostly have the same members: they choose among ANCHORS anchors, not each its own
+    chance = F.xxhash64("fp", F.pmod(F.xxhash64("key"), F.lit(ANCHORS)))
+    anchors = prefix.groupBy("key").agg(F.min_by(F.struct("fp", "n"), F.struct(chance, "fp")).alias("anchor"), F.count("*").alias("size"), F.min(F.when(small, F.col("n"))).alias("least")).where("size > 1 AND least IS NOT NULL")
+    partner = F.greatest(F.col("least") * 100, F.col("n") * percent)
+    met = prefix.join(anchors, "key").where(F.col("rest") * ((100 + percent) * 100) >= (F.col("n") * 100 + partner) * percent)
+    met = common.stored(met.select("key", "fp", "n", "rest", "sig", F.col("anchor.fp").alias("anchor"), F.col("anchor.n").alias("anchor_n")), "groups")
 
     # exact sets of the classes that meet others, from one text each
     needed = common.lookup(common.stored(met.select("fp").distinct().join(classes.select("fp", "dk"), "fp").select("dk").distinct(), "needed"), most_rows=200_000)
@@ -344,9 +357,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     first = common.stored(components(verified(wave)), "labels")
 
     # groups whose members are not all linked yet
-    open_rows = _labelled(met.select("key", "fp", "n", "sig"), first, "fp", "comp")
+    open_rows = _labelled(met.select("key", "fp", "n", "rest", "sig"), first, "fp", "comp")
     split = open_rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    rows = open_rows.join(split, "key").select("key", "n", "comp", "fp", "sig").repartition("key").sortWithinPartitions("key", "n", "comp", "fp")
+    rows = open_rows.join(split, "key").select("key", "n", "comp", "fp", "rest", "sig").repartition("key").sortWithinPartitions("key", "n", "comp", "fp")
     walked = common.stored(rows.mapInArrow(_grouped(percent, chunk), "a bigint, b bigint, key bigint, chunk bigint, lo bigint, hi bigint, members binary"), "walked")
     trees = walked.where("members IS NOT NULL")
     one, two = trees.select("key", "chunk", "hi", "members"), trees.select("key", F.col("chunk").alias("chunk2"), "lo", F.col("members").alias("members2"))

@@ -357,15 +357,15 @@ def test_walk_keeps_every_link():
     sig = np.frombuffer(b"".join(jaccard._signature(h) for h in sets), np.uint8).reshape(len(sets), -1)
     n = np.array([len(h) for h in sets])
     order = np.argsort(n, kind="stable")
-    tree = jaccard.Tree(order.astype(np.int64), n[order], order.astype(np.int64), np.ascontiguousarray(sig[order]).view(np.uint64))
+    tree = jaccard.Tree(order.astype(np.int64), n[order], order.astype(np.int64), n[order], np.ascontiguousarray(sig[order]).view(np.uint64))
     found = {tuple(sorted(p)) for p in zip(*jaccard.walk(tree, tree), strict=True)}
     for a in range(150):
         for b in range(a):
             both = len(np.intersect1d(sets[a], sets[b]))
             if 100 * both >= 80 * (n[a] + n[b] - both):
                 assert (b, a) in found
-    half = jaccard.Tree(order[:70].astype(np.int64), n[order[:70]], order[:70].astype(np.int64), np.ascontiguousarray(sig[order[:70]]).view(np.uint64))
-    rest = jaccard.Tree(order[70:].astype(np.int64), n[order[70:]], order[70:].astype(np.int64), np.ascontiguousarray(sig[order[70:]]).view(np.uint64))
+    half = jaccard.Tree(order[:70].astype(np.int64), n[order[:70]], order[:70].astype(np.int64), n[order[:70]], np.ascontiguousarray(sig[order[:70]]).view(np.uint64))
+    rest = jaccard.Tree(order[70:].astype(np.int64), n[order[70:]], order[70:].astype(np.int64), n[order[70:]], np.ascontiguousarray(sig[order[70:]]).view(np.uint64))
     both_ways = {tuple(sorted(p)) for t in ((half, half), (rest, rest), (half, rest)) for p in zip(*jaccard.walk(*t), strict=True)}
     assert both_ways == found
 
