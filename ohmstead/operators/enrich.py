@@ -70,7 +70,10 @@ def usage_column(meter: str, usage: str) -> Column:
 
 
 def name_log(log: DataFrame, usages: DataFrame, meters: DataFrame) -> DataFrame:
-    """Left joins to the two code tables, broadcast by Spark while they are small, and the column name."""
+    """Left joins to the two code tables and the column name.
+
+    Spark broadcasts code tables of known small size, such as literal rows; sum the log per day and codes first.
+    """
     x = log.join(usages, "usageId", "left").join(meters, "meterTypeId", "left")
     return x.withColumn("usage_col", usage_column("meter_name", "usage_name"))
 

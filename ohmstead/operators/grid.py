@@ -74,7 +74,7 @@ def runs(cells: DataFrame, keys: Sequence[str], axis: str = "h") -> DataFrame:
     return x.withColumn("run_start", F.min("_step").over(r)).withColumn("run_length", F.count("*").over(r)).withColumnRenamed("_line", "run_line").drop("_step", "_island")
 
 
-def components(cells: DataFrame, keys: Sequence[str], connectivity: int = 8, rounds: int = 60) -> DataFrame:
+def components(cells: DataFrame, keys: Sequence[str], connectivity: int = 8) -> DataFrame:
     """Cells with ``comp``, the smallest node of their component.
 
     Nodes are unbroken row runs. Edges come from an equality join of each cell with the cells next
@@ -90,7 +90,7 @@ def components(cells: DataFrame, keys: Sequence[str], connectivity: int = 8, rou
     links = down.join(own.withColumnRenamed("node", "v"), [*keys, "x", "y"]).select(*keys, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     links = cut_lineage(links)
     mark = None
-    for _ in range(rounds if not links.isEmpty() else 0):
+    while not links.isEmpty():
         both = links.unionByName(links.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy(*keys, "u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.join(low, [*keys, "u"]).where("v > u").select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
@@ -102,9 +102,6 @@ def components(cells: DataFrame, keys: Sequence[str], connectivity: int = 8, rou
         if now == mark:
             break
         mark = now
-    else:
-        if mark is not None:
-            raise RuntimeError("components did not settle")
     root = links.select(*keys, F.col("u").alias("node"), F.col("v").alias("root"))
     return own.join(root, [*keys, "node"], "left").select(*keys, "x", "y", F.coalesce("root", "node").alias("comp"))
 

@@ -20,13 +20,14 @@ def sealed(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
-def small_side(df: DataFrame, most: int = 100_000) -> DataFrame:
-    """A per-key table for a join: written out once, and broadcast only when it is seen to be small.
+def small_side(df: DataFrame, most_bytes: int = 8 << 20) -> DataFrame:
+    """A per-key table for a join: written out once, and broadcast only when its bytes are seen to be few.
 
-    Beyond ``most`` rows it stays an ordinary side, for Spark to shuffle and to split where skewed.
+    Beyond ``most_bytes`` it stays an ordinary side, for Spark to shuffle and to split where skewed.
     """
     done = cut_lineage(df)
-    return F.broadcast(done) if done.limit(most + 1).count() <= most else done
+    size = done.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + 16)).first()[0] if done.columns else 0
+    return F.broadcast(done) if (size or 0) <= most_bytes else done
 
 
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False) -> DataFrame:
@@ -69,7 +70,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     fine = F.filter(F.slice("_cuts", F.col("_big") * side + 1, F.lit(side - 1)), lambda c: c < F.col("_v"))
     binned = (
         vals.withColumn("_one", F.lit(1))
-        .join(small_side(cuts, 10_000), [*keys, "_one"])
+        .join(small_side(cuts), [*keys, "_one"])
         .withColumn("_big", F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(side - 1)), lambda k: F.get("_cuts", k * side - 1)), lambda c: c < F.col("_v"))))
         .withColumn("_bin", F.col("_big") * side + F.size(fine))
         .select(*keys, "_one", "_bin", "_v", "_c")

@@ -217,7 +217,7 @@ def _window_values(state, k: int):
     return F.filter(F.slice(state, -k, k), lambda v: v.isNotNull())
 
 
-def forecast(hist: DataFrame, weather: DataFrame, ids: Sequence[str], target: str, f: Fitted, cfg: Settings = Settings(), max_days: int | None = 7, every: int = 10) -> DataFrame:
+def forecast(hist: DataFrame, weather: DataFrame, ids: Sequence[str], target: str, f: Fitted, cfg: Settings = Settings(), max_days: int | None = None, every: int = 10) -> DataFrame:
     """Day-by-day forecast that feeds on its own predictions.
 
     One row per group carries its last 30 days as an array, so a day is a projection and a model

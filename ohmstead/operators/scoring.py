@@ -236,10 +236,17 @@ def picture_kind(content: Column) -> Column:
 
 
 def picture_status(wanted: DataFrame, files: DataFrame) -> DataFrame:
-    """Referenced pictures: missing, wrong type for their extension, or fine. ``files`` is a binaryFile listing."""
+    """Referenced pictures: missing, wrong type for their extension, or fine. ``files`` is a binaryFile listing.
+
+    A reference names a file by its last folders, so a file is offered under every tail of its path; two
+    files of one name in different folders stay apart.
+    """
     name = lambda c: F.regexp_extract(c, r"([^/]*)$", 1)
-    f = files.select(name("path").alias("name"), picture_kind(F.col("content")).alias("kind")).groupBy("name").agg(F.min("kind").alias("kind"))
-    x = wanted.select("path").distinct().withColumn("name", name("path")).join(f, "name", "left")
+    parts = F.filter(F.split(F.regexp_replace("path", r"^[a-z]+:/*", ""), "/"), lambda p: ~p.isin("", "."))
+    tails = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "/"))
+    wanted = wanted.select("path").distinct().withColumn("tail", F.array_join(parts, "/"))
+    f = files.select(F.explode(tails).alias("tail"), picture_kind(F.col("content")).alias("kind")).groupBy("tail").agg(F.min("kind").alias("kind"))
+    x = wanted.join(f, "tail", "left").withColumn("name", name("path"))
     ext = F.lower(F.regexp_extract("name", r"(\.[^.]+)$", 1))
     fine = ((F.col("kind") == "jpeg") & ext.isin(".jpg", ".jpeg")) | ((F.col("kind") == "png") & (ext == ".png"))
     return x.select("path", "kind", F.when(F.col("kind").isNull(), "not_found").when(fine, "ok").otherwise("format_mismatch").alias("status"))

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ohmstead.operators.keyed import keep_one
+
 from ohmstead.operators.keyed import small_side
 
 LAGS = (1, 2, 7, 14)
@@ -47,9 +49,16 @@ def expected_range(hist: DataFrame, pred: DataFrame | None, ids: Sequence[str])
     return both.dropna(subset=cols).groupBy(*ids).agg(F.min("date").alias("start"), F.max("date").alias("end"))
 
 
-def align(hist: DataFrame, pred: DataFrame | None, ids: Sequence[str], value: str, pred_col: str | None) -> DataFrame:
-    """History and prediction on one row per (group, day): a union and one aggregate."""
+def align(hist: DataFrame, pred: DataFrame | None, ids: Sequence[str], value: str, pred_col: str | None, order: str | None = None) -> DataFrame:
+    """History and prediction on one row per (group, day): a union and one aggregate.
+
+    Tables with several rows per day need ``order``, a column of both: the first row of a day counts.
+    """
     keys = [*ids, "date"]
+    if order is not None:
+        hist = keep_one(hist.dropna(subset=keys).select(*keys, order, value), keys, [order])
+        if pred is not None:
+            pred = keep_one(pred.dropna(subset=keys).select(*keys, order, *([pred_col] if pred_col else [])), keys, [order])
     h = hist.select(*keys, F.col(value).alias("value"), F.lit(None).cast("double").alias("pred"), F.lit(True).alias("own"))
     if pred is not None:
         p = F.col(pred_col) if pred_col else F.lit(None)
@@ -172,9 +181,15 @@ def horizon(hist: DataFrame, weather: DataFrame, ids: Sequence[str], max_days: i
     return groups.join(reach, "siteId", "left").withColumn("horizon", F.coalesce(days, F.lit(0)).cast("long")).drop("_reach")
 
 
-def daily_parts(train: DataFrame, valid: DataFrame, ids: Sequence[str], truth: str, pred: str) -> DataFrame:
-    """Truth and prediction of both parts on one calendar per group, last duplicate kept."""
+def daily_parts(train: DataFrame, valid: DataFrame, ids: Sequence[str], truth: str, pred: str, order: str | None = None) -> DataFrame:
+    """Truth and prediction of both parts on one calendar per group.
+
+    Tables with several rows per day need ``order``, a column of both: the last row of a day counts, whole.
+    """
     keys = [*ids, "date"]
+    if order is not None:
+        train = keep_one(train.select(*keys, order, truth), keys, [order], last=True)
+        valid = keep_one(valid.select(*keys, order, truth, pred), keys, [order], last=True)
     t = train.select(*keys, F.col(truth).alias("truth_train"), F.lit(None).cast("double").alias("truth_valid"), F.lit(None).cast("double").alias("pred_valid"))
     v = valid.select(*keys, F.lit(None).cast("double").alias("truth_train"), F.col(truth).alias("truth_valid"), F.col(pred).alias("pred_valid"))
     cols = ["truth_train", "truth_valid", "pred_valid"]

@@ -30,10 +30,10 @@ _M = ["elecBveKwh", "elecCvcKwh", "elecForceKwh", "elecLightingKwh", "elecAggreg
 SH = ZH + ',\nsh AS (SELECT "siteId", date, MAX("indoorTempDegC") AS "indoorTempDegC", ' + ", ".join(f'SUM("{c}") AS "{c}"' for c in _M) + " FROM zh GROUP BY 1, 2)"
 
 ZP = """zp AS (
-  SELECT CAST(s_nationkey AS BIGINT) AS "siteId", l_suppkey AS "zoneId", CAST(l_shipdate AS DATE) AS date,
+  SELECT CAST(s_nationkey AS BIGINT) AS "siteId", l_suppkey AS "zoneId", CAST(l_shipdate AS DATE) + CASE WHEN l_linestatus = 'O' THEN 45 ELSE 0 END AS date,
          SUM(FLOOR(l_extendedprice / 100)) AS "totalKwh", SUM(l_quantity) AS "totalWater",
          10 + 3 * AVG(FLOOR(l_discount * 100 + 0.5)) AS "tempAmb"
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_linestatus = 'F' GROUP BY 1, 2, 3)"""
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3)"""
 SP = ZP + ',\nsp AS (SELECT "siteId", date, SUM("totalKwh") AS "totalKwh", SUM("totalWater") AS "totalWater", MAX("tempAmb") AS "tempAmb" FROM zp GROUP BY 1, 2)'
 
 WX = """wx AS (

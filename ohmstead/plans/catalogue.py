@@ -25,7 +25,7 @@ def all_queries() -> dict[str, Query]:
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Daily usage enrichment, outlier cap and per-zone errors against the predictions."""
-    log = enrich.name_log(t.consumption_log(spark, sf), t.usages(spark), t.meters(spark))
+    log = enrich.name_log(t.daily_log(spark, sf), t.usages(spark), t.meters(spark))
     hist = enrich.enrich_history(t.zone_history(spark, sf), log, t.ZONE, consumption.USAGE_COLS)
     hist = enrich.total_accurate(hist)
     hist = hist.withColumn("elecTotalAccurateKwh", series.positive("elecTotalAccurateKwh"))

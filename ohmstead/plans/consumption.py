@@ -35,6 +35,10 @@ def _named(s: SparkSession, sf: str) -> DataFrame:
     return enrich.name_log(t.consumption_log(s, sf), t.usages(s), t.meters(s))
 
 
+def _daily_named(s: SparkSession, sf: str) -> DataFrame:
+    return enrich.name_log(t.daily_log(s, sf), t.usages(s), t.meters(s))
+
+
 # ---- scans, coercion, sentinels ------------------------------------------------------------
 
 
@@ -140,12 +144,12 @@ wide AS (SELECT *, {tot} FROM wide0)"""
 
 @query("daily_usage_zone", with_(LOG, _wide_sql('"siteId", "zoneId"')) + "SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM wide")
 def daily_usage_zone(s, sf):
-    return _text_date(enrich.daily_usage_wide(_named(s, sf), t.ZONE, USAGE_COLS), "date")
+    return _text_date(enrich.daily_usage_wide(_daily_named(s, sf), t.ZONE, USAGE_COLS), "date")
 
 
 @query("daily_usage_site", with_(LOG, _wide_sql('"siteId"')) + "SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM wide")
 def daily_usage_site(s, sf):
-    return _text_date(enrich.daily_usage_wide(_named(s, sf), t.SITE, USAGE_COLS), "date")
+    return _text_date(enrich.daily_usage_wide(_daily_named(s, sf), t.SITE, USAGE_COLS), "date")
 
 
 @query("usage_mapping", with_(LOG) + """SELECT DISTINCT "usageId", usage_name, "meterTypeId", meter_name, usage_col FROM named ORDER BY 3, 1""")
@@ -161,7 +165,7 @@ _FILL = ", ".join(f'CASE WHEN h."{c}" IS NULL OR h."{c}" = 0 THEN w."{c}_drift"
         FROM zh h LEFT JOIN wide w ON h."siteId" = w."siteId" AND h."zoneId" = w."zoneId" AND h.date = w.date)
 SELECT * REPLACE (CAST(date AS VARCHAR) AS date), CASE WHEN "elecTotalKwh" - COALESCE("elecBveKwh", 0) < 0 THEN 0 ELSE "elecTotalKwh" - COALESCE("elecBveKwh", 0) END AS "elecTotalNoBveKwh" FROM j""")
 def enriched_history(s, sf):
-    x = enrich.enrich_history(t.zone_history(s, sf), _named(s, sf), t.ZONE, USAGE_COLS)
+    x = enrich.enrich_history(t.zone_history(s, sf), _daily_named(s, sf), t.ZONE, USAGE_COLS)
     cols = [*t.ZONE, "date", "elecTotalKwh", *enrich.LEGACY_USES, "elecTotalFromDriftKwh", "waterTotalFromDriftM3", "elecTotalNoBveKwh"]
     return _text_date(x.select(*cols), "date")
 
@@ -186,7 +190,7 @@ def target_discovery(s, sf):
         rows = F.explode(F.array(*[F.struct(F.lit(c).alias("target"), F.col(c).alias("n"), F.lit(from_log).alias("from_log")) for c in names]))
         return df.agg(*[F.count(c).alias(c) for c in names]).select(rows.alias("r")).select("r.*")
 
-    wide = enrich.daily_usage_wide(_named(s, sf), t.ZONE, USAGE_COLS)
+    wide = enrich.daily_usage_wide(_daily_named(s, sf), t.ZONE, USAGE_COLS)
     return known(t.zone_history(s, sf), False).unionByName(known(wide, True))
 
 
@@ -469,7 +473,7 @@ def signal_gates(s, sf):
 , h AS (SELECT DISTINCT "siteId" FROM sh), r AS (SELECT "siteId", MAX(date) AS reach FROM wx GROUP BY 1), l AS (SELECT MAX(date) - 900 AS last_date FROM sh)
 SELECT h."siteId", CAST(last_date AS VARCHAR) AS last_date, CAST(COALESCE(LEAST(GREATEST(reach - last_date, 0), 400), 0) AS BIGINT) AS horizon FROM h CROSS JOIN l LEFT JOIN r ON h."siteId" = r."siteId" """)
 def forecast_horizon(s, sf):
-    h = t.site_history(s, sf).select("siteId", F.date_sub("date", 900).alias("date"))
+    h = t.site_history(s, sf).select("siteId", F.date_sub("date", 110).alias("date"))
     return _text_date(series.horizon(h, t.weather_records(s, sf), t.SITE, 400), "last_date")
 
 
@@ -625,6 +629,35 @@ def train_valid_series(s, sf):
     return _text_date(series.daily_parts(x.where("part = 'train'"), x.where("part = 'valid'"), t.SITE, "y", "p"), "date")
 
 
+_LINES = """ln AS (SELECT CAST(s_nationkey AS BIGINT) AS "siteId", CAST(l_shipdate AS DATE) AS date, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS seq, l_quantity AS v, FLOOR(l_extendedprice / 100) AS p FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"""
+
+
+def _day_lines(s, sf):
+    """Several rows per site and day, in the order of ``seq``."""
+    li = t.table(s, sf, "lineitem").join(t.table(s, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    return li.select(
+        F.col("s_nationkey").cast("long").alias("siteId"), F.to_date("l_shipdate").alias("date"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("seq"),
+        F.col("l_quantity").alias("v"), F.floor(F.col("l_extendedprice") / 100).cast("double").alias("p"))
+
+
+@query("first_of_day", with_(_LINES) + """SELECT "siteId", CAST(date AS VARCHAR) AS date, arg_min(v, seq) AS value, arg_min(p, seq) AS pred, TRUE AS own FROM ln GROUP BY 1, 2""")
+def first_of_day(s, sf):
+    """Duplicate days on both sides: the first row of each counts, not its extremes."""
+    x = _day_lines(s, sf)
+    return _text_date(series.align(x, x, t.SITE, "v", "p", order="seq"), "date")
+
+
+@query("last_of_day", with_(_LINES) + """
+, c AS (SELECT MAX(date) - 365 AS cut FROM ln), d AS (SELECT "siteId", date, arg_max(v, seq) AS v, arg_max(p, seq) AS p FROM ln GROUP BY 1, 2),
+r AS (SELECT "siteId", CAST(UNNEST(generate_series(MIN(date), MAX(date), INTERVAL 1 DAY)) AS DATE) AS date FROM ln GROUP BY 1)
+SELECT r."siteId", CAST(r.date AS VARCHAR) AS date, CASE WHEN r.date <= cut THEN v END AS truth_train, CASE WHEN r.date > cut THEN v END AS truth_valid, CASE WHEN r.date > cut THEN p END AS pred_valid
+FROM r CROSS JOIN c LEFT JOIN d ON r."siteId" = d."siteId" AND r.date = d.date""")
+def last_of_day(s, sf):
+    """Duplicate days in both parts: the last row of each counts, whole."""
+    x = series.split_last_days(_day_lines(s, sf), 365)
+    return _text_date(series.daily_parts(x.where("part = 'train'"), x.where("part = 'valid'"), t.SITE, "v", "p", order="seq"), "date")
+
+
 @query("site_selection", with_(SH) + """
 SELECT "siteId", COUNT(*) AS n, SUM("elecTotalKwh") AS total FROM sh WHERE "siteId" IN (SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('EUROPE', 'ASIA')) GROUP BY 1""")
 def site_selection(s, sf):
@@ -673,10 +706,10 @@ def ridge_evaluation(s, sf):
 
 @query("ridge_forecast")
 def ridge_forecast(s, sf):
-    h = _site_with_infos(s, sf).withColumn("date", F.date_sub("date", 900))
-    w = t.weather_records(s, sf).withColumn("date", F.date_sub("date", 0))
+    h = _site_with_infos(s, sf).withColumn("date", F.date_sub("date", 110))
+    w = t.weather_records(s, sf)
     fitted, _ = learn.train_and_score(h, w, "site", t.SITE, "waterM3")
-    return _text_date(learn.forecast(h, w, t.SITE, "waterM3", fitted, max_days=7), "date")
+    return _text_date(learn.forecast(h, w, t.SITE, "waterM3", fitted), "date")
 
 
 @query("boosted_evaluation")

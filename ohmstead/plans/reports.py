@@ -65,8 +65,10 @@ def sql_tidy(e: str) -> str:
 LINES = """ln AS (SELECT doc_id, source, lang, UNNEST(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)"""
 
 BLK = LINES + """,
-mdl AS (SELECT doc_id, lang, source, pos, CASE WHEN trim(line) = '' THEN '' WHEN k = 0 THEN '## ' || line WHEN k = 3 THEN '[[AUDIO RECORDING]] [Play](audio/' || doc_id || '_' || pos || '.mp3)'
-   WHEN k = 5 THEN '![](img/' || doc_id || '_' || pos || '.png)' WHEN k = 6 THEN '[[IMAGE OCR]] ' || line WHEN k = 7 THEN 'Légende: ' || line ELSE line END AS l FROM (SELECT *, (pos - 1) % 8 AS k FROM ln)),
+mdk AS (SELECT doc_id, lang, source, pos, CASE WHEN trim(line) = '' THEN [''] WHEN k = 0 THEN ['## ' || line] WHEN k = 3 THEN ['[[AUDIO RECORDING]] [Play](audio/' || doc_id || '_' || pos || '.mp3)', line]
+   WHEN k = 5 THEN ['![](img/' || doc_id || '_' || pos || '.png)', line] WHEN k = 6 THEN ['[[IMAGE OCR]] ' || line] WHEN k = 7 THEN ['Légende: ' || line] ELSE [line] END AS ls FROM (SELECT *, (pos - 1) % 8 AS k FROM ln)),
+mdu AS (SELECT doc_id, lang, source, pos, UNNEST(ls) AS l, generate_subscripts(ls, 1) AS part FROM mdk),
+mdl AS (SELECT doc_id, lang, source, l, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY pos, part) AS pos FROM mdu),
 ty AS (SELECT *, CASE WHEN regexp_matches(rtrim(l), '^(#{1,6})\\s+(.*)$') THEN 'heading' WHEN regexp_matches(l, '\\[\\[AUDIO RECORDING\\]\\]\\s*\\[Play\\]\\(([^)]+)\\)') THEN 'audio'
    WHEN regexp_matches(l, '!\\[\\]\\(([^)]+)\\)') THEN 'image' WHEN regexp_matches(l, '\\[?\\[IMAGE OCR\\]\\]?\\s*(.*)$') THEN 'image_ocr' ELSE 'paragraph' END AS t0 FROM mdl WHERE trim(l) <> ''),
 nb AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY pos) AS rn FROM ty),

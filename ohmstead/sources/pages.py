@@ -237,7 +237,10 @@ def from_manifest(manifest: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def report_markdown(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents as exported markdown pages: every line gets a role by its position."""
+    """Documents as exported markdown pages: every line gets a role by its position.
+
+    Recordings and pictures stand on lines of their own before a line of text, so all text is kept.
+    """
     d = texts(spark, sf, "documents").where(tx.strip("text") != "")
     pid = F.col("doc_id").cast("string")
 
@@ -247,8 +250,8 @@ def report_markdown(spark: SparkSession, sf: str) -> DataFrame:
         return (
             F.when(tx.strip(s) == "", F.lit(""))
             .when(k == 0, F.concat(F.lit("## "), s))
-            .when(k == 3, F.concat(F.lit("[[AUDIO RECORDING]] [Play](audio/"), pid, F.lit("_"), n, F.lit(".mp3)")))
-            .when(k == 5, F.concat(F.lit("![](img/"), pid, F.lit("_"), n, F.lit(".png)")))
+            .when(k == 3, F.concat(F.lit("[[AUDIO RECORDING]] [Play](audio/"), pid, F.lit("_"), n, F.lit(".mp3)\n"), s))
+            .when(k == 5, F.concat(F.lit("![](img/"), pid, F.lit("_"), n, F.lit(".png)\n"), s))
             .when(k == 6, F.concat(F.lit("[[IMAGE OCR]] "), s))
             .when(k == 7, F.concat(F.lit("Légende: "), s))
             .otherwise(s)

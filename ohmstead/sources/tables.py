@@ -18,18 +18,22 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table of texts; a file too small to give every core a split is spread out first."""
-    df = table(spark, sf, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A table of texts, in the splits that ``spark.sql.files.maxPartitionBytes`` gives."""
+    return table(spark, sf, name)
+
+
+def code_table(spark: SparkSession, rows: list[tuple[int, str]], key: str, name: str) -> DataFrame:
+    """A few literal rows, which Spark knows the size of and so broadcasts."""
+    values = ", ".join(f"({k}, '{v}')" for k, v in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({key}, {name})")
 
 
 def usages(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(USAGES, "usageId int, usage_name string")
+    return code_table(spark, USAGES, "usageId", "usage_name")
 
 
 def meters(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(METERS, "meterTypeId int, meter_name string")
+    return code_table(spark, METERS, "meterTypeId", "meter_name")
 
 
 def _sites(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,8 +42,8 @@ def _sites(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def consumption_log(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem").select(
+def _log_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("zoneId"),
         F.to_date("l_shipdate").alias("date"),
         F.col("l_quantity").alias("consumption"),
@@ -47,9 +51,19 @@ def consumption_log(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("l_linenumber") % 4 + 1).cast("int").alias("meterTypeId"),
         F.when(F.col("l_linestatus") == "O", "zone").otherwise("site").alias("perimeter"),
     )
-    return li.join(_sites(spark, sf), "zoneId").select(
-        "siteId", "zoneId", "perimeter", "date", "consumption", "usageId", "meterTypeId"
-    )
+
+
+LOG_COLS = ["siteId", "zoneId", "perimeter", "date", "consumption", "usageId", "meterTypeId"]
+
+
+def consumption_log(spark: SparkSession, sf: str) -> DataFrame:
+    return _log_lines(spark, sf).join(_sites(spark, sf), "zoneId").select(*LOG_COLS)
+
+
+def daily_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The log summed per zone, day and codes before any join, so the few codes are never shuffle keys of raw rows."""
+    summed = _log_lines(spark, sf).groupBy(*[c for c in LOG_COLS if c not in ("siteId", "consumption")]).agg(F.sum("consumption").alias("consumption"))
+    return summed.join(_sites(spark, sf), "zoneId").select(*LOG_COLS)
 
 
 def _when_sum(cond: Column, value: str) -> Column:
@@ -90,9 +104,10 @@ def site_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def zone_pred(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem").where("l_linestatus = 'F'").select(
+    """Predictions from every line; those of open lines lie 45 days later, so the days differ from the history's."""
+    li = table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("zoneId"),
-        F.to_date("l_shipdate").alias("date"),
+        F.date_add(F.to_date("l_shipdate"), F.when(F.col("l_linestatus") == "O", 45).otherwise(0)).alias("date"),
         F.floor(F.col("l_extendedprice") / 100).cast("double").alias("kwh"),
         F.col("l_quantity").alias("qty"),
         F.floor(F.col("l_discount") * 100 + 0.5).cast("double").alias("temp"),
