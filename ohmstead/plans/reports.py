@@ -602,8 +602,9 @@ def style_exemplars(s, sf):
 
 # ---- evidence texts ------------------------------------------------------------------------
 
-_EVT = """el AS (SELECT doc_id, source, pos, CASE (pos - 1) % 8 WHEN 0 THEN '## Page: ' || trim(line) || ' (page_id=' || (doc_id % 50) || '_' || pos || ', score=2)' WHEN 5 THEN '## Questions / demandes' WHEN 6 THEN '- Question: ' || line WHEN 7 THEN '  Preuve: page_id=' || doc_id || 'x' ELSE '- ' || line END AS l0 FROM ln),
-e1 AS (SELECT doc_id, source, trim(l0) AS l, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM el WHERE trim(l0) <> ''),
+_EVT = """ek AS (SELECT doc_id, source, pos, CASE (pos - 1) % 8 WHEN 0 THEN ['## Page: ' || trim(line) || ' (page_id=' || (doc_id % 50) || '_' || pos || ', score=2)'] WHEN 5 THEN ['## Questions / demandes', '- ' || line] WHEN 6 THEN ['- Question: ' || line] WHEN 7 THEN ['  Preuve: page_id=' || doc_id || 'x', '- ' || line] ELSE ['- ' || line] END AS ls FROM ln),
+el AS (SELECT doc_id, source, pos, UNNEST(ls) AS l0, generate_subscripts(ls, 1) AS part FROM ek),
+e1 AS (SELECT doc_id, source, trim(l0) AS l, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY pos, part) AS i FROM el WHERE trim(l0) <> ''),
 e2 AS (SELECT *, CASE WHEN starts_with(l, '## Questions') THEN 'q' WHEN regexp_matches(l, '^##\\s+Page:\\s*(.*?)\\s*\\(page_id=([^,)]+)') THEN 'p' END AS m, LEAD(l) OVER (PARTITION BY doc_id ORDER BY i) AS nx FROM e1),
 e3 AS (SELECT *, MAX(CASE WHEN m IS NOT NULL THEN i END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS h FROM e2),
 ei AS (SELECT a.doc_id, a.source, a.i AS pos, b.m AS kind, trim(regexp_replace(a.l, '^[-•]\\s+', '')) AS text,
@@ -616,8 +617,8 @@ def _evidence(s, sf) -> DataFrame:
         k = i % 8
         pid = F.concat((F.col("doc_id") % 50).cast("string"), F.lit("_"), (i + 1).cast("string"))
         return (F.when(k == 0, F.concat(F.lit("## Page: "), F.trim(x), F.lit(" (page_id="), pid, F.lit(", score=2)")))
-                .when(k == 5, F.lit("## Questions / demandes")).when(k == 6, F.concat(F.lit("- Question: "), x))
-                .when(k == 7, F.concat(F.lit("  Preuve: page_id="), F.col("doc_id").cast("string"), F.lit("x"))).otherwise(F.concat(F.lit("- "), x)))
+                .when(k == 5, F.concat(F.lit("## Questions / demandes\n- "), x)).when(k == 6, F.concat(F.lit("- Question: "), x))
+                .when(k == 7, F.concat(F.lit("  Preuve: page_id="), F.col("doc_id").cast("string"), F.lit("x\n- "), x)).otherwise(F.concat(F.lit("- "), x)))
 
     return t.texts(s, sf, "documents").select("doc_id", "source", F.array_join(F.transform(F.split("text", "\n"), line), "\n").alias("evidence"))
 
@@ -692,14 +693,15 @@ def client_text(s, sf):
 
 
 @query("plan_scaffold", with_(LINES) + """
-, p AS (SELECT doc_id, pos, CASE WHEN pos = 2 THEN '### Plan attendu' WHEN pos > 2 AND pos % 3 = 0 THEN '#### ' || line WHEN pos % 7 = 0 THEN '' ELSE line END AS l FROM ln),
+, p0 AS (SELECT doc_id, pos, CASE WHEN pos = 2 THEN ['### Plan attendu', line] WHEN pos > 2 AND pos % 3 = 0 THEN ['#### ' || line] WHEN pos % 7 = 0 THEN ['', line] ELSE [line] END AS ls FROM ln),
+p1 AS (SELECT doc_id, pos, UNNEST(ls) AS l, generate_subscripts(ls, 1) AS part FROM p0), p AS (SELECT doc_id, l, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY pos, part) AS pos FROM p1),
 h AS (SELECT *, pos > 2 AND regexp_matches(trim(l), '^####\\s+(.*)$') AS head FROM p WHERE pos > 2), f AS (SELECT doc_id, MIN(pos) AS first FROM h WHERE head GROUP BY 1),
 b AS (SELECT h.doc_id, MIN(pos) AS stop FROM h JOIN f ON f.doc_id = h.doc_id WHERE trim(l) = '' AND pos > first GROUP BY 1)
 SELECT h.doc_id, string_agg(trim(regexp_extract(trim(l), '^####\\s+(.*)$', 1)), ' | ' ORDER BY pos) AS scaffold FROM h LEFT JOIN b ON b.doc_id = h.doc_id WHERE head AND pos < COALESCE(stop, 1000000) GROUP BY 1""")
 def plan_scaffold(s, sf):
     def line(x, i):
         p = i + 1
-        return F.when(p == 2, F.lit("### Plan attendu")).when((p > 2) & (p % 3 == 0), F.concat(F.lit("#### "), x)).when(p % 7 == 0, F.lit("")).otherwise(x)
+        return F.when(p == 2, F.concat(F.lit("### Plan attendu\n"), x)).when((p > 2) & (p % 3 == 0), F.concat(F.lit("#### "), x)).when(p % 7 == 0, F.concat(F.lit("\n"), x)).otherwise(x)
 
     x = t.texts(s, sf, "documents").select("doc_id", F.array_join(F.transform(F.split("text", "\n"), line), "\n").alias("p"))
     x = sealed(x.withColumn("s", rp.scaffold("p"))).where(F.size("s") > 0)

@@ -90,14 +90,14 @@ _NL = f"(f = '' OR list_contains({sql_list(tx.NOISE_LINES)}, f) OR contains(f, '
 
 
 @query("line_checks", with_(LINES) + f"""
-, x AS (SELECT *, {_N} AS n, {sql_fold('line', True)} AS f, {sql_norm('line')} AS m FROM (SELECT doc_id, pos, CASE pos % 9 WHEN 1 THEN 'Mars 2024' WHEN 2 THEN 'Rien à signaler : ' || line WHEN 3 THEN 'AMO GTB - 12' WHEN 4 THEN 'Merci de ' || line WHEN 5 THEN 'Légende: ' || line ELSE line END AS line FROM ln))
+, x AS (SELECT *, {_N} AS n, {sql_fold('line', True)} AS f, {sql_norm('line')} AS m FROM (SELECT doc_id, pos, UNNEST(CASE pos % 9 WHEN 1 THEN ['Mars 2024', line] WHEN 2 THEN ['Rien à signaler : ' || line] WHEN 3 THEN ['AMO GTB - 12', line] WHEN 4 THEN ['Merci de ' || line] WHEN 5 THEN ['Légende: ' || line] ELSE [line] END) AS line FROM ln))
 SELECT doc_id, pos, {_NL} AS noise_line, {_NOISE} AS noise, {_DECOR} AS decor, regexp_matches(n, {q('^(' + '|'.join(tx.MONTHS) + ') [0-9]+$')}) AS month_year,
  (contains(line, '?') OR {sql_start('m', tx.REQUEST_STARTS + tx.DUTY_STARTS)}) AS request, {sql_start("lower(trim(line))", tx.CAPTION_PREFIXES)} AS caption FROM x""")
 def line_checks(s, sf):
     k, ln = F.col("pos") % 9, F.col("line")
-    made = (F.when(k == 1, F.lit("Mars 2024")).when(k == 2, F.concat(F.lit("Rien à signaler : "), ln)).when(k == 3, F.lit("AMO GTB - 12"))
-            .when(k == 4, F.concat(F.lit("Merci de "), ln)).when(k == 5, F.concat(F.lit("Légende: "), ln)).otherwise(ln))
-    x = _lines(s, sf).withColumn("line", made)
+    made = (F.when(k == 1, F.array(F.lit("Mars 2024"), ln)).when(k == 2, F.array(F.concat(F.lit("Rien à signaler : "), ln))).when(k == 3, F.array(F.lit("AMO GTB - 12"), ln))
+            .when(k == 4, F.array(F.concat(F.lit("Merci de "), ln))).when(k == 5, F.array(F.concat(F.lit("Légende: "), ln))).otherwise(F.array(ln)))
+    x = _lines(s, sf).withColumn("line", F.explode(made))
     n = tx.plain("line")
     return x.select("doc_id", "pos", tx.is_noise_line(F.col("line")).alias("noise_line"), tx.is_noise(n).alias("noise"), tx.is_decor(n).alias("decor"),
                     tx.is_month_year(n).alias("month_year"), tx.is_request(F.col("line")).alias("request"), tx.is_caption(F.col("line")).alias("caption"))
@@ -243,7 +243,9 @@ def chat_cleaning(s, sf):
     return x.select("conv_id", "turn", F.array_join(tx.clean_bullets(ls), "\n").alias("bullets"))
 
 
-_TOC = f"""r AS (SELECT doc_id, pos, trim(regexp_replace(trim(CASE (pos - 1) % 3 WHEN 0 THEN '1 - Contexte ' || line WHEN 1 THEN 'Sommaire' ELSE line END || '  12'), '\\s+\\d{{1,3}}$', '')) AS s0 FROM ln),
+_TOC = f"""r0 AS (SELECT doc_id, pos, CASE (pos - 1) % 3 WHEN 0 THEN ['1 - Contexte ' || line] WHEN 1 THEN ['Sommaire', line] ELSE [line] END AS ls FROM ln),
+r1 AS (SELECT doc_id, pos * 2 + generate_subscripts(ls, 1) AS pos, UNNEST(ls) AS line FROM r0),
+r AS (SELECT doc_id, pos, trim(regexp_replace(trim(line || '  12'), '\\s+\\d{{1,3}}$', '')) AS s0 FROM r1),
 e0 AS (SELECT doc_id, pos, trim(regexp_replace(trim(regexp_replace(s0, '^\\s*\\d{{1,2}}\\s*[-–]?\\s*', '')), 'slides?\\s+\\d+\\s*(a|à)\\s*\\d+', '', 'gi')) AS s FROM r WHERE s0 <> '' AND NOT regexp_matches(s0, '(?i)(slides?\\s+\\d+|page\\s+\\d+|^\\d+$)')),
 e1 AS (SELECT *, {sql_plain('s')} AS n FROM e0),
 e2 AS (SELECT doc_id, ARG_MIN(s, pos) AS s, MIN(pos) AS pos FROM e1 WHERE NOT {_NOISE} AND NOT {_DECOR} AND ({sql_any('n', tx.TOC_WORDS)} OR length(n) >= 18) GROUP BY doc_id, n)"""
@@ -251,17 +253,17 @@ e2 AS (SELECT doc_id, ARG_MIN(s, pos) AS s, MIN(pos) AS pos FROM e1 WHERE NOT {_
 
 @query("toc_titles", with_(LINES, _TOC) + "SELECT d.doc_id, COALESCE(string_agg(s, ' | ' ORDER BY pos), '') AS entries FROM documents d LEFT JOIN e2 ON e2.doc_id = d.doc_id GROUP BY 1")
 def toc_titles(s, sf):
-    ls = F.transform(F.split("text", "\n"), lambda v, i: F.concat(F.when(i % 3 == 0, F.lit("1 - Contexte ")).when(i % 3 == 1, F.lit("Sommaire")).otherwise(F.lit("")), F.when(i % 3 != 1, v).otherwise(F.lit("")), F.lit("  12")))
+    ls = F.transform(F.split("text", "\n"), lambda v, i: F.concat(F.when(i % 3 == 0, F.lit("1 - Contexte ")).when(i % 3 == 1, F.lit("Sommaire  12\n")).otherwise(F.lit("")), v, F.lit("  12")))
     x = t.texts(s, sf, "documents").select("doc_id", F.array_join(ls, "\n").alias("t"))
     return x.select("doc_id", F.array_join(tx.toc_entries("t"), " | ").alias("entries"))
 
 
 @query("lenient_json", """
 SELECT event_id, COALESCE(CAST(json_extract_string(props, '$.k') AS BIGINT), -1) AS k FROM (
- SELECT event_id, CASE WHEN event_id % 5 = 4 THEN NULL ELSE props END AS props FROM events)""")
+ SELECT event_id, props FROM events)""")
 def lenient_json(s, sf):
     k, p = F.col("event_id") % 5, F.col("props")
-    raw = F.when(k == 0, p).when(k == 1, F.concat(F.lit("Voici: "), p, F.lit(" fin"))).when(k == 2, F.concat(F.lit("```json\n"), p, F.lit("\n```"))).when(k == 3, F.concat(F.lit("  "), p)).otherwise("aucun objet")
+    raw = F.when(k == 0, p).when(k == 1, F.concat(F.lit("Voici: "), p, F.lit(" fin"))).when(k == 2, F.concat(F.lit("```json\n"), p, F.lit("\n```"))).when(k == 3, F.concat(F.lit("  "), p)).otherwise(F.concat(F.lit("réponse = "), p, F.lit(";")))
     return t.table(s, sf, "events").select("event_id", F.coalesce(tx.lenient_json(raw, "k long")["k"], F.lit(-1)).cast("long").alias("k"))
 
 
