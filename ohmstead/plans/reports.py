@@ -524,7 +524,8 @@ def skeleton_summary(s, sf):
 
 
 @query("carried_parts", with_(LINES, _FILES) + f"""
-, b AS (SELECT doc_id, pos, CASE WHEN (doc_id + pos) % 3 = 0 THEN {sql_list(HEAD_WORDS)}[(doc_id + pos) % 12 + 1] ELSE line END AS l, (doc_id + pos) % 3 = 0 AS head FROM ln WHERE trim(line) <> ''),
+, b0 AS (SELECT doc_id, pos, CASE WHEN (doc_id + pos) % 3 = 0 THEN [{sql_list(HEAD_WORDS)}[(doc_id + pos) % 12 + 1], line] ELSE [line] END AS ls FROM ln WHERE trim(line) <> ''),
+b1 AS (SELECT doc_id, pos, len(ls) AS k, UNNEST(ls) AS l, generate_subscripts(ls, 1) AS half FROM b0), b AS (SELECT doc_id, pos * 2 + half AS pos, l, k = 2 AND half = 1 AS head FROM b1),
 m AS (SELECT *, CASE WHEN head THEN {_PARTSQL} END AS mark FROM b),
 c AS (SELECT *, LAST_VALUE(mark IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS part FROM m)
 SELECT doc_id, CAST(part AS INTEGER) AS part, COUNT(*) AS n, md5(string_agg(l, chr(10) ORDER BY pos)) AS digest FROM c WHERE part IN (1, 2, 3) GROUP BY 1, 2""")
@@ -537,17 +538,17 @@ def carried_parts(s, sf):
 
 
 def _headed(s, sf) -> DataFrame:
-    """Report blocks with a known heading on every third line."""
+    """Report blocks with a known heading before every third line."""
     words = F.array(*[F.lit(w) for w in HEAD_WORDS])
     ls = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("x"), (i + 1).alias("p"))), lambda e: tx.strip(e["x"]) != "")
 
     def block(e):
         head = (F.col("doc_id") + e["p"]) % 3 == 0
         word = F.element_at(words, ((F.col("doc_id") + e["p"]) % 12 + 1).cast("int"))
-        return F.struct(F.when(head, "heading").otherwise("paragraph").alias("type"), F.when(head, word).otherwise(e["x"]).alias("text"),
-                        F.format_string("p%03d", F.floor(e["p"] / 20).cast("int")).alias("ref"))
+        one = lambda kind, text: F.struct(F.lit(kind).alias("type"), text.alias("text"), F.format_string("p%03d", F.floor(e["p"] / 20).cast("int")).alias("ref"))
+        return F.when(head, F.array(one("heading", word), one("paragraph", e["x"]))).otherwise(F.array(one("paragraph", e["x"])))
 
-    return t.texts(s, sf, "documents").select("doc_id", F.transform(ls, block).alias("blocks"))
+    return t.texts(s, sf, "documents").select("doc_id", F.flatten(F.transform(ls, block)).alias("blocks"))
 
 
 def _sql_clean(e: str) -> str:
@@ -555,7 +556,9 @@ def _sql_clean(e: str) -> str:
 
 
 _NOW, _FULL = "COALESCE(x.mark, a.part)", "length(a.buf) + length(x.text) + 2 > 1200"
-_CHUNK = f"""cb AS (SELECT doc_id, pos, CASE WHEN (doc_id + pos) % 3 = 0 THEN {sql_list(HEAD_WORDS)}[(doc_id + pos) % 12 + 1] ELSE line END AS l, (doc_id + pos) % 3 = 0 AS head, 'p' || lpad(CAST(pos // 20 AS VARCHAR), 3, '0') AS ref FROM ln WHERE trim(line) <> ''),
+_CHUNK = f"""cb0 AS (SELECT doc_id, pos, CASE WHEN (doc_id + pos) % 3 = 0 THEN [{sql_list(HEAD_WORDS)}[(doc_id + pos) % 12 + 1], line] ELSE [line] END AS ls FROM ln WHERE trim(line) <> ''),
+cb1 AS (SELECT doc_id, pos, len(ls) AS k, UNNEST(ls) AS l, generate_subscripts(ls, 1) AS half FROM cb0),
+cb AS (SELECT doc_id, pos * 2 + half AS pos, l, k = 2 AND half = 1 AS head, 'p' || lpad(CAST(pos // 20 AS VARCHAR), 3, '0') AS ref FROM cb1),
 ce AS (SELECT doc_id, list({{'outs': CAST([] AS STRUCT(text VARCHAR, refs VARCHAR[], part INTEGER)[]), 'buf': '', 'refs': CAST([] AS VARCHAR[]), 'part': CAST(NULL AS INTEGER), 'text': l, 'ref': ref, 'mark': CASE WHEN head THEN CAST({_PARTSQL} AS INTEGER) END}} ORDER BY pos) AS e FROM cb GROUP BY 1),
 cr AS (SELECT doc_id, list_reduce(list_prepend({{'outs': CAST([] AS STRUCT(text VARCHAR, refs VARCHAR[], part INTEGER)[]), 'buf': '', 'refs': CAST([] AS VARCHAR[]), 'part': CAST(NULL AS INTEGER), 'text': '', 'ref': '', 'mark': CAST(NULL AS INTEGER)}}, e), lambda a, x: {{
   'outs': CASE WHEN {_FULL} AND {_sql_clean('a.buf')} <> '' THEN list_append(a.outs, {{'text': {_sql_clean('a.buf')}, 'refs': list_sort(list_distinct(a.refs)), 'part': {_NOW}}}) ELSE a.outs END,

@@ -119,16 +119,15 @@ WITH p AS (SELECT conv_id, turn, text, LEAD(text) OVER (PARTITION BY conv_id ORD
 k AS (SELECT conv_id, turn, {sql_tokens('text')} AS a, {sql_tokens('nxt')} AS b FROM p WHERE nxt IS NOT NULL)
 SELECT conv_id, turn, ROUND(CASE WHEN len(a) > 0 AND len(b) > 0 THEN CAST(len(list_intersect(a, b)) AS DOUBLE) / LEAST(len(a), len(b)) ELSE 0 END, 6) AS overlap FROM k""")
 def token_overlap(s, sf):
-    x = _turn_pairs(s, sf, None)
+    x = _turn_pairs(s, sf)
     return x.select("conv_id", "turn", F.round(tx.overlap(tx.tokens(F.col("raw_notes")), tx.tokens(F.col("candidate_text"))), 6).alias("overlap"))
 
 
-def _turn_pairs(s, sf, role: str | None = "user") -> DataFrame:
+def _turn_pairs(s, sf) -> DataFrame:
     """Each turn with the next one of its conversation."""
     c = t.texts(s, sf, "conversations")
     after = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("candidate_text"))
-    x = (c.where(F.col("role") == role) if role else c).select("conv_id", "turn", F.col("text").alias("raw_notes"))
-    return x.join(after, ["conv_id", "turn"])
+    return c.select("conv_id", "turn", F.col("text").alias("raw_notes")).join(after, ["conv_id", "turn"])
 
 
 _GREEDY = f"""it AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS ls FROM documents),
@@ -159,7 +158,7 @@ def _noise_of(e: str) -> str:
     return _NL.replace("f = ''", f"{e} = ''").replace(", f)", f", {e})").replace("(f,", f"({e},")
 
 
-_PAIRS = "pr AS (SELECT * FROM (SELECT conv_id, turn, role, text, LEAD(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt FROM conversations) WHERE role = 'user' AND nxt IS NOT NULL)"
+_PAIRS = "pr AS (SELECT * FROM (SELECT conv_id, turn, role, text, LEAD(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt FROM conversations) WHERE nxt IS NOT NULL)"
 _LINKED = "(?i)\\s+(?:et|mais|tandis que|ce qui|donc|dans ce cadre|par conséquent)\\s+"
 _FACTS = _PAIRS + f""",
 fl AS (SELECT conv_id, turn, UNNEST(string_split({sql_tidy('text')}, chr(10))) AS l, generate_subscripts(string_split({sql_tidy('text')}, chr(10)), 1) AS pos FROM pr),
@@ -194,7 +193,7 @@ def candidate_parts(s, sf):
 @query("fact_coverage", f"""
 WITH p AS (SELECT conv_id, turn, role, text, LEAD(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt FROM conversations),
 k AS (SELECT conv_id, turn, list_transform(list_filter(list_transform(string_split(text, '. '), lambda v: trim(v)), lambda v: v <> ''), lambda x: {sql_tokens('x', True).replace('lambda x:', 'lambda y:').replace("x <> ''", "y <> ''")}) AS fs,
-  list_transform(list_filter(list_transform(string_split(nxt, chr(10)), lambda v: trim(v)), lambda v: v <> ''), lambda x: {sql_tokens('x', True).replace('lambda x:', 'lambda y:').replace("x <> ''", "y <> ''")}) AS bs FROM p WHERE nxt IS NOT NULL AND role = 'user')
+  list_transform(list_filter(list_transform(string_split(nxt, chr(10)), lambda v: trim(v)), lambda v: v <> ''), lambda x: {sql_tokens('x', True).replace('lambda x:', 'lambda y:').replace("x <> ''", "y <> ''")}) AS bs FROM p WHERE nxt IS NOT NULL)
 SELECT conv_id, turn, ROUND(CASE WHEN len(fs) = 0 THEN 1.0 WHEN len(bs) = 0 THEN 0.0 ELSE CAST(len(list_filter(fs, lambda f: len(list_filter(bs, lambda b: len(f) > 0 AND len(b) > 0 AND CAST(len(list_intersect(f, b)) AS DOUBLE) / LEAST(len(f), len(b)) >= 0.28)) > 0)) AS DOUBLE) / len(fs) END, 6) AS coverage FROM k""")
 def fact_coverage(s, sf):
     src = F.filter(F.transform(F.split("raw_notes", r"\. "), tx.strip), lambda v: v != "")
