@@ -40,15 +40,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def removed(df: DataFrame) -> None:
-    """Deletes the files of a table from ``stored`` that nothing will read again."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
-
-
 def lookup(df: DataFrame, most_rows: int = 20_000, most_bytes: int = 4 << 20) -> DataFrame:
     """A written per-key table for the small side of a join.
 
