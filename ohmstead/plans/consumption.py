@@ -629,14 +629,14 @@ def train_valid_series(s, sf):
     return _text_date(series.daily_parts(x.where("part = 'train'"), x.where("part = 'valid'"), t.SITE, "y", "p"), "date")
 
 
-_LINES = """ln AS (SELECT CAST(s_nationkey AS BIGINT) AS "siteId", CAST(l_shipdate AS DATE) AS date, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS seq, l_quantity AS v, FLOOR(l_extendedprice / 100) AS p FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"""
+_LINES = """ln AS (SELECT CAST(s_nationkey AS BIGINT) AS "siteId", CAST(l_shipdate AS DATE) AS date, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) * 1000000000 + CAST(FLOOR(l_extendedprice * 100) AS BIGINT) AS seq, l_quantity AS v, FLOOR(l_extendedprice / 100) AS p FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"""
 
 
 def _day_lines(s, sf):
-    """Several rows per site and day, in the order of ``seq``."""
+    """Several rows per site and day, in the order of ``seq``: line numbers can repeat, so the price breaks ties."""
     li = t.table(s, sf, "lineitem").join(t.table(s, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     return li.select(
-        F.col("s_nationkey").cast("long").alias("siteId"), F.to_date("l_shipdate").alias("date"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("seq"),
+        F.col("s_nationkey").cast("long").alias("siteId"), F.to_date("l_shipdate").alias("date"), ((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long") * 1000000000 + F.floor(F.col("l_extendedprice") * 100).cast("long")).alias("seq"),
         F.col("l_quantity").alias("v"), F.floor(F.col("l_extendedprice") / 100).cast("double").alias("p"))
 
 
