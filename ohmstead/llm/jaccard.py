@@ -327,7 +327,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     counted = shared.where("fp IS NOT NULL").select("key", "fp").join(shared.where("fp IS NULL").select("key", "df"), "key")
     quarter = F.col("key").bitwiseAND(F.lit(3)) == 0
     per_class = Window.partitionBy("fp", "fp2")
-    place = F.row_number().over(per_class.orderBy(F.when(quarter, 0).otherwise(1), "df", "key"))
+    # beyond the quarter in the order by which _first chose them, unsigned; another one would understate "rest"
+    place = F.row_number().over(per_class.orderBy(~quarter, F.when(quarter, F.col("df")), F.col("key") < 0, "key"))
     alone = F.col("counted") - F.sum(F.when(quarter, 1).otherwise(0)).over(per_class)
     # what a class has from a shingle on, itself included; beyond the quarter this is an upper bound
     prefix = counted.join(classes.select("fp", "fp2", "n", "counted", "sig"), "fp").withColumn("_place", place).withColumn("_alone", alone)

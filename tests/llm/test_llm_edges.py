@@ -336,6 +336,41 @@ def test_jaccard_against_all_pairs(spark, chunk):
     assert got == brute_components(texts)
 
 
+def uncounted_pairs(cases):
+    """Pairs of short linked texts without a counted shingle, the longer one with two shingles before all others in the order,
+    and texts that make the second prefix shingle of the shorter one rarer than its first."""
+    rnd, known, texts = random.Random(17), jaccard._Hashes(), []
+    word = lambda: f"u{rnd.getrandbits(40)}"
+
+    def longer(words, below=2**64):
+        while True:
+            more = [*words, word()]
+            h = int(jaccard.shingles(" ".join(more[-5:]), known)[0])
+            if h & 3 and h < below:
+                return more, h
+
+    while len(texts) < 5 * cases:
+        words, hashes = [word() for _ in range(4)], []
+        for _ in range(8):
+            words, h = longer(words)
+            hashes.append(h)
+        one, two = sorted(range(8), key=hashes.__getitem__)[:2]
+        if min(hashes) < 2**60:
+            continue
+        more, _ = longer(words, min(hashes))
+        more, _ = longer(more, min(hashes))
+        first, second = " ".join(words[one : one + 5]), " ".join(words[two : two + 5])
+        texts += [" ".join(words), " ".join(more), first, second, first]
+    return texts
+
+
+def test_jaccard_short_texts_without_counted_shingles(spark):
+    texts = uncounted_pairs(40)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(df).collect()}
+    assert got == brute_components(texts)
+
+
 def test_jaccard_chains(spark):
     """A long chain of links is one component."""
     words = [f"c{i}" for i in range(400)]
