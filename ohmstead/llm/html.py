@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']+|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*(?:\"[^\"]*|'[^']*|[^\s\"'>]*)(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+_MAY_HIDE = re.compile(r"hidden|none", re.I)
+_UNSEEN = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 _START = re.compile(r"(?:^|\s)start\s*=\s*[\"']?(-?\d{1,9})", re.I)
 _SPAN = re.compile(r"(?:^|\s)colspan\s*=\s*[\"']?(\d{1,3})", re.I)
 _BLANK = re.compile(r"[ \t\n\f\r]+")
@@ -156,6 +158,17 @@ class _Out:
         return self.lines
 
 
+def _hides(attrs: str) -> bool:
+    """Whether an element's own attributes hide it; words inside other attributes' values do not."""
+    if not _MAY_HIDE.search(attrs):
+        return False
+    for m in _ATTR.finditer(attrs):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _UNSEEN.search(value):
+            return True
+    return False
+
+
 def _rows(table: Node) -> list[Node]:
     rows, todo = [], list(reversed(table.kids))
     while todo:
@@ -164,13 +177,13 @@ def _rows(table: Node) -> list[Node]:
             continue
         if n.tag == "tr":
             rows.append(n)
-        elif n.tag in ("tbody", "thead", "tfoot") and not _HIDDEN.search(n.attrs):
+        elif n.tag in ("tbody", "thead", "tfoot") and not _hides(n.attrs):
             todo.extend(reversed(n.kids))
     return rows
 
 
 def _seen(n: Node) -> bool:
-    return n.tag not in SILENT and not (n.attrs and _HIDDEN.search(n.attrs))
+    return n.tag not in SILENT and not _hides(n.attrs)
 
 
 def _flat(node: Node, nest: int = 0) -> list[str]:
