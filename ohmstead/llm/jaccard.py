@@ -403,7 +403,7 @@ def one_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **opti
     keep = best.select(F.col("best.dk").alias("dk"), F.lit(True).alias("_keep"))
     gone = common.lookup(common.stored(found.join(keep, "dk", "left").where("_keep IS NULL").select("dk").distinct(), "copies"), most_rows=200_000)
     again = common.stored(found.groupBy("dk").count().where("count > 1").select("dk"), "repeated")
-    row = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(F.col(id_col), F.col(text)).alias("dk"))
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(F.col(id_col), F.col(text)).alias("dk"))
     left = row.join(gone, "dk", "left_anti")
     if again.isEmpty():
         return left.select("row.*")

@@ -60,7 +60,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     An empty table gives no rows.
     """
     chance = common.unit_hash(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text), F.lit("")))))
-    sized = docs.select(*[F.struct(*docs.columns).alias("row")] * carry, F.col(id_col).alias("doc_id"), F.col(source).alias("source"),
+    sized = docs.select(*[F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] * carry, F.col(id_col).alias("doc_id"), F.col(source).alias("source"),
                         common.word_count(F.col(text)).alias("size"), chance.alias("_chance"))
     if not carry:
         sized = common.stored(sized, "mix-sizes")

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ohmstead.llm import common, tokens
 
@@ -124,11 +125,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
 
     Groups are dealt by a hash of the piece, so a hot source does not fill one. Repeated pieces are
     packed one by one, ties go by document, piece and checksum. Columns ``_group`` and ``_round`` of the
-    input are replaced. An empty table gives no rows.
+    input are replaced; other columns' names must not hold dots. An empty table gives no rows.
     """
-    cols = [c for c in pieces.columns if c not in ("_group", "_round", "sequence_id", "offset", "bin", "done", "bins", "bound")]
+    cols = [f"`{c}`" for c in pieces.columns if c not in ("_group", "_round", "sequence_id", "offset", "bin", "done", "bins", "bound")]
     pool = common.stored(pieces.select(*cols), "pieces")
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in pool.schema)}, _group bigint, bin bigint, offset bigint, done boolean, bins bigint, bound bigint"
+    added = [T.StructField(c, T.BooleanType() if c == "done" else T.LongType()) for c in ("_group", "bin", "offset", "done", "bins", "bound")]
+    schema = T.StructType([*pool.schema.fields, *added])
     final: list[DataFrame] = []
     before: DataFrame | None = None
     open_bins = round_no = 0

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ohmstead.llm import common
 
@@ -66,7 +67,8 @@ def measure(docs: DataFrame, text: str = "text", width: int = 8) -> DataFrame:
             found = [dict(zip(MEASURES, measured(x, width), strict=True)) for x in b.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, struct)], [*b.schema.names, "_m"])
 
-    return docs.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema)}, _m struct<{','.join(f'{c}:bigint' for c in MEASURES)}>")
+    found = T.StructType([T.StructField(c, T.LongType()) for c in MEASURES])
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_m", found)]))
 
 
 def hard(n_words: Column, n_repeat_words: Column, least_words: int = 20, repeat_pct: int = 30) -> Column:

@@ -36,6 +36,17 @@ def test_rules_edges(odd, none):
     assert by[4, False].out_n_words == 62_003 and by[4, False].base_failed
 
 
+def test_rules_and_stages_with_odd_column_names(odd):
+    named = odd.withColumnRenamed("key", "a column, with: marks").withColumnRenamed("kinds", "a.b")
+    got = rules.judge(named).select("row.*")
+    assert got.columns == named.columns and got.count() == named.count()
+    for stage in (jaccard.one_each, pii.redact, mix.emit):
+        out = stage(named)
+        assert out.columns == named.columns and out.collect()
+    pieces = named.selectExpr("coalesce(doc_id, 0L) AS doc_id", "0 AS piece", "length(coalesce(text, '')) % 2000 + 1L AS length", "1L AS ids_crc32", "`a column, with: marks`", "struct(1 AS `x y`) AS s")
+    assert pack.pack(pieces).count() == named.count()
+
+
 def test_rules_hosts(spark):
     """A bad host loses its soft failures only; a good host keeps even those."""
     clean = " ".join(f"word{i}" for i in range(40))
@@ -236,6 +247,12 @@ def test_html_odd_pages(page):
     assert isinstance(html.rendered(page), str)
 
 
+def test_html_hidden_by_attributes_only():
+    page = """<p class="a hidden b">one</p><p title='x display:none y'>two</p><p data-style="display:none">three</p><p hidden>four</p>
+    <p HIDDEN="">five</p><p style='color:red;Display : None'>six</p><p style=visibility:hidden>seven</p><p aria-hidden="true">eight</p><p aria-hidden=false>nine</p>"""
+    assert html.rendered(page).split() == ["one", "two", "three", "nine"]
+
+
 def test_html_deep_and_long():
     assert html.rendered("<div>" * 20_000 + "x" + "</div>" * 20_000) == "x"
     assert "x" in html.rendered("<table><tr><td>" * 3_000 + "x")
