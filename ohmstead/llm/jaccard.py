@@ -14,8 +14,9 @@ from the roots, and a pair of nodes is dropped when its sizes cannot fit, when t
 hold or what follows the group's shingle bound the overlap below the threshold, or when all its members
 are linked already. (A pair is due in the group of its first common shingle, where neither has a common
 one before it.) What is left
-at the leaves is verified on the exact sets. Groups beyond ``CHUNK`` members become several trees,
-walked pairwise by a join on the group's key, so no task holds a whole group.
+at the leaves is verified on the exact sets. Groups beyond ``CHUNK`` members are cut into parts by set
+size and hash, each a tree in a task of its own; the pairs of trees whose sizes fit are dealt out by tree
+and walked, so no task reads a whole group.
 """
 
 from __future__ import annotations
@@ -234,7 +235,7 @@ def _tree(raw: bytes) -> Tree:
     return Tree(head[:, 0].copy(), head[:, 1].copy(), head[:, 2].copy(), head[:, 3].copy(), np.ascontiguousarray(rows[:, 32:]).view(np.uint64))
 
 
-_WALKED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("chunk", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("members", pa.binary())])
+_WALKED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("part", pa.int64()), ("chunk", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("members", pa.binary())])
 
 
 def _pairs(fa: np.ndarray, fb: np.ndarray) -> pa.RecordBatch:
@@ -244,10 +245,13 @@ def _pairs(fa: np.ndarray, fb: np.ndarray) -> pa.RecordBatch:
 
 
 def _grouped(percent: int, chunk: int):
-    """From (key, n, comp, fp, rest, sig) sorted by key and size: pairs within each tree, and the trees of groups that have several."""
+    """From (key, part, n, comp, fp, rest, sig) sorted by key, part and size: pairs within each tree, and the trees of groups that have several.
+
+    Part 0 is a whole group, others are parts of one; a part beyond ``chunk`` members gives several trees.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, made = None, [], 0
+        at, held, made = None, [], 0
 
         def closed(more: bool) -> Iterator[pa.RecordBatch]:
             nonlocal held, made
@@ -258,15 +262,15 @@ def _grouped(percent: int, chunk: int):
                 fa, fb = walk(tree, tree, percent)
                 if len(fa):
                     yield _pairs(fa, fb)
-                if more or made:
-                    yield pa.RecordBatch.from_pylist([{"key": key, "chunk": made, "lo": min(n), "hi": max(n), "members": raw}], _WALKED)
+                if more or made or at[1]:
+                    yield pa.RecordBatch.from_pylist([{"key": at[0], "part": at[1], "chunk": made, "lo": min(n), "hi": max(n), "members": raw}], _WALKED)
             held, made = [], made + 1 if more else 0
 
         for b in batches:
-            for k, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if k != key or len(held) == chunk:
-                    yield from closed(k == key)
-                    key = k
+            for k, part, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (k, part) != at or len(held) == chunk:
+                    yield from closed((k, part) == at)
+                    at = k, part
                 held.append(row)
         yield from closed(False)
 
@@ -359,13 +363,23 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
 
     # groups whose members are not all linked yet
     open_rows = _labelled(met.select("key", "fp", "n", "rest", "sig"), first, "fp", "comp")
-    split = open_rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    rows = open_rows.join(split, "key").select("key", "n", "comp", "fp", "rest", "sig").repartition("key").sortWithinPartitions("key", "n", "comp", "fp")
-    walked = common.stored(rows.mapInArrow(_grouped(percent, chunk), "a bigint, b bigint, key bigint, chunk bigint, lo bigint, hi bigint, members binary"), "walked")
-    trees = walked.where("members IS NOT NULL")
-    one, two = trees.select("key", "chunk", "hi", "members"), trees.select("key", F.col("chunk").alias("chunk2"), "lo", F.col("members").alias("members2"))
-    # sizes ascend over the trees of a group
-    across = one.join(two, "key").where((F.col("chunk") < F.col("chunk2")) & (F.col("hi") * 100 >= F.col("lo") * percent))
+    open_rows = open_rows.withColumn("step", F.floor(F.log2("n")))
+    sizes = open_rows.groupBy("key", "step").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    unlinked = sizes.groupBy("key").agg(F.sum("size").alias("size"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list(F.struct("step", F.ceil(F.col("size") / chunk).alias("slices"))).alias("steps"))
+    unlinked = common.stored(unlinked.where("lo <> hi").select("key", "size", "steps"), "unlinked")
+    large = unlinked.where(F.col("size") > chunk).select("key", F.explode("steps").alias("s")).select("key", "s.step", "s.slices")
+    part = lambda step, cut: F.shiftleft(step, 40) + cut + 1
+    parts = large.select("key", "step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("cut")).select("key", part(F.col("step"), F.col("cut")).alias("part"))
+    whole_groups = unlinked.where(F.col("size") <= chunk).select("key", F.lit(0).cast("long").alias("part"))
+    dealt = open_rows.join(common.lookup(large), ["key", "step"], "left").withColumn("part", F.coalesce(part(F.col("step"), F.pmod(F.xxhash64("fp"), F.col("slices"))), F.lit(0).cast("long")))
+    rows = dealt.join(whole_groups.unionByName(parts), ["key", "part"], "left_semi").select("key", "part", "n", "comp", "fp", "rest", "sig").repartition("key", "part").sortWithinPartitions("key", "part", "n", "comp", "fp")
+    walked = common.stored(rows.mapInArrow(_grouped(percent, chunk), "a bigint, b bigint, key bigint, part bigint, chunk bigint, lo bigint, hi bigint, members binary"), "walked")
+    trees = walked.where("members IS NOT NULL").withColumn("tree", F.struct("key", "part", "chunk"))
+    # pairs of trees by name first; their members join them by tree, so a group's pairs are spread over the tasks
+    named = trees.select("key", "tree", "lo", "hi")
+    fitting = named.alias("x").join(named.alias("y"), "key").where("x.tree < y.tree").where((F.col("x.hi") * 100 >= F.col("y.lo") * percent) & (F.col("y.hi") * 100 >= F.col("x.lo") * percent))
+    fitting = fitting.select(F.col("x.tree").alias("tree"), F.col("y.tree").alias("tree2"))
+    across = fitting.join(trees.select("tree", "members"), "tree").join(trees.select(F.col("tree").alias("tree2"), F.col("members").alias("members2")), "tree2")
     more = across.select("members", "members2").mapInArrow(_across(percent), "a bigint, b bigint")
     pairs = walked.where("a IS NOT NULL").select("a", "b").unionByName(more).distinct()
     links = _labelled(_labelled(verified(pairs), first, "a", "x"), first, "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b"))
