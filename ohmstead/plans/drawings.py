@@ -23,18 +23,25 @@ PLAN = ["plan_id"]
 
 # ---- geometry in SQL -----------------------------------------------------------------------
 
+
+def _folded(at: int) -> str:
+    """Sum of all components that fall on one coordinate of point ``i``."""
+    one = f"FLOOR(CAST(embedding[i * 2 + {at} + 2 * np * j] AS DOUBLE) * sc)"
+    return f"FLOOR(list_sum(list_transform(range(0, CAST(ceil(len(embedding) / (2 * np)) AS BIGINT)), lambda j: COALESCE({one}, 0))) / dv)"
+
+
 PTS = f"""e0 AS (SELECT vec_id AS row_id, 'P' || (vec_id % 5) AS plan_id, {sql_list(dr.LAYERS)}[label + 1] AS layer, {sql_list(dr.TYPES)}[vec_id % 4 + 1] AS entity_type,
-  [{', '.join(str(dr.POINTS[k]) for k in dr.TYPES)}][vec_id % 4 + 1] AS np, vec_id % 7 = 0 AND vec_id % 4 = 1 AS closed, CASE WHEN vec_id % 4 = 2 THEN CAST(vec_id % 180 AS DOUBLE) END AS arc_angle,
+  [{', '.join(str(dr.POINTS[k]) for k in dr.TYPES)}][vec_id % 4 + 1] AS np, [{', '.join(str(dr.FOLDED[k]) for k in dr.TYPES)}][vec_id % 4 + 1] AS dv, vec_id % 7 = 0 AND vec_id % 4 = 1 AS closed, CASE WHEN vec_id % 4 = 2 THEN CAST(vec_id % 180 AS DOUBLE) END AS arc_angle,
   CASE WHEN vec_id % 4 = 3 THEN 'B' || (vec_id % 3) END AS block_name, CASE WHEN vec_id % 9 = 0 THEN 'BLOC-PORTE' ELSE '' END AS source_block,
   CASE WHEN vec_id % 11 = 0 THEN 4.0::DOUBLE ELSE 1000.0::DOUBLE END AS sc, CASE WHEN label = 9 THEN 6000 ELSE 0 END AS sh, embedding FROM embeddings),
-p0 AS (SELECT row_id, plan_id, closed, np, UNNEST(range(0, np)) AS i, embedding, sc, sh FROM e0),
-pts AS (SELECT row_id, plan_id, closed, np, i, FLOOR(CAST(embedding[i * 2 + 1] AS DOUBLE) * sc) + sh AS x, FLOOR(CAST(embedding[i * 2 + 2] AS DOUBLE) * sc) AS y FROM p0),
+p0 AS (SELECT row_id, plan_id, closed, np, UNNEST(range(0, np)) AS i, embedding, sc, sh, dv FROM e0),
+pts AS (SELECT row_id, plan_id, closed, np, i, {_folded(1)} + sh AS x, {_folded(2)} AS y FROM p0),
 nx AS (SELECT *, LEAD(x) OVER w AS nx, LEAD(y) OVER w AS ny, FIRST_VALUE(x) OVER w AS fx, FIRST_VALUE(y) OVER w AS fy FROM pts WINDOW w AS (PARTITION BY row_id ORDER BY i)),
 ed AS (SELECT row_id, plan_id, i AS seg, x AS x1, y AS y1, COALESCE(nx, fx) AS x2, COALESCE(ny, fy) AS y2 FROM nx WHERE nx IS NOT NULL OR (closed AND (x <> fx OR y <> fy))),
 gm AS (SELECT row_id, MIN(x) AS bx0, MIN(y) AS by0, MAX(x) AS bx1, MAX(y) AS by1 FROM pts GROUP BY 1),
 lg AS (SELECT row_id, SUM(sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))) AS length, ABS(SUM(x1 * y2 - x2 * y1)) / 2 AS ar FROM ed GROUP BY 1),
 rg AS (SELECT row_id, MAX(CASE WHEN i = np - 1 AND x = fx AND y = fy AND np >= 3 THEN 1 ELSE 0 END) = 1 AS loops FROM nx GROUP BY 1),
-en AS (SELECT e0.* EXCLUDE (embedding, sc, sh), np AS n_points, bx0 AS bbox_min_x, by0 AS bbox_min_y, bx1 AS bbox_max_x, by1 AS bbox_max_y, bx1 - bx0 AS bw, by1 - by0 AS bh, sqrt((bx1 - bx0) * (bx1 - bx0) + (by1 - by0) * (by1 - by0)) AS bbox_diag,
+en AS (SELECT e0.* EXCLUDE (embedding, sc, sh, dv), np AS n_points, bx0 AS bbox_min_x, by0 AS bbox_min_y, bx1 AS bbox_max_x, by1 AS bbox_max_y, bx1 - bx0 AS bw, by1 - by0 AS bh, sqrt((bx1 - bx0) * (bx1 - bx0) + (by1 - by0) * (by1 - by0)) AS bbox_diag,
   length, CASE WHEN np >= 3 AND (closed OR loops) THEN ar ELSE 0 END AS area FROM e0 JOIN gm USING (row_id) JOIN lg USING (row_id) JOIN rg USING (row_id)),
 dec(layer, decision) AS (VALUES {', '.join(f"({q(n)}, {q('keep' if i < 3 else 'drop' if i < 5 else 'undecided')})" for i, n in enumerate(dr.LAYERS))}),
 bl AS (SELECT en.*, decision AS dcs, upper(layer || ' ' || source_block || ' ' || COALESCE(block_name, '') || ' ' || entity_type) AS blob, LEAST(bw, bh) AS mind, GREATEST(bw, bh) AS maxd,

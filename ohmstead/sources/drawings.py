@@ -12,6 +12,8 @@ from ohmstead.sources.tables import texts
 LAYERS = ["MUR-EXT", "PORTE", "FENETRE-N", "COTES", "MOBILIER", "ESCALIER", "A-SUR-TOIT", "HACH", "CLOISON", "CARTOUCHE-X"]
 TYPES = ["LINE", "LWPOLYLINE", "ARC", "INSERT"]
 POINTS = {"LINE": 2, "LWPOLYLINE": 32, "ARC": 16, "INSERT": 4}
+#: Divisors that keep the coordinates of folded vectors in one range.
+FOLDED = {"LINE": 4, "LWPOLYLINE": 1, "ARC": 1, "INSERT": 2}
 LINEAR = ["LINE", "LWPOLYLINE", "POLYLINE", "ARC", "CIRCLE", "ELLIPSE", "SPLINE"]
 TEXTUAL = ["TEXT", "MTEXT", "DIMENSION", "LEADER", "MULTILEADER", "TABLE"]
 
@@ -76,16 +78,24 @@ def circle_points(cx: Column, cy: Column, radius: Column, n: int = 96) -> Column
 
 
 def entities(spark: SparkSession, sf: str) -> DataFrame:
-    """Vectors as polylines of whole-number points, five plans, far layers set apart."""
+    """Vectors as polylines of whole-number points, five plans, far layers set apart.
+
+    A vector with more components than its points need is folded: a coordinate sums every component whose
+    place agrees with its own, so all of the vector counts.
+    """
     e = texts(spark, sf, "embeddings")
     pick = lambda words, i: F.element_at(F.array(*[F.lit(w) for w in words]), (i + 1).cast("int"))
     vec, kind = F.col("vec_id"), pick(TYPES, F.col("vec_id") % 4)
-    n = pick([POINTS[k] for k in TYPES], vec % 4)
+    n, divisor = pick([POINTS[k] for k in TYPES], vec % 4), pick([FOLDED[k] for k in TYPES], vec % 4)
     scale = F.when(vec % 11 == 0, 4.0).otherwise(1000.0)
     shift = F.when(F.col("label") == 9, 6000.0).otherwise(0.0)
-    pts = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
-        (F.floor(F.get("embedding", i * 2).cast("double") * scale).cast("double") + shift).alias("x"),
-        F.floor(F.get("embedding", i * 2 + 1).cast("double") * scale).cast("double").alias("y")))
+    folds = F.sequence(F.lit(0), F.ceil(F.size("embedding") / (n * 2)).cast("int") - 1)
+
+    def folded(at: Column) -> Column:
+        total = F.aggregate(folds, F.lit(0.0), lambda acc, j: acc + F.coalesce(F.floor(F.get("embedding", at + j * n * 2).cast("double") * scale).cast("double"), F.lit(0.0)))
+        return F.floor(total / divisor).cast("double")
+
+    pts = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct((folded(i * 2) + shift).alias("x"), folded(i * 2 + 1).alias("y")))
     return e.select(
         F.concat(F.lit("P"), (vec % 5).cast("string")).alias("plan_id"), vec.alias("row_id"), pick(LAYERS, F.col("label")).alias("layer"),
         kind.alias("entity_type"), pts.alias("points"), ((vec % 7 == 0) & (vec % 4 == 1)).alias("closed"),
