@@ -30,7 +30,7 @@ def _folded(at: int) -> str:
     return f"FLOOR(list_sum(list_transform(range(0, CAST(ceil(len(embedding) / (2 * np)) AS BIGINT)), lambda j: COALESCE({one}, 0))) / dv)"
 
 
-PTS = f"""e0 AS (SELECT vec_id AS row_id, 'P' || (vec_id % 5) AS plan_id, {sql_list(dr.LAYERS)}[label + 1] AS layer, {sql_list(dr.TYPES)}[vec_id % 4 + 1] AS entity_type,
+PTS = f"""e0 AS (SELECT vec_id AS row_id, 'P' || (vec_id // {dr.PLAN_SIZE}) AS plan_id, {sql_list(dr.LAYERS)}[label + 1] AS layer, {sql_list(dr.TYPES)}[vec_id % 4 + 1] AS entity_type,
   [{', '.join(str(dr.POINTS[k]) for k in dr.TYPES)}][vec_id % 4 + 1] AS np, [{', '.join(str(dr.FOLDED[k]) for k in dr.TYPES)}][vec_id % 4 + 1] AS dv, vec_id % 7 = 0 AND vec_id % 4 = 1 AS closed, CASE WHEN vec_id % 4 = 2 THEN CAST(vec_id % 180 AS DOUBLE) END AS arc_angle,
   CASE WHEN vec_id % 4 = 3 THEN 'B' || (vec_id % 3) END AS block_name, CASE WHEN vec_id % 9 = 0 THEN 'BLOC-PORTE' ELSE '' END AS source_block,
   CASE WHEN vec_id % 11 = 0 THEN 4.0::DOUBLE ELSE 1000.0::DOUBLE END AS sc, CASE WHEN label = 9 THEN 6000 ELSE 0 END AS sh, embedding FROM embeddings),

@@ -12,6 +12,8 @@ from ohmstead.sources.tables import texts
 LAYERS = ["MUR-EXT", "PORTE", "FENETRE-N", "COTES", "MOBILIER", "ESCALIER", "A-SUR-TOIT", "HACH", "CLOISON", "CARTOUCHE-X"]
 TYPES = ["LINE", "LWPOLYLINE", "ARC", "INSERT"]
 POINTS = {"LINE": 2, "LWPOLYLINE": 32, "ARC": 16, "INSERT": 4}
+#: Vectors of one plan, so that the number of plans grows with the table.
+PLAN_SIZE = 100
 #: Divisors that keep the coordinates of folded vectors in one range.
 FOLDED = {"LINE": 4, "LWPOLYLINE": 1, "ARC": 1, "INSERT": 2}
 LINEAR = ["LINE", "LWPOLYLINE", "POLYLINE", "ARC", "CIRCLE", "ELLIPSE", "SPLINE"]
@@ -78,7 +80,7 @@ def circle_points(cx: Column, cy: Column, radius: Column, n: int = 96) -> Column
 
 
 def entities(spark: SparkSession, sf: str) -> DataFrame:
-    """Vectors as polylines of whole-number points, five plans, far layers set apart.
+    """Vectors as polylines of whole-number points, ``PLAN_SIZE`` to a plan, far layers set apart.
 
     A vector with more components than its points need is folded: a coordinate sums every component whose
     place agrees with its own, so all of the vector counts.
@@ -97,7 +99,7 @@ def entities(spark: SparkSession, sf: str) -> DataFrame:
 
     pts = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct((folded(i * 2) + shift).alias("x"), folded(i * 2 + 1).alias("y")))
     return e.select(
-        F.concat(F.lit("P"), (vec % 5).cast("string")).alias("plan_id"), vec.alias("row_id"), pick(LAYERS, F.col("label")).alias("layer"),
+        F.concat(F.lit("P"), F.floor(vec / PLAN_SIZE).cast("string")).alias("plan_id"), vec.alias("row_id"), pick(LAYERS, F.col("label")).alias("layer"),
         kind.alias("entity_type"), pts.alias("points"), ((vec % 7 == 0) & (vec % 4 == 1)).alias("closed"),
         F.when(vec % 4 == 2, (vec % 180).cast("double")).alias("arc_angle"), F.when(vec % 4 == 3, F.concat(F.lit("B"), (vec % 3).cast("string"))).alias("block_name"),
         F.when(vec % 9 == 0, F.lit("BLOC-PORTE")).otherwise(F.lit("")).alias("source_block"),
