@@ -307,9 +307,9 @@ def cell_components(s, sf):
 _MAININ = "mi AS (SELECT *, '' AS fc FROM en)"
 
 
-@query("main_plan_rows", recursive(PTS, _MAININ, grid_cells("gc", "mi", 120, 1), components("cc", "gc", "plan_id"), strong_rows("st", "mi", "gc", "cc", PLAN_SCORE, 0.18)) + "SELECT plan_id, row_id FROM st")
+@query("main_plan_rows", recursive(PTS, _MAININ, grid_cells("gc", "mi", 700, 1), components("cc", "gc", "plan_id"), strong_rows("st", "mi", "gc", "cc", PLAN_SCORE, 0.18)) + "SELECT plan_id, row_id FROM st")
 def main_plan_rows(s, sf):
-    return en.main_plan(_geo(s, sf), PLAN, 120, 1)
+    return en.main_plan(_geo(s, sf), PLAN)
 
 
 _BASE = f"bm AS (SELECT *, {_in(R.hard_types)} OR {sql_any('blob', R.hard_words)} AS hd, '' AS fc FROM bl),\nmi AS (SELECT * FROM bm WHERE NOT hd AND NOT (length < 0.8 AND bbox_diag < 0.4) AND dcs <> 'drop')"
@@ -321,22 +321,22 @@ def _main_box(share: str) -> str:
     return f"mb0 AS (SELECT mi.plan_id, MIN(bbox_min_x) AS x0, MIN(bbox_min_y) AS y0, MAX(bbox_max_x) AS x1, MAX(bbox_max_y) AS y1 FROM mi SEMI JOIN st USING (plan_id, row_id) GROUP BY 1), mb AS (SELECT *, GREATEST(x1 - x0, y1 - y0, 1) AS md, GREATEST(x1 - x0, y1 - y0, 1) * {share}::DOUBLE AS mg FROM mb0)"
 
 
-@query("selected_entities", recursive(PTS, _BASE, grid_cells("gc", "mi", 120, 1), components("cc", "gc", "plan_id"), strong_rows("st", "mi", "gc", "cc", PLAN_SCORE, 0.18), _main_box("0.10")) + f"""
+@query("selected_entities", recursive(PTS, _BASE, grid_cells("gc", "mi", 700, 1), components("cc", "gc", "plan_id"), strong_rows("st", "mi", "gc", "cc", PLAN_SCORE, 0.18), _main_box("0.10")) + f"""
 , r AS (SELECT bm.plan_id, bm.row_id, hd, dcs, COALESCE(NOT hd AND {_NEAR} AND {_RTYPES} AND length >= 0.6 AND bbox_diag >= 0.35 AND length <= GREATEST(md + 2 * mg, 1) * 0.16::DOUBLE AND ({sql_any('blob', R.rescue_words)} OR dcs = 'drop'), false) AS rescued, st.row_id IS NOT NULL AS main
  FROM bm LEFT JOIN mb ON mb.plan_id = bm.plan_id LEFT JOIN st ON st.plan_id = bm.plan_id AND st.row_id = bm.row_id)
 SELECT plan_id, row_id, main OR rescued AS selected, rescued AS is_rescued_detail, hd AS hard_drop, dcs = 'drop' AS manual_drop FROM r""")
 def selected_entities(s, sf):
-    return en.select_entities(_geo(s, sf), dr.decisions(s), grid=120).select("plan_id", "row_id", "selected", "is_rescued_detail", "hard_drop", "manual_drop")
+    return en.select_entities(_geo(s, sf), dr.decisions(s)).select("plan_id", "row_id", "selected", "is_rescued_detail", "hard_drop", "manual_drop")
 
 
 _PHYSROWS = "mi AS (SELECT *, feature_class AS fc FROM ph WHERE feature_class <> 'noise' AND length >= 0.8 AND bbox_diag >= 0.5)"
 
 
-@query("component_clean", recursive(PTS, PHYS, _PHYSROWS, grid_cells("gc", "mi", 120, 1), components("cc", "gc", "plan_id"), strong_rows("st", "mi", "gc", "cc", CLASS_SCORE, 0.22), _main_box("0.055")) + f"""
+@query("component_clean", recursive(PTS, PHYS, _PHYSROWS, grid_cells("gc", "mi", 650, 1), components("cc", "gc", "plan_id"), strong_rows("st", "mi", "gc", "cc", CLASS_SCORE, 0.22), _main_box("0.055")) + f"""
 SELECT mi.plan_id, mi.row_id, feature_class, CASE WHEN feature_class IN ('wall', 'door', 'window', 'stairs') THEN feature_class ELSE 'detail' END AS render_class FROM mi JOIN mb ON mb.plan_id = mi.plan_id LEFT JOIN st ON st.plan_id = mi.plan_id AND st.row_id = mi.row_id
 WHERE st.row_id IS NOT NULL OR ({_NEAR} AND {_RTYPES} AND length >= 1.2 AND bbox_diag >= 0.8 AND length <= md * 0.18::DOUBLE)""")
 def component_clean(s, sf):
-    return en.component_clean(_geo(s, sf), dr.decisions(s), grid=120).select("plan_id", "row_id", "feature_class", "render_class")
+    return en.component_clean(_geo(s, sf), dr.decisions(s)).select("plan_id", "row_id", "feature_class", "render_class")
 
 
 _STRICT = """pr AS (SELECT * FROM ph WHERE feature_class IN ('wall', 'door', 'window', 'stairs') AND length >= 3 AND bbox_diag >= 2),
