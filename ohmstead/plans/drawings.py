@@ -354,18 +354,18 @@ def strict_clean(s, sf):
 @query("main_region")
 def main_region(s, sf):
     segs = _segs(s, sf)
-    r = rg.main_region(segs, PLAN, 200, 70, (4, 1), 1, 12, 7, 30, 20)
+    r = rg.main_region(segs, PLAN)
     return rg.crop(segs, r, PLAN, least=10).groupBy("plan_id").agg(F.count("*").alias("segments"), F.round(F.sum("length"), 3).alias("total_length"))
 
 
 @query("region_boxes")
 def region_boxes(s, sf):
-    return rg.main_region(_segs(s, sf), PLAN, 200, 70, (4, 1), 1, 12, 7, 30, 20)
+    return rg.main_region(_segs(s, sf), PLAN)
 
 
 @query("small_parts_dropped")
 def small_parts_dropped(s, sf):
-    left = rg.drop_small(_segs(s, sf), PLAN, 200, 70, 1, 20, 5, 5)
+    left = rg.drop_small(_segs(s, sf), PLAN)
     return left.groupBy("plan_id").agg(F.count("*").alias("segments"))
 
 
