@@ -27,7 +27,7 @@ _SPAN = re.compile(r"(?:^|\s)colspan\s*=\s*[\"']?(\d{1,3})", re.I)
 _BLANK = re.compile(r"[ \t\n\f\r]+")
 
 #: Fixed by the HTML standard.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID = frozenset("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template noscript iframe noembed noframes xmp".split())
 SILENT = frozenset("script style template head noscript iframe noembed noframes object svg math select datalist".split())
 BLOCK = frozenset("address article aside blockquote body center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr td th caption ul textarea".split())
@@ -38,6 +38,12 @@ IMPLIED = {
     "tr": ({"tr", "td", "th", "caption"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"table"}), "thead": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"table"}), "body": ({"head"}, set()),
+    "colgroup": ({"caption"}, {"table"}), "col": ({"caption"}, {"table"}),
+}
+#: Without their end tag these end before anything but blanks and what may stand in them.
+HOLDS = {
+    "head": frozenset("base basefont bgsound link meta title noscript noframes style script template".split()),
+    "colgroup": frozenset({"col", "template"}),
 }
 #: Tables inside cells are laid out as tables to this depth; deeper ones row by row, without recursion.
 NESTED = 24
@@ -75,7 +81,10 @@ def tree(page: str) -> Node:
 
     def add(text: str) -> None:
         if text:
-            stack[-1].kids.append(entities.unescape(text) if "&" in text else text)
+            text = entities.unescape(text) if "&" in text else text
+            if stack[-1].tag in HOLDS and not _BLANK.fullmatch(text):
+                cut(len(stack) - 1)
+            stack[-1].kids.append(text)
 
     at = 0
     while True:
@@ -98,6 +107,10 @@ def tree(page: str) -> Node:
                 if stack[i].tag in border:
                     break
             continue
+        if stack[-1].tag in HOLDS and tag not in HOLDS[stack[-1].tag]:
+            if tag == "html" or tag == "head" == stack[-1].tag:
+                continue
+            cut(len(stack) - 1)
         if tag in IMPLIED:
             close(*IMPLIED[tag])
         if tag in BLOCK and opened["p"]:

@@ -253,6 +253,19 @@ def test_html_hidden_by_attributes_only():
     assert html.rendered(page).split() == ["one", "two", "three", "nine"]
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<table><colgroup><col><col><tr><td>a<td>b<tr><td>c<td>d</table>", "a | b\nc | d"),
+    ("<table><colgroup> <col> <thead><tr><th>a</thead><tbody><tr><td>c</table>", "a\nc"),
+    ("<table><colgroup><col><td>a</table>z", "a\n\nz"),
+    ("<table><caption>c<colgroup><col><colgroup><col>loose<tr><td>a</table>", "c\na\nloose"),
+    ("<head><title>t</title><h1>a</h1><p>b", "a\n\nb"),
+    ("<html><head><html><head> <meta charset=x><basefont size=2><style>s</style><noscript>n</noscript><title>t</title>&nbsp;a<p>b", "\xa0a\n\nb"),
+    ("<head><title>t</title><script>s</script>\n</head><body>a", "a"),
+])
+def test_html_optional_end_tags(page, want):
+    assert html.rendered(page) == want
+
+
 def test_html_deep_and_long():
     assert html.rendered("<div>" * 20_000 + "x" + "</div>" * 20_000) == "x"
     assert "x" in html.rendered("<table><tr><td>" * 3_000 + "x")
