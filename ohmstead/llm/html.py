@@ -45,6 +45,8 @@ HOLDS = {
     "head": frozenset("base basefont bgsound link meta title noscript noframes style script template".split()),
     "colgroup": frozenset({"col", "template"}),
 }
+GROUPS = frozenset({"tbody", "thead", "tfoot"})
+CELLS = frozenset({"td", "th"})
 #: Tables inside cells are laid out as tables to this depth; deeper ones row by row, without recursion.
 NESTED = 24
 _SCOPE = frozenset({"table", "td", "th", "caption", "button", "html"})
@@ -79,6 +81,21 @@ def tree(page: str) -> Node:
         if found is not None:
             cut(found)
 
+    def in_table(tag: str) -> None:
+        """Closes what may not hold a row group, row or cell in a table, and opens the row a cell needs."""
+        for i in range(len(stack) - 1, 0, -1) if opened["table"] else ():
+            over = stack[i].tag
+            if over == "table" or over in GROUPS and tag not in GROUPS or over == "tr" and tag in CELLS:
+                cut(i + 1)
+                if tag in CELLS and over != "tr":
+                    start(Node("tr"))
+                return
+
+    def start(node: Node) -> None:
+        stack[-1].kids.append(node)
+        stack.append(node)
+        opened[node.tag] += 1
+
     def add(text: str) -> None:
         if text:
             text = entities.unescape(text) if "&" in text else text
@@ -113,23 +130,25 @@ def tree(page: str) -> Node:
             cut(len(stack) - 1)
         if tag in IMPLIED:
             close(*IMPLIED[tag])
+        if tag == "tr" or tag in CELLS or tag in GROUPS:
+            in_table(tag)
         if tag in BLOCK and opened["p"]:
             close({"p"}, _SCOPE)
         if tag == "a":
             close({"a"}, _SCOPE)
         node = Node(tag, m[3] or "")
-        stack[-1].kids.append(node)
         if tag in VOID or node.attrs.endswith("/") and tag not in BLOCK and tag not in RAW:
+            stack[-1].kids.append(node)
             continue
         if tag in RAW or tag in ("textarea", "title"):
+            stack[-1].kids.append(node)
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
             body = page[at : end.start()] if end else page[at:]
             if tag not in RAW:
                 node.kids.append(entities.unescape(body))
             at = end.end() if end else len(page)
             continue
-        stack.append(node)
-        opened[tag] += 1
+        start(node)
 
 
 class _Out:
@@ -182,17 +201,23 @@ def _hides(attrs: str) -> bool:
     return False
 
 
-def _rows(table: Node) -> list[Node]:
-    rows, todo = [], list(reversed(table.kids))
+def _parts(table: Node) -> tuple[list[Node], list[Node], list]:
+    """Captions and rows of a table, and all else in it and in its row groups but columns."""
+    captions, rows, loose, todo = [], [], [], list(reversed(table.kids))
     while todo:
         n = todo.pop()
         if isinstance(n, str):
-            continue
-        if n.tag == "tr":
+            loose.append(n)
+        elif n.tag == "tr":
             rows.append(n)
-        elif n.tag in ("tbody", "thead", "tfoot") and not _hides(n.attrs):
-            todo.extend(reversed(n.kids))
-    return rows
+        elif n.tag in GROUPS:
+            if not _hides(n.attrs):
+                todo.extend(reversed(n.kids))
+        elif n.tag == "caption":
+            captions.append(n)
+        elif n.tag not in ("colgroup", "col"):
+            loose.append(n)
+    return captions, rows, loose
 
 
 def _seen(n: Node) -> bool:
@@ -237,17 +262,16 @@ def _flat(node: Node, nest: int = 0) -> list[str]:
             if n.tag in BLOCK:
                 out.end(1 if n.tag in APART and not (n.tag in ("ul", "ol", "menu") and depth) else 0)
             if n.tag == "table" and nest < NESTED:
-                for c in n.kids:
-                    if not isinstance(c, str) and c.tag == "caption" and _seen(c):
+                loose = Node("div")
+                captions, rows, loose.kids = _parts(n)
+                for c in captions:
+                    if _seen(c):
                         for line in _flat(c, nest + 1):
                             out.line.append(line)
                             out.end()
-                rows = [r for r in _rows(n) if _seen(r)]
-                for line in _grid(rows, nest + 1):
+                for line in _grid([r for r in rows if _seen(r)], nest + 1):
                     out.line.append(line)
                     out.end()
-                loose = Node("div")
-                loose.kids = [k for k in n.kids if isinstance(k, str) or k.tag not in ("tr", "tbody", "thead", "tfoot", "caption", "colgroup", "col")]
                 todo.append(("end", n, depth, pre))
                 todo.append(("kids", loose, depth, pre))
                 continue
@@ -280,7 +304,10 @@ def _grid(rows: list[Node], nest: int) -> list[str]:
                 if c.strip():
                     line.append(" ".join(c.split()))
             elif _seen(c):
-                line.append(" ".join(x.strip() for x in _flat(c, nest) if x.strip()))
+                cell = " ".join(x.strip() for x in _flat(c, nest) if x.strip())
+                if not cell and c.tag not in CELLS:
+                    continue
+                line.append(cell)
                 span = _SPAN.search(c.attrs)
                 line.extend([""] * (min(int(span[1]), 100) - 1 if span else 0))
         if any(line):

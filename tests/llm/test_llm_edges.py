@@ -266,6 +266,22 @@ def test_html_optional_end_tags(page, want):
     assert html.rendered(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<table><tbody><td>A<td>B</tbody></table>", "A | B"),
+    ("<table><td>A<th>B<tr><td>longer<td>C</table>", "A      | B\nlonger | C"),
+    ("<table><tbody><form><tr><td>A<td>B</tr><tr><td>C</tr></form></tbody></table>z", "A | B\nC\n\nz"),
+    ("<table><tbody>text<div>block</div><tr><td>A</tbody></table>", "A\ntext\nblock"),
+    ("<table><tfoot><tr><td>A</tr><p>one<p>two</tfoot></table>", "A\n\none\n\ntwo"),
+    ("<table><tr><div><td>A</td></div><td>B</table>", "A | B"),
+    ("<table><tbody hidden>no<td>no</tbody><tbody>yes</table>", "yes"),
+    ("<table><form><tbody><tr><td>A<td>B</tbody></form></table>", "A | B"),
+    ("<table><tr><td>A<table><td>B<td>C</table><td>D</table>", "A B | C | D"),
+    ("<table><thead><caption>cap</caption><tr><td>A</table>", "cap\nA"),
+])
+def test_html_row_groups(page, want):
+    assert html.rendered(page) == want
+
+
 def test_html_deep_and_long():
     assert html.rendered("<div>" * 20_000 + "x" + "</div>" * 20_000) == "x"
     assert "x" in html.rendered("<table><tr><td>" * 3_000 + "x")
