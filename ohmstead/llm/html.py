@@ -18,8 +18,12 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']+|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+# An attribute: a quote opens a quoted value only right after '='; elsewhere it is an ordinary character.
+_NAME = r"(?:=|[^ \t\n\f\r/>=])[^ \t\n\f\r/>=]*+"
+_VALUE = r"[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^ \t\n\f\r>\"'][^ \t\n\f\r>]*+)|(?=>)|\Z)"
+_ATTR = re.compile(rf"({_NAME})(?:{_VALUE})?+")
+_ATTRS = rf"(?:[ \t\n\f\r/]++|{_NAME}(?:{re.sub(r'\((?!\?)', '(?:', _VALUE)})?+)*+"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)({_ATTRS})(?:>|\Z)", re.S)
 _MAY_HIDE = re.compile(r"hidden|none", re.I)
 _UNSEEN = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 _START = re.compile(r"(?:^|\s)start\s*=\s*[\"']?(-?\d{1,9})", re.I)
@@ -255,9 +259,9 @@ def _flat(node: Node, nest: int = 0) -> list[str]:
                     out.end()
                 continue
             if n.tag == "img":
-                alt = re.search(r"(?:^|\s)alt\s*=\s*(?:\"([^\"]*)\"|'([^']*)')", n.attrs)
+                alt = next((m for m in _ATTR.finditer(n.attrs) if m[1].lower() == "alt"), None)
                 if alt:
-                    out.text(" " + entities.unescape(alt[1] or alt[2] or "") + " ")
+                    out.text(" " + entities.unescape(alt[2] or alt[3] or alt[4] or "") + " ")
                 continue
             if n.tag in BLOCK:
                 out.end(1 if n.tag in APART and not (n.tag in ("ul", "ol", "menu") and depth) else 0)

@@ -282,6 +282,29 @@ def test_html_row_groups(page, want):
     assert html.rendered(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<a title=it's>text</a> more, don't <b>stop</b>", "text more, don't stop"),
+    ('<img alt="x"">one <b>two</b> "three"', 'x one two "three"'),
+    ("<p class='a''>one</p class='>two</p>'>three", "one\n\nthree"),
+    ('<a href=x?a="b>one</a> "two"', 'one "two"'),
+    ('<a ="b>one</a> "two"', 'one "two"'),
+    ('<a b = = "c>one</a> "two"', 'one "two"'),
+    ('<a b=>one</a> "two"', 'one "two"'),
+    ('<p title = "a > b" class=\'c > d\'>one', "one"),
+    ('<p title=">"hidden>no</p>one', "one"),
+    ("<p a\"hidden>one", "one"),
+    ("<img title=\"no alt='no'\" alt=yes>", "yes"),
+])
+def test_html_stray_quotes(page, want):
+    assert html.rendered(page) == want
+
+
+def test_html_many_quotes():
+    assert html.rendered("<a b='" * 200_000) == ""
+    assert html.rendered("<a " + "\"' " * 200_000 + ">x") == "x"
+    assert html.rendered("<a " + "b " * 400_000 + " " * 400_000) == ""
+
+
 def test_html_deep_and_long():
     assert html.rendered("<div>" * 20_000 + "x" + "</div>" * 20_000) == "x"
     assert "x" in html.rendered("<table><tr><td>" * 3_000 + "x")
