@@ -4,7 +4,7 @@ A tree is built with implied tags and every visible text is emitted: blocks stan
 carry marks or numbers and an indent, table cells are padded to columns.
 
 Hidden and left out: ``script``, ``style``, ``template``, ``head`` (but not a title in the body),
-comments, elements with the ``hidden`` attribute, ``aria-hidden="true"`` or a style with
+``noscript``, ``iframe``, ``noembed``, ``noframes``, ``datalist``, comments, elements with the ``hidden`` attribute, ``aria-hidden="true"`` or a style with
 ``display:none`` or ``visibility:hidden``. A null page gives a null text, an empty page an empty one;
 unknown, unclosed and misplaced tags never raise, and elements may nest to any depth.
 """
@@ -33,12 +33,18 @@ _BLANK = re.compile(r"[ \t\n\f\r]+")
 #: Fixed by the HTML standard.
 VOID = frozenset("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template noscript iframe noembed noframes xmp".split())
-SILENT = frozenset("script style template head noscript iframe noembed noframes object svg math select datalist".split())
-BLOCK = frozenset("address article aside blockquote body center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr td th caption ul textarea".split())
-APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure menu".split())
+SILENT = frozenset("script style template head noscript iframe noembed noframes datalist".split())
+BLOCK = frozenset("address article aside blockquote body center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr td th caption ul textarea xmp".split())
+APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure menu xmp".split())
+#: Drawn on lines of their own, apart from their neighbours, and with their parts apart, though not blocks.
+LISTED = frozenset({"option", "optgroup"})
+PLACED = frozenset({"text", "mtr", "mtd"})
+STACKED = frozenset("mfrac mroot msub msup msubsup munder mover munderover mmultiscripts".split())
+#: In these, a slash ends any element, and marked sections are text.
+FOREIGN = ("svg", "math")
 #: An opening tag closes these open elements, up to a border.
 IMPLIED = {
-    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
+    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"}),
     "tr": ({"tr", "td", "th", "caption"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"table"}), "thead": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"table"}), "body": ({"head"}, set()),
@@ -101,8 +107,10 @@ def tree(page: str) -> Node:
         opened[node.tag] += 1
 
     def add(text: str) -> None:
+        raw(entities.unescape(text) if "&" in text else text)
+
+    def raw(text: str) -> None:
         if text:
-            text = entities.unescape(text) if "&" in text else text
             if stack[-1].tag in HOLDS and not _BLANK.fullmatch(text):
                 cut(len(stack) - 1)
             stack[-1].kids.append(text)
@@ -116,6 +124,10 @@ def tree(page: str) -> Node:
         add(page[at : m.start()])
         at = m.end()
         if not m[2]:
+            if m[0].startswith("<![CDATA[") and any(opened[t] for t in FOREIGN):
+                end = page.find("]]>", m.start())
+                raw(page[m.start() + 9 : end if end >= 0 else len(page)])
+                at = end + 3 if end >= 0 else len(page)
             continue
         tag = m[2].lower()
         if m[1]:
@@ -141,15 +153,15 @@ def tree(page: str) -> Node:
         if tag == "a":
             close({"a"}, _SCOPE)
         node = Node(tag, m[3] or "")
-        if tag in VOID or node.attrs.endswith("/") and tag not in BLOCK and tag not in RAW:
+        if tag in VOID or node.attrs.endswith("/") and (any(opened[t] for t in FOREIGN) or tag not in BLOCK and tag not in RAW):
             stack[-1].kids.append(node)
             continue
         if tag in RAW or tag in ("textarea", "title"):
             stack[-1].kids.append(node)
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
             body = page[at : end.start()] if end else page[at:]
-            if tag not in RAW:
-                node.kids.append(entities.unescape(body))
+            if tag not in SILENT:
+                node.kids.append(entities.unescape(body) if tag not in RAW else body)
             at = end.end() if end else len(page)
             continue
         start(node)
@@ -250,6 +262,8 @@ def _flat(node: Node, nest: int = 0) -> list[str]:
             out.end(1 if n.tag in APART and not (n.tag in ("ul", "ol", "menu") and depth) else 0)
             if n.tag in ("ul", "ol", "menu"):
                 counters.pop()
+        elif what == "apart":
+            out.text(" ")
         elif what == "kids":
             for k in reversed(n.kids):
                 todo.append(("text", k, depth, pre) if isinstance(k, str) else ("node", k, depth, pre))
@@ -292,9 +306,18 @@ def _flat(node: Node, nest: int = 0) -> list[str]:
                     counters[-1][1] += 1
                 out.line.append("  " * max(0, depth - 1) + mark)
                 out.space = False
-            if n.tag in BLOCK:
+            if n.tag in LISTED:
+                out.end()
+            if n.tag in BLOCK or n.tag in LISTED:
                 todo.append(("end", n, depth, pre))
-            todo.append(("kids", n, depth, pre or n.tag in ("pre", "textarea")))
+            elif n.tag in PLACED:
+                out.text(" ")
+                todo.append(("apart", n, depth, pre))
+            elif n.tag in STACKED:
+                for k in reversed(n.kids):
+                    todo.extend([("apart", n, depth, pre), ("text" if isinstance(k, str) else "node", k, depth, pre)])
+                continue
+            todo.append(("kids", n, depth, pre or n.tag in ("pre", "textarea", "xmp")))
     return out.done()
 
 

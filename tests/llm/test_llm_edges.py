@@ -305,6 +305,20 @@ def test_html_many_quotes():
     assert html.rendered("<a " + "b " * 400_000 + " " * 400_000) == ""
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p>Pick <select><optgroup label=g><option>one<option selected>two<optgroup><option>three</select> now</p>after", "Pick\none\ntwo\nthree\nnow\n\nafter"),
+    ("<p>so <math><mfrac><mn>1</mn><mn>2</mn></mfrac><mo>+</mo><mi>x</mi></math>.</p>", "so 1 2 +x."),
+    ("<math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr><mtr><mtd>3</mtd></mtr></mtable></math>", "1 2 3"),
+    ("<svg><script href=a /><style>no</style><path d='m'/><text>A &amp; B</text><text>C<tspan>D</tspan></text><text><![CDATA[a > <b>]]></text></svg> end", "A & B CD a > <b> end"),
+    ("<object data=x><param name=a>fall <b>back</b></object>", "fall back"),
+    ("a<xmp><b>x</b> &amp;\n  y</xmp>c", "a\n\n<b>x</b> &amp;\n  y\n\nc"),
+    ("<datalist id=d><option>no</datalist><noscript>no</noscript><iframe>no</iframe><noembed>no</noembed><noframes>no</noframes>yes", "yes"),
+    ("<select hidden><option>no</select><svg style='display:none'><text>no</text></svg>yes", "yes"),
+])
+def test_html_drawn_elements(page, want):
+    assert html.rendered(page) == want
+
+
 def test_html_deep_and_long():
     assert html.rendered("<div>" * 20_000 + "x" + "</div>" * 20_000) == "x"
     assert "x" in html.rendered("<table><tr><td>" * 3_000 + "x")
