@@ -45,10 +45,11 @@ def first_known(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[s
     )
 
 
-def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
-    """Top-n report per key; the rank filter is also applied before the shuffle by Spark."""
+def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int | None, rank: str = "rank") -> DataFrame:
+    """Top-n report per key, of all rows when ``n`` is None; the rank filter is also applied before the shuffle by Spark."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
+    ranked = df.withColumn(rank, F.row_number().over(w))
+    return ranked if n is None else ranked.where(F.col(rank) <= n)
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], side: int = 32) -> DataFrame:

@@ -432,7 +432,7 @@ _SNIP = "sn AS (SELECT page_id, rn, type, CASE WHEN " + _REQ + " THEN 'request'
 
 @query("page_snippets", with_(BLK, _PARTS, _SNIP) + "SELECT page_id, type, kind, text FROM sn")
 def page_snippets(s, sf):
-    x = sealed(_with_parts(s, sf).select("page_id", rt.snippets(F.col("parts"), ["the", "les", "token"]).alias("_e"))).select("page_id", F.explode("_e").alias("e"))
+    x = sealed(_with_parts(s, sf).select("page_id", rt.snippets(F.col("parts"), ["the", "les", "token"], 14, 900).alias("_e"))).select("page_id", F.explode("_e").alias("e"))
     return x.select("page_id", "e.type", "e.kind", "e.text")
 
 
@@ -448,7 +448,7 @@ FROM pb JOIN bk_def USING (bucket) LEFT JOIN qs ON qs.section = pb.section AND q
 
 @query("evidence_blocks", with_(BLK, PTXT, _HITS, _EVB))
 def evidence_blocks(s, sf):
-    x = rt.evidence_block(_ranked(s, sf), _with_parts(s, sf), ["section"], ALL_BUCKETS)
+    x = rt.evidence_block(_ranked(s, sf), _with_parts(s, sf), ["section"], ALL_BUCKETS, 14, 900, 30)
     return x.select("section", "bucket", F.md5("evidence").alias("digest"))
 
 
@@ -660,7 +660,7 @@ def snippet_classes(s, sf):
 r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY doc_id, topic, CASE WHEN topic IS NULL THEN 'unassigned' ELSE class END ORDER BY pos) AS rank FROM c WHERE class <> 'empty')
 SELECT doc_id, CAST(pos AS INTEGER) AS pos, page_id, text, class, topic, CAST(rank AS INTEGER) AS rank FROM r WHERE (topic IS NULL AND rank <= 40) OR rank <= 12""")
 def evidence_pack(s, sf):
-    return rp.evidence_pack(_items(s, sf), ["doc_id"], TOPICS).select("doc_id", "pos", "page_id", "text", "class", "topic", "rank")
+    return rp.evidence_pack(_items(s, sf), ["doc_id"], TOPICS, 12, 40).select("doc_id", "pos", "page_id", "text", "class", "topic", "rank")
 
 
 @query("evidence_digest", with_(LINES, _EVT) + """
@@ -669,7 +669,7 @@ g AS (SELECT *, o // 100000 AS doc_id, ROW_NUMBER() OVER (PARTITION BY source OR
 l AS (SELECT g.source, page_rank, g.page_id, title, ROW_NUMBER() OVER (PARTITION BY g.source, g.page_id ORDER BY pos) AS line_rank, substr(text, 1, 240) AS line FROM g JOIN p ON p.source = g.source AND p.page_id = g.page_id AND p.doc_id = g.doc_id WHERE page_rank <= 20)
 SELECT source, CAST(page_rank AS INTEGER) AS page_rank, page_id, title, CAST(line_rank AS INTEGER) AS line_rank, line FROM l WHERE line_rank <= 12""")
 def evidence_digest(s, sf):
-    return rp.digest(_items(s, sf), ["source"], "doc_id")
+    return rp.digest(_items(s, sf), ["source"], "doc_id", 20, 12, 240)
 
 
 @query("proof_trace", """

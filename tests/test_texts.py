@@ -106,6 +106,31 @@ def test_slots_merge_by_similarity(spark):
     assert out == {"MP01_S01": ["ONE"], "MP01_S02": ["THREE", "TWO"]}
 
 
+def test_evidence_is_whole_without_caps(spark):
+    text = "the " + "long " * 300
+    parts = spark.createDataFrame([("p", "T", [("paragraph", f"{i} {text}") for i in range(20)] + [("paragraph", f"the {i}?") for i in range(40)])], "page_id string, title string, parts array<struct<type:string,text:string>>")
+    got = parts.select(rt.snippets(F.col("parts"), ["the"]).alias("a"), rt.snippets(F.col("parts"), ["the"], 14, 900).alias("b")).first()
+    assert [r.text for r in got.a] == [f"{i} {text}".strip() for i in range(20)] + [f"the {i}?" for i in range(40)]
+    assert [r.text for r in got.b] == [f"{i} {text}".strip()[:900] for i in range(14)]
+    routed = spark.createDataFrame([("s", "B", "p", 1, 9)], "section string, bucket string, page_id string, rank int, hits int")
+    block = rt.evidence_block(routed, parts, ["section"], [rt.Bucket("B", 1, ("the",))]).first().evidence
+    assert block.count("- Question: ") == 40 and block.count("long") == 20 * 300
+    assert rt.evidence_block(routed, parts, ["section"], [rt.Bucket("B", 1, ("the",))], 60, 900, 30).first().evidence.count("- Question: ") == 30
+
+
+def test_pack_and_digest_are_whole_without_caps(spark):
+    rows = [("r", 1, i, "p", f"{'Contexte' if i % 2 else 'Rien'} est {'x' * 300} {i}", str(i // 60), "t") for i in range(1800)]
+    items = spark.createDataFrame(rows, "r string, doc_id int, pos int, kind string, text string, page_id string, page_title string")
+    counts = lambda df: {k["topic"]: k["count"] for k in df.groupBy("topic").count().collect()}
+    assert counts(rp.evidence_pack(items, ["r"], ["Contexte site"])) == {None: 900, "Contexte site": 900}
+    assert counts(rp.evidence_pack(items, ["r"], ["Contexte site"], 12, 40)) == {None: 40, "Contexte site": 12}
+    assert counts(rp.evidence_pack(items, ["r"], ["Contexte site"], 50, 40)) == {None: 40, "Contexte site": 50}
+    assert counts(rp.evidence_pack(items, ["r"], ["Contexte site"], 12)) == {None: 900, "Contexte site": 12}
+    assert sorted(r.line for r in rp.digest(items, ["r"], "doc_id").collect()) == sorted(x[4] for x in rows)
+    cut = rp.digest(items, ["r"], "doc_id", 20, 12, 240).collect()
+    assert len(cut) == 240 and {len(r.line) for r in cut} == {240}
+
+
 def test_greedy_rounds_equal_plain_greedy(spark):
     import random
 
