@@ -714,6 +714,6 @@ def ridge_forecast(s, sf):
 
 @query("boosted_evaluation")
 def boosted_evaluation(s, sf):
-    cfg = learn.Settings(model="gbt", depth=4, rounds=10)
+    cfg = learn.Settings(model="gbt")
     _, scored = learn.train_and_score(_site_with_infos(s, sf), t.weather_records(s, sf), "site", t.SITE, "elecTotalKwh", cfg)
     return metrics.errors(scored, t.SITE, ["n", "MAE", "RMSE", "WAPE", "Bias", "R2"])

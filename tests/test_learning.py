@@ -109,3 +109,17 @@ def test_all_targets_are_trained_saved_and_scored(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "eval_preds"))
     assert {r.target for r in out.select("target").distinct().collect()} == {"waterM3", "indoorTempDegC"}
     assert not learn.load_fitted(spark, str(tmp_path / "models"), "site", "indoorTempDegC").log1p
+
+
+def test_boosted_query_fits_the_full_model(spark, data, monkeypatch):
+    from ohmstead.plans import consumption
+
+    seen = []
+
+    def fitted(hist, weather, level, ids, target, cfg):
+        seen.append(cfg)
+        return None, spark.createDataFrame([(1, 2.0, 1.0)], "siteId long, y_true double, y_pred double")
+
+    monkeypatch.setattr(learn, "train_and_score", fitted)
+    consumption.boosted_evaluation(spark, data)
+    assert seen == [learn.Settings(model="gbt")] and (seen[0].depth, seen[0].rounds) == (8, 350)
