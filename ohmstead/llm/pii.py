@@ -1,7 +1,8 @@
-"""Personal data: patterns propose spans, checksums confirm them, words before them adjust the score.
+"""Personal data: patterns propose spans, checksums confirm them, words near them adjust the score.
 
 Base kinds (email, ip, card, phone) stay whatever their score. Added kinds: ``iban``, confirmed by its
-mod-97 checksum, and ``ssn``, which has no checksum and counts only with a context word before it.
+mod-97 checksum, unbroken or in groups with single blanks or hyphens, and ``ssn``, which has no checksum and
+counts only with a context word before or after it.
 All work is done by built-in expressions on the row that holds the text: no shuffle, no Python.
 
 Null text counts as empty and has no spans; repeated rows have equal results; an empty table gives no
@@ -21,16 +22,24 @@ from ohmstead.operators.keyed import sealed
 BASE = ["email", "ip", "card", "phone"]
 ADDED = ["iban", "ssn"]
 
+#: Account number lengths by country, fixed by the IBAN registry; they tell where a number printed in groups ends.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_GROUPED = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:[\\x20-]?+[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+
 # Fixed patterns. A match starts at the head of its run or where the last match ended.
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}+(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:(?:{_GROUPED})(?![A-Za-z0-9])|[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}+(?![A-Za-z0-9]))",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
-#: Fixed words, before a span, that speak for its kind, and the score of a confirmed span without them.
+#: Fixed words, before or after a span, that speak for its kind, and the score of a confirmed span without them.
 CONTEXT = {
     "email": ("(?i)mail|contact|write", 0.9), "ip": ("(?i)\\bip\\b|address|host|server", 0.6), "card": ("(?i)card|visa|master|pay", 0.8),
     "phone": ("(?i)phone|call|tel|mobile|fax", 0.7), "iban": ("(?i)iban|bank|account|transfer", 0.9), "ssn": ("(?i)ssn|social|security", 0.3),
@@ -68,7 +77,7 @@ def _confirmed(kind: str, s: Column) -> Column:
     if kind == "phone":
         return F.length(_digits(value)).between(9, 15)
     if kind == "iban":
-        return mod97(value)
+        return mod97(F.regexp_replace(value, r"[\x20-]", ""))
     if kind == "ssn":
         return ~value.rlike("^(?:000|666|9)|-00-|-0000$")
     return F.lit(True)
@@ -87,7 +96,8 @@ def _scored(kind: str, text: Column) -> Column:
     def score(s: Column) -> Column:
         near = F.greatest(s["start"] - NEAR, F.lit(0))
         before = text.substr(near + 1, s["start"] - near)
-        value = F.when(before.rlike(words), F.lit(min(1.0, plain + 0.4))).otherwise(F.lit(plain))
+        after = text.substr(s["end"] + 1, F.lit(NEAR))
+        value = F.when(before.rlike(words) | after.rlike(words), F.lit(min(1.0, plain + 0.4))).otherwise(F.lit(plain))
         return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), value.alias("score"))
 
     scored = F.transform(good, score)

@@ -81,6 +81,17 @@ def test_pii_added_kinds(spark):
     assert [text[s.start : s.end] for s in r.ssn] == ["123-45-6789", "123-45-6789"]
 
 
+def test_pii_grouped_ibans_and_words_after(spark):
+    ibans = ["DE89 3704 0044 0532 0130 00", "ES91-2100-0418-4502-0005-1332", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"]
+    texts = [f"{v} {tail}" for v in ibans for tail in ("BIC COBADEFF", "PLUS 2023", "00", "")] + ["DE89 3704 0044 0532 0130 01 DE89  3704 0044 0532 0130 00 ADE89 3704 0044 0532 0130 00"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: [s.value for s in r.iban] for r in pii.detect(docs).select("row.doc_id", "iban").collect()}
+    assert [got[i] for i in range(17)] == [[v] for v in ibans for _ in range(4)] + [[]]
+    assert [r.text for r in pii.redact(docs.where("doc_id < 4")).orderBy("doc_id").collect()] == ["[IBAN] BIC COBADEFF", "[IBAN] PLUS 2023", "[IBAN] 00", "[IBAN] "]
+    ssn = spark.createDataFrame([(1, "123-45-6789 (SSN)"), (2, "123-45-6789" + " " * 60 + "SSN")], "doc_id bigint, text string")
+    assert {r.doc_id: len(r.ssn) for r in pii.detect(ssn).select("row.doc_id", "ssn").collect()} == {1: 1, 2: 0}
+
+
 def test_masking_overlaps(spark):
     df = spark.createDataFrame([("mail 4111111111111111@x.org now", )], "text string")
     assert pii.redact(df).first().text == "mail [EMAIL] now" or "4111" not in pii.redact(df).first().text
