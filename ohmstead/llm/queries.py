@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ohmstead.llm import bitpack, chat, common, html, jaccard, mix, pack, pii, rules, secrets, spans, topk
+from ohmstead.llm import bitpack, chat, common, html, jaccard, mix, pack, pii, rules, secrets, shards, spans, topk
 from ohmstead.plans.registry import Catalogue
 
 CAT = Catalogue()
@@ -141,3 +141,36 @@ FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """.replace(' COLLATE "C"', ""))
 def source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix.mix(table(spark, sf, "documents"), carry=False).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _crc_table() -> str:
+    """The byte table of CRC-32 as an SQL list, from its polynomial."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in table]
+    return f"{table}::BIGINT[]"
+
+
+@CAT.query("op11_sharding", r"""
+WITH RECURSIVE b AS (
+  SELECT doc_id, coalesce(text, '') AS t, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'text|' || coalesce(text, ''))), 1, 15) AS UHUGEINT) AS key,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes
+  FROM documents),
+d AS (
+  SELECT doc_id, key, CAST(strlen(t) + 1 AS BIGINT) AS size,
+    CAST(xor(list_reduce(bytes, lambda c, x: xor(c >> 8, (CRC)[(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS BIGINT) AS text_crc32
+  FROM b),
+-- a jump goes on while it lands below the number of shards; the last place it held is the shard
+k AS (SELECT DISTINCT key, n FROM d, (VALUES (16), (17)) v(n)),
+j AS (
+  SELECT key, n, key AS state, 0::BIGINT AS shard, 0::BIGINT AS ahead FROM k
+  UNION ALL
+  SELECT key, n, s, ahead, CAST(floor((ahead + 1) * (2147483648.0::DOUBLE / (CAST(s // 8589934592 AS DOUBLE) + 1))) AS BIGINT)
+  FROM (SELECT key, n, ahead, (state * 2862933555777941757::UHUGEINT + 1::UHUGEINT) % 18446744073709551616::UHUGEINT AS s FROM j WHERE ahead < n)),
+f AS (SELECT key, n, max(shard) AS shard FROM j GROUP BY ALL)
+SELECT d.doc_id, d.size, d.text_crc32, 'key' AS law, CAST(a.shard AS INT) AS shard, CAST(b.shard AS INT) AS grown_shard,
+  row_number() OVER (PARTITION BY a.shard ORDER BY d.doc_id NULLS FIRST, d.text_crc32, d.size) - 1 AS slot
+FROM d JOIN f a ON a.key = d.key AND a.n = 16 JOIN f b ON b.key = d.key AND b.n = 17
+""".replace("CRC", _crc_table(), 1))
+def sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return shards.assign(table(spark, sf, "documents"), 16)
