@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ohmstead.llm import bitpack, chat, common, html, jaccard, mix, pack, pii, rules, secrets, shards, spans, topk
+from ohmstead.llm import bitpack, chat, common, html, jaccard, lexical, mix, pack, pii, rules, secrets, shards, spans, stripes, topk
 from ohmstead.plans.registry import Catalogue
 
 CAT = Catalogue()
@@ -174,3 +174,51 @@ FROM d JOIN f a ON a.key = d.key AND a.n = 16 JOIN f b ON b.key = d.key AND b.n
 """.replace("CRC", _crc_table(), 1))
 def sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shards.assign(table(spark, sf, "documents"), 16)
+
+
+@CAT.query("op12_collocations", r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, range(1, 5) t(size))),
+f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
+c AS MATERIALIZED (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 30),
+two AS MATERIALIZED (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:size], ' ') AS rest FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+one AS MATERIALIZED (SELECT two.*, f.f AS l FROM two JOIN f ON f.lang = two.lang AND f.phrase = two.first),
+cut AS (SELECT one.*, f.f AS r, CAST((2000000::HUGEINT * a) // (l + f.f) AS BIGINT) AS score FROM one JOIN f ON f.lang = one.lang AND f.phrase = one.rest),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+part AS (SELECT lang, w, a, size, unnest(range(2, size)) AS n FROM c WHERE size > 2),
+inner_ AS (SELECT lang, array_to_string(w[i:i + n - 1], ' ') AS phrase, max(a) AS longer FROM (SELECT *, unnest(range(1, size - n + 2)) AS i FROM part) GROUP BY ALL),
+kept AS (
+  SELECT low.* FROM low LEFT JOIN inner_ USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang)
+SELECT lang, CAST(row_number() OVER o AS BIGINT) AS rank, phrase, a, l, r, n, score FROM kept JOIN n USING (lang)
+WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER o <= 2000
+""")
+def collocations(spark: SparkSession, sf: str) -> DataFrame:
+    found = stripes.best(stripes.mine(table(spark, sf, "documents")), 2000)
+    return found.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
+@CAT.query("op13_lexical_search", r"""
+WITH t AS (
+  SELECT doc_id, rid, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS text FROM documents)),
+c AS (SELECT count(*) AS nn, CAST(sum(len(w)) AS BIGINT) AS ll FROM t WHERE len(w) > 0),
+tf AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, len(w) AS n, unnest(w) AS term FROM t) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL),
+v AS (
+  SELECT rid, doc_id, tf.term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * df + 1))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * nn) // ll)))) AS value
+  FROM tf JOIN df ON df.term = tf.term, c WHERE tf.term IN (SELECT term FROM q)),
+s AS (SELECT item_id, rid, doc_id, CAST(sum(times * value) AS BIGINT) AS score FROM q JOIN v ON v.term = q.term GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER o AS INT) AS rank, doc_id, score FROM s WHERE score > 0
+WINDOW o AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER o <= 20
+""")
+def lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), 20)
