@@ -8,12 +8,12 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ohmstead.operators import enrich, series
+from ohmstead.operators import boost, enrich, series
 from ohmstead.operators.keyed import exact_quantiles, keep_one, small_side
 from ohmstead.session import cut_lineage
 
@@ -46,15 +46,19 @@ class Fitted:
     modes: dict[str, str]
     medians: dict[str, float]
     valid_days: int
-    model: PipelineModel | None = field(default=None, repr=False)
+    model: PipelineModel | boost.Boosted | None = field(default=None, repr=False)
 
     def metadata(self, spark: SparkSession) -> DataFrame:
         """One row that tells how the target was trained."""
-        row = (self.level, self.target, self.features, self.cat_columns, self.log1p, json.dumps(self.modes), json.dumps(self.medians), self.valid_days)
-        return spark.createDataFrame([row], "level string, target string, features array<string>, cat_columns array<string>, log1p boolean, modes string, medians string, valid_days int")
+        kind = "gbt" if isinstance(self.model, boost.Boosted) else "ridge"
+        row = (self.level, self.target, self.features, self.cat_columns, self.log1p, json.dumps(self.modes), json.dumps(self.medians), self.valid_days, kind)
+        return spark.createDataFrame([row], "level string, target string, features array<string>, cat_columns array<string>, log1p boolean, modes string, medians string, valid_days int, kind string")
 
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/{self.level}_{self.target}")
+        if isinstance(self.model, boost.Boosted):
+            self.model.save(f"{path}/{self.level}_{self.target}")
+        else:
+            self.model.write().overwrite().save(f"{path}/{self.level}_{self.target}")
         self.metadata(SparkSession.active()).write.mode("overwrite").json(f"{path}/{self.level}_{self.target}.meta")
 
 
@@ -62,7 +66,7 @@ def load_fitted(spark: SparkSession, path: str, level: str, target: str) -> Fitt
     m = spark.read.json(f"{path}/{level}_{target}.meta").first()
     return Fitted(
         level, target, list(m.features), list(m.cat_columns), m.log1p, json.loads(m.modes), json.loads(m.medians),
-        int(m.valid_days), PipelineModel.load(f"{path}/{level}_{target}"),
+        int(m.valid_days), boost.Boosted.load(spark, f"{path}/{level}_{target}") if m.kind == "gbt" else PipelineModel.load(f"{path}/{level}_{target}"),
     )
 
 
@@ -153,6 +157,10 @@ def fit(train: DataFrame, level: str, ids: Sequence[str], target: str, cfg: Sett
     if not stats["_n"]:
         return None
     f = Fitted(level, target, feats, cats, use_log, modes(train, cats), medians(train, nums), cfg.valid_days)
+    if cfg.model == "gbt":
+        frame = boost.Frame(cut_lineage(_impute(train.withColumn("_y", y), f)), [f"_c_{c}" for c in cats], [f"_n_{c}" for c in nums])
+        f.model = boost.fit({target: frame}, boost.Shape(cfg.depth, cfg.rate, cfg.rounds))[target]
+        return f
     stages = []
     if cats:
         stages.append(StringIndexer(inputCols=[f"_c_{c}" for c in cats], outputCols=[f"_i_{c}" for c in cats], handleInvalid="keep"))
@@ -161,8 +169,6 @@ def fit(train: DataFrame, level: str, ids: Sequence[str], target: str, cfg: Sett
     if cfg.model == "ridge":
         reg = cfg.alpha / stats["_n"] * (stats["_sd"] or 1.0)
         stages.append(LinearRegression(featuresCol="_x", labelCol="_y", predictionCol="_p", elasticNetParam=0.0, standardization=False, regParam=reg, solver="auto"))
-    elif cfg.model == "gbt":
-        stages.append(GBTRegressor(featuresCol="_x", labelCol="_y", predictionCol="_p", maxDepth=cfg.depth, stepSize=cfg.rate, maxIter=cfg.rounds, seed=0))
     else:
         raise ValueError(f"unknown model {cfg.model!r}")
     f.model = Pipeline(stages=stages).fit(_impute(train.withColumn("_y", y), f))
@@ -171,7 +177,12 @@ def fit(train: DataFrame, level: str, ids: Sequence[str], target: str, cfg: Sett
 
 def score(df: DataFrame, f: Fitted, clip: bool = False) -> DataFrame:
     """Adds ``y_pred`` in the unit of the target, never negative for consumptions."""
-    out = f.model.transform(_impute(df, f))
+    out = _impute(df, f)
+    if isinstance(f.model, boost.Boosted):
+        nums = [c for c in f.features if c not in f.cat_columns]
+        out = out.withColumn("_p", f.model.predicted([F.col(f"_c_{c}") for c in f.cat_columns], [F.col(f"_n_{c}") for c in nums]))
+    else:
+        out = f.model.transform(out)
     p = F.col("_p")
     if f.log1p:
         p = F.least(F.greatest(p, F.lit(0.0)), F.lit(30.0)) if clip else p
