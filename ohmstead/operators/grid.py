@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ohmstead.session import cut_lineage
+from ohmstead.operators import intervals as iv
+
+#: Side of the tiles in which squares are counted.
+TILE = 256
 
 
 def square(r: int) -> Column:
@@ -39,28 +45,18 @@ def entity_cells(entities: DataFrame, keys: Sequence[str], grid: int, dilate: in
 
 
 def dilated(cells: DataFrame, keys: Sequence[str], r: int, grid: int | None = None) -> DataFrame:
-    if r <= 0:
-        return cells.select(*keys, "x", "y").distinct()
-    x = cells.select(*keys, "x", "y", F.explode(square(r)).alias("o")).select(*keys, (F.col("x") + F.col("o.dx")).alias("x"), (F.col("y") + F.col("o.dy")).alias("y"))
-    if grid is not None:
-        x = x.where(F.col("x").between(0, grid - 1) & F.col("y").between(0, grid - 1))
-    return x.distinct()
+    """Cells within a square of radius ``r`` around a set one, on a grid of that side."""
+    x = iv.dilated(iv.of_cells(cells, keys), keys, max(r, 0), max(r, 0))
+    return iv.cells_of(x if grid is None or r <= 0 else iv.clipped(x, F.lit(grid), F.lit(grid)), keys)
 
 
 def eroded(cells: DataFrame, keys: Sequence[str], r: int, size: DataFrame | None = None) -> DataFrame:
     """Cells whose whole square is set; outside the picture (``size``: w, h) counts as set."""
-    if r <= 0:
-        return cells.select(*keys, "x", "y").distinct()
-    own = cells.select(*keys, "x", "y").distinct().withColumn("_own", F.lit(1))
-    sent = own.select(*keys, "x", "y", F.explode(square(r)).alias("o")).select(
-        *keys, (F.col("x") + F.col("o.dx")).alias("x"), (F.col("y") + F.col("o.dy")).alias("y"),
-        F.when((F.col("o.dx") == 0) & (F.col("o.dy") == 0), 1).otherwise(0).alias("_own"))
-    n = sent.groupBy(*keys, "x", "y").agg(F.count("*").alias("_n"), F.max("_own").alias("_own")).where("_own = 1")
+    x = iv.of_cells(cells, keys)
     if size is None:
-        return n.where(F.col("_n") == (2 * r + 1) ** 2).select(*keys, "x", "y")
-    j = n.join(size, list(keys))
-    span = lambda v, m: F.least(F.col(v) + r, F.col(m) - 1) - F.greatest(F.col(v) - r, F.lit(0)) + 1
-    return j.where(F.col("_n") == span("x", "w") * span("y", "h")).select(*keys, "x", "y")
+        return iv.cells_of(iv.eroded(x, keys, r), keys)
+    wide = [*keys, "w", "h"]
+    return iv.cells_of(iv.eroded(x.join(size, list(keys)), wide, r, F.col("w"), F.col("h")), keys)
 
 
 def runs(cells: DataFrame, keys: Sequence[str], axis: str = "h") -> DataFrame:
@@ -75,35 +71,8 @@ def runs(cells: DataFrame, keys: Sequence[str], axis: str = "h") -> DataFrame:
 
 
 def components(cells: DataFrame, keys: Sequence[str], connectivity: int = 8) -> DataFrame:
-    """Cells with ``comp``, the smallest node of their component.
-
-    Nodes are unbroken row runs. Edges come from an equality join of each cell with the cells next
-    to it in the following row, so their number stays linear. Runs are then contracted by alternating
-    large-star and small-star steps; each step is a keyed minimum and a keyed join.
-    """
-    keys = list(keys)
-    node = (F.col("y").cast("long") + (1 << 30)) * F.lit(1 << 32) + F.col("run_start").cast("long") + (1 << 30)
-    own = runs(cells.select(*keys, "x", "y").distinct(), keys, "h").select(*keys, "x", "y", node.alias("node"))
-    own = cut_lineage(own)
-    reach = (-1, 0, 1) if connectivity == 8 else (0,)
-    down = own.select(*keys, F.explode(F.array(*[F.col("x") + d for d in reach])).alias("x"), (F.col("y") + 1).alias("y"), F.col("node").alias("u"))
-    links = down.join(own.withColumnRenamed("node", "v"), [*keys, "x", "y"]).select(*keys, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    links = cut_lineage(links)
-    mark = None
-    while not links.isEmpty():
-        both = links.unionByName(links.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy(*keys, "u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(low, [*keys, "u"]).where("v > u").select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
-        low2 = large.groupBy(*keys, "u").agg(F.min("v").alias("m"))
-        tied = large.join(low2, [*keys, "u"])
-        small = tied.where("v <> m").select(*keys, F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low2.select(*keys, "u", F.col("m").alias("v")))
-        links = cut_lineage(small.distinct())
-        now = links.agg(F.count("*"), F.sum(F.xxhash64(*keys, "u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
-            break
-        mark = now
-    root = links.select(*keys, F.col("u").alias("node"), F.col("v").alias("root"))
-    return own.join(root, [*keys, "node"], "left").select(*keys, "x", "y", F.coalesce("root", "node").alias("comp"))
+    """Cells with ``comp``, the smallest node of their component; nodes are unbroken row runs."""
+    return iv.cells_of(iv.components(iv.of_cells(cells, keys), keys, connectivity), keys, "comp").select(*keys, "x", "y", "comp")
 
 
 def component_boxes(comps: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,18 +86,33 @@ def largest(boxes: DataFrame, keys: Sequence[str], size: str = "area") -> DataFr
     return best
 
 
-def column_counts(cells: DataFrame, keys: Sequence[str], r: int) -> DataFrame:
-    """(x, y, c): set cells of column ``x`` within ``r`` rows of ``y``, wherever there are any."""
-    up = cells.select(*keys, "x", F.explode(F.sequence(F.col("y") - r, F.col("y") + r)).alias("y"))
-    return up.groupBy(*keys, "x", "y").agg(F.count("*").alias("c"))
-
-
 def box_counts(cells: DataFrame, keys: Sequence[str], r: int) -> DataFrame:
-    """Set cells within the square of radius ``r`` around each set cell: column counts, then a frame along the row."""
-    own = cells.select(*keys, "x", "y").distinct()
-    row = Window.partitionBy(*keys, "y").orderBy("x").rangeBetween(-r, r)
-    lines = column_counts(own, keys, r).join(own.withColumn("own", F.lit(1)), [*keys, "x", "y"], "left")
-    return lines.withColumn("n", F.sum("c").over(row)).where("own = 1").select(*keys, "x", "y", "n")
+    """Set cells within the square of radius ``r`` around each set cell.
+
+    Cells go to the tile they lie in and to those whose margin of ``r`` they touch, four at most. A tile
+    sums its cells along both axes, and four places of that table give the count of a square.
+    """
+    side = max(TILE, 4 * r)
+    tiles = lambda c: F.sequence(F.floor((F.col(c) - r) / side), F.floor((F.col(c) + r) / side))
+    sent = cells.select(*keys, F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), F.explode(tiles("x")).alias("_tx")).withColumn("_ty", F.explode(tiles("y")))
+    schema = T.StructType([*[cells.schema[k] for k in keys], *[T.StructField(c, T.LongType()) for c in ("x", "y", "n")]])
+    n_keys = len(keys)
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        x0, y0 = (key[n_keys + i].as_py() * side - r for i in (0, 1))
+        width = side + 2 * r
+        x, y = table.column("x").to_numpy() - x0, table.column("y").to_numpy() - y0
+        flat = np.zeros((width, width), bool)
+        flat[y, x] = True
+        sums = np.zeros((width + 1, width + 1), np.int64)
+        np.cumsum(np.cumsum(flat, axis=0, dtype=np.int64), axis=1, out=sums[1:, 1:])
+        y, x = np.nonzero(flat[r : r + side, r : r + side])
+        d = 2 * r + 1
+        n = sums[y + d, x + d] - sums[y, x + d] - sums[y + d, x] + sums[y, x]
+        own = [pa.repeat(k, len(n)) for k in key[:n_keys]]
+        return pa.Table.from_arrays([*own, pa.array(x + x0 + r), pa.array(y + y0 + r), pa.array(n)], names=schema.names)
+
+    return sent.groupBy(*keys, "_tx", "_ty").applyInArrow(run, schema)
 
 
 def to_pixel(v: Column, lo: Column, span: Column, size: Column, flip: bool = False) -> Column:

@@ -1,4 +1,7 @@
-"""Cleaning of scanned plans as tables of ink cells (image, y, x)."""
+"""Cleaning of scanned plans as tables of ink cells (image, y, x).
+
+The rules work on the runs of ink along rows (``intervals``); cells come in and go out.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ohmstead.operators import grid as gd
+from ohmstead.operators import intervals as iv
 from ohmstead.session import cut_lineage
 
 K = ("image_id",)
@@ -26,15 +30,15 @@ def crop_box(cells: DataFrame, margin: int, size: tuple[int, int]) -> DataFrame:
         F.least(F.max("x") + margin + 1, F.lit(w)).alias("x1"), F.least(F.max("y") + margin + 1, F.lit(h)).alias("y1"))
 
 
-def _inside(cells: DataFrame, size: tuple[int, int]) -> DataFrame:
-    return cells.where(F.col("x").between(0, size[0] - 1) & F.col("y").between(0, size[1] - 1))
+def _thick(runs: DataFrame, size: tuple[int, int], erode: int = 2, dilate: int = 3, keep: int = 0) -> DataFrame:
+    w, h = F.lit(size[0]), F.lit(size[1])
+    grown = erode + dilate + keep
+    return iv.clipped(iv.dilated(iv.eroded(runs, K, erode, w, h), K, grown, grown), w, h)
 
 
 def thick(cells: DataFrame, size: tuple[int, int], erode: int = 2, dilate: int = 3, keep: int = 0) -> DataFrame:
     """Strokes that survive erosion, grown back and a little further."""
-    dims = cells.select(*K).distinct().withColumns({"w": F.lit(size[0]), "h": F.lit(size[1])})
-    core = gd.eroded(cells, K, erode, dims)
-    return _inside(gd.dilated(core, K, erode + dilate + keep), size)
+    return iv.cells_of(_thick(iv.of_cells(cells, K), size, erode, dilate, keep), K)
 
 
 def _minus(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -43,7 +47,7 @@ def _minus(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def _turn(cells: DataFrame) -> DataFrame:
     """Rows and columns swapped, so that one rule serves both directions."""
-    return cells.withColumnsRenamed({"x": "_t"}).withColumnsRenamed({"y": "x"}).withColumnsRenamed({"_t": "y"})
+    return cells.select(*K, F.col("y").alias("x"), F.col("x").alias("y"))
 
 
 def _clip(v: Column, r: int, most: int) -> Column:
@@ -51,55 +55,58 @@ def _clip(v: Column, r: int, most: int) -> Column:
 
 
 def _thin_runs(mask: DataFrame, wall: DataFrame, size: tuple[int, int], min_run: int, strip: int, dense: int, max_strip: float, dense_min: float) -> DataFrame:
-    """Cells of long horizontal runs whose strip is thin and whose surroundings are sparse."""
+    """Long horizontal runs whose strip is thin and whose surroundings are sparse."""
     w, h = size
-    run = [*K, "y", "run_start", "run_length"]
-    cells = gd.runs(_minus(mask, wall), K, "h").where(F.col("run_length") >= min_run).select(*run, "x")
-    own = cells.join(gd.column_counts(mask, K, strip), [*K, "x", "y"]).groupBy(*run).agg(F.sum("c").alias("ink"))
-    thin = own.where(F.col("ink") / (_clip(F.col("y"), strip, h) * F.col("run_length")) <= max_strip).drop("ink")
-    x0, x1 = F.greatest(F.col("run_start") - dense, F.lit(0)), F.least(F.col("run_start") + F.col("run_length") + dense, F.lit(w))
-    around = thin.select(*run, F.explode(F.sequence(x0, (x1 - 1).cast("long"))).alias("x"))
-    near = around.join(gd.column_counts(mask, K, dense), [*K, "x", "y"], "left").groupBy(*run).agg(F.sum(F.coalesce("c", F.lit(0))).alias("ink"), F.count("*").alias("cols"))
-    sparse = near.where(F.col("ink") / (F.col("cols") * _clip(F.col("y"), dense, h)) < dense_min).select(*run)
-    return cells.join(sparse, run, "left_semi").select(*K, "x", "y")
+    run = ["s", "e"]
+    long = cut_lineage(iv.minus(mask, wall, K).where(F.col("e") - F.col("s") + 1 >= min_run))
+    own = iv.sums_over(mask, K, strip, long.withColumns({"p0": F.col("s"), "p1": F.col("e") + 1}), run)
+    thin = own.where(F.col("n") / (_clip(F.col("y"), strip, h) * (F.col("e") - F.col("s") + 1)) <= max_strip)
+    around = thin.select(*K, "y", *run, F.greatest(F.col("s") - dense, F.lit(0)).alias("p0"), F.least(F.col("e") + 1 + dense, F.lit(w)).alias("p1"))
+    near = iv.sums_over(mask, K, dense, around.withColumn("cols", F.col("p1") - F.col("p0")), [*run, "cols"])
+    return near.where(F.col("n") / (F.col("cols") * _clip(F.col("y"), dense, h)) < dense_min).select(*K, "y", *run)
 
 
 def remove_line_runs(mask: DataFrame, size: tuple[int, int], min_run: int = 22, min_ratio: float = 0.010, strip: int = 3, dense: int = 10, max_strip: float = 0.42, dense_min: float = 0.18, tiny: int = 8) -> DataFrame:
     """Long thin lines away from dense zones removed, rows first, then columns, then specks."""
     least = max(min_run, int(max(size) * min_ratio))
-    wall = cut_lineage(thick(mask, size, 2, 2))
+    mask = cut_lineage(iv.of_cells(mask, K))
+    wall = cut_lineage(_thick(mask, size, 2, 2))
     for turned in (False, True):
-        a, b, dims = (_turn(mask), _turn(wall), size[::-1]) if turned else (mask, wall, size)
-        gone = _thin_runs(a, b, dims, least, strip, dense, max_strip, dense_min)
-        left = _minus(a, gone)
-        mask = cut_lineage((_turn(left) if turned else left).select(*K, "x", "y"))
-    return remove_small(mask, tiny)
+        a, b, dims = (iv.turned(mask, K), iv.turned(wall, K), size[::-1]) if turned else (mask, wall, size)
+        left = iv.minus(a, _thin_runs(a, b, dims, least, strip, dense, max_strip, dense_min), K)
+        mask = cut_lineage(iv.turned(left, K) if turned else left)
+    return iv.cells_of(_without_small(mask, tiny), K)
 
 
-def _hairs(mask: DataFrame, min_run: int, support: int, max_mean: float, max_median: float, density: int, dense_min: int) -> DataFrame:
-    run = [*K, "y", "run_start", "run_length"]
-    cells = gd.runs(mask, K, "h").where(F.col("run_length") >= min_run).select(*run, "x")
-    held = cells.join(gd.column_counts(mask, K, support), [*K, "x", "y"])
-    weak = held.groupBy(*run).agg(F.avg("c").alias("mean")).where(F.col("mean") <= max_mean).select(*run)
-    one = held.where(F.col("c") <= max_median).join(weak, run, "left_semi")
-    return one.join(gd.box_counts(mask, K, density), [*K, "x", "y"]).where(F.col("n") < dense_min).select(*K, "x", "y")
+def _hairs(cells: DataFrame, min_run: int, support: int, max_mean: float, max_median: float) -> DataFrame:
+    """Cells of long runs that have little ink beside them, on the whole and where they are."""
+    runs = cut_lineage(iv.of_cells(cells, K))
+    long = runs.where(F.col("e") - F.col("s") + 1 >= min_run).withColumns({"p0": F.col("s"), "p1": F.col("e") + 1})
+    weak = iv.sums_over(runs, K, support, long, ["s", "e"]).where(F.col("n") / (F.col("e") - F.col("s") + 1) <= max_mean)
+    faint = iv.coverage(runs, K, support).where(F.col("c") <= max_median)
+    return iv.cells_of(iv.common(weak, faint, K), K)
 
 
 def remove_hairlines(mask: DataFrame, size: tuple[int, int], min_run: int = 34, min_ratio: float = 0.018, support: int = 3, max_mean: float = 2.35, max_median: float = 2.0, density: int = 10, dense_min: int = 32) -> DataFrame:
     """Long lines with little ink beside them, both directions judged on the untouched picture."""
     least = max(min_run, int(max(size) * min_ratio))
-    args = (least, support, max_mean, max_median, density, dense_min)
-    gone = _hairs(mask, *args).unionByName(_turn(_hairs(_turn(mask), *args)).select(*K, "x", "y"))
-    return _minus(mask, gone.distinct())
+    args = (least, support, max_mean, max_median)
+    hairs = _hairs(mask, *args).unionByName(_turn(_hairs(_turn(mask), *args)).select(*K, "x", "y"))
+    lone = gd.box_counts(mask, K, density).where(F.col("n") < dense_min)
+    return _minus(mask, hairs.join(lone, [*K, "x", "y"], "left_semi"))
 
 
-def aligned_lines(thin: DataFrame, length: int, min_span: float = 0.18, min_pixels: int = 18, lo: float = 0.18, hi: float = 0.80) -> DataFrame:
-    """Rows whose ink is long and evenly sparse."""
-    g = thin.groupBy(*K, "y").agg(F.count("*").alias("n"), (F.max("x") - F.min("x") + 1).alias("span"))
+def _aligned(runs: DataFrame, length: int, min_span: float = 0.18, min_pixels: int = 18, lo: float = 0.18, hi: float = 0.80) -> DataFrame:
+    g = runs.groupBy(*K, "y").agg(F.sum(F.col("e") - F.col("s") + 1).alias("n"), (F.max("e") - F.min("s") + 1).alias("span"))
     ok = (F.col("n") >= min_pixels) & (F.col("span") >= int(length * min_span)) & (F.col("n") / F.col("span")).between(lo, hi)
     return g.where(ok)
 
 
+def aligned_lines(thin: DataFrame, length: int, **limits) -> DataFrame:
+    """Rows whose ink is long and evenly sparse."""
+    return _aligned(iv.of_cells(thin, K), length, **limits)
+
+
 def dense_cells(mask: DataFrame, size: tuple[int, int], r: int = 9, threshold: float = 0.30) -> DataFrame:
     """Set cells whose square holds enough ink; the square is clipped by the picture."""
     n = gd.box_counts(mask, K, r)
@@ -109,27 +116,32 @@ def dense_cells(mask: DataFrame, size: tuple[int, int], r: int = 9, threshold: f
 
 def remove_aligned(mask: DataFrame, size: tuple[int, int], neighbour: int = 2, band: int = 1, **limits) -> DataFrame:
     """Thin ink on sparse aligned rows and columns removed, thick strokes and dense zones kept."""
-    thin = cut_lineage(_minus(mask, thick(mask, size, 2, 3)))
-    free = _minus(thin, dense_cells(mask, size))
+    runs = cut_lineage(iv.of_cells(mask, K))
+    thin = cut_lineage(iv.minus(runs, _thick(runs, size, 2, 3), K))
+    free = cut_lineage(iv.minus(thin, iv.of_cells(dense_cells(mask, size), K), K))
     gone = None
     for turned in (False, True):
-        t, f, (w, h) = (_turn(thin), _turn(free), size[::-1]) if turned else (thin, free, size)
-        rows = aligned_lines(t, w, **limits).select(*K, F.explode(F.sequence(
+        t, f, (w, h) = (iv.turned(thin, K), iv.turned(free, K), size[::-1]) if turned else (thin, free, size)
+        rows = _aligned(t, w, **limits).select(*K, F.explode(F.sequence(
             F.greatest(F.col("y") - neighbour, F.lit(0)), F.least(F.col("y") + neighbour, F.lit(h - 1)))).alias("y"))
         rows = rows.select(*K, F.explode(F.sequence(F.col("y") - band, F.col("y") + band)).alias("y")).distinct()
         hit = f.join(rows, [*K, "y"], "left_semi")
-        hit = (_turn(hit) if turned else hit).select(*K, "x", "y")
+        hit = iv.turned(hit, K) if turned else hit
         gone = hit if gone is None else gone.unionByName(hit)
-    return _minus(mask, gone.distinct())
+    return iv.cells_of(iv.minus(runs, gone, K), K)
 
 
-def remove_small(mask: DataFrame, area_below: int, keep_largest: bool = False, keys: Sequence[str] = K) -> DataFrame:
-    """Components under a size removed; optionally only the largest one kept."""
-    comps = gd.components(mask, keys)
-    boxes = gd.component_boxes(comps, keys)
+def _without_small(runs: DataFrame, area_below: int, keep_largest: bool = False, keys: Sequence[str] = K) -> DataFrame:
+    comps = cut_lineage(iv.components(runs, keys))
+    boxes = iv.boxes(comps, keys)
     kept = boxes.where(F.col("area") >= area_below)
     kept = kept.join(gd.largest(boxes, keys), [*keys, "comp"], "left_semi") if keep_largest else kept
-    return comps.join(kept, [*keys, "comp"], "left_semi").select(*keys, "x", "y")
+    return comps.join(kept, [*keys, "comp"], "left_semi").select(*keys, "y", "s", "e")
+
+
+def remove_small(mask: DataFrame, area_below: int, keep_largest: bool = False, keys: Sequence[str] = K) -> DataFrame:
+    """Components under a size removed; optionally only the largest one kept."""
+    return iv.cells_of(_without_small(iv.of_cells(mask, keys), area_below, keep_largest, keys), keys).select(*keys, "x", "y")
 
 
 def line_cells(thin: DataFrame, min_run: int = 14, min_diagonal: int = 12) -> DataFrame:
@@ -143,36 +155,36 @@ def line_cells(thin: DataFrame, min_run: int = 14, min_diagonal: int = 12) -> Da
 
 def remove_meshes(mask: DataFrame, size: tuple[int, int], link: int = 2, min_w: int = 36, min_h: int = 28, min_pixels: int = 220, min_density: float = 0.045, min_axes: int = 2, margin: int = 3) -> DataFrame:
     """Thin ink in boxes of crossing lines removed, thick strokes kept."""
-    wall = cut_lineage(thick(mask, size, 2, 3, 1))
-    thin = cut_lineage(_minus(mask, wall))
-    line = cut_lineage(line_cells(thin))
-    linked = _inside(gd.dilated(line, K, link), size)
-    boxes = gd.component_boxes(gd.components(linked, K), K).where((F.col("x1") - F.col("x0") + 1 >= min_w) & (F.col("y1") - F.col("y0") + 1 >= min_h))
+    runs = cut_lineage(iv.of_cells(mask, K))
+    thin = cut_lineage(iv.minus(runs, _thick(runs, size, 2, 3, 1), K))
+    line = cut_lineage(line_cells(iv.cells_of(thin, K)))
+    linked = iv.clipped(iv.dilated(iv.of_cells(line, K), K, link, link), F.lit(size[0]), F.lit(size[1]))
+    boxes = iv.boxes(iv.components(linked, K), K).where((F.col("x1") - F.col("x0") + 1 >= min_w) & (F.col("y1") - F.col("y0") + 1 >= min_h))
     # a box reports itself to every row it covers; cells meet boxes on (image, row)
     rows = boxes.select(*K, "comp", "x0", "x1", "y0", "y1", F.explode(F.sequence("y0", "y1")).alias("y"))
     inside = rows.join(line, [*K, "y"]).where(F.col("x").between(F.col("x0"), F.col("x1")))
     g = inside.groupBy(*K, "comp", "x0", "x1", "y0", "y1").agg(F.count("*").alias("n"), *[F.max(a).alias(a) for a in "hvda"])
     area = (F.col("x1") - F.col("x0") + 1) * (F.col("y1") - F.col("y0") + 1)
     mesh = g.where((F.col("n") >= min_pixels) & (F.col("n") / area >= min_density) & (F.col("h") + F.col("v") + F.col("d") + F.col("a") >= min_axes))
-    wide = mesh.select(*K, (F.col("x0") - margin).alias("x0"), (F.col("x1") + margin).alias("x1"), F.explode(F.sequence(F.col("y0") - margin, F.col("y1") + margin)).alias("y")).distinct()
-    gone = thin.join(wide, [*K, "y"]).where(F.col("x").between(F.col("x0"), F.col("x1"))).select(*K, "x", "y").distinct()
-    return _minus(mask, gone)
+    wide = mesh.select(*K, (F.col("x0") - margin).alias("s"), (F.col("x1") + margin).alias("e"), F.explode(F.sequence(F.col("y0") - margin, F.col("y1") + margin)).alias("y"))
+    return iv.cells_of(iv.minus(runs, iv.common(thin, wide, K), K), K)
 
 
 def remove_specks(mask: DataFrame, size: tuple[int, int], area_below: int = 45, near: int = 7) -> DataFrame:
     """Small loose components removed unless they come near a thick stroke."""
-    wall = cut_lineage(thick(mask, size, 2, 3, 1))
-    comps = cut_lineage(gd.components(_minus(mask, wall), K))
-    small = gd.component_boxes(comps, K).where(F.col("area") < area_below).select(*K, "comp")
-    safe = comps.join(gd.dilated(wall, K, near), [*K, "x", "y"], "left_semi").select(*K, "comp").distinct()
+    runs = cut_lineage(iv.of_cells(mask, K))
+    wall = cut_lineage(_thick(runs, size, 2, 3, 1))
+    comps = cut_lineage(iv.components(iv.minus(runs, wall, K), K))
+    small = iv.boxes(comps, K).where(F.col("area") < area_below).select(*K, "comp")
+    safe = iv.meeting(comps, iv.dilated(wall, K, near, near), K, ["comp"], []).select(*K, "comp").distinct()
     gone = comps.join(small.join(safe, [*K, "comp"], "left_anti"), [*K, "comp"], "left_semi")
-    return _minus(mask, gone)
+    return iv.cells_of(iv.minus(runs, gone, K), K)
 
 
 def grow_main(mask: DataFrame, size: tuple[int, int], ratio: float = 0.12, passes: int = 4, min_area: int = 8, seed_area: int = 25) -> DataFrame:
     """Largest component and the ones its widened box reaches, box grown pass by pass."""
-    comps = cut_lineage(gd.components(mask, K))
-    boxes = cut_lineage(gd.component_boxes(comps, K).where(F.col("area") >= min_area))
+    comps = cut_lineage(iv.components(iv.of_cells(mask, K), K))
+    boxes = cut_lineage(iv.boxes(comps, K).where(F.col("area") >= min_area))
     seed = gd.largest(boxes.where(F.col("area") >= seed_area), K)
     kept = boxes.join(seed, [*K, "comp"], "left_semi").select(*K, "comp")
     w, h = size
@@ -184,4 +196,4 @@ def grow_main(mask: DataFrame, size: tuple[int, int], ratio: float = 0.12, passe
                            F.least(F.col("mx1") + m, F.lit(w - 1)).alias("ax1"), F.least(F.col("my1") + m, F.lit(h - 1)).alias("ay1"))
         j = boxes.join(wide, list(K))
         kept = cut_lineage(j.where(~((F.col("x1") < F.col("ax0")) | (F.col("x0") > F.col("ax1")) | (F.col("y1") < F.col("ay0")) | (F.col("y0") > F.col("ay1")))).select(*K, "comp"))
-    return comps.join(kept, [*K, "comp"], "left_semi").select(*K, "x", "y")
+    return iv.cells_of(comps.join(kept, [*K, "comp"], "left_semi"), K)

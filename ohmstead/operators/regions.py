@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ohmstead.operators import grid as gd
+from ohmstead.operators import intervals as iv
 from ohmstead.operators.entities import segment_box
 from ohmstead.session import cut_lineage
 
@@ -30,39 +31,32 @@ def _pixels(x, y):
 
 
 def drawn(segs: DataFrame, box: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Cells along every segment."""
+    """Intervals of the cells along every segment, with the canvas size."""
     x = segs.join(box, list(keys))
     ax, ay = _pixels(F.col("x1"), F.col("y1"))
     bx, by = _pixels(F.col("x2"), F.col("y2"))
-    x = x.select(*keys, ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by"))
+    x = x.select(*keys, "wp", "hp", ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by"))
     n = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
     x = x.withColumn("n", n).select("*", F.explode(F.sequence(F.lit(0), F.col("n"))).alias("i"))
     step = lambda a, b: (F.col(a) + F.floor((F.col(b) - F.col(a)) * F.col("i") / F.greatest(F.col("n"), F.lit(1)) + 0.5)).cast("int")
-    return x.select(*keys, step("ax", "bx").alias("x"), step("ay", "by").alias("y")).distinct()
+    return iv.of_cells(x.select(*keys, "wp", "hp", step("ax", "bx").alias("x"), step("ay", "by").alias("y")), [*keys, "wp", "hp"])
 
 
-def stretched(cells: DataFrame, keys: Sequence[str], rx: int, ry: int) -> DataFrame:
-    """Rectangular dilation, one direction after the other."""
-    x = cells.select(*keys, "y", F.explode(F.sequence(F.col("x") - rx, F.col("x") + rx)).alias("x")).distinct()
-    return x.select(*keys, "x", F.explode(F.sequence(F.col("y") - ry, F.col("y") + ry)).alias("y")).distinct()
+def stretched(runs: DataFrame, keys: Sequence[str], rx: int, ry: int) -> DataFrame:
+    """Rectangular dilation on the canvas."""
+    return iv.clipped(iv.dilated(runs, [*keys, "wp", "hp"], rx, ry), F.col("wp"), F.col("hp"))
 
 
-def _on_canvas(cells: DataFrame, box: DataFrame, keys: Sequence[str]) -> DataFrame:
-    j = cells.join(box.select(*keys, "wp", "hp"), list(keys))
-    return j.where((F.col("x") >= 0) & (F.col("y") >= 0) & (F.col("x") < F.col("wp")) & (F.col("y") < F.col("hp"))).select(*keys, "x", "y")
-
-
-def closed(cells: DataFrame, box: DataFrame, keys: Sequence[str], r: int) -> DataFrame:
+def closed(runs: DataFrame, keys: Sequence[str], r: int) -> DataFrame:
     """Dilation followed by erosion, within the canvas."""
-    grown = _on_canvas(stretched(cells, keys, r, r), box, keys)
-    return gd.eroded(grown, keys, r, box.select(*keys, F.col("wp").alias("w"), F.col("hp").alias("h")))
+    return iv.eroded(stretched(runs, keys, r, r), [*keys, "wp", "hp"], r, F.col("wp"), F.col("hp")).select(*keys, "y", "s", "e")
 
 
 def midpoint_labels(segs: DataFrame, box: DataFrame, comps: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Component under each segment's midpoint."""
+    """Segments whose midpoint lies on a component, with that component."""
     px, py = _pixels(F.col("mx"), F.col("my"))
-    at = segs.join(box, list(keys)).select(*segs.columns, px.alias("x"), py.alias("y"))
-    return at.join(comps, [*keys, "x", "y"], "left").drop("x", "y")
+    at = segs.join(box, list(keys)).select(*keys, F.struct(*segs.columns).alias("_seg"), px.alias("s"), px.alias("e"), py.alias("y"))
+    return iv.meeting(at, comps, keys, ["_seg"], ["comp"]).select("_seg.*", "comp")
 
 
 def main_region(
@@ -72,10 +66,9 @@ def main_region(
     """World box of the best-scored component and its real neighbours, the whole plan when none qualifies."""
     keys = list(keys)
     box = cut_lineage(canvas(segs, keys, long_side, short_side))
-    work = closed(_on_canvas(stretched(drawn(segs, box, keys), keys, *link), box, keys), box, keys, close)
-    comps = cut_lineage(gd.components(work, keys))
-    seen = midpoint_labels(segs, box, comps, keys).where("comp IS NOT NULL").groupBy(*keys, "comp").agg(F.count("*").alias("seg_count"))
-    c = gd.component_boxes(comps, keys).withColumnsRenamed({"x0": "cx", "y0": "cy"}).withColumn("cw", F.col("x1") - F.col("cx") + 1).withColumn("ch", F.col("y1") - F.col("cy") + 1)
+    comps = cut_lineage(iv.components(closed(stretched(drawn(segs, box, keys), keys, *link), keys, close), keys))
+    seen = midpoint_labels(segs, box, comps, keys).groupBy(*keys, "comp").agg(F.count("*").alias("seg_count"))
+    c = iv.boxes(comps, keys).withColumnsRenamed({"x0": "cx", "y0": "cy"}).withColumn("cw", F.col("x1") - F.col("cx") + 1).withColumn("ch", F.col("y1") - F.col("cy") + 1)
     c = c.join(seen, [*keys, "comp"]).join(box.select(*keys, "wp", "hp"), keys)
     c = c.where((F.col("cw") >= min_w) & (F.col("ch") >= min_h) & (F.col("area") >= min_area) & (F.col("seg_count") >= min_segments))
     top = (F.col("cy") <= (F.col("hp") * 0.02).cast("int")).cast("int")
@@ -123,8 +116,8 @@ def drop_small(segs: DataFrame, keys: Sequence[str], long_side: int = 1400, shor
     """Segments on tiny isolated components removed."""
     keys = list(keys)
     box = cut_lineage(canvas(segs, keys, long_side, short_side))
-    comps = cut_lineage(gd.components(closed(drawn(segs, box, keys), box, keys, close), keys))
-    boxes = gd.component_boxes(comps, keys)
+    comps = cut_lineage(iv.components(closed(drawn(segs, box, keys), keys, close), keys))
+    boxes = iv.boxes(comps, keys)
     w, h = F.col("x1") - F.col("x0") + 1, F.col("y1") - F.col("y0") + 1
     kept = boxes.where((F.col("area") >= min_area) & ~((w < min_w) & (h < min_h))).select(*keys, "comp")
     return midpoint_labels(segs, box, comps, keys).join(kept, [*keys, "comp"], "left_semi").select(*segs.columns)
