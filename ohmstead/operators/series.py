@@ -113,14 +113,14 @@ def long_gaps(aligned: DataFrame, ids: Sequence[str], min_days: int = 30) -> Dat
     )
 
 
-def add_calendar(df: DataFrame, date: str = "date") -> DataFrame:
+def calendar(date: Column | str) -> dict[str, Column]:
+    """Calendar fields of a date; Monday is day 0."""
     dow = F.weekday(date)
-    return df.withColumns({
-        "dow": dow,
-        "month": F.month(date),
-        "dayofyear": F.dayofyear(date),
-        "is_weekend": (dow >= 5).cast("int"),
-    })
+    return {"dow": dow, "month": F.month(date), "dayofyear": F.dayofyear(date), "is_weekend": (dow >= 5).cast("int")}
+
+
+def add_calendar(df: DataFrame, date: str = "date") -> DataFrame:
+    return df.withColumns(calendar(date))
 
 
 def _frame(ids: Sequence[str], back: int, mode: str, upto: int = -1) -> Window:

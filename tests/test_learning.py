@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ohmstead.operators import learn, metrics, series
+from ohmstead.operators import learn, metrics, ridge, series
 
 DAY0 = dt.date(2021, 1, 4)
 
@@ -35,12 +35,52 @@ def trained(spark):
 def test_ridge_equals_closed_form(spark, trained):
     h, w, f, _ = trained
     frame = series.split_last_days(learn.feature_frame(h, w, ["siteId"], "waterM3"), 60).where("part = 'train'")
-    x = f.model.transform(learn._impute(frame.withColumn("_y", F.log1p("y")), f)).select("y", "_x", "_p").toPandas()
+    x = learn.score(frame, f).toPandas()
     y = np.log1p(x["y"].to_numpy())
-    m = np.array([v.toArray() for v in x["_x"]])
+    nums = [c for c in f.features if c not in f.cat_columns]
+    cells = [x[c].astype(float).fillna(f.medians.get(c, 0.0)).to_numpy() for c in nums]
+    cells += [(x[c].astype(str) == v).to_numpy(float) for c in f.cat_columns for v in sorted(x[c].astype(str).unique())]
+    m = np.array(cells).T
     mu, c = m.mean(0), y - y.mean()
     coef = np.linalg.solve((m - mu).T @ (m - mu) + np.eye(m.shape[1]), (m - mu).T @ c)
-    assert x["_p"].to_numpy() == pytest.approx((m - mu) @ coef + y.mean(), abs=1e-6)
+    assert np.log1p(x["y_pred"].to_numpy()) == pytest.approx(np.maximum((m - mu) @ coef + y.mean(), 0), abs=1e-6)
+
+
+def test_products_of_terms(spark):
+    rows = [("t", "u", "x", 1.0, 2.0, 3.0), ("t", "u", None, 2.0, 0.0, 1.0), ("t", "v", "x", -1.0, 4.0, 2.0), ("s", "u", "y", 5.0, 1.0, 1.0)] * 3
+    df = spark.createDataFrame(rows, "g string, a string, b string, p double, q double, y double").repartition(4)
+    got = {(r.target, frozenset((r.a, r.b))): r.v for r in ridge.products(df, "g", ["a", "b"], ["p", "q"], "y").collect()}
+    terms = [{ridge.ONE: 1.0, f"a={a}": 1.0, **({f"b={b}": 1.0} if b else {}), "p": p, "q": q, ridge.TRUTH: y, "g": g} for g, a, b, p, q, y in rows]
+    want = {}
+    for row in terms:
+        g = row.pop("g")
+        for i in row:
+            for j in row:
+                if i <= j:
+                    want[g, frozenset((i, j))] = want.get((g, frozenset((i, j))), 0) + row[i] * row[j]
+    want = {k: v for k, v in want.items() if v}
+    assert {k: v for k, v in got.items() if v} == pytest.approx(want), set(want) ^ set(got)
+
+
+def test_all_targets_equal_each_alone(spark):
+    h = history(spark).withColumns({"elecPcKwh": F.when(F.col("siteId") > 1, F.col("waterM3") * 2), "indoorTempDegC": F.col("waterM3") / 10})
+    w = weather(spark)
+    names = ["waterM3", "elecPcKwh", "indoorTempDegC"]
+    fitted, scored = learn.evaluate_all(h, w, "site", ["siteId"], names)
+    assert set(fitted) == set(names) and "tempAmb" not in fitted["indoorTempDegC"].features
+    together = scored.select("target", "siteId", "date", "y_pred").toPandas().set_index(["target", "siteId", "date"]).y_pred
+    for t in names:
+        f, alone = learn.train_and_score(h, w, "site", ["siteId"], t)
+        alone = alone.select("siteId", "date", "y_pred").toPandas().set_index(["siteId", "date"]).y_pred
+        assert together[t].sort_index().to_numpy() == pytest.approx(alone.sort_index().to_numpy(), rel=1e-9) and len(alone) > 100
+
+
+def test_boosted_forecast_feeds_on_itself(spark):
+    h, w = history(spark, 120), weather(spark, 130)
+    cfg = learn.Settings(model="gbt", rounds=3, depth=3, valid_days=10)
+    f, _ = learn.train_and_score(h, w, "site", ["siteId"], "waterM3", cfg)
+    got = learn.forecast(h, w, ["siteId"], "waterM3", f, cfg, max_days=3, every=2).collect()
+    assert len(got) == 9 and all(r.yhat > 0 for r in got)
 
 
 def test_holdout_is_the_last_sixty_days(trained):
