@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ohmstead.operators import clean, enrich, learn, metrics, series
+from ohmstead.operators import clean, enrich, learn, metrics, ridge, series
 from ohmstead.operators.keyed import first_known, keep_one, top_n
 from ohmstead.plans.base_sql import LOG, SH, SI, SP, WX, ZH, ZP, with_
 from ohmstead.plans.component_sql import jump_scan, recursive, spike_scan
@@ -679,14 +679,13 @@ def sanitised_predictions(s, sf):
     k = F.col("o_orderkey")
     v = F.when(k % 11 == 0, F.lit(1e200)).when(k % 7 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice") / 10000)
     x = t.table(s, sf, "orders").withColumn("v", v)
-    return x.select("o_orderkey", F.when(~(F.isnan("v") | (F.abs("v") > 1e100)), F.round("v", 6)).alias("clean"),
-                    F.round(F.least(F.greatest(F.col("o_totalprice") / 10000, F.lit(0.0)), F.lit(30.0)), 6).alias("clipped"))
+    return x.select("o_orderkey", F.round(learn.finite(F.col("v")), 6).alias("clean"), F.round(learn.clipped_log(F.col("o_totalprice") / 10000), 6).alias("clipped"))
 
 
 @query("transformed_target", """SELECT o_orderkey, ROUND(ln(1 + o_totalprice), 6) AS logged, ROUND(GREATEST(exp(o_totalprice / 100000) - 1, 0), 6) AS back FROM orders""")
 def transformed_target(s, sf):
     p = F.col("o_totalprice")
-    return t.table(s, sf, "orders").select("o_orderkey", F.round(F.log1p(p), 6).alias("logged"), F.round(F.greatest(F.expm1(p / 100000), F.lit(0.0)), 6).alias("back"))
+    return t.table(s, sf, "orders").select("o_orderkey", F.round(F.log1p(p), 6).alias("logged"), F.round(learn.back_to_unit(p / 100000, True), 6).alias("back"))
 
 
 # ---- learning ------------------------------------------------------------------------------
@@ -712,6 +711,52 @@ def ridge_forecast(s, sf):
     return _text_date(learn.forecast(h, w, t.SITE, "waterM3", fitted), "date")
 
 
+_STACKED = """y AS (SELECT 'waterM3' AS target, "siteId", date, "waterM3" AS v FROM sh WHERE "waterM3" IS NOT NULL UNION ALL SELECT 'elecTotalKwh', "siteId", date, "elecTotalKwh" FROM sh WHERE "elecTotalKwh" IS NOT NULL),
+fr AS (SELECT *, LAG(v, 1) OVER o AS lag_1, LAG(v, 7) OVER o AS lag_7, LAG(v, 14) OVER o AS lag_14 FROM y WINDOW o AS (PARTITION BY target, "siteId" ORDER BY date)),
+tm AS (SELECT target, row_number() OVER () AS r, [{'n': '(one)', 'v': 1.0::DOUBLE}, {'n': 'lag_1', 'v': lag_1}, {'n': 'lag_7', 'v': lag_7}, {'n': 'dayofyear', 'v': CAST(dayofyear(date) AS DOUBLE)}, {'n': '(truth)', 'v': v},
+  {'n': 'dow=' || CAST(isodow(date) - 1 AS VARCHAR), 'v': 1.0::DOUBLE}, {'n': 'is_weekend=' || CASE WHEN isodow(date) >= 6 THEN '1' ELSE '0' END, 'v': 1.0::DOUBLE}] AS x FROM fr WHERE lag_14 IS NOT NULL)"""
+
+
+@query("ridge_products", with_(SH, _STACKED) + """
+SELECT target, x[i].n AS a, x[j].n AS b, SUM(x[i].v * x[j].v) AS v FROM tm, range(1, 8) p(i), range(1, 8) q(j) WHERE i <= j GROUP BY ALL HAVING SUM(x[i].v * x[j].v) <> 0""")
+def ridge_products(s, sf):
+    """The normal equations of two targets from one scan: sums of integers, so both engines agree to the digit."""
+    x = learn.feature_frames(t.site_history(s, sf), None, t.SITE, ["waterM3", "elecTotalKwh"])
+    return ridge.products(x, "target", ["dow", "is_weekend"], ["lag_1", "lag_7", "dayofyear"], "y").where("v <> 0")
+
+
+@query("target_evaluations")
+def target_evaluations(s, sf):
+    """Four targets fitted and scored together, errors from the one table of hold-outs."""
+    names = ["waterM3", "elecTotalKwh", "elecBveKwh", "indoorTempDegC"]
+    _, scored = learn.evaluate_all(_site_with_infos(s, sf), t.weather_records(s, sf), "site", t.SITE, names)
+    return metrics.errors(scored, ["target"], ["n", "MAE", "RMSE", "WAPE", "Bias", "R2"])
+
+
+#: A model with set weights, so that SQL can restate its forecast.
+_SET = learn.Fitted("site", "waterM3", ["lag_1", "lag_7", "roll_med_7", "roll_mean_14", "tempAmb", "is_weekend"], ["is_weekend"], True, {"is_weekend": "0"}, {"tempAmb": 10.0}, 60,
+                    ridge.Ridge(["is_weekend"], ["lag_1", "lag_7", "roll_med_7", "roll_mean_14", "tempAmb"], [{"0": 0.25, "1": -0.5}], [0.002, 0.004, 0.001, 0.0005, 0.03125], 2.0))
+
+
+@query("fold_forecast", recursive(SH, WX) + """
+, h AS (SELECT "siteId", date - 110 AS date, "waterM3" AS v FROM sh), l AS (SELECT MAX(date) AS ld FROM h),
+r AS (SELECT "siteId", CAST(LEAST(GREATEST(MAX(wx.date) - ld, 0), 90) AS INTEGER) AS hz FROM wx CROSS JOIN l WHERE "siteId" IN (SELECT "siteId" FROM h WHERE v IS NOT NULL) GROUP BY "siteId", ld),
+s AS (SELECT r."siteId", ld, hz, list(h.v ORDER BY i) AS st FROM r CROSS JOIN l CROSS JOIN range(0, 30) g(i) LEFT JOIN h ON h."siteId" = r."siteId" AND h.date = ld - 29 + CAST(i AS INTEGER) WHERE hz > 0 GROUP BY ALL),
+f AS (
+  SELECT "siteId", ld, hz, 0 AS k, st, NULL::DOUBLE AS yhat FROM s
+  UNION ALL
+  SELECT "siteId", ld, hz, k + 1, list_append(st[2:], y), y FROM (
+    SELECT f.*, GREATEST(exp(LEAST(GREATEST(2.0::DOUBLE + CASE WHEN isodow(ld + k + 1) >= 6 THEN -0.5::DOUBLE ELSE 0.25::DOUBLE END + 0.002::DOUBLE * COALESCE(st[30], 0) + 0.004::DOUBLE * COALESCE(st[24], 0)
+      + 0.001::DOUBLE * COALESCE(list_aggregate(list_filter(st[24:30], lambda x: x IS NOT NULL), 'median'), 0) + 0.0005::DOUBLE * COALESCE(list_sum(list_filter(st[17:30], lambda x: x IS NOT NULL)) / len(list_filter(st[17:30], lambda x: x IS NOT NULL)), 0)
+      + 0.03125::DOUBLE * COALESCE(wxd."tempAmb", 10), 0), 30)) - 1, 0) AS y
+    FROM f LEFT JOIN wxd ON wxd."siteId" = f."siteId" AND wxd.date = ld + k + 1 WHERE k < hz))
+SELECT "siteId", CAST(ld + k AS VARCHAR) AS date, ROUND(yhat, 6) AS yhat FROM f WHERE k > 0""")
+def fold_forecast(s, sf):
+    """The forecast's recurrence under a model with set weights."""
+    h = t.site_history(s, sf).withColumn("date", F.date_sub("date", 110))
+    return _text_date(_round(learn.forecast(h, t.weather_records(s, sf), t.SITE, "waterM3", _SET, max_days=90), 6, "yhat"), "date")
+
+
 @query("boosted_evaluation")
 def boosted_evaluation(s, sf):
     cfg = learn.Settings(model="gbt")
