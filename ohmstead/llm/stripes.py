@@ -5,6 +5,10 @@ stripes over blocks of whole texts, Spark merges them cell by cell, and the merg
 that a score needs: their cells are the extensions with their frequencies, their sums the frequency of
 the prefix, their largest cells the longer phrases that may subsume it.
 
+A stripe crosses the shuffle as one row with its next words and counts side by side. The stripe of a hot
+prefix (a known frequency, so at most ``SLICES`` of a length are hot) is cut into slices by a hash of
+the next word, the same in all tasks; the empty prefix is always cut.
+
 Stripes are counted by length. The empty prefix comes first; a longer prefix is counted only where the
 phrases inside it are frequent, as a phrase is no more frequent than its parts. Tasks learn that from a
 bitmap of hashed frequent phrases, whose size has a bound. A false hit only counts a cell in vain, as
@@ -15,7 +19,7 @@ without a word, so that a stripe always adds up to the frequency of its prefix.
 
 from __future__ import annotations
 
-import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +42,11 @@ BLOCK, WORDS = 1 << 20, 400_000
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
-STRIPES = "lang string, prefix string, cells array<struct<next:string,n:bigint>>"
-_CELL = pa.struct([("next", pa.string()), ("n", pa.int64())])
-_STRIPES = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("cells", pa.list_(_CELL))])
+#: Slices of the empty prefix; a prefix with more than that share of all occurrences is hot.
+SLICES = 1024
+
+STRIPES = "lang string, prefix string, slice int, nexts string, counts array<int>"
+_STRIPES = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("slice", pa.int32()), ("nexts", pa.string()), ("counts", pa.list_(pa.int32()))])
 
 
 def tokens(text: str) -> list[bytes]:
@@ -49,7 +55,8 @@ def tokens(text: str) -> list[bytes]:
 
 
 def word_hash(lang: str, word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8, key=lang.encode()[:64]).digest(), "little")
+    """A hash that is the same in every process; it prunes and deals out, and decides nothing."""
+    return zlib.crc32(word, zlib.crc32(lang.encode())) * int(_MIX) & 0xFFFFFFFFFFFFFFFF
 
 
 def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -140,49 +147,77 @@ def counted(x: np.ndarray, hashes: np.ndarray, size: int, maps: list[Bitmap]) ->
     at = np.flatnonzero(alive)
     # the phrase one word on must be frequent too, or the next word counts as any other
     after = np.append(alive, np.zeros(1, bool))[at + 1]
-    nxt = np.where(after, np.append(x, np.zeros(1, x.dtype))[at + size - 1], 0).astype(np.uint64)
-    rank = x[at].astype(np.uint64)
-    for k in range(1, size - 1):
-        _, rank = np.unique(rank << np.uint64(32) | x[at + k].astype(np.uint64), return_inverse=True)
-        rank = rank.astype(np.uint64)
-    key, first, n = np.unique(rank << np.uint64(32) | nxt, return_index=True, return_counts=True)
-    start = at[first]
-    prefix = np.stack([x[start + k] for k in range(size - 1)], axis=1)
-    return prefix, (key & np.uint64(0xFFFFFFFF)).astype(np.uint32), n
-
-
-def batches_of(known: Vocabulary, prefix: np.ndarray, nxt: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The cells as stripes, one row per prefix; the empty prefix has one row per language."""
+    nxt = np.where(after, np.append(x, np.zeros(1, x.dtype))[at + size - 1], 0)
+    return _grouped([*[x[at + k] for k in range(size - 1)], nxt])
+
+
+def _grouped(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows of numbered words in order, their last word apart, with their counts."""
+    bits = max(1, int(max((int(c.max()) for c in columns if len(c)), default=1)).bit_length())
+    if bits * len(columns) <= 64:
+        key = np.zeros(len(columns[0]), np.uint64)
+        for c in columns:
+            key = key << np.uint64(bits) | c.astype(np.uint64)
+        key, n = np.unique(key, return_counts=True)
+        parts = [(key >> np.uint64(bits * k) & np.uint64((1 << bits) - 1)).astype(np.uint32) for k in range(len(columns) - 1, -1, -1)]
+    else:
+        # the first words by their place among the distinct ones
+        head, rank = np.unique(columns[0].astype(np.uint64) << np.uint64(32) | columns[1], return_inverse=True)
+        words, last, n = _grouped([rank.astype(np.uint32), *columns[2:]])
+        pair = head[words[:, 0]]
+        parts = [(pair >> np.uint64(32)).astype(np.uint32), (pair & np.uint64(0xFFFFFFFF)).astype(np.uint32), *words[:, 1:].T, last]
+    return np.stack(parts[:-1], axis=1), parts[-1], n
+
+
+def _slices(prefix: np.ndarray, nxt: np.ndarray, hashes: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Slice of each cell: 0 unless its prefix is empty or hot."""
+    if not prefix.shape[1]:
+        return ((hashes[nxt] >> np.uint64(20)) % np.uint64(SLICES)).astype(np.int32)
+    out = np.zeros(len(nxt), np.int32)
+    if len(hot[0]):
+        h = hashes[prefix[:, 0]]
+        for k in range(1, prefix.shape[1]):
+            h = joined(h, hashes[prefix[:, k]])
+        place = np.minimum(np.searchsorted(hot[0], h), len(hot[0]) - 1)
+        at = np.flatnonzero(hot[0][place] == h)
+        out[at] = (hashes[nxt[at]] >> np.uint64(20)) % hot[1][place[at]]
+    return out
+
+
+def batches_of(known: Vocabulary, prefix: np.ndarray, nxt: np.ndarray, n: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The cells as stripes, one row per prefix and slice."""
     if not len(n):
         return
     names = pa.array(known.names, pa.binary()).cast(pa.string())
     codes = {lang: i for i, lang in enumerate(sorted(set(known.langs)))}
     code = np.fromiter((codes[lang] for lang in known.langs), np.int64, len(known.langs))
     langs = pa.array(list(codes), pa.string())
-    if prefix.shape[1]:
-        lang = code[prefix[:, 0]]
-    else:
-        lang = code[nxt]
-        order = np.argsort(lang, kind="stable")
-        lang, nxt, n, prefix = lang[order], nxt[order], n[order], prefix[order]
-    new = lang[1:] != lang[:-1]
-    if prefix.shape[1]:
-        new |= (prefix[1:] != prefix[:-1]).any(axis=1)
+    hashes = np.array(known.hashes, np.uint64)
+    part = _slices(prefix, nxt, hashes, hot)
+    lang = code[prefix[:, 0]] if prefix.shape[1] else code[nxt]
+    # cells come in the order of their prefix; slices, and languages of the empty prefix, are brought together
+    if part.any() or not prefix.shape[1]:
+        group = np.concatenate([[0], np.cumsum((prefix[1:] != prefix[:-1]).any(axis=1))])
+        order = np.lexsort((part, lang, group))
+        lang, part, prefix, nxt, n = lang[order], part[order], prefix[order], nxt[order], n[order]
+    new = (lang[1:] != lang[:-1]) | (part[1:] != part[:-1]) | (prefix[1:] != prefix[:-1]).any(axis=1)
     edges = np.concatenate([[0], np.flatnonzero(new) + 1, [len(n)]])
-    cells = pa.StructArray.from_arrays([names.take(pa.array(nxt, mask=nxt == 0)), pa.array(n, pa.int64())], fields=list(_CELL))
-    at = edges[:-1]
+    at, offsets = edges[:-1], pa.array(edges, pa.int32())
     text = pa.array([""] * len(at), pa.string())
     if prefix.shape[1]:
         text = names.take(pa.array(prefix[at, 0]))
         for k in range(1, prefix.shape[1]):
             text = pc.binary_join_element_wise(text, names.take(pa.array(prefix[at, k])), " ")
-    out = pa.RecordBatch.from_arrays([langs.take(pa.array(lang[at])), text, pa.ListArray.from_arrays(pa.array(edges, pa.int32()), cells)], schema=_STRIPES)
+    # word 0 is empty: the cell without a word
+    nexts = pc.binary_join(pa.ListArray.from_arrays(offsets, names.take(pa.array(nxt))), " ")
+    counts = pa.ListArray.from_arrays(offsets, pa.array(n, pa.int32()))
+    out = pa.RecordBatch.from_arrays([langs.take(pa.array(lang[at])), text, pa.array(part[at]), nexts, counts], schema=_STRIPES)
     for i in range(0, len(at), 50_000):
         yield out.slice(i, 50_000)
 
 
-def stripes(docs: DataFrame, size: int, maps: list[Broadcast]) -> DataFrame:
-    """(lang, prefix, next, n): merged stripes of prefixes of ``size - 1`` words, one row per cell."""
+def stripes(docs: DataFrame, size: int, maps: list[Broadcast], hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(lang, prefix, slice, next, n): merged stripes of prefixes of ``size - 1`` words, one row per cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmaps = [Bitmap(b.value) for b in maps]
@@ -194,14 +229,13 @@ def stripes(docs: DataFrame, size: int, maps: list[Broadcast]) -> DataFrame:
             nonlocal held, n_held
             x = np.concatenate([*held, np.zeros(1, np.uint32)])
             held, n_held = [], 0
-            hashes = np.array(known.hashes, np.uint64)
             if size == 1:
                 n = np.bincount(x, minlength=1)[1:]
                 nxt = np.flatnonzero(n).astype(np.uint32) + np.uint32(1)
                 cells = np.empty((len(nxt), 0), np.uint32), nxt, n[n > 0]
             else:
-                cells = counted(x, hashes, size, bitmaps)
-            yield from batches_of(known, *cells)
+                cells = counted(x, np.array(known.hashes, np.uint64), size, bitmaps)
+            yield from batches_of(known, *cells, hot)
             if known.seen > WORDS:
                 known.clear()
 
@@ -216,14 +250,30 @@ def stripes(docs: DataFrame, size: int, maps: list[Broadcast]) -> DataFrame:
         if held:
             yield from flush()
 
-    cells = docs.mapInArrow(run, STRIPES).select("lang", "prefix", F.inline("cells").alias("next", "n"))
-    return cells.groupBy("lang", "prefix", "next").agg(F.sum("n").alias("n"))
+    rows = docs.mapInArrow(run, STRIPES).repartition("lang", "prefix", "slice")
+    cells = rows.select("lang", "prefix", "slice", F.inline(F.arrays_zip(F.split("nexts", " ").alias("next"), F.col("counts").alias("n"))))
+    # cells of one prefix and slice are in one place, so this needs no other shuffle
+    return cells.groupBy("lang", "prefix", "slice", F.when(F.col("next") != "", F.col("next")).alias("next")).agg(F.sum(F.col("n").cast("long")).alias("n"))
 
 
 def folded(cells: DataFrame, least: int) -> DataFrame:
-    """Stripes with their cells below ``least`` summed into the cell without a word."""
+    """Stripes with their cells below ``least`` summed into the cell without a word, one a slice."""
     nxt = F.when(F.col("n") >= least, F.col("next"))
-    return cells.groupBy("lang", "prefix", nxt.alias("next")).agg(F.sum("n").alias("n"))
+    return cells.groupBy("lang", "prefix", "slice", nxt.alias("next")).agg(F.sum("n").alias("n")).drop("slice")
+
+
+def hot_prefixes(phrases: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, in order, and slices of the phrases with at least 1/``SLICES`` of all occurrences: no more than ``SLICES``."""
+    rows = phrases.where(F.col("n") * SLICES >= total).collect() if total else []
+    found = sorted((phrase_hash(r.lang, r.phrase), -(-r.n * SLICES // total)) for r in rows)
+    return np.array([h for h, _ in found], np.uint64), np.array([k for _, k in found], np.uint64)
+
+
+def phrase_hash(lang: str, phrase: str) -> int:
+    h, *more = (np.array([word_hash(lang, w)], np.uint64) for w in phrase.encode().split(b" "))
+    for other in more:
+        h = joined(h, other)
+    return int(h[0])
 
 
 def bitmap(frequent: DataFrame) -> Broadcast:
@@ -235,13 +285,8 @@ def bitmap(frequent: DataFrame) -> Broadcast:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            slots = []
-            for lang, phrase in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                h, *more = (np.array([word_hash(lang, w)], np.uint64) for w in phrase.encode().split(b" "))
-                for other in more:
-                    h = joined(h, other)
-                slots.append((h * _MIX)[0] >> shift)
-            slot = np.array(slots, np.uint64)
+            hashes = [phrase_hash(lang, phrase) for lang, phrase in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            slot = np.array(hashes, np.uint64) * _MIX >> shift
             yield pa.RecordBatch.from_arrays([pa.array((slot >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (slot & np.uint64(63))).view(np.int64))], ["word", "bits"])
 
     words = frequent.select("lang", "phrase").mapInArrow(run, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits"))
@@ -273,10 +318,13 @@ def mine(docs: DataFrame, longest: int = 4, least: int = 30, covered_pct: int =
     maps: list[Broadcast] = []
     merged: list[DataFrame] = []
     phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next")).alias("phrase")
+    hot = np.empty(0, np.uint64), np.empty(0, np.uint64)
     for size in range(1, longest + 1):
-        merged.append(common.stored(folded(stripes(plain, size, maps), least), f"stripes-{size}"))
+        merged.append(common.stored(folded(stripes(plain, size, maps, hot), least), f"stripes-{size}"))
         if size < longest:
-            maps.append(bitmap(merged[-1].where("next IS NOT NULL AND n >= " + str(least)).select("lang", phrase)))
+            frequent = merged[-1].where(F.col("next").isNotNull() & (F.col("n") >= least)).select("lang", phrase, "n")
+            maps.append(bitmap(frequent))
+            hot = hot_prefixes(frequent, merged[0].agg(F.sum("n")).first()[0] or 0)
     for m in maps:
         m.unpersist()
     return ranked_parts(merged, least, covered_pct)
