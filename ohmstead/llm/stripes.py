@@ -20,7 +20,8 @@ without a word, so that a stripe always adds up to the frequency of its prefix.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -54,9 +55,10 @@ def tokens(text: str) -> list[bytes]:
     return text.encode().translate(_MAP).replace(MARK, b" " + MARK + b" ").split()
 
 
-def word_hash(lang: str, word: bytes) -> int:
-    """A hash that is the same in every process; it prunes and deals out, and decides nothing."""
-    return zlib.crc32(word, zlib.crc32(lang.encode())) * int(_MIX) & 0xFFFFFFFFFFFFFFFF
+def word_hashes(lang: str, words: Sequence[bytes]) -> np.ndarray:
+    """Hashes that are the same in every process; they prune and deal out, and decide nothing."""
+    seed = zlib.crc32(lang.encode())
+    return np.array([zlib.crc32(w, seed) for w in words], np.uint64) * _MIX
 
 
 def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -70,31 +72,14 @@ class Bitmap:
 
     def __init__(self, words: np.ndarray) -> None:
         self.words, self.shift = words, np.uint64(64 - (len(words) * 64).bit_length() + 1)
-        self.octets = words.astype("<u8").tobytes()
-
-    def has_one(self, h: int) -> bool:
-        slot = (h * int(_MIX) & 0xFFFFFFFFFFFFFFFF) >> int(self.shift)
-        return bool(self.octets[slot >> 3] >> (slot & 7) & 1)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         slot = (hashes * _MIX) >> self.shift
         return (self.words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-class Numbered(dict):
-    """Numbers of a language's words; 0 for marks and for words that are not frequent."""
-
-    def __init__(self, lang: str, known: Vocabulary) -> None:
-        super().__init__({MARK: 0})
-        self.lang, self.known = lang, known
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = self.known.add(self.lang, word)
-        return n
-
-
 class Vocabulary:
-    """Words of all languages in a task, numbered from 1."""
+    """Words of all languages in a task, numbered from 1; 0 for marks and for words that are not frequent."""
 
     def __init__(self, frequent: Bitmap | None) -> None:
         self.frequent = frequent
@@ -103,25 +88,23 @@ class Vocabulary:
     def clear(self) -> None:
         self.names: list[bytes] = [b""]
         self.langs: list[str] = [""]
-        self.hashes: list[int] = [0]
-        self.by_lang: dict[str, Numbered] = {}
+        self.hashes: list[np.ndarray] = [np.zeros(1, np.uint64)]
+        self.by_lang: dict[str, dict[bytes, int]] = {}
         self.seen = 0
 
-    def add(self, lang: str, word: bytes) -> int:
-        self.seen += 1
-        h = word_hash(lang, word)
-        if self.frequent is not None and not self.frequent.has_one(h):
-            return 0
-        self.names.append(word)
-        self.langs.append(lang)
-        self.hashes.append(h)
-        return len(self.names) - 1
-
     def numbers(self, lang: str, text: str) -> np.ndarray:
-        known = self.by_lang.get(lang)
-        if known is None:
-            known = self.by_lang[lang] = Numbered(lang, self)
+        known = self.by_lang.setdefault(lang, {MARK: 0})
         found = tokens(text)
+        fresh = list(set(found).difference(known))
+        if fresh:
+            hashes = word_hashes(lang, fresh)
+            held = np.ones(len(fresh), bool) if self.frequent is None else self.frequent.has(hashes)
+            known.update(zip(fresh, np.where(held, len(self.names) - 1 + np.cumsum(held), 0).tolist()))
+            new = list(compress(fresh, held))
+            self.names += new
+            self.langs += [lang] * len(new)
+            self.hashes.append(hashes[held])
+            self.seen += len(fresh)
         return np.fromiter(map(known.__getitem__, found), np.uint32, len(found))
 
 
@@ -192,7 +175,7 @@ def batches_of(known: Vocabulary, prefix: np.ndarray, nxt: np.ndarray, n: np.nda
     codes = {lang: i for i, lang in enumerate(sorted(set(known.langs)))}
     code = np.fromiter((codes[lang] for lang in known.langs), np.int64, len(known.langs))
     langs = pa.array(list(codes), pa.string())
-    hashes = np.array(known.hashes, np.uint64)
+    hashes = np.concatenate(known.hashes)
     part = _slices(prefix, nxt, hashes, hot)
     lang = code[prefix[:, 0]] if prefix.shape[1] else code[nxt]
     # cells come in the order of their prefix; slices, and languages of the empty prefix, are brought together
@@ -234,7 +217,7 @@ def stripes(docs: DataFrame, size: int, maps: list[Broadcast], hot: tuple[np.nda
                 nxt = np.flatnonzero(n).astype(np.uint32) + np.uint32(1)
                 cells = np.empty((len(nxt), 0), np.uint32), nxt, n[n > 0]
             else:
-                cells = counted(x, np.array(known.hashes, np.uint64), size, bitmaps)
+                cells = counted(x, np.concatenate(known.hashes), size, bitmaps)
             yield from batches_of(known, *cells, hot)
             if known.seen > WORDS:
                 known.clear()
@@ -270,9 +253,10 @@ def hot_prefixes(phrases: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray
 
 
 def phrase_hash(lang: str, phrase: str) -> int:
-    h, *more = (np.array([word_hash(lang, w)], np.uint64) for w in phrase.encode().split(b" "))
-    for other in more:
-        h = joined(h, other)
+    words = word_hashes(lang, phrase.encode().split(b" "))
+    h = words[:1]
+    for k in range(1, len(words)):
+        h = joined(h, words[k : k + 1])
     return int(h[0])
 
 
