@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator, Sequence
-from itertools import compress
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +37,14 @@ from ohmstead.llm import common
 ENDS = b".,;:!?\n\x0b\x0c\r"
 MARK = b"\xff"
 _MAP = bytes(0xFF if b in ENDS else 0x20 if b == 0x09 else b | 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
-#: Words and marks that a task counts at a time, and words that it keeps numbered between blocks.
-BLOCK, WORDS = 1 << 20, 400_000
+#: Bytes of text that a task counts at a time, and bytes whose words are hashed at a time.
+BLOCK, PART = 6 << 20, 1 << 20
 #: Bits of a bitmap: 16 a frequent phrase, within these bounds.
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Base of the hash of a word's bytes, and its inverse modulo 2**64.
+_BASE = 0x5851F42D4C957F2D
+_BACK = pow(_BASE, -1, 1 << 64)
 
 #: Slices of the empty prefix; a prefix with more than that share of all occurrences is hot.
 SLICES = 1024
@@ -50,15 +53,56 @@ STRIPES = "lang string, prefix string, slice int, nexts string, counts array<int
 _STRIPES = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("slice", pa.int32()), ("nexts", pa.string()), ("counts", pa.list_(pa.int32()))])
 
 
-def tokens(text: str) -> list[bytes]:
-    """Words with A-Z lower-cased, and a mark where a piece ends."""
-    return text.encode().translate(_MAP).replace(MARK, b" " + MARK + b" ").split()
+def words_in(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of mapped bytes, and whether a piece ends between a word and the one before."""
+    mark = data == MARK[0]
+    word = np.zeros(len(data) + 2, np.int8)
+    word[1:-1] = ~(mark | (data == 0x20))
+    step = np.diff(word)
+    starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    pieces = np.searchsorted(np.flatnonzero(mark), starts)
+    return starts, ends, np.diff(pieces, prepend=pieces[:1]) > 0
 
 
-def word_hashes(lang: str, words: Sequence[bytes]) -> np.ndarray:
-    """Hashes that are the same in every process; they prune and deal out, and decide nothing."""
-    seed = zlib.crc32(lang.encode())
-    return np.array([zlib.crc32(w, seed) for w in words], np.uint64) * _MIX
+def word_hashes(lang: str, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of words in bytes, the same in every process; alone they decide nothing.
+
+    A word's bytes are digits of a number modulo 2**64: a difference of running sums, moved to its start.
+    """
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + PART, side="right")))
+        part = data[starts[i] : ends[j - 1]]
+        powers = np.full(len(part), _BASE, np.uint64)
+        powers[:1] = 1
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * np.multiply.accumulate(powers), out=sums[1:])
+        powers[1:] = _BACK
+        back = np.multiply.accumulate(powers)
+        a, b = starts[i:j] - starts[i], ends[i:j] - starts[i]
+        out[i:j] = (sums[b] - sums[a]) * back[a]
+        i = j
+    out = (out ^ (out >> np.uint64(31))) * _MIX + np.uint64(zlib.crc32(lang.encode()))
+    return out ^ (out >> np.uint64(29))
+
+
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of every distinct word, and the number of each word among them.
+
+    Words are told apart by their hashes, and then compared byte by byte with the word they are taken for.
+    """
+    _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+    size = ends - starts
+    if (size == size[first][number]).all():
+        # all bytes of all words in a row, and those of the words they stand for
+        at = np.arange(int(size.sum())) + np.repeat(starts - np.cumsum(size) + size, size)
+        if (data[at] == data[at + np.repeat(starts[first][number] - starts, size)]).all():
+            return first, number
+    body = data.tobytes()
+    known: dict[bytes, int] = {}
+    number = np.array([known.setdefault(body[a:b], len(known)) for a, b in zip(starts.tolist(), ends.tolist())], np.int64)
+    return np.unique(number, return_index=True)[1], number
 
 
 def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -78,34 +122,38 @@ class Bitmap:
         return (self.words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-class Vocabulary:
-    """Words of all languages in a task, numbered from 1; 0 for marks and for words that are not frequent."""
-
-    def __init__(self, frequent: Bitmap | None) -> None:
-        self.frequent = frequent
-        self.clear()
-
-    def clear(self) -> None:
-        self.names: list[bytes] = [b""]
-        self.langs: list[str] = [""]
-        self.hashes: list[np.ndarray] = [np.zeros(1, np.uint64)]
-        self.by_lang: dict[str, dict[bytes, int]] = {}
-        self.seen = 0
-
-    def numbers(self, lang: str, text: str) -> np.ndarray:
-        known = self.by_lang.setdefault(lang, {MARK: 0})
-        found = tokens(text)
-        fresh = list(set(found).difference(known))
-        if fresh:
-            hashes = word_hashes(lang, fresh)
-            held = np.ones(len(fresh), bool) if self.frequent is None else self.frequent.has(hashes)
-            known.update(zip(fresh, np.where(held, len(self.names) - 1 + np.cumsum(held), 0).tolist()))
-            new = list(compress(fresh, held))
-            self.names += new
-            self.langs += [lang] * len(new)
-            self.hashes.append(hashes[held])
-            self.seen += len(fresh)
-        return np.fromiter(map(known.__getitem__, found), np.uint32, len(found))
+@dataclass
+class Block:
+    """Words of texts, numbered from 1; 0 between pieces and for words that are not frequent."""
+
+    x: np.ndarray
+    names: list[bytes]
+    langs: list[str]
+    hashes: np.ndarray
+
+
+def numbered(texts: dict[str, list[bytes]], frequent: Bitmap | None) -> Block:
+    """The texts of each language, one piece after the other."""
+    xs, hashes = [], [np.zeros(1, np.uint64)]
+    names, langs = [b""], [""]
+    for lang, bodies in texts.items():
+        body = MARK.join(bodies).translate(_MAP)
+        data = np.frombuffer(body, np.uint8)
+        starts, ends, apart = words_in(data)
+        if not len(starts):
+            continue
+        h = word_hashes(lang, data, starts, ends)
+        first, number = distinct(data, starts, ends, h)
+        held = np.ones(len(first), bool) if frequent is None else frequent.has(h[first])
+        new = np.where(held, len(names) - 1 + np.cumsum(held), 0).astype(np.uint32)
+        own = first[held]
+        names += [body[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist())]
+        langs += [lang] * len(own)
+        hashes.append(h[own])
+        x = np.zeros(len(starts) + int(apart.sum()) + 1, np.uint32)
+        x[np.arange(len(starts)) + np.cumsum(apart)] = new[number]
+        xs.append(x)
+    return Block(np.concatenate(xs) if xs else np.zeros(1, np.uint32), names, langs, np.concatenate(hashes))
 
 
 def counted(x: np.ndarray, hashes: np.ndarray, size: int, maps: list[Bitmap]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,7 +215,7 @@ def _slices(prefix: np.ndarray, nxt: np.ndarray, hashes: np.ndarray, hot: tuple[
     return out
 
 
-def batches_of(known: Vocabulary, prefix: np.ndarray, nxt: np.ndarray, n: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+def batches_of(known: Block, prefix: np.ndarray, nxt: np.ndarray, n: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
     """The cells as stripes, one row per prefix and slice."""
     if not len(n):
         return
@@ -175,8 +223,7 @@ def batches_of(known: Vocabulary, prefix: np.ndarray, nxt: np.ndarray, n: np.nda
     codes = {lang: i for i, lang in enumerate(sorted(set(known.langs)))}
     code = np.fromiter((codes[lang] for lang in known.langs), np.int64, len(known.langs))
     langs = pa.array(list(codes), pa.string())
-    hashes = np.concatenate(known.hashes)
-    part = _slices(prefix, nxt, hashes, hot)
+    part = _slices(prefix, nxt, known.hashes, hot)
     lang = code[prefix[:, 0]] if prefix.shape[1] else code[nxt]
     # cells come in the order of their prefix; slices, and languages of the empty prefix, are brought together
     if part.any() or not prefix.shape[1]:
@@ -204,30 +251,28 @@ def stripes(docs: DataFrame, size: int, maps: list[Broadcast], hot: tuple[np.nda
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmaps = [Bitmap(b.value) for b in maps]
-        known = Vocabulary(bitmaps[0] if bitmaps else None)
-        held: list[np.ndarray] = []
+        held: dict[str, list[bytes]] = {}
         n_held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal held, n_held
-            x = np.concatenate([*held, np.zeros(1, np.uint32)])
-            held, n_held = [], 0
+            block = numbered(held, bitmaps[0] if bitmaps else None)
+            held, n_held = {}, 0
             if size == 1:
-                n = np.bincount(x, minlength=1)[1:]
+                n = np.bincount(block.x, minlength=1)[1:]
                 nxt = np.flatnonzero(n).astype(np.uint32) + np.uint32(1)
                 cells = np.empty((len(nxt), 0), np.uint32), nxt, n[n > 0]
             else:
-                cells = counted(x, np.concatenate(known.hashes), size, bitmaps)
-            yield from batches_of(known, *cells, hot)
-            if known.seen > WORDS:
-                known.clear()
+                cells = counted(block.x, block.hashes, size, bitmaps)
+            yield from batches_of(block, *cells, hot)
 
         for b in batches:
             for i in range(0, b.num_rows, 64):
                 part = b.slice(i, 64)
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    held += [known.numbers(lang, text), np.zeros(1, np.uint32)]
-                    n_held += len(held[-2]) + 1
+                    body = text.encode()
+                    held.setdefault(lang, []).append(body)
+                    n_held += len(body) + 1
                     if n_held >= BLOCK:
                         yield from flush()
         if held:
@@ -253,7 +298,9 @@ def hot_prefixes(phrases: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray
 
 
 def phrase_hash(lang: str, phrase: str) -> int:
-    words = word_hashes(lang, phrase.encode().split(b" "))
+    data = np.frombuffer(phrase.encode(), np.uint8)
+    starts, ends, _ = words_in(data)
+    words = word_hashes(lang, data, starts, ends)
     h = words[:1]
     for k in range(1, len(words)):
         h = joined(h, words[k : k + 1])

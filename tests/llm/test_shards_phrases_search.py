@@ -129,17 +129,27 @@ def prose():
     return [(" ".join(rng.choice(words) if rng.random() < 0.7 else "new york city. hall" for _ in range(rng.randint(0, 60))), rng.choice(["en", None, "fr", "und"])) for _ in range(150)]
 
 
-@pytest.mark.parametrize("block,words,bits,slices", [(1 << 20, 400_000, 1 << 16, 1024), (50, 5, 64, 4)])
-def test_mine(spark, prose, monkeypatch, block, words, bits, slices):
-    """The same for small blocks, a vocabulary that is often cleared, a bitmap that is full, and few slices."""
-    for name, value in (("BLOCK", block), ("WORDS", words), ("LEAST_BITS", bits), ("MOST_BITS", bits), ("SLICES", slices)):
-        if hasattr(stripes, name):
-            monkeypatch.setattr(stripes, name, value)
+@pytest.mark.parametrize("block,part,bits,slices", [(6 << 20, 1 << 20, 1 << 16, 1024), (50, 8, 64, 4)])
+def test_mine(spark, prose, monkeypatch, block, part, bits, slices):
+    """The same for small blocks, hashes of few bytes at a time, a bitmap that is full, and few slices."""
+    for name, value in (("BLOCK", block), ("PART", part), ("LEAST_BITS", bits), ("MOST_BITS", bits), ("SLICES", slices)):
+        monkeypatch.setattr(stripes, name, value)
     df = spark.createDataFrame(prose, "text string, lang string").repartition(3)
     assert mined(df, least=6) == plain_phrases(prose, 4, 6)
     assert mined(df, least=4, longest=3, covered_pct=50) == plain_phrases(prose, 3, 4, 50)
 
 
+def test_words_are_told_apart_without_their_hashes():
+    body = stripes.MARK.join([b"to be, or not to be", b"be\x00 b"]).translate(stripes._MAP)
+    data = np.frombuffer(body, np.uint8)
+    starts, ends, apart = stripes.words_in(data)
+    words = [body[a:b] for a, b in zip(starts, ends)]
+    assert words == [b"to", b"be", b"or", b"not", b"to", b"be", b"be\x00", b"b"] and np.flatnonzero(apart).tolist() == [2, 6]
+    for hashes in (stripes.word_hashes("en", data, starts, ends), np.zeros(len(starts), np.uint64)):
+        first, number = stripes.distinct(data, starts, ends, hashes)
+        assert [words[first[n]] for n in number] == words and len(first) == 6
+
+
 def test_mine_edges(odd, none):
     assert stripes.best(stripes.mine(none)).count() == 0
     rows = [(r.text, r.lang) for r in odd.collect()]
