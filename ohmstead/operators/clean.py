@@ -1,7 +1,8 @@
 """Cleaning of daily series, every change logged.
 
-Two rules depend on their own earlier changes and are folded in order, one group at a time; a
-group is one daily series, bounded by its calendar. All other rules are window expressions.
+Two rules depend on their own earlier changes and are folded in order, one group at a time, as array
+expressions; a group is one daily series, bounded by its calendar, and groups that neither rule can touch
+never get there. All other rules are window expressions.
 """
 
 from __future__ import annotations
@@ -10,13 +11,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ohmstead.functions.text import let
 from ohmstead.operators import enrich, series
+from ohmstead.operators.keyed import sealed
 from ohmstead.session import cut_lineage
 
 LOG_TYPE = "array<struct<value_col:string,action:string,old:double,new:double,reference:double,gap_days:long,span_days:long>>"
@@ -70,83 +71,135 @@ def spike_candidate(ids: Sequence[str], rule: Rule, lim: Limits = Limits()) -> C
     return F.coalesce((v > 0) & (F.size(near) >= 2) & high, F.lit(False))
 
 
-def _scan_spikes(v: np.ndarray, p: np.ndarray | None, rule: Rule, lim: Limits, log: list[list[dict]]) -> None:
-    """Days that could ever be dropped are found at once: dropping a neighbour never lowers their minimum."""
-    present = np.flatnonzero(v > 0)
-    if not len(present):
-        return
-    gaps = np.zeros(len(v), dtype=int)
-    gaps[present] = np.diff(present, prepend=-1) - 1
-    padded = np.full(len(v) + 2 * lim.near_days, np.inf)
-    padded[lim.near_days:lim.near_days + len(v)] = np.where(v > 0, v, np.inf)
-    shifts = [k for k in range(2 * lim.near_days + 1) if k != lim.near_days]
-    lowest = np.min([padded[k:k + len(v)] for k in shifts], axis=0)
-    may = v > lowest * rule.factor * min(1.0, lim.gap_factor)
-    if p is not None:
-        may |= (p > 0) & (v > p * lim.pred_factor)
-    for i in np.flatnonzero(may):
-        near = np.concatenate([v[max(0, i - lim.near_days):i], v[i + 1:i + 1 + lim.near_days]])
-        near = near[near > 0]
-        if len(near) < 2:
-            continue
-        mid = float(np.median(near))
-        limit = mid * rule.factor * (lim.gap_factor if gaps[i] >= lim.long_gap else 1.0)
-        over_pred = p is not None and p[i] > 0 and v[i] > p[i] * lim.pred_factor
-        if v[i] > limit or over_pred:
-            log[i].append(dict(value_col=rule.col, action="local_spike_drop", old=float(v[i]), new=None, reference=mid, gap_days=int(gaps[i]), span_days=None))
-            v[i] = np.nan
-
-
-def _scan_jumps(v: np.ndarray, rule: Rule, lim: Limits, log: list[list[dict]]) -> None:
-    present = np.flatnonzero(v > 0)
-    if not len(present):
-        return
-    overall = float(np.median(v[present]))
-    original_gap = np.diff(present) - 1
-    for i, gap, prev in zip(present[1:], original_gap, present[:-1]):
-        if gap < lim.min_run:
-            continue
-        known = v[: prev + 1]
-        known = known[known > 0][-lim.baseline_points:]
-        base = float(np.median(known)) if len(known) else overall
-        if not v[i] > lim.spread_factor * base:
-            continue
-        span = int(gap) + 1
-        entry = dict(value_col=rule.col, action="spread", old=float(v[i]), new=None, reference=base, gap_days=int(gap), span_days=span)
-        if span > lim.max_span:
-            entry["action"] = "drop"
-            v[i] = np.nan
-        else:
-            entry["new"] = float(v[i]) / span
-            v[i - gap:i + 1] = entry["new"]
-        log[i].append(entry)
-
-
-def _fold(rules: Sequence[Rule], lim: Limits):
-    def one_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date").reset_index(drop=True)
-        log: list[list[dict]] = [[] for _ in range(len(pdf))]
-        for r in rules:
-            v = pdf[r.col].to_numpy(dtype=float, copy=True)
-            p = pdf[r.pred].to_numpy(dtype=float) if r.pred else None
-            with np.errstate(invalid="ignore"):
-                for _ in range(r.passes):
-                    _scan_spikes(v, p, r, lim, log)
-                if r.spread:
-                    _scan_jumps(v, r, lim, log)
-            pdf[r.col] = v
-        pdf["log"] = log
-        return pdf
-
-    return one_group
+_ENTRY = "struct<day:int,value_col:string,action:string,old:double,new:double,reference:double,gap_days:long,span_days:long>"
+
+
+def _entry(day: Column, rule: Rule, action: Column, old: Column, new: Column, ref: Column, gap: Column, span: Column) -> Column:
+    return F.struct(day, F.lit(rule.col), action, old, new, ref, gap.cast("long"), span.cast("long")).cast(_ENTRY)
+
+
+def _places(v: Column) -> Column:
+    """Positions of the positive values."""
+    return F.filter(F.sequence(F.lit(0), F.size(v) - 1), lambda i: F.get(v, i) > 0)
+
+
+def _spikes(v0: Column, p: Column | None, rule: Rule, lim: Limits) -> Column:
+    """One scan over a series as an array: (v, log). A dropped day is gone for the days after it.
+
+    Only days above their lowest neighbour by the factor are visited: dropping a neighbour never lowers it.
+    """
+    near_days = [k for k in range(-lim.near_days, lim.near_days + 1) if k]
+    around = lambda v, i: F.filter(F.array(*[F.get(v, i + k) for k in near_days]), lambda x: x > 0)
+
+    def over_pred(v: Column, i: Column) -> Column:
+        return F.lit(False) if p is None else F.coalesce((F.get(p, i) > 0) & (F.get(v, i) > F.get(p, i) * lim.pred_factor), F.lit(False))
+
+    def visited(present: Column) -> Column:
+        ahead = F.concat(F.array(F.lit(-1)), F.slice(present, F.lit(1), F.greatest(F.size(present) - 1, F.lit(0))))
+        pairs = F.zip_with(present, ahead, lambda i, prev: F.struct(i.alias("i"), (i - prev - 1).alias("gap")))
+        return F.filter(pairs, lambda e: e["i"].isNotNull() & (F.coalesce(F.get(v0, e["i"]) > F.array_min(around(v0, e["i"])) * (rule.factor * min(1.0, lim.gap_factor)), F.lit(False)) | over_pred(v0, e["i"])))
+
+    may = let(_places(v0), visited)
+
+    def step(acc: Column, e: Column) -> Column:
+        i, gap = e["i"], e["gap"]
+
+        def judged(near: Column) -> Column:
+            mid = _middle(near)
+            factor = F.when(gap >= lim.long_gap, F.lit(lim.gap_factor)).otherwise(F.lit(1.0))
+            value = F.get(acc["v"], i)
+            hit = (F.size(near) >= 2) & ((value > mid * rule.factor * factor) | over_pred(acc["v"], i))
+            none = F.lit(None).cast("double")
+            return F.when(hit, F.struct(
+                F.transform(acc["v"], lambda x, j: F.when(j != i, x)).alias("v"),
+                F.concat(acc["log"], F.array(_entry(i, rule, F.lit("local_spike_drop"), value, none, mid, gap, F.lit(None)))).alias("log"))).otherwise(acc)
+
+        return let(around(acc["v"], i), judged)
+
+    return F.aggregate(may, F.struct(v0.alias("v"), F.array().cast(f"array<{_ENTRY}>").alias("log")), step)
+
+
+def _jumps(v0: Column, rule: Rule, lim: Limits) -> Column:
+    """Cumulated readings after a gap spread over it, in order: (v, log)."""
+    def scanned(present: Column) -> Column:
+        overall = _middle(F.transform(present, lambda i: F.get(v0, i)))
+        n = F.greatest(F.size(present) - 1, F.lit(0))
+        pairs = F.zip_with(F.slice(present, F.lit(2), n), F.slice(present, F.lit(1), n), lambda i, prev: F.struct(i.alias("i"), prev.alias("prev")))
+        wide = F.filter(pairs, lambda e: e["i"] - e["prev"] - 1 >= lim.min_run)
+
+        def step(acc: Column, e: Column) -> Column:
+            i, gap = e["i"], e["i"] - e["prev"] - 1
+            known = F.filter(F.slice(acc["v"], F.lit(1), e["prev"] + 1), lambda x: x > 0)
+
+            def judged(own: Column) -> Column:
+                base = F.when(F.size(own) > 0, _middle(F.slice(own, F.greatest(F.size(own) - lim.baseline_points, F.lit(0)) + 1, F.lit(lim.baseline_points)))).otherwise(overall)
+                value, span = F.get(acc["v"], i), gap + 1
+                far = span > lim.max_span
+                share = F.when(~far, value / span)
+                changed = F.transform(acc["v"], lambda x, j: F.when(far & (j == i), F.lit(None).cast("double")).when(~far & (j >= i - gap) & (j <= i), share).otherwise(x))
+                action = F.when(far, "drop").otherwise("spread")
+                return F.when(value > base * lim.spread_factor, F.struct(
+                    changed.alias("v"), F.concat(acc["log"], F.array(_entry(i, rule, action, value, share, base, gap, span))).alias("log"))).otherwise(acc)
+
+            return let(known, judged)
+
+        return F.aggregate(wide, F.struct(v0.alias("v"), F.array().cast(f"array<{_ENTRY}>").alias("log")), step)
+
+    return let(_places(v0), scanned)
+
+
+def _touched(ids: Sequence[str], rules: Sequence[Rule], lim: Limits) -> Column:
+    """Whether a day may be the first one that a rule changes; a group without such a day keeps all its values."""
+    w = Window.partitionBy(*ids).orderBy("date")
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    out = F.lit(False)
+    for r in rules:
+        v = F.col(r.col)
+        if r.passes:
+            near = F.filter(F.array(*[f(v, k).over(w) for k in range(1, lim.near_days + 1) for f in (F.lag, F.lead)]), lambda x: x > 0)
+            high = v > F.array_min(near) * (r.factor * min(1.0, lim.gap_factor))
+            if r.pred:
+                high = F.coalesce(high, F.lit(False)) | ((F.col(r.pred) > 0) & (v > F.col(r.pred) * lim.pred_factor))
+            out = out | F.coalesce((v > 0) & high, F.lit(False))
+        if r.spread:
+            gap = F.date_diff("date", F.last(F.when(v > 0, F.col("date")), ignorenulls=True).over(earlier)) - 1
+            out = out | F.coalesce((v > 0) & (gap >= lim.min_run) & (v > F.min(F.when(v > 0, v)).over(earlier) * lim.spread_factor), F.lit(False))
+    return out
 
 
 def drop_and_spread(df: DataFrame, ids: Sequence[str], rules: Sequence[Rule], lim: Limits = Limits()) -> DataFrame:
-    """Spike drops, then spreads of cumulated readings, on a filled calendar; adds ``log``."""
-    schema = T.StructType([*df.schema.fields, T.StructField("log", T.DataType.fromDDL(LOG_TYPE))])
-    folded = df.groupBy(*ids).applyInPandas(_fold(rules, lim), schema)
-    doubles = [c for c, kind in df.dtypes if kind == "double"]
-    return folded.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in doubles})
+    """Spike drops, then spreads of cumulated readings, on a filled calendar; adds ``log``.
+
+    Groups that no rule can touch pass through. The others become one row each, a daily series bounded by
+    its calendar, and are folded in order by array expressions.
+    """
+    ids = list(ids)
+    marked = df.withColumn("_touch", F.max(_touched(ids, rules, lim)).over(Window.partitionBy(*ids)))
+    rest = [c for c in df.columns if c not in ids]
+    calm = marked.where(~F.col("_touch")).select(*df.columns, F.array().cast(LOG_TYPE).alias("log"))
+    x = marked.where("_touch").groupBy(*ids).agg(F.sort_array(F.collect_list(F.struct("date", *[c for c in rest if c != "date"]))).alias("_days"))
+    # sealed: a series is taken out of the days once, not at every mention
+    x = sealed(x.withColumns({**{f"_v{n}": F.col("_days")[r.col].cast("array<double>") for n, r in enumerate(rules)},
+                              **{f"_p{n}": F.col("_days")[r.pred].cast("array<double>") for n, r in enumerate(rules) if r.pred}}))
+    logs = [f"_l{n}_{k}" for n, r in enumerate(rules) for k in range(r.passes + r.spread)]
+    # columns do not touch each other, so a scan runs over all of them at once
+    for k in range(max([r.passes + r.spread for r in rules], default=0)):
+        now = [n for n, r in enumerate(rules) if k < r.passes + r.spread]
+        guess = {n: F.col(f"_p{n}") if rules[n].pred else None for n in now}
+        x = sealed(x.withColumns({f"_s{n}": _spikes(F.col(f"_v{n}"), guess[n], rules[n], lim) if k < rules[n].passes else _jumps(F.col(f"_v{n}"), rules[n], lim) for n in now}))
+        x = x.withColumns({**{f"_v{n}": F.col(f"_s{n}.v") for n in now}, **{f"_l{n}_{k}": F.col(f"_s{n}.log") for n in now}}).drop(*[f"_s{n}" for n in now])
+    found = F.concat(*logs) if logs else F.array().cast(f"array<{_ENTRY}>")
+    # the entries of every day that has any, found once and then looked up
+    x = sealed(sealed(x.withColumn("_log", found).drop(*logs)).withColumn("_by_day", let(
+        F.array_distinct(F.transform("_log", lambda e: e["day"])),
+        lambda hit: F.map_from_arrays(hit, F.transform(hit, lambda d: F.filter("_log", lambda e: e["day"] == d))))))
+    kinds = dict(df.dtypes)
+    place = {r.col: f"_v{n}" for n, r in enumerate(rules)}
+    own = [c for c in LOG_TYPE[len("array<struct<"):-2].split(",")]
+    days = F.transform("_days", lambda d, i: F.struct(
+        *[(F.get(F.col(place[c]), i).cast(kinds[c]) if c in place else d[c]).alias(c) for c in rest],
+        F.transform(F.coalesce(F.try_element_at("_by_day", i), F.array().cast(f"array<{_ENTRY}>")), lambda e: F.struct(*[e[c.split(":")[0]] for c in own])).cast(LOG_TYPE).alias("log")))
+    return calm.unionByName(x.select(*ids, F.inline(days)))
 
 
 def cap_outliers(df: DataFrame, ids: Sequence[str], factors: dict[str, float], window: int = 30, min_baseline: float = 1.0) -> DataFrame:
