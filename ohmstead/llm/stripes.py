@@ -93,12 +93,18 @@ def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.
     Words are told apart by their hashes, and then compared byte by byte with the word they are taken for.
     """
     _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
-    size = ends - starts
-    if (size == size[first][number]).all():
-        # all bytes of all words in a row, and those of the words they stand for
-        at = np.arange(int(size.sum())) + np.repeat(starts - np.cumsum(size) + size, size)
-        if (data[at] == data[at + np.repeat(starts[first][number] - starts, size)]).all():
-            return first, number
+    same, i = True, 0
+    while same and i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + PART, side="right")))
+        size, stands = ends[i:j] - starts[i:j], first[number[i:j]]
+        same = bool((size == ends[stands] - starts[stands]).all())
+        if same:
+            # all bytes of these words in a row, and those of the words they stand for
+            at = np.arange(int(size.sum())) + np.repeat(starts[i:j] - np.cumsum(size) + size, size)
+            same = bool((data[at] == data[at + np.repeat(starts[stands] - starts[i:j], size)]).all())
+        i = j
+    if same:
+        return first, number
     body = data.tobytes()
     known: dict[bytes, int] = {}
     number = np.array([known.setdefault(body[a:b], len(known)) for a, b in zip(starts.tolist(), ends.tolist())], np.int64)
