@@ -12,8 +12,9 @@ and their component if they have only one. A first wave
 joins each member with the group's anchor. Then two trees (or a tree and itself) are walked together
 from the roots, and a pair of nodes is dropped when its sizes cannot fit, when the bits that both
 hold or what follows the group's shingle bound the overlap below the threshold, or when all its members
-are linked already. (A pair is due in the group of its first common shingle, where neither has a common
-one before it.) What is left
+are linked already. A pair is due in the group of its first common shingle, where neither has a common
+one before it: members know the last ``PAST`` shingles before the group's, pairs that share one of these
+have met before, and a group whose members all have the same shingle before it is dropped whole. What is left
 at the leaves is verified on the exact sets. Groups beyond ``CHUNK`` members are cut into parts by set
 size and hash, each a tree in a task of its own; the pairs of trees whose sizes fit are dealt out by tree
 and walked, so no task reads a whole group.
@@ -39,6 +40,8 @@ LEAF = 16
 #: Anchors that the members of a cluster are joined with in the first wave.
 ANCHORS = 16
 FAN = 8
+#: Prefix shingles before a group's that a member carries.
+PAST = 6
 #: Word hashes that a task keeps.
 WORDS = 1 << 20
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -164,8 +167,9 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Tree:
     """Levels of nodes over members sorted by size, from the leaves' members (level 0) to the root."""
 
-    def __init__(self, fp: np.ndarray, n: np.ndarray, comp: np.ndarray, rest: np.ndarray, sig: np.ndarray) -> None:
+    def __init__(self, fp: np.ndarray, n: np.ndarray, comp: np.ndarray, rest: np.ndarray, past: np.ndarray, sig: np.ndarray) -> None:
         self.fp = fp
+        self.past = past
         excess = n - np.bitwise_count(sig).sum(1).astype(np.int64)
         self.levels = [(sig, n, n, rest, excess, comp, np.ones(len(n), bool))]
         fan = LEAF
@@ -207,7 +211,9 @@ def walk(a: Tree, b: Tree, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarr
         if not len(i):
             continue
         if la == 0 and lb == 0:
-            found.append((a.fp[i], b.fp[j]))
+            pa_, pb = a.past[i], b.past[j]
+            met = ((pa_[:, :, None] == pb[:, None, :]) & (pa_ != 0)[:, :, None]).any((1, 2))
+            found.append((a.fp[i[~met]], b.fp[j[~met]]))
             continue
         down_a, down_b = la > 0 and la >= lb, lb > 0 and lb >= la
 
@@ -225,14 +231,15 @@ def walk(a: Tree, b: Tree, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarr
     return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
 
 
-def _member_bytes(fp, n, comp, rest, sig) -> bytes:
-    return np.concatenate([np.stack([fp, n, comp, rest], 1).view(np.uint8).reshape(len(fp), 32), sig.view(np.uint8).reshape(len(fp), BITS // 8)], axis=1).tobytes()
+def _member_bytes(fp, n, comp, rest, past, sig) -> bytes:
+    """Rows of 64-bit numbers: the four, the shingles before (0 where there is none), the bitmap."""
+    return np.concatenate([np.stack([fp, n, comp, rest], 1), past, sig.view(np.int64).reshape(len(fp), BITS // 64)], axis=1).tobytes()
 
 
 def _tree(raw: bytes) -> Tree:
-    rows = np.frombuffer(raw, np.uint8).reshape(-1, 32 + BITS // 8)
-    head = np.ascontiguousarray(rows[:, :32]).view(np.int64)
-    return Tree(head[:, 0].copy(), head[:, 1].copy(), head[:, 2].copy(), head[:, 3].copy(), np.ascontiguousarray(rows[:, 32:]).view(np.uint64))
+    rows = np.frombuffer(raw, np.int64).reshape(-1, 4 + PAST + BITS // 64)
+    fp, n, comp, rest = (np.ascontiguousarray(rows[:, c]) for c in range(4))
+    return Tree(fp, n, comp, rest, rows[:, 4 : 4 + PAST], np.ascontiguousarray(rows[:, 4 + PAST :]).view(np.uint64))
 
 
 _WALKED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("part", pa.int64()), ("chunk", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("members", pa.binary())])
@@ -245,7 +252,7 @@ def _pairs(fa: np.ndarray, fb: np.ndarray) -> pa.RecordBatch:
 
 
 def _grouped(percent: int, chunk: int):
-    """From (key, part, n, comp, fp, rest, sig) sorted by key, part and size: pairs within each tree, and the trees of groups that have several.
+    """From (key, part, n, comp, fp, rest, past, sig) sorted by key, part and size: pairs within each tree, and the trees of groups that have several.
 
     Part 0 is a whole group, others are parts of one; a part beyond ``chunk`` members gives several trees.
     """
@@ -256,8 +263,8 @@ def _grouped(percent: int, chunk: int):
         def closed(more: bool) -> Iterator[pa.RecordBatch]:
             nonlocal held, made
             if held:
-                n, comp, fp, rest, sig = zip(*held, strict=True)
-                raw = _member_bytes(np.array(fp, np.int64), np.array(n, np.int64), np.array(comp, np.int64), np.array(rest, np.int64), np.frombuffer(b"".join(sig), np.uint8).reshape(len(sig), -1))
+                n, comp, fp, rest, past, sig = zip(*held, strict=True)
+                raw = _member_bytes(np.array(fp, np.int64), np.array(n, np.int64), np.array(comp, np.int64), np.array(rest, np.int64), np.array(past, np.int64).reshape(len(past), PAST), np.frombuffer(b"".join(sig), np.uint8).reshape(len(sig), -1))
                 tree = _tree(raw)
                 fa, fb = walk(tree, tree, percent)
                 if len(fa):
@@ -337,15 +344,19 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     # what a class has from a shingle on, itself included; beyond the quarter this is an upper bound
     prefix = counted.join(classes.select("fp", "fp2", "n", "counted", "sig"), "fp").withColumn("_place", place).withColumn("_alone", alone)
     prefix = prefix.withColumn("rest", F.col("n") - F.col("_alone") - F.col("_place") + 1)
-    prefix = common.stored(prefix.where(~quarter | (F.col("rest") * 100 >= F.col("n") * percent)).select("key", "fp", "n", "rest", "sig"), "prefix")
+    prefix = prefix.where(~quarter | (F.col("rest") * 100 >= F.col("n") * percent))
+    in_order = per_class.orderBy("_place")
+    past = F.array(*[F.coalesce(F.lag("key", i).over(in_order), F.lit(0).cast("long")) for i in range(1, PAST + 1)])
+    prefix = common.stored(prefix.withColumn("past", past).select("key", "fp", "n", "rest", "past", "sig"), "prefix")
     # of two sizes, the smaller one's rest must reach the overlap of two sets of its size
     small = F.col("rest") * (100 + percent) >= F.col("n") * (2 * percent)
     # groups of one cluster mostly have the same members: they choose among ANCHORS anchors, not each its own
     chance = F.xxhash64("fp", F.pmod(F.xxhash64("key"), F.lit(ANCHORS)))
-    anchors = prefix.groupBy("key").agg(F.min_by(F.struct("fp", "n"), F.struct(chance, "fp")).alias("anchor"), F.count("*").alias("size"), F.min(F.when(small, F.col("n"))).alias("least")).where("size > 1 AND least IS NOT NULL")
+    anchors = prefix.groupBy("key").agg(F.min_by(F.struct("fp", "n"), F.struct(chance, "fp")).alias("anchor"), F.count("*").alias("size"), F.min(F.when(small, F.col("n"))).alias("least"), F.min(F.col("past")[0]).alias("lo"), F.max(F.col("past")[0]).alias("hi"))
+    anchors = anchors.where("size > 1 AND least IS NOT NULL AND (lo <> hi OR lo = 0)").drop("lo", "hi")
     partner = F.greatest(F.col("least") * 100, F.col("n") * percent)
     met = prefix.join(anchors, "key").where(F.col("rest") * ((100 + percent) * 100) >= (F.col("n") * 100 + partner) * percent)
-    met = common.stored(met.select("key", "fp", "n", "rest", "sig", F.col("anchor.fp").alias("anchor"), F.col("anchor.n").alias("anchor_n")), "groups")
+    met = common.stored(met.select("key", "fp", "n", "rest", "past", "sig", F.col("anchor.fp").alias("anchor"), F.col("anchor.n").alias("anchor_n")), "groups")
 
     # exact sets of the classes that meet others, from one text each
     needed = common.lookup(common.stored(met.select("fp").distinct().join(classes.select("fp", "dk"), "fp").select("dk").distinct(), "needed"), most_rows=200_000)
@@ -362,7 +373,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     first = common.stored(components(verified(wave)), "labels")
 
     # groups whose members are not all linked yet
-    open_rows = _labelled(met.select("key", "fp", "n", "rest", "sig"), first, "fp", "comp")
+    open_rows = _labelled(met.select("key", "fp", "n", "rest", "past", "sig"), first, "fp", "comp")
     open_rows = open_rows.withColumn("step", F.floor(F.log2("n")))
     sizes = open_rows.groupBy("key", "step").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     unlinked = sizes.groupBy("key").agg(F.sum("size").alias("size"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list(F.struct("step", F.ceil(F.col("size") / chunk).alias("slices"))).alias("steps"))
@@ -372,7 +383,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     parts = large.select("key", "step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("cut")).select("key", part(F.col("step"), F.col("cut")).alias("part"))
     whole_groups = unlinked.where(F.col("size") <= chunk).select("key", F.lit(0).cast("long").alias("part"))
     dealt = open_rows.join(common.lookup(large), ["key", "step"], "left").withColumn("part", F.coalesce(part(F.col("step"), F.pmod(F.xxhash64("fp"), F.col("slices"))), F.lit(0).cast("long")))
-    rows = dealt.join(whole_groups.unionByName(parts), ["key", "part"], "left_semi").select("key", "part", "n", "comp", "fp", "rest", "sig").repartition("key", "part").sortWithinPartitions("key", "part", "n", "comp", "fp")
+    rows = dealt.join(whole_groups.unionByName(parts), ["key", "part"], "left_semi").select("key", "part", "n", "comp", "fp", "rest", "past", "sig").repartition("key", "part").sortWithinPartitions("key", "part", "n", "comp", "fp")
     walked = common.stored(rows.mapInArrow(_grouped(percent, chunk), "a bigint, b bigint, key bigint, part bigint, chunk bigint, lo bigint, hi bigint, members binary"), "walked")
     trees = walked.where("members IS NOT NULL").withColumn("tree", F.struct("key", "part", "chunk"))
     # pairs of trees by name first; their members join them by tree, so a group's pairs are spread over the tasks

@@ -486,17 +486,48 @@ def test_walk_keeps_every_link():
     sig = np.frombuffer(b"".join(jaccard._signature(h) for h in sets), np.uint8).reshape(len(sets), -1)
     n = np.array([len(h) for h in sets])
     order = np.argsort(n, kind="stable")
-    tree = jaccard.Tree(order.astype(np.int64), n[order], order.astype(np.int64), n[order], np.ascontiguousarray(sig[order]).view(np.uint64))
+    past = np.zeros((150, jaccard.PAST), np.int64)
+    tree = jaccard.Tree(order.astype(np.int64), n[order], order.astype(np.int64), n[order], past, np.ascontiguousarray(sig[order]).view(np.uint64))
     found = {tuple(sorted(p)) for p in zip(*jaccard.walk(tree, tree), strict=True)}
     for a in range(150):
         for b in range(a):
             both = len(np.intersect1d(sets[a], sets[b]))
             if 100 * both >= 80 * (n[a] + n[b] - both):
                 assert (b, a) in found
-    half = jaccard.Tree(order[:70].astype(np.int64), n[order[:70]], order[:70].astype(np.int64), n[order[:70]], np.ascontiguousarray(sig[order[:70]]).view(np.uint64))
-    rest = jaccard.Tree(order[70:].astype(np.int64), n[order[70:]], order[70:].astype(np.int64), n[order[70:]], np.ascontiguousarray(sig[order[70:]]).view(np.uint64))
+    half = jaccard.Tree(order[:70].astype(np.int64), n[order[:70]], order[:70].astype(np.int64), n[order[:70]], past[:70], np.ascontiguousarray(sig[order[:70]]).view(np.uint64))
+    rest = jaccard.Tree(order[70:].astype(np.int64), n[order[70:]], order[70:].astype(np.int64), n[order[70:]], past[70:], np.ascontiguousarray(sig[order[70:]]).view(np.uint64))
     both_ways = {tuple(sorted(p)) for t in ((half, half), (rest, rest), (half, rest)) for p in zip(*jaccard.walk(*t), strict=True)}
     assert both_ways == found
+    # pairs with a shingle before this group's in common have met before; others stay
+    past[:, 0] = np.arange(150) % 3
+    met = jaccard.Tree(order.astype(np.int64), n[order], order.astype(np.int64), n[order], past[order], np.ascontiguousarray(sig[order]).view(np.uint64))
+    left = {tuple(sorted(p)) for p in zip(*jaccard.walk(met, met), strict=True)}
+    assert left == {(a, b) for a, b in found if a % 3 != b % 3 or a % 3 == 0}
+
+
+def test_jaccard_shared_passage_pairs_met_once(spark, monkeypatch):
+    """Texts with many shingles in common: every pair is found, and few of them in more than one group."""
+    rnd = np.random.default_rng(3)
+    base = [f"b{i}" for i in range(300)]
+    texts = []
+    for i in range(60):
+        t = list(base)
+        for at in rnd.integers(0, 300, 4):
+            t[at] = f"x{i}_{at}"
+        texts.append(" ".join(t))
+    seen = {}
+    stored = common.stored
+
+    def noted(df, name):
+        seen.setdefault(name, stored(df, name))
+        return seen[name] if name == "walked" else stored(df, name)
+
+    monkeypatch.setattr(common, "stored", noted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(df).collect()}
+    assert got == brute_components(texts)
+    pairs = seen["walked"].where("a IS NOT NULL").select("a", "b")
+    assert pairs.count() <= 2 * pairs.distinct().count()
 
 
 def test_jaccard_edges(spark, odd, none):
