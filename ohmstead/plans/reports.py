@@ -724,7 +724,7 @@ for _word, _new in (("ton", "le"), ("ta", "la"), ("tes", "les"), ("tu", "le site
 _THEME = f"""t0 AS (SELECT source, doc_id, pos, trim(regexp_replace(trim(regexp_replace(trim(line), '^(?:- |•+)', '')), '\\s+', ' ', 'g')) AS x0 FROM ln WHERE contains({sql_fold('line')}, 'token') OR contains({sql_fold('line')}, 'http')),
 t1 AS (SELECT source, doc_id, pos, trim(regexp_replace({POLITE}, '\\s+', ' ', 'g')) AS x FROM t0 WHERE NOT regexp_matches({sql_fold('x0')}, '\\bje peux\\b|\\bje te\\b|\\boui\\b')),
 t2 AS (SELECT source, list({{'s': '- ' || x, 't': {sql_tokens("'- ' || x").replace('lambda x: x', 'lambda y: y')}}} ORDER BY doc_id, pos) AS e FROM t1 WHERE x <> '' AND NOT regexp_matches({sql_fold('x')}, '\\btravaux a engager\\b|\\bcctp\\b') GROUP BY 1),
-t3 AS (SELECT source, list_reduce(list_transform(e, lambda v: [v]), lambda a, v: CASE WHEN len(a) >= 12 OR len(list_filter(a, lambda p: len(p.t) > 0 AND len(v[1].t) > 0 AND CAST(len(list_intersect(p.t, v[1].t)) AS DOUBLE) / LEAST(len(p.t), len(v[1].t)) >= 0.82)) > 0 THEN a ELSE list_concat(a, v) END) AS k FROM t2)"""
+t3 AS (SELECT source, list_reduce(list_transform(e, lambda v: [v]), lambda a, v: CASE WHEN len(list_filter(a, lambda p: len(p.t) > 0 AND len(v[1].t) > 0 AND CAST(len(list_intersect(p.t, v[1].t)) AS DOUBLE) / LEAST(len(p.t), len(v[1].t)) >= 0.82)) > 0 THEN a ELSE list_concat(a, v) END) AS k FROM t2)"""
 
 
 @query("theme_bullets", with_(LINES, _THEME) + "SELECT source, CAST(UNNEST(range(1, len(k) + 1)) AS INTEGER) AS rank, UNNEST(list_transform(k, lambda v: v.s)) AS line FROM t3")

@@ -152,6 +152,34 @@ def test_greedy_rounds_equal_plain_greedy(spark):
         assert [r.line for r in got if r.g == g] == plain([s for k, _, s in rows if k == g])
 
 
+def brute_distinct(rows, threshold):
+    out = {}
+    for g, _, s in sorted(rows, key=lambda r: r[1]):
+        t = set((s or "").split())
+        if all(len(t & p) < threshold * min(len(t), len(p)) or not (t and p) for p, _ in out.setdefault(g, [])):
+            out[g].append((t, s))
+    return {g: [s for _, s in v] for g, v in out.items()}
+
+
+def test_near_repeats_of_whole_groups(spark):
+    """A hot group, a family of like lines, chains, null keys and lines, blank lines; in batches of several sizes."""
+    import random
+
+    rnd = random.Random(9)
+    names = [f"w{i}" for i in range(40)]
+    rows = [("hot", i, " ".join(rnd.choices(names, k=rnd.randint(1, 9)))) for i in range(400)]
+    rows += [("hot", 1000 + i, f"this line of a family has number n{i}") for i in range(200)]
+    rows += [("chain", i, " ".join(f"c{j}" for j in range(i, i + 10))) for i in range(60)]
+    rows += [(None, 1, "one two"), (None, 2, "two one"), (None, 3, None), (None, 4, ""), ("one", 7, "same"), ("one", 8, "same")]
+    df = spark.createDataFrame(rows, "g string, i int, line string").repartition(6)
+    for threshold, batch in ((0.82, 16), (0.8, 512)):
+        got = rp.greedy_by_rounds(df, ["g"], ["i"], "line", threshold, batch=batch).orderBy("g", "rank").collect()
+        want = brute_distinct(rows, threshold)
+        assert {g: [r.line for r in got if r.g == g] for g in want} == want
+        assert all([r.rank for r in got if r.g == g] == list(range(1, len(want[g]) + 1)) for g in want)
+    assert rp.greedy_by_rounds(df.limit(0), ["g"], ["i"], "line", 0.8).count() == 0
+
+
 HTML = """<html><head><title>T &amp; x</title><script>p("<p>no</p>")</script></head><body><h2> Un <b>deux</b></h2>
 <p>a<br>b<!-- c -->d</p><p>same</p><p>same</p><ul><li><p>item</p></li></ul><img src="i.png"><object data="s.mp3"></object><p> </p><style>p{}</style></body></html>"""
 
