@@ -251,16 +251,45 @@ def layout_for(need: Column, slots: Sequence[int]) -> Column:
     return F.array_min(options)["n"]
 
 
+def _climbed(groups: DataFrame, rounds: int) -> DataFrame:
+    """Rows (group_id, up, depth and perhaps path) that reach a root, by pointer jumping.
+
+    Each round a row takes its upper row's pointer and adds the upper row's depth and path to its own, so
+    the span covered doubles; a row that has reached its root is written once and not touched again.
+    """
+    named = "path" in groups.columns
+    first = cut_lineage(groups)
+    done, left = first.where("up IS NULL"), first.where("up IS NOT NULL")
+    for _ in range(rounds):
+        if left.isEmpty():
+            break
+        over = done.unionByName(left).withColumnsRenamed({"up": "_up", "depth": "_depth", "path": "_path"}).withColumnRenamed("group_id", "up")
+        path = [F.concat("_path", "path").alias("path")] if named else []
+        now = cut_lineage(left.join(over, "up").select("group_id", F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"), *path))
+        done, left = done.unionByName(now.where("up IS NULL")), now.where("up IS NOT NULL")
+    return done
+
+
+def group_depths(groups: DataFrame) -> DataFrame:
+    """(group_id, depth) of every group of (group_id, parent_id, name) below a root, which has depth 1.
+
+    Rounds grow with the logarithm of the number of groups. Groups in a loop, below one or below a missing
+    parent have no depth. A repeated id takes its root row, else the one of the smallest parent.
+    """
+    one = groups.where("group_id IS NOT NULL").groupBy("group_id").agg(F.min(F.struct("parent_id", "name")).alias("row"))
+    base = cut_lineage(one.select("group_id", F.col("row.parent_id").alias("up"), F.lit(1).alias("depth")))
+    return _climbed(base, max(base.count(), 1).bit_length() + 1).select("group_id", "depth")
+
+
 def group_paths(groups: DataFrame) -> DataFrame:
-    """Path of names from the root for a (group_id, parent_id, name) table.
+    """Path of names from the root, and depth, for a (group_id, parent_id, name) table.
 
-    One join per level of the tree, until a level is empty; a group is placed once, so a loop ends.
+    Depths come first, without names, so that loops and lost groups are gone before paths grow; then
+    paths are joined by halves, in as many rounds as the logarithm of the greatest depth. Null names are
+    left out of paths; see ``group_depths`` for repeated ids.
     """
-    level = cut_lineage(groups.where("parent_id IS NULL").select("group_id", F.col("name").alias("path"), F.lit(1).alias("depth")))
-    out = level
-    while not level.isEmpty():
-        up = level.select(F.col("group_id").alias("parent_id"), F.col("path").alias("_p"), F.col("depth").alias("_d"))
-        below = groups.join(up, "parent_id").join(out.select("group_id"), "group_id", "left_anti")
-        level = cut_lineage(below.select("group_id", F.concat_ws(" / ", "_p", "name").alias("path"), (F.col("_d") + 1).alias("depth")))
-        out = out.unionByName(level)
-    return out.groupBy("group_id").agg(F.min_by("path", F.struct("depth", "path")).alias("path"), F.min("depth").alias("depth"))
+    depths = cut_lineage(group_depths(groups))
+    deepest = depths.agg(F.max("depth")).first()[0] or 1
+    one = groups.groupBy("group_id").agg(F.min(F.struct("parent_id", "name")).alias("row"))
+    base = one.join(depths.select("group_id"), "group_id", "left_semi").select("group_id", F.col("row.parent_id").alias("up"), F.lit(1).alias("depth"), F.array("row.name").alias("path"))
+    return _climbed(base, (deepest - 1).bit_length()).select("group_id", F.array_join("path", " / ").alias("path"), "depth")

@@ -180,6 +180,23 @@ def test_near_repeats_of_whole_groups(spark):
     assert rp.greedy_by_rounds(df.limit(0), ["g"], ["i"], "line", 0.8).count() == 0
 
 
+def test_group_tree(spark, monkeypatch):
+    """Repeated ids, loops, missing parents, null names; rounds of a long chain."""
+    rows = [("a", None, "A"), ("b", "a", "B"), ("c", "b", None), ("d", "c", "D"), ("e", "b", "E"), ("e", "a", "E2"), ("a", "d", "A"),
+            ("x", "y", "X"), ("y", "x", "Y"), ("z", "y", "Z"), ("s", "s", "S"), ("m", "none", "M"), ("n", "m", "N"), (None, "a", "O")]
+    df = spark.createDataFrame(rows, "group_id string, parent_id string, name string")
+    got = {r.group_id: (r.path, r.depth) for r in sc.group_paths(df).collect()}
+    assert got == {"a": ("A", 1), "b": ("A / B", 2), "c": ("A / B", 3), "d": ("A / B / D", 4), "e": ("A / E2", 2)}
+    assert sc.group_paths(df.limit(0)).count() == 0
+    made, cut = [], sc.cut_lineage
+    monkeypatch.setattr(sc, "cut_lineage", lambda d: made.append(1) or cut(d))
+    chain = spark.range(10_000).selectExpr("id AS group_id", "nullif(id, 0) - 1 AS parent_id", "CAST(id AS string) AS name")
+    assert sc.group_depths(chain).where("depth = group_id + 1").count() == 10_000
+    assert len(made) <= 2 + 15
+    short = {r.group_id: r.path for r in sc.group_paths(chain.where("group_id < 300")).collect()}
+    assert short == {i: " / ".join(map(str, range(i + 1))) for i in range(300)}
+
+
 HTML = """<html><head><title>T &amp; x</title><script>p("<p>no</p>")</script></head><body><h2> Un <b>deux</b></h2>
 <p>a<br>b<!-- c -->d</p><p>same</p><p>same</p><ul><li><p>item</p></li></ul><img src="i.png"><object data="s.mp3"></object><p> </p><style>p{}</style></body></html>"""
 
