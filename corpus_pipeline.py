@@ -50,8 +50,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents; a stage's table goes once its successor's is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), ()
     for name, stage in STAGES:
         docs = common.stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        common.dropped(*before)
+        before = (docs,)
     return docs

@@ -40,6 +40,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Removes tables of ``stored`` whose every reader has been written itself; nothing may read them afterwards."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def lookup(df: DataFrame, most_rows: int = 20_000, most_bytes: int = 4 << 20) -> DataFrame:
     """A written per-key table for the small side of a join.
 

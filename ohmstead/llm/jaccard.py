@@ -42,8 +42,8 @@ ANCHORS = 16
 FAN = 8
 #: Prefix shingles before a group's that a member carries.
 PAST = 6
-#: Word hashes that a task keeps.
-WORDS = 1 << 20
+#: Word hashes that a task keeps, about 170 bytes each.
+WORDS = 1 << 18
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
@@ -305,7 +305,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low2, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low2.select("u", F.col("m").alias("v")))
-        edges = common.stored(small.distinct(), "links")
+        before, edges = edges, common.stored(small.distinct(), "links")
+        common.dropped(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
@@ -324,17 +325,19 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
 
     ``component_id`` is the smallest id among all documents reachable by links. Null or wordless texts
     have no shingles and no links; a null id is reachable, but names a component only if no other id is
-    there. Repeated rows are copies. An empty table gives no rows. Cost does not depend on how often a
+    there. Repeated rows are copies. An empty table gives no rows. Inner tables are removed as soon as all
+    that reads them is written. Cost does not depend on how often a
     text is copied beyond one row per copy.
     """
     whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col), F.col(text)).alias("dk"), F.col(text).alias("text"))
     described = common.stored(whole.mapInArrow(_described(percent, width), "doc_id bigint, dk bigint, n bigint, counted bigint, fp bigint, fp2 bigint, sig binary, keys array<bigint>"), "described")
-    members = described.select("doc_id", "dk", "n", "fp", "fp2")
+    members = common.stored(described.select("doc_id", "dk", "n", "fp", "fp2"), "members")
     # every class once; a first hash that two classes share only adds candidates, which are verified
     classes = common.stored(described.where("n > 0").groupBy("fp", "fp2").agg(F.min("doc_id").alias("first_id"), F.min("dk").alias("dk"), F.min("n").alias("n"), F.min("counted").alias("counted"), F.min("sig").alias("sig")), "classes")
 
     keyed = described.select("fp", F.explode("keys").alias("key")).select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
     shared = common.stored(keyed.mapInArrow(_shared, "key bigint, fp bigint, df bigint"), "shared")
+    common.dropped(described)
     counted = shared.where("fp IS NOT NULL").select("key", "fp").join(shared.where("fp IS NULL").select("key", "df"), "key")
     quarter = F.col("key").bitwiseAND(F.lit(3)) == 0
     per_class = Window.partitionBy("fp", "fp2")
@@ -348,6 +351,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     in_order = per_class.orderBy("_place")
     past = F.array(*[F.coalesce(F.lag("key", i).over(in_order), F.lit(0).cast("long")) for i in range(1, PAST + 1)])
     prefix = common.stored(prefix.withColumn("past", past).select("key", "fp", "n", "rest", "past", "sig"), "prefix")
+    common.dropped(shared)
     # of two sizes, the smaller one's rest must reach the overlap of two sets of its size
     small = F.col("rest") * (100 + percent) >= F.col("n") * (2 * percent)
     # groups of one cluster mostly have the same members: they choose among ANCHORS anchors, not each its own
@@ -357,11 +361,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     partner = F.greatest(F.col("least") * 100, F.col("n") * percent)
     met = prefix.join(anchors, "key").where(F.col("rest") * ((100 + percent) * 100) >= (F.col("n") * 100 + partner) * percent)
     met = common.stored(met.select("key", "fp", "n", "rest", "past", "sig", F.col("anchor.fp").alias("anchor"), F.col("anchor.n").alias("anchor_n")), "groups")
+    common.dropped(prefix)
 
     # exact sets of the classes that meet others, from one text each
-    needed = common.lookup(common.stored(met.select("fp").distinct().join(classes.select("fp", "dk"), "fp").select("dk").distinct(), "needed"), most_rows=200_000)
-    some = whole.join(needed, "dk", "left_semi").select("text")
+    needed = common.stored(met.select("fp").distinct().join(classes.select("fp", "dk"), "fp").select("dk").distinct(), "needed")
+    some = whole.join(common.lookup(needed, most_rows=200_000), "dk", "left_semi").select("text")
     sets = common.stored(some.mapInArrow(_sets(width), "fp bigint, fp2 bigint, set array<bigint>").dropDuplicates(["fp", "fp2"]).select("fp", "set"), "sets")
+    common.dropped(needed)
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("set").alias("set_a")), "a").join(sets.select(F.col("fp").alias("b"), F.col("set").alias("set_b")), "b")
@@ -385,6 +391,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     dealt = open_rows.join(common.lookup(large), ["key", "step"], "left").withColumn("part", F.coalesce(part(F.col("step"), F.pmod(F.xxhash64("fp"), F.col("slices"))), F.lit(0).cast("long")))
     rows = dealt.join(whole_groups.unionByName(parts), ["key", "part"], "left_semi").select("key", "part", "n", "comp", "fp", "rest", "past", "sig").repartition("key", "part").sortWithinPartitions("key", "part", "n", "comp", "fp")
     walked = common.stored(rows.mapInArrow(_grouped(percent, chunk), "a bigint, b bigint, key bigint, part bigint, chunk bigint, lo bigint, hi bigint, members binary"), "walked")
+    common.dropped(met, unlinked)
     trees = walked.where("members IS NOT NULL").withColumn("tree", F.struct("key", "part", "chunk"))
     # pairs of trees by name first; their members join them by tree, so a group's pairs are spread over the tasks
     named = trees.select("key", "tree", "lo", "hi")
@@ -395,6 +402,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     pairs = walked.where("a IS NOT NULL").select("a", "b").unionByName(more).distinct()
     links = _labelled(_labelled(verified(pairs), first, "a", "x"), first, "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b"))
     second = components(links)
+    common.dropped(walked, sets)
 
     comps = _labelled(_labelled(classes.select("fp", "fp2", "first_id"), first, "fp", "c1"), second, "c1", "c2")
     named = comps.groupBy("c2").agg(F.min("first_id").alias("component_id"))
