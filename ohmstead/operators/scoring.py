@@ -91,12 +91,13 @@ def works(j: DataFrame, keys: Sequence[str], targets: dict[str, str], default: s
     return j.where(unmet).select(*keys, "grp", "rule_id", "title", need.alias("required_level"), "level")
 
 
-def score_slides(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Text of the score slide of each group: class, explanation, first blockers."""
+def score_slides(groups: DataFrame, keys: Sequence[str], most: int | None = None) -> DataFrame:
+    """Text of the score slide of each group: class, explanation, blockers (the first ``most`` if given)."""
     n = F.col("blockers_B")
     why = F.when(n > 0, F.format_string("Classe %s : %d exigence(s) minimales vers la classe B ne sont pas démontrées dans les preuves disponibles.", "achieved_class", n)).otherwise(
         F.format_string("Classe %s : les exigences minimales vers la classe B semblent satisfaites sur la base des preuves disponibles.", "achieved_class"))
-    first = F.slice(F.split("blocking_B", ","), 1, 3)
+    blockers = F.split("blocking_B", ",")
+    first = blockers if most is None else F.slice(blockers, 1, most)
     ls = F.concat(F.array(why, F.concat(F.lit("Classe atteinte : "), "achieved_class")), F.when(n > 0, first).otherwise(F.array().cast("array<string>")))
     return groups.select(*keys, "grp", F.array_join(ls, "\n").alias("body"))
 
@@ -134,9 +135,9 @@ def gate(section: Column, text: Column, policy: dict = POLICY) -> Column:
     return out
 
 
-def settle_attempts(attempts: DataFrame, keys: Sequence[str], attempt: str, section: str, text: str, most: int = 3, policy: dict = POLICY) -> DataFrame:
-    """First attempt that is not rejected within the allowed ones, else a failed section."""
-    tried = attempts.where(F.col(attempt) <= most)
+def settle_attempts(attempts: DataFrame, keys: Sequence[str], attempt: str, section: str, text: str, most: int | None = None, policy: dict = POLICY) -> DataFrame:
+    """First attempt that is not rejected (within the first ``most`` if given), else a failed section."""
+    tried = attempts if most is None else attempts.where(F.col(attempt) <= most)
     g = tried.withColumn("_g", gate(F.col(section), F.col(text), policy))
     ok = F.col("_g.status") != "rejected"
     x = g.groupBy(*keys).agg(

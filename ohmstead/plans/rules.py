@@ -338,7 +338,7 @@ def works_list(s, sf):
 
 @query("score_slides", with_(_RULESQL, _CLS) + """
 SELECT doc_id, grp, CASE WHEN "blockers_B" > 0 THEN 'Classe ' || achieved_class || ' : ' || "blockers_B" || ' exigence(s) minimales vers la classe B ne sont pas démontrées dans les preuves disponibles.' ELSE 'Classe ' || achieved_class || ' : les exigences minimales vers la classe B semblent satisfaites sur la base des preuves disponibles.' END
- || chr(10) || 'Classe atteinte : ' || achieved_class || CASE WHEN "blockers_B" > 0 THEN chr(10) || array_to_string(string_split("blocking_B", ',')[1:3], chr(10)) ELSE '' END AS body FROM gc""")
+ || chr(10) || 'Classe atteinte : ' || achieved_class || CASE WHEN "blockers_B" > 0 THEN chr(10) || array_to_string(string_split("blocking_B", ','), chr(10)) ELSE '' END AS body FROM gc""")
 def score_slides(s, sf):
     return sc.score_slides(sc.group_classes(_judged(s, sf), ["doc_id"]), ["doc_id"])
 
@@ -368,12 +368,11 @@ def policy_gate(s, sf):
 
 
 @query("settled_attempts", with_(_GATED) + f"""
-, r AS (SELECT conv_id, turn, status, text FROM gg WHERE turn < 3)
 SELECT conv_id, COUNT(*) AS tries, COALESCE(MIN(CASE WHEN status <> 'rejected' THEN turn + 1 END), 0) AS won, COALESCE(ARG_MIN(status, turn) FILTER (WHERE status <> 'rejected'), 'failed') AS status,
- COALESCE(ARG_MIN(text, turn) FILTER (WHERE status <> 'rejected'), replace({q(sc.INCOMPLETE.replace(chr(10), '~'))}, '~', chr(10))) AS text FROM r GROUP BY 1""")
+ COALESCE(ARG_MIN(text, turn) FILTER (WHERE status <> 'rejected'), replace({q(sc.INCOMPLETE.replace(chr(10), '~'))}, '~', chr(10))) AS text FROM gg GROUP BY 1""")
 def settled_attempts(s, sf):
     x = t.texts(s, sf, "conversations").withColumn("attempt", F.col("turn") + 1)
-    return sc.settle_attempts(x, ["conv_id"], "attempt", "role", "text", 3, _POL)
+    return sc.settle_attempts(x, ["conv_id"], "attempt", "role", "text", policy=_POL)
 
 
 @query("context_check", """
