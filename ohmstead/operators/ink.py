@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ohmstead.operators import grid as gd
 from ohmstead.operators import intervals as iv
-from ohmstead.session import cut_lineage
+from ohmstead.session import cut_lineage, wide_side
 
 K = ("image_id",)
 
@@ -42,7 +42,7 @@ def thick(cells: DataFrame, size: tuple[int, int], erode: int = 2, dilate: int =
 
 
 def _minus(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.join(b.select(*K, "x", "y"), [*K, "x", "y"], "left_anti")
+    return a.join(wide_side(b.select(*K, "x", "y")), [*K, "x", "y"], "left_anti")
 
 
 def _turn(cells: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def remove_hairlines(mask: DataFrame, size: tuple[int, int], min_run: int = 34,
     args = (least, support, max_mean, max_median)
     hairs = _hairs(mask, *args).unionByName(_turn(_hairs(_turn(mask), *args)).select(*K, "x", "y"))
     lone = gd.box_counts(mask, K, density).where(F.col("n") < dense_min)
-    return _minus(mask, hairs.join(lone, [*K, "x", "y"], "left_semi"))
+    return _minus(mask, hairs.join(wide_side(lone), [*K, "x", "y"], "left_semi"))
 
 
 def _aligned(runs: DataFrame, length: int, min_span: float = 0.18, min_pixels: int = 18, lo: float = 0.18, hi: float = 0.80) -> DataFrame:
@@ -125,7 +125,7 @@ def remove_aligned(mask: DataFrame, size: tuple[int, int], neighbour: int = 2, b
         rows = _aligned(t, w, **limits).select(*K, F.explode(F.sequence(
             F.greatest(F.col("y") - neighbour, F.lit(0)), F.least(F.col("y") + neighbour, F.lit(h - 1)))).alias("y"))
         rows = rows.select(*K, F.explode(F.sequence(F.col("y") - band, F.col("y") + band)).alias("y")).distinct()
-        hit = f.join(rows, [*K, "y"], "left_semi")
+        hit = f.join(wide_side(rows), [*K, "y"], "left_semi")
         hit = iv.turned(hit, K) if turned else hit
         gone = hit if gone is None else gone.unionByName(hit)
     return iv.cells_of(iv.minus(runs, gone, K), K)
@@ -135,8 +135,8 @@ def _without_small(runs: DataFrame, area_below: int, keep_largest: bool = False,
     comps = cut_lineage(iv.components(runs, keys))
     boxes = iv.boxes(comps, keys)
     kept = boxes.where(F.col("area") >= area_below)
-    kept = kept.join(gd.largest(boxes, keys), [*keys, "comp"], "left_semi") if keep_largest else kept
-    return comps.join(kept, [*keys, "comp"], "left_semi").select(*keys, "y", "s", "e")
+    kept = kept.join(wide_side(gd.largest(boxes, keys)), [*keys, "comp"], "left_semi") if keep_largest else kept
+    return comps.join(wide_side(kept), [*keys, "comp"], "left_semi").select(*keys, "y", "s", "e")
 
 
 def remove_small(mask: DataFrame, area_below: int, keep_largest: bool = False, keys: Sequence[str] = K) -> DataFrame:
@@ -162,7 +162,7 @@ def remove_meshes(mask: DataFrame, size: tuple[int, int], link: int = 2, min_w:
     boxes = iv.boxes(iv.components(linked, K), K).where((F.col("x1") - F.col("x0") + 1 >= min_w) & (F.col("y1") - F.col("y0") + 1 >= min_h))
     # a box reports itself to every row it covers; cells meet boxes on (image, row)
     rows = boxes.select(*K, "comp", "x0", "x1", "y0", "y1", F.explode(F.sequence("y0", "y1")).alias("y"))
-    inside = rows.join(line, [*K, "y"]).where(F.col("x").between(F.col("x0"), F.col("x1")))
+    inside = rows.join(wide_side(line), [*K, "y"]).where(F.col("x").between(F.col("x0"), F.col("x1")))
     g = inside.groupBy(*K, "comp", "x0", "x1", "y0", "y1").agg(F.count("*").alias("n"), *[F.max(a).alias(a) for a in "hvda"])
     area = (F.col("x1") - F.col("x0") + 1) * (F.col("y1") - F.col("y0") + 1)
     mesh = g.where((F.col("n") >= min_pixels) & (F.col("n") / area >= min_density) & (F.col("h") + F.col("v") + F.col("d") + F.col("a") >= min_axes))
@@ -177,7 +177,7 @@ def remove_specks(mask: DataFrame, size: tuple[int, int], area_below: int = 45,
     comps = cut_lineage(iv.components(iv.minus(runs, wall, K), K))
     small = iv.boxes(comps, K).where(F.col("area") < area_below).select(*K, "comp")
     safe = iv.meeting(comps, iv.dilated(wall, K, near, near), K, ["comp"], []).select(*K, "comp").distinct()
-    gone = comps.join(small.join(safe, [*K, "comp"], "left_anti"), [*K, "comp"], "left_semi")
+    gone = comps.join(wide_side(small.join(wide_side(safe), [*K, "comp"], "left_anti")), [*K, "comp"], "left_semi")
     return iv.cells_of(iv.minus(runs, gone, K), K)
 
 
@@ -186,14 +186,14 @@ def grow_main(mask: DataFrame, size: tuple[int, int], ratio: float = 0.12, passe
     comps = cut_lineage(iv.components(iv.of_cells(mask, K), K))
     boxes = cut_lineage(iv.boxes(comps, K).where(F.col("area") >= min_area))
     seed = gd.largest(boxes.where(F.col("area") >= seed_area), K)
-    kept = boxes.join(seed, [*K, "comp"], "left_semi").select(*K, "comp")
+    kept = boxes.join(wide_side(seed), [*K, "comp"], "left_semi").select(*K, "comp")
     w, h = size
     for _ in range(max(1, passes)):
-        main = boxes.join(kept, [*K, "comp"], "left_semi").groupBy(*K).agg(
+        main = boxes.join(wide_side(kept), [*K, "comp"], "left_semi").groupBy(*K).agg(
             F.min("x0").alias("mx0"), F.min("y0").alias("my0"), F.max("x1").alias("mx1"), F.max("y1").alias("my1"))
         m = (F.greatest(F.col("mx1") - F.col("mx0"), F.col("my1") - F.col("my0"), F.lit(1)) * ratio).cast("int")
         wide = main.select(*K, F.greatest(F.col("mx0") - m, F.lit(0)).alias("ax0"), F.greatest(F.col("my0") - m, F.lit(0)).alias("ay0"),
                            F.least(F.col("mx1") + m, F.lit(w - 1)).alias("ax1"), F.least(F.col("my1") + m, F.lit(h - 1)).alias("ay1"))
         j = boxes.join(wide, list(K))
         kept = cut_lineage(j.where(~((F.col("x1") < F.col("ax0")) | (F.col("x0") > F.col("ax1")) | (F.col("y1") < F.col("ay0")) | (F.col("y0") > F.col("ay1")))).select(*K, "comp"))
-    return iv.cells_of(comps.join(kept, [*K, "comp"], "left_semi"), K)
+    return iv.cells_of(comps.join(wide_side(kept), [*K, "comp"], "left_semi"), K)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ohmstead.session import cut_lineage
+from ohmstead.session import cut_lineage, wide_side
 
 #: Columns of a bucket in which intervals of two lines meet.
 BUCKET = 64
@@ -137,7 +137,7 @@ def meeting(a: DataFrame, b: DataFrame, keys: Sequence[str], of_a: Sequence[str]
     left = left.withColumn("_b", F.explode(F.sequence(_bucket(F.col("_s")), _bucket(F.col("_e")))))
     right = b.select(*keys, "y", F.col("s").alias("_t"), F.col("e").alias("_f"), *of_b)
     right = right.withColumn("_b", F.explode(F.sequence(_bucket(F.col("_t")), _bucket(F.col("_f")))))
-    met = left.join(right, [*keys, "y", "_b"])
+    met = left.join(wide_side(right), [*keys, "y", "_b"])
     first = F.greatest("_s", "_t")
     return met.where((F.col("_s") <= F.col("_f")) & (F.col("_t") <= F.col("_e")) & (F.col("_b") == _bucket(first))).select(*keys, "y", *of_a, *of_b)
 
@@ -205,9 +205,9 @@ def contracted(links: DataFrame, keys: Sequence[str]) -> DataFrame:
     while not links.isEmpty():
         both = links.unionByName(links.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy(*keys, "u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(low, [*keys, "u"]).where("v > u").select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(wide_side(low), [*keys, "u"]).where("v > u").select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
         low2 = large.groupBy(*keys, "u").agg(F.min("v").alias("m"))
-        tied = large.join(low2, [*keys, "u"])
+        tied = large.join(wide_side(low2), [*keys, "u"])
         small = tied.where("v <> m").select(*keys, F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low2.select(*keys, "u", F.col("m").alias("v")))
         links = cut_lineage(small.distinct())
         now = links.agg(F.count("*"), F.sum(F.xxhash64(*keys, "u", "v").cast("decimal(38,0)"))).first()
@@ -234,7 +234,7 @@ def components(iv: DataFrame, keys: Sequence[str], connectivity: int = 8) -> Dat
     roots = contracted(border, keys)
     if roots.isEmpty():
         return local
-    return local.join(roots.withColumnRenamed("node", "comp"), [*keys, "comp"], "left").select(*keys, "y", "s", "e", F.coalesce("root", "comp").alias("comp"))
+    return local.join(wide_side(roots.withColumnRenamed("node", "comp")), [*keys, "comp"], "left").select(*keys, "y", "s", "e", F.coalesce("root", "comp").alias("comp"))
 
 
 def boxes(comps: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -43,3 +43,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             named = tempfile.mkdtemp(prefix="ohmstead-checkpoint-")
         sc.setCheckpointDir(named)
     return df.checkpoint(eager=True)
+
+
+def wide_side(df: DataFrame) -> DataFrame:
+    """A side of a join that is never sent whole to the driver.
+
+    Spark takes a table to be as large as what it is exploded from, and so may broadcast millions of cells
+    that come from a small table. With this hint both sides are shuffled.
+    """
+    return df.hint("merge")
