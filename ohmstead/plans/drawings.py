@@ -393,6 +393,7 @@ def _raw(s, sf) -> DataFrame:
     x = c.select(
         k.alias("k"), F.floor(k / 60).alias("image_id"), ((k * 53) % 90 + F.col("c_nationkey")).alias("a0"), ((k * 37) % 120 + 10).alias("b0"),
         (3 + F.floor(F.abs("c_acctbal")) % 40).cast("long").alias("len"), F.when(k % 10 == 0, 6).otherwise(1).alias("th"), F.when(k % 13 == 0, 250).otherwise(k % 200).alias("v"))
+    x = t.dealt(x, "k")
     x = x.select("k", "image_id", "v", "b0", "th", F.explode(F.sequence(F.col("a0"), F.col("a0") + F.col("len") - 1)).alias("a"))
     x = x.select("k", "image_id", "v", "a", F.explode(F.sequence(F.col("b0"), F.col("b0") + F.col("th") - 1)).alias("b"))
     turned = F.col("k") % 3 == 0

@@ -22,6 +22,18 @@ def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return table(spark, sf, name)
 
 
+#: Rows of a narrow table that one task turns into many.
+DEALT_ROWS = 1 << 13
+
+
+def dealt(df: DataFrame, *keys: str, rows: int | None = None) -> DataFrame:
+    """The same rows, dealt by a hash of the keys so that a task holds about ``rows`` of them, however few splits the file has.
+
+    For rows that are exploded next: Spark sizes tasks by the bytes before that.
+    """
+    return df.repartition(max(1, -(-df.count() // (rows or DEALT_ROWS))), *keys)
+
+
 def code_table(spark: SparkSession, rows: list[tuple[int, str]], key: str, name: str) -> DataFrame:
     """A few literal rows, which Spark knows the size of and so broadcasts."""
     values = ", ".join(f"({k}, '{v}')" for k, v in rows)

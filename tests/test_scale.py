@@ -3,6 +3,7 @@
 import pytest
 
 from ohmstead.plans import drawings
+from ohmstead.sources import tables as t
 
 
 def plan(df):
@@ -13,3 +14,11 @@ def plan(df):
 def test_cells_are_not_broadcast(spark, data, name):
     p = plan(drawings.CAT.items[name].build(spark, data))
     assert "Join" in p and "BroadcastHashJoin" not in p
+
+
+def test_customers_are_dealt_before_they_become_cells(spark, data, monkeypatch):
+    whole = sorted(map(tuple, drawings._raw(spark, data).collect()))
+    monkeypatch.setattr(t, "DEALT_ROWS", 30)
+    x = drawings._raw(spark, data)
+    assert x.rdd.getNumPartitions() == 5
+    assert sorted(map(tuple, x.collect())) == whole
