@@ -33,12 +33,13 @@ def crop_box(cells: DataFrame, margin: int, size: tuple[int, int]) -> DataFrame:
 def _thick(runs: DataFrame, size: tuple[int, int], erode: int = 2, dilate: int = 3, keep: int = 0) -> DataFrame:
     w, h = F.lit(size[0]), F.lit(size[1])
     grown = erode + dilate + keep
-    return iv.clipped(iv.dilated(iv.eroded(runs, K, erode, w, h), K, grown, grown), w, h)
+    core = cut_lineage(iv.eroded(runs, K, erode, w, h, iv.tasks(runs, 2 * erode + 1)))
+    return iv.clipped(iv.dilated(core, K, grown, grown, iv.tasks(core, 2 * grown + 1)), w, h)
 
 
 def thick(cells: DataFrame, size: tuple[int, int], erode: int = 2, dilate: int = 3, keep: int = 0) -> DataFrame:
     """Strokes that survive erosion, grown back and a little further."""
-    return iv.cells_of(_thick(iv.of_cells(cells, K), size, erode, dilate, keep), K)
+    return iv.cells_of(_thick(cut_lineage(iv.of_cells(cells, K)), size, erode, dilate, keep), K)
 
 
 def _minus(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -59,10 +60,10 @@ def _thin_runs(mask: DataFrame, wall: DataFrame, size: tuple[int, int], min_run:
     w, h = size
     run = ["s", "e"]
     long = cut_lineage(iv.minus(mask, wall, K).where(F.col("e") - F.col("s") + 1 >= min_run))
-    own = iv.sums_over(mask, K, strip, long.withColumns({"p0": F.col("s"), "p1": F.col("e") + 1}), run)
+    own = iv.sums_over(mask, K, strip, long.withColumns({"p0": F.col("s"), "p1": F.col("e") + 1}), run, iv.tasks(mask, 2 * strip + 1))
     thin = own.where(F.col("n") / (_clip(F.col("y"), strip, h) * (F.col("e") - F.col("s") + 1)) <= max_strip)
     around = thin.select(*K, "y", *run, F.greatest(F.col("s") - dense, F.lit(0)).alias("p0"), F.least(F.col("e") + 1 + dense, F.lit(w)).alias("p1"))
-    near = iv.sums_over(mask, K, dense, around.withColumn("cols", F.col("p1") - F.col("p0")), [*run, "cols"])
+    near = iv.sums_over(mask, K, dense, around.withColumn("cols", F.col("p1") - F.col("p0")), [*run, "cols"], iv.tasks(mask, 2 * dense + 1))
     return near.where(F.col("n") / (F.col("cols") * _clip(F.col("y"), dense, h)) < dense_min).select(*K, "y", *run)
 
 
@@ -81,9 +82,10 @@ def remove_line_runs(mask: DataFrame, size: tuple[int, int], min_run: int = 22,
 def _hairs(cells: DataFrame, min_run: int, support: int, max_mean: float, max_median: float) -> DataFrame:
     """Cells of long runs that have little ink beside them, on the whole and where they are."""
     runs = cut_lineage(iv.of_cells(cells, K))
+    parts = iv.tasks(runs, 2 * support + 1)
     long = runs.where(F.col("e") - F.col("s") + 1 >= min_run).withColumns({"p0": F.col("s"), "p1": F.col("e") + 1})
-    weak = iv.sums_over(runs, K, support, long, ["s", "e"]).where(F.col("n") / (F.col("e") - F.col("s") + 1) <= max_mean)
-    faint = iv.coverage(runs, K, support).where(F.col("c") <= max_median)
+    weak = iv.sums_over(runs, K, support, long, ["s", "e"], parts).where(F.col("n") / (F.col("e") - F.col("s") + 1) <= max_mean)
+    faint = iv.coverage(runs, K, support, parts).where(F.col("c") <= max_median)
     return iv.cells_of(iv.common(weak, faint, K), K)
 
 
@@ -158,7 +160,8 @@ def remove_meshes(mask: DataFrame, size: tuple[int, int], link: int = 2, min_w:
     runs = cut_lineage(iv.of_cells(mask, K))
     thin = cut_lineage(iv.minus(runs, _thick(runs, size, 2, 3, 1), K))
     line = cut_lineage(line_cells(iv.cells_of(thin, K)))
-    linked = iv.clipped(iv.dilated(iv.of_cells(line, K), K, link, link), F.lit(size[0]), F.lit(size[1]))
+    lines = cut_lineage(iv.of_cells(line, K))
+    linked = iv.clipped(iv.dilated(lines, K, link, link, iv.tasks(lines, 2 * link + 1)), F.lit(size[0]), F.lit(size[1]))
     boxes = iv.boxes(iv.components(linked, K), K).where((F.col("x1") - F.col("x0") + 1 >= min_w) & (F.col("y1") - F.col("y0") + 1 >= min_h))
     # a box reports itself to every row it covers; cells meet boxes on (image, row)
     rows = boxes.select(*K, "comp", "x0", "x1", "y0", "y1", F.explode(F.sequence("y0", "y1")).alias("y"))
@@ -176,7 +179,7 @@ def remove_specks(mask: DataFrame, size: tuple[int, int], area_below: int = 45,
     wall = cut_lineage(_thick(runs, size, 2, 3, 1))
     comps = cut_lineage(iv.components(iv.minus(runs, wall, K), K))
     small = iv.boxes(comps, K).where(F.col("area") < area_below).select(*K, "comp")
-    safe = iv.meeting(comps, iv.dilated(wall, K, near, near), K, ["comp"], []).select(*K, "comp").distinct()
+    safe = iv.meeting(comps, iv.dilated(wall, K, near, near, iv.tasks(wall, 2 * near + 1)), K, ["comp"], []).select(*K, "comp").distinct()
     gone = comps.join(wide_side(small.join(wide_side(safe), [*K, "comp"], "left_anti")), [*K, "comp"], "left_semi")
     return iv.cells_of(iv.minus(runs, gone, K), K)
 

@@ -24,6 +24,20 @@ BUCKET = 64
 STRIP = 256
 
 
+#: Rows that one task sorts. Ends repeated over lines are so much alike that the bytes of a shuffle say little about them.
+TASK_ROWS = 1 << 21
+
+
+def tasks(iv: DataFrame, lines: int = 1) -> int:
+    """Tasks for the ends of written intervals, each repeated on that many lines."""
+    return max(1, -(-iv.count() * 2 * lines // TASK_ROWS))
+
+
+def _dealt(x: DataFrame, keys: Sequence[str], parts: int | None) -> DataFrame:
+    """Whole lines dealt to a stated number of tasks, which the sweeps keep."""
+    return x if parts is None else x.repartition(parts, *keys, "y")
+
+
 def of_cells(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Maximal runs of cells along rows; repeated cells count once."""
     w = Window.partitionBy(*keys, "y").orderBy("x")
@@ -54,15 +68,16 @@ def _ends(iv: DataFrame, keys: Sequence[str], y: Column, **weights: Column) -> D
     return iv.select(*keys, y.alias("y"), F.explode(at).alias("_e")).select(*keys, "y", "_e.*")
 
 
-def coverage(iv: DataFrame, keys: Sequence[str], ry: int = 0) -> DataFrame:
+def coverage(iv: DataFrame, keys: Sequence[str], ry: int = 0, parts: int | None = None) -> DataFrame:
     """Segments with ``c``, how often the intervals of the lines within ``ry`` cover them.
 
-    For disjoint intervals that is the number of set cells of a column within ``ry`` rows.
+    For disjoint intervals that is the number of set cells of a column within ``ry`` rows. ``parts`` is the
+    number of tasks, for large sets that of ``tasks``.
     """
     x = _ends(iv, keys, F.col("y"), c=F.lit(1))
     if ry:
         x = x.withColumn("y", F.explode(F.sequence(F.col("y") - ry, F.col("y") + ry)))
-    return _segments(x, keys, ["c"]).where("c > 0")
+    return _segments(_dealt(x, keys, parts), keys, ["c"]).where("c > 0")
 
 
 def fused(iv: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -73,6 +88,15 @@ def fused(iv: DataFrame, keys: Sequence[str]) -> DataFrame:
     return x.groupBy(*keys, "y", "_run").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("_run")
 
 
+def merged(iv: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
+    """Maximal intervals of what any interval covers."""
+    w = Window.partitionBy(*keys, "y").orderBy("s")
+    before = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    x = _dealt(iv.select(*keys, "y", "s", "e"), keys, parts).withColumn("_new", F.coalesce((F.col("s") > before + 1).cast("int"), F.lit(0)))
+    x = x.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return x.groupBy(*keys, "y", "_run").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("_run")
+
+
 def union(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Cells of any part."""
     x = parts[0].select(*keys, "y", "s", "e")
@@ -101,13 +125,13 @@ def clipped(iv: DataFrame, w: Column, h: Column) -> DataFrame:
     return x.withColumns({"s": F.greatest(F.col("s"), F.lit(0)), "e": F.least(F.col("e"), w - 1)})
 
 
-def dilated(iv: DataFrame, keys: Sequence[str], rx: int, ry: int) -> DataFrame:
+def dilated(iv: DataFrame, keys: Sequence[str], rx: int, ry: int, parts: int | None = None) -> DataFrame:
     """Cells within ``rx`` columns and ``ry`` rows of a set one."""
     wide = iv.withColumns({"s": F.col("s") - rx, "e": F.col("e") + rx}) if rx else iv
-    return fused(coverage(wide, keys, ry), keys) if rx or ry else iv.select(*keys, "y", "s", "e")
+    return fused(coverage(wide, keys, ry, parts), keys) if rx or ry else iv.select(*keys, "y", "s", "e")
 
 
-def eroded(iv: DataFrame, keys: Sequence[str], r: int, w: Column | None = None, h: Column | None = None) -> DataFrame:
+def eroded(iv: DataFrame, keys: Sequence[str], r: int, w: Column | None = None, h: Column | None = None, parts: int | None = None) -> DataFrame:
     """Cells whose whole square is set; with a picture of ``w`` by ``h``, what lies outside counts as set.
 
     ``iv`` holds maximal intervals, and ``w`` and ``h`` are literals or among the keys. Along a line an interval
@@ -120,7 +144,7 @@ def eroded(iv: DataFrame, keys: Sequence[str], r: int, w: Column | None = None,
         first, last = F.when(F.col("s") <= 0, F.col("s")).otherwise(first), F.when(F.col("e") >= w - 1, F.col("e")).otherwise(last)
         need = F.least(F.col("y") + r, h - 1) - F.greatest(F.col("y") - r, F.lit(0)) + 1
     short = iv.select(*keys, "y", first.alias("s"), last.alias("e")).where("s <= e")
-    held = coverage(short, keys, r)
+    held = coverage(short, keys, r, parts)
     return fused((held if h is None else held.where((F.col("y") >= 0) & (F.col("y") < h))).where(F.col("c") == need), keys)
 
 
@@ -142,7 +166,7 @@ def meeting(a: DataFrame, b: DataFrame, keys: Sequence[str], of_a: Sequence[str]
     return met.where((F.col("_s") <= F.col("_f")) & (F.col("_t") <= F.col("_e")) & (F.col("_b") == _bucket(first))).select(*keys, "y", *of_a, *of_b)
 
 
-def sums_over(iv: DataFrame, keys: Sequence[str], ry: int, spans: DataFrame, of: Sequence[str]) -> DataFrame:
+def sums_over(iv: DataFrame, keys: Sequence[str], ry: int, spans: DataFrame, of: Sequence[str], parts: int | None = None) -> DataFrame:
     """(keys, y, of, n): set cells in columns ``p0`` to ``p1``, exclusive, of the lines within ``ry``, for every span.
 
     The covered columns before p are the sum of (p - q) over starts q less that over ends, so two running
@@ -157,7 +181,7 @@ def sums_over(iv: DataFrame, keys: Sequence[str], ry: int, spans: DataFrame, of:
     asked = spans.select(*keys, "y", *of, F.explode(sides).alias("_a")).select(*keys, "y", "_a.p", F.lit(0).alias("d"), "_a._side", *of)
     upto = Window.partitionBy(*keys, "y").orderBy("p").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     before = F.col("p") * F.sum("d").over(upto) - F.sum(F.col("d") * F.col("p")).over(upto)
-    x = ends.unionByName(asked).withColumn("_n", before).where("_side IS NOT NULL")
+    x = _dealt(ends.unionByName(asked), keys, parts).withColumn("_n", before).where("_side IS NOT NULL")
     return x.groupBy(*keys, "y", *of).agg(F.sum(F.col("_n") * F.col("_side")).alias("n"))
 
 

@@ -35,21 +35,33 @@ def drawn(segs: DataFrame, box: DataFrame, keys: Sequence[str]) -> DataFrame:
     x = segs.join(box, list(keys))
     ax, ay = _pixels(F.col("x1"), F.col("y1"))
     bx, by = _pixels(F.col("x2"), F.col("y2"))
-    x = x.select(*keys, "wp", "hp", ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by"))
-    n = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
-    x = x.withColumn("n", n).select("*", F.explode(F.sequence(F.lit(0), F.col("n"))).alias("i"))
-    step = lambda a, b: (F.col(a) + F.floor((F.col(b) - F.col(a)) * F.col("i") / F.greatest(F.col("n"), F.lit(1)) + 0.5)).cast("int")
-    return iv.of_cells(x.select(*keys, "wp", "hp", step("ax", "bx").alias("x"), step("ay", "by").alias("y")), [*keys, "wp", "hp"])
+    x = x.select(*keys, "wp", "hp", *[c.cast("long").alias(n) for c, n in ((ax, "ax"), (ay, "ay"), (bx, "bx"), (by, "by"))])
+    # a line of the canvas holds one stretch of a segment, so a segment gives a row per line and not one per cell
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    x = x.withColumns({"n": F.greatest(F.abs(dx), F.abs(dy)), "d": F.abs(dy), "wide": F.abs(dx) > F.abs(dy), "up": dy < 0})
+    parts = max(1, -(-(x.agg(F.sum(F.col("d") + 1)).first()[0] or 0) // iv.TASK_ROWS))
+    x = x.repartition(parts, "ax", "ay", "bx", "by").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("d"))).alias("m"))
+    # steps i along the longer side with floor(dy * i / n + 0.5) = +-m: halves go up, so they end a line drawn upwards
+    low, high, twice = (F.col("m") * 2 - 1) * F.col("n"), (F.col("m") * 2 + 1) * F.col("n"), F.greatest(F.col("d") * 2, F.lit(1))
+    first = F.when(F.col("up"), F.floor(low / twice) + 1).otherwise(F.ceil(low / twice))
+    last = F.when(F.col("up"), F.floor(high / twice)).otherwise(F.ceil(high / twice) - 1)
+    first, last = F.greatest(first, F.lit(0)), F.when(F.col("d") == 0, F.col("n")).otherwise(F.least(last, F.col("n")))
+    along = lambda i: F.col("ax") + F.signum(dx).cast("long") * i
+    one = F.col("ax") + F.floor(dx * F.col("m") / F.greatest(F.col("n"), F.lit(1)) + 0.5)
+    place = lambda pick: F.when(F.col("wide"), pick(along(first), along(last))).otherwise(one).cast("int")
+    y = F.col("ay") + F.when(F.col("up"), -F.col("m")).otherwise(F.col("m"))
+    return iv.merged(x.select(*keys, "wp", "hp", y.cast("int").alias("y"), place(F.least).alias("s"), place(F.greatest).alias("e")), [*keys, "wp", "hp"], parts)
 
 
 def stretched(runs: DataFrame, keys: Sequence[str], rx: int, ry: int) -> DataFrame:
-    """Rectangular dilation on the canvas."""
-    return iv.clipped(iv.dilated(runs, [*keys, "wp", "hp"], rx, ry), F.col("wp"), F.col("hp"))
+    """Rectangular dilation of written intervals on the canvas."""
+    return iv.clipped(iv.dilated(runs, [*keys, "wp", "hp"], rx, ry, iv.tasks(runs, 2 * ry + 1)), F.col("wp"), F.col("hp"))
 
 
 def closed(runs: DataFrame, keys: Sequence[str], r: int) -> DataFrame:
-    """Dilation followed by erosion, within the canvas."""
-    return iv.eroded(stretched(runs, keys, r, r), [*keys, "wp", "hp"], r, F.col("wp"), F.col("hp")).select(*keys, "y", "s", "e")
+    """Dilation of written intervals followed by erosion, within the canvas."""
+    grown = cut_lineage(stretched(runs, keys, r, r))
+    return iv.eroded(grown, [*keys, "wp", "hp"], r, F.col("wp"), F.col("hp"), iv.tasks(grown, 2 * r + 1)).select(*keys, "y", "s", "e")
 
 
 def midpoint_labels(segs: DataFrame, box: DataFrame, comps: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -66,7 +78,7 @@ def main_region(
     """World box of the best-scored component and its real neighbours, the whole plan when none qualifies."""
     keys = list(keys)
     box = cut_lineage(canvas(segs, keys, long_side, short_side))
-    comps = cut_lineage(iv.components(closed(stretched(drawn(segs, box, keys), keys, *link), keys, close), keys))
+    comps = cut_lineage(iv.components(closed(cut_lineage(stretched(cut_lineage(drawn(segs, box, keys)), keys, *link)), keys, close), keys))
     seen = midpoint_labels(segs, box, comps, keys).groupBy(*keys, "comp").agg(F.count("*").alias("seg_count"))
     c = iv.boxes(comps, keys).withColumnsRenamed({"x0": "cx", "y0": "cy"}).withColumn("cw", F.col("x1") - F.col("cx") + 1).withColumn("ch", F.col("y1") - F.col("cy") + 1)
     c = c.join(seen, [*keys, "comp"]).join(box.select(*keys, "wp", "hp"), keys)
@@ -116,7 +128,7 @@ def drop_small(segs: DataFrame, keys: Sequence[str], long_side: int = 1400, shor
     """Segments on tiny isolated components removed."""
     keys = list(keys)
     box = cut_lineage(canvas(segs, keys, long_side, short_side))
-    comps = cut_lineage(iv.components(closed(drawn(segs, box, keys), keys, close), keys))
+    comps = cut_lineage(iv.components(closed(cut_lineage(drawn(segs, box, keys)), keys, close), keys))
     boxes = iv.boxes(comps, keys)
     w, h = F.col("x1") - F.col("x0") + 1, F.col("y1") - F.col("y0") + 1
     kept = boxes.where((F.col("area") >= min_area) & ~((w < min_w) & (h < min_h))).select(*keys, "comp")

@@ -1,8 +1,14 @@
 """Shapes of plans on which size depends: what is broadcast, and how many tasks share the rows."""
 
+import math
+
+import numpy as np
 import pytest
 
+from ohmstead.operators import intervals as iv
+from ohmstead.operators import regions as rg
 from ohmstead.plans import drawings
+from ohmstead.session import cut_lineage
 from ohmstead.sources import tables as t
 
 
@@ -22,3 +28,28 @@ def test_customers_are_dealt_before_they_become_cells(spark, data, monkeypatch):
     x = drawings._raw(spark, data)
     assert x.rdd.getNumPartitions() == 5
     assert sorted(map(tuple, x.collect())) == whole
+
+
+def test_segments_are_drawn_by_lines(spark):
+    rng = np.random.default_rng(3)
+    ends = [(0, 0, 40, 30), (40, 30, 0, 0), (0, 30, 40, 0), (8, 5, 8, 5), (0, 7, 40, 7), (40, 3, 0, 3), (5, 0, 5, 30), (0, 0, 4, 2), (4, 2, 0, 0), (0, 2, 4, 0), (6, 0, 0, 3), (1, 1, 31, 6)]
+    ends += [tuple(map(int, (*rng.integers(0, 41, 1), *rng.integers(0, 31, 1), *rng.integers(0, 41, 1), *rng.integers(0, 31, 1)))) for _ in range(200)]
+    box = spark.createDataFrame([(0.0, 0.0, 40.0, 30.0, 41, 31, i) for i in range(len(ends))], "x0 double, y0 double, w double, h double, wp int, hp int, plan_id int")
+    segs = spark.createDataFrame([(i, float(a), 30.0 - b, float(c), 30.0 - d) for i, (a, b, c, d) in enumerate(ends)], "plan_id int, x1 double, y1 double, x2 double, y2 double")
+    got = {}
+    for r in rg.drawn(segs, box, ["plan_id"]).collect():
+        got.setdefault(r.plan_id, []).extend((x, r.y) for x in range(r.s, r.e + 1))
+    for k, (a, b, c, d) in enumerate(ends):
+        n = max(abs(c - a), abs(d - b))
+        step = lambda p, q, i: p + math.floor((q - p) * i / max(n, 1) + 0.5)
+        assert sorted(got[k]) == sorted({(step(a, c, i), step(b, d, i)) for i in range(n + 1)}), ends[k]
+
+
+def test_large_sweeps_are_dealt_by_rows(spark, monkeypatch):
+    runs = cut_lineage(spark.createDataFrame([(1, y, s, s + 2) for y in range(20) for s in (0, 5, 9)], "image_id int, y int, s int, e int"))
+    want = sorted(map(tuple, iv.dilated(runs, ["image_id"], 1, 2).collect()))
+    monkeypatch.setattr(iv, "TASK_ROWS", 100)
+    assert iv.tasks(runs, 5) == 6
+    x = iv.dilated(runs, ["image_id"], 1, 2, iv.tasks(runs, 5))
+    assert x.rdd.getNumPartitions() == 6
+    assert sorted(map(tuple, x.collect())) == want
