@@ -34,7 +34,8 @@ from ohmstead.llm import common
 
 WIDTH = 5
 PERCENT = 80
-BITS = 512
+#: Bits of a member's bitmap; it comes with the exact set, so tables of prefixes do not hold it.
+BITS = 2048
 CHUNK = 1024
 LEAF = 16
 #: Anchors that the members of a cluster are joined with in the first wave.
@@ -109,11 +110,11 @@ def _described(percent: int, width: int):
                 raw = h.tobytes()
                 keys, counted = _first(h, percent)
                 fp = [np.array([xxhash.xxh64_intdigest(raw, seed)], np.uint64).view(np.int64)[0] for seed in (1, 2)]
-                rows.append((len(h), counted, *fp, _signature(h), keys.view(np.int64)))
-            n, counted, fp, fp2, sig, keys = zip(*rows, strict=True) if rows else [[]] * 6
+                rows.append((len(h), counted, *fp, keys.view(np.int64)))
+            n, counted, fp, fp2, keys = zip(*rows, strict=True) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(counted, pa.int64()), pa.array(fp, pa.int64()), pa.array(fp2, pa.int64()), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "dk", "n", "counted", "fp", "fp2", "sig", "keys"])
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(counted, pa.int64()), pa.array(fp, pa.int64()), pa.array(fp2, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "dk", "n", "counted", "fp", "fp2", "keys"])
 
     return run
 
@@ -330,10 +331,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     text is copied beyond one row per copy.
     """
     whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col), F.col(text)).alias("dk"), F.col(text).alias("text"))
-    described = common.stored(whole.mapInArrow(_described(percent, width), "doc_id bigint, dk bigint, n bigint, counted bigint, fp bigint, fp2 bigint, sig binary, keys array<bigint>"), "described")
+    described = common.stored(whole.mapInArrow(_described(percent, width), "doc_id bigint, dk bigint, n bigint, counted bigint, fp bigint, fp2 bigint, keys array<bigint>"), "described")
     members = common.stored(described.select("doc_id", "dk", "n", "fp", "fp2"), "members")
     # every class once; a first hash that two classes share only adds candidates, which are verified
-    classes = common.stored(described.where("n > 0").groupBy("fp", "fp2").agg(F.min("doc_id").alias("first_id"), F.min("dk").alias("dk"), F.min("n").alias("n"), F.min("counted").alias("counted"), F.min("sig").alias("sig")), "classes")
+    classes = common.stored(described.where("n > 0").groupBy("fp", "fp2").agg(F.min("doc_id").alias("first_id"), F.min("dk").alias("dk"), F.min("n").alias("n"), F.min("counted").alias("counted")), "classes")
 
     keyed = described.select("fp", F.explode("keys").alias("key")).select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
     shared = common.stored(keyed.mapInArrow(_shared, "key bigint, fp bigint, df bigint"), "shared")
@@ -345,12 +346,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     place = F.row_number().over(per_class.orderBy(~quarter, F.when(quarter, F.col("df")), F.col("key") < 0, "key"))
     alone = F.col("counted") - F.sum(F.when(quarter, 1).otherwise(0)).over(per_class)
     # what a class has from a shingle on, itself included; beyond the quarter this is an upper bound
-    prefix = counted.join(classes.select("fp", "fp2", "n", "counted", "sig"), "fp").withColumn("_place", place).withColumn("_alone", alone)
+    prefix = counted.join(classes.select("fp", "fp2", "n", "counted"), "fp").withColumn("_place", place).withColumn("_alone", alone)
     prefix = prefix.withColumn("rest", F.col("n") - F.col("_alone") - F.col("_place") + 1)
     prefix = prefix.where(~quarter | (F.col("rest") * 100 >= F.col("n") * percent))
     in_order = per_class.orderBy("_place")
     past = F.array(*[F.coalesce(F.lag("key", i).over(in_order), F.lit(0).cast("long")) for i in range(1, PAST + 1)])
-    prefix = common.stored(prefix.withColumn("past", past).select("key", "fp", "n", "rest", "past", "sig"), "prefix")
+    prefix = common.stored(prefix.withColumn("past", past).select("key", "fp", "n", "rest", "past"), "prefix")
     common.dropped(shared)
     # of two sizes, the smaller one's rest must reach the overlap of two sets of its size
     small = F.col("rest") * (100 + percent) >= F.col("n") * (2 * percent)
@@ -360,13 +361,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     anchors = anchors.where("size > 1 AND least IS NOT NULL AND (lo <> hi OR lo = 0)").drop("lo", "hi")
     partner = F.greatest(F.col("least") * 100, F.col("n") * percent)
     met = prefix.join(anchors, "key").where(F.col("rest") * ((100 + percent) * 100) >= (F.col("n") * 100 + partner) * percent)
-    met = common.stored(met.select("key", "fp", "n", "rest", "past", "sig", F.col("anchor.fp").alias("anchor"), F.col("anchor.n").alias("anchor_n")), "groups")
+    met = common.stored(met.select("key", "fp", "n", "rest", "past", F.col("anchor.fp").alias("anchor"), F.col("anchor.n").alias("anchor_n")), "groups")
     common.dropped(prefix)
 
-    # exact sets of the classes that meet others, from one text each
+    # exact sets and bitmaps of the classes that meet others, from one text each
     needed = common.stored(met.select("fp").distinct().join(classes.select("fp", "dk"), "fp").select("dk").distinct(), "needed")
     some = whole.join(common.lookup(needed, most_rows=200_000), "dk", "left_semi").select("text")
-    sets = common.stored(some.mapInArrow(_sets(width), "fp bigint, fp2 bigint, set array<bigint>").dropDuplicates(["fp", "fp2"]).select("fp", "set"), "sets")
+    sets = common.stored(some.mapInArrow(_sets(width), "fp bigint, fp2 bigint, set array<bigint>, sig binary").dropDuplicates(["fp", "fp2"]).select("fp", "set", "sig"), "sets")
     common.dropped(needed)
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -379,7 +380,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     first = common.stored(components(verified(wave)), "labels")
 
     # groups whose members are not all linked yet
-    open_rows = _labelled(met.select("key", "fp", "n", "rest", "past", "sig"), first, "fp", "comp")
+    open_rows = _labelled(met.select("key", "fp", "n", "rest", "past"), first, "fp", "comp")
     open_rows = open_rows.withColumn("step", F.floor(F.log2("n")))
     sizes = open_rows.groupBy("key", "step").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     unlinked = sizes.groupBy("key").agg(F.sum("size").alias("size"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list(F.struct("step", F.ceil(F.col("size") / chunk).alias("slices"))).alias("steps"))
@@ -389,7 +390,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     parts = large.select("key", "step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("cut")).select("key", part(F.col("step"), F.col("cut")).alias("part"))
     whole_groups = unlinked.where(F.col("size") <= chunk).select("key", F.lit(0).cast("long").alias("part"))
     dealt = open_rows.join(common.lookup(large), ["key", "step"], "left").withColumn("part", F.coalesce(part(F.col("step"), F.pmod(F.xxhash64("fp"), F.col("slices"))), F.lit(0).cast("long")))
-    rows = dealt.join(whole_groups.unionByName(parts), ["key", "part"], "left_semi").select("key", "part", "n", "comp", "fp", "rest", "past", "sig").repartition("key", "part").sortWithinPartitions("key", "part", "n", "comp", "fp")
+    rows = dealt.join(whole_groups.unionByName(parts), ["key", "part"], "left_semi").select("key", "part", "n", "comp", "fp", "rest", "past").join(sets.select("fp", "sig"), "fp")
+    rows = rows.select("key", "part", "n", "comp", "fp", "rest", "past", "sig").repartition("key", "part").sortWithinPartitions("key", "part", "n", "comp", "fp")
     walked = common.stored(rows.mapInArrow(_grouped(percent, chunk), "a bigint, b bigint, key bigint, part bigint, chunk bigint, lo bigint, hi bigint, members binary"), "walked")
     common.dropped(met, unlinked)
     trees = walked.where("members IS NOT NULL").withColumn("tree", F.struct("key", "part", "chunk"))
@@ -419,7 +421,7 @@ def _sets(width: int):
         for b in batches:
             found = [shingles(t, known, width) for t in b.column(0).to_pylist()]
             fps = [pa.array([np.array([xxhash.xxh64_intdigest(h.tobytes(), seed)], np.uint64).view(np.int64)[0] for h in found], pa.int64()) for seed in (1, 2)]
-            yield pa.RecordBatch.from_arrays([*fps, pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))], ["fp", "fp2", "set"])
+            yield pa.RecordBatch.from_arrays([*fps, pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64())), pa.array(map(_signature, found), pa.binary())], ["fp", "fp2", "set", "sig"])
 
     return run
 

@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 
+from ohmstead.llm import jaccard
 from ohmstead.operators import intervals as iv
 from ohmstead.operators import regions as rg
 from ohmstead.plans import drawings
@@ -53,3 +54,15 @@ def test_large_sweeps_are_dealt_by_rows(spark, monkeypatch):
     x = iv.dilated(runs, ["image_id"], 1, 2, iv.tasks(runs, 5))
     assert x.rdd.getNumPartitions() == 6
     assert sorted(map(tuple, x.collect())) == want
+
+
+def test_bitmaps_tell_near_misses_apart():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 160, dtype=np.uint64)
+    # any two of these share 136 of 184 shingles, a Jaccard index of 0.74
+    sets = [np.unique(np.concatenate([base[:136], rng.integers(0, 1 << 63, 24, dtype=np.uint64)])) for _ in range(200)]
+    n = np.array(list(map(len, sets)))
+    sig = np.array([np.frombuffer(jaccard._signature(h), np.uint64) for h in sets])
+    own = np.arange(len(sets))
+    tree = jaccard.Tree(own, n, own, n, np.zeros((len(sets), jaccard.PAST), np.int64), sig)
+    assert len(jaccard.walk(tree, tree)[0]) < 0.05 * len(sets) * (len(sets) - 1) / 2
