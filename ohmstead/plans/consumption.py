@@ -299,8 +299,8 @@ def cap_outliers(s, sf):
 
 
 def _spike_frame(s, sf, col, pred):
-    return series.fill_calendar(
-        series.align(t.zone_history(s, sf), t.zone_pred(s, sf), t.ZONE, col, pred), t.ZONE, ["value", "pred"])
+    days = series.align(t.zone_history(s, sf), t.zone_pred(s, sf), t.ZONE, col, pred)
+    return series.fill_calendar(t.dealt_zones(s, sf, days), t.ZONE, ["value", "pred"])
 
 
 _ZDAYS = """zr AS (SELECT "siteId", "zoneId", MIN(date) AS a, MAX(date) AS b FROM (SELECT "siteId", "zoneId", date FROM zh UNION ALL SELECT "siteId", "zoneId", date FROM zp) GROUP BY 1, 2),

@@ -34,6 +34,16 @@ def dealt(df: DataFrame, *keys: str, rows: int | None = None) -> DataFrame:
     return df.repartition(max(1, -(-df.count() // (rows or DEALT_ROWS))), *keys)
 
 
+#: Zones whose filled calendars one task holds, each of some thousand days.
+DEALT_ZONES = 1 << 9
+
+
+def dealt_zones(spark: SparkSession, sf: str, df: DataFrame) -> DataFrame:
+    """Daily rows dealt by zone before their calendars are filled, which makes many rows of few bytes."""
+    zones = table(spark, sf, "supplier").count()
+    return df.repartition(max(1, -(-zones // DEALT_ZONES)), *ZONE)
+
+
 def code_table(spark: SparkSession, rows: list[tuple[int, str]], key: str, name: str) -> DataFrame:
     """A few literal rows, which Spark knows the size of and so broadcasts."""
     values = ", ".join(f"({k}, '{v}')" for k, v in rows)

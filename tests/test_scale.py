@@ -8,7 +8,7 @@ import pytest
 from ohmstead.llm import jaccard
 from ohmstead.operators import intervals as iv
 from ohmstead.operators import regions as rg
-from ohmstead.plans import drawings
+from ohmstead.plans import consumption, drawings
 from ohmstead.session import cut_lineage
 from ohmstead.sources import tables as t
 
@@ -66,3 +66,11 @@ def test_bitmaps_tell_near_misses_apart():
     own = np.arange(len(sets))
     tree = jaccard.Tree(own, n, own, n, np.zeros((len(sets), jaccard.PAST), np.int64), sig)
     assert len(jaccard.walk(tree, tree)[0]) < 0.05 * len(sets) * (len(sets) - 1) / 2
+
+
+def test_zones_are_dealt_before_calendars_are_filled(spark, data, monkeypatch):
+    whole = sorted(map(tuple, consumption._spike_frame(spark, data, "elecTotalKwh", "totalKwh").collect()), key=str)
+    monkeypatch.setattr(t, "DEALT_ZONES", 2)
+    x = consumption._spike_frame(spark, data, "elecTotalKwh", "totalKwh")
+    assert x.rdd.getNumPartitions() == -(-t.table(spark, data, "supplier").count() // 2)
+    assert sorted(map(tuple, x.collect()), key=str) == whole
