@@ -15,9 +15,11 @@ hold or what follows the group's shingle bound the overlap below the threshold,
 are linked already. A pair is due in the group of its first common shingle, where neither has a common
 one before it: members know the last ``PAST`` shingles before the group's, pairs that share one of these
 have met before, and a group whose members all have the same shingle before it is dropped whole. What is left
-at the leaves is verified on the exact sets. Groups beyond ``CHUNK`` members are cut into parts by set
+at the leaves is verified on the exact sets, while its two components are apart. Groups beyond ``CHUNK`` members are cut into parts by set
 size and hash, each a tree in a task of its own; the pairs of trees whose sizes fit are dealt out by tree
-and walked, so no task reads a whole group.
+and walked, so no task reads a whole group. The pairs found by a walk are one row; its members fetch their
+exact sets once each, and a task links components by these until all that reach each other are joined. So
+the rows are as many as the members of groups, never as their pairs.
 """
 
 from __future__ import annotations
@@ -183,7 +185,13 @@ class Tree:
 
 
 def walk(a: Tree, b: Tree, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of member pairs of two trees (or one tree twice) that may reach the threshold and are not linked."""
+    """Classes of the pairs of ``places``."""
+    i, j = places(a, b, percent)
+    return a.fp[i], b.fp[j]
+
+
+def places(a: Tree, b: Tree, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Places of member pairs of two trees (or one tree twice) that may reach the threshold and are not linked."""
     la, lb = len(a.levels) - 1, len(b.levels) - 1
     i, j = np.zeros(1, np.int64), np.zeros(1, np.int64)
     found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -214,7 +222,7 @@ def walk(a: Tree, b: Tree, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarr
         if la == 0 and lb == 0:
             pa_, pb = a.past[i], b.past[j]
             met = ((pa_[:, :, None] == pb[:, None, :]) & (pa_ != 0)[:, :, None]).any((1, 2))
-            found.append((a.fp[i[~met]], b.fp[j[~met]]))
+            found.append((i[~met], j[~met]))
             continue
         down_a, down_b = la > 0 and la >= lb, lb > 0 and lb >= la
 
@@ -243,17 +251,24 @@ def _tree(raw: bytes) -> Tree:
     return Tree(fp, n, comp, rest, rows[:, 4 : 4 + PAST], np.ascontiguousarray(rows[:, 4 + PAST :]).view(np.uint64))
 
 
-_WALKED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("part", pa.int64()), ("chunk", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("members", pa.binary())])
+_UNIT = ["key", "part", "chunk", "part2", "chunk2"]
+_WALKED = pa.schema([*[(c, pa.int64()) for c in (*_UNIT, "lo", "hi")], ("members", pa.binary()), ("fps", pa.list_(pa.int64())), ("comps", pa.list_(pa.int64())), ("pairs", pa.binary())])
+_WALKED_DDL = "key bigint, part bigint, chunk bigint, part2 bigint, chunk2 bigint, lo bigint, hi bigint, members binary, fps array<bigint>, comps array<bigint>, pairs binary"
 
 
-def _pairs(fa: np.ndarray, fb: np.ndarray) -> pa.RecordBatch:
-    lo, hi = np.minimum(fa, fb), np.maximum(fa, fb)
-    empty = [pa.nulls(len(lo), f.type) for f in list(_WALKED)[2:]]
-    return pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi), *empty], schema=_WALKED)
+def _unit(name: tuple, a: Tree, b: Tree, percent: int) -> list[dict]:
+    """The walk of two trees (or one twice) as one row: members that some pair needs, their components, and pairs of their places."""
+    i, j = places(a, b, percent)
+    if not len(i):
+        return []
+    fp, comp = (a.fp, a.levels[0][5]) if a is b else (np.concatenate([a.fp, b.fp]), np.concatenate([a.levels[0][5], b.levels[0][5]]))
+    used, at = np.unique(np.concatenate([i, j if a is b else j + len(a.fp)]), return_inverse=True)
+    ends = at.reshape(2, -1).T.astype(np.uint32)
+    return [dict(zip(_UNIT, name)) | {"fps": fp[used].tolist(), "comps": comp[used].tolist(), "pairs": ends.tobytes()}]
 
 
 def _grouped(percent: int, chunk: int):
-    """From (key, part, n, comp, fp, rest, past, sig) sorted by key, part and size: pairs within each tree, and the trees of groups that have several.
+    """From (key, part, n, comp, fp, rest, past, sig) sorted by key, part and size: a row of pairs within each tree, and the trees of groups that have several.
 
     Part 0 is a whole group, others are parts of one; a part beyond ``chunk`` members gives several trees.
     """
@@ -267,11 +282,11 @@ def _grouped(percent: int, chunk: int):
                 n, comp, fp, rest, past, sig = zip(*held, strict=True)
                 raw = _member_bytes(np.array(fp, np.int64), np.array(n, np.int64), np.array(comp, np.int64), np.array(rest, np.int64), np.array(past, np.int64).reshape(len(past), PAST), np.frombuffer(b"".join(sig), np.uint8).reshape(len(sig), -1))
                 tree = _tree(raw)
-                fa, fb = walk(tree, tree, percent)
-                if len(fa):
-                    yield _pairs(fa, fb)
+                rows = _unit((*at, made, at[1], made), tree, tree, percent)
                 if more or made or at[1]:
-                    yield pa.RecordBatch.from_pylist([{"key": at[0], "part": at[1], "chunk": made, "lo": min(n), "hi": max(n), "members": raw}], _WALKED)
+                    rows.append({"key": at[0], "part": at[1], "chunk": made, "lo": min(n), "hi": max(n), "members": raw})
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, _WALKED)
             held, made = [], made + 1 if more else 0
 
         for b in batches:
@@ -288,10 +303,60 @@ def _grouped(percent: int, chunk: int):
 def _across(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                fa, fb = walk(_tree(x), _tree(y), percent)
-                if len(fa):
-                    yield _pairs(fa, fb).select(["a", "b"])
+            for x, y, *name in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if rows := _unit(tuple(name), _tree(x), _tree(y), percent):
+                    yield pa.RecordBatch.from_pylist(rows, _WALKED)
+
+    return run
+
+
+def _spanning(percent: int):
+    """From the rows of units, each its pairs (place -1) and then its members' exact sets by place: links that join components.
+
+    A pair is only verified while its components are apart, so a unit gives fewer links than it has members.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def links(comps: list[int], pairs: bytes, sets: list[list[np.ndarray]]) -> list[tuple[int, int]]:
+        up = {c: c for c in comps}
+
+        def root(c: int) -> int:
+            while up[c] != c:
+                up[c] = c = up[up[c]]
+            return c
+
+        def near(x: np.ndarray, y: np.ndarray) -> bool:
+            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                return False
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            return 100 * both >= percent * (len(x) + len(y) - both)
+
+        out = []
+        for i, j in np.frombuffer(pairs, np.uint32).reshape(-1, 2).tolist():
+            p, q = root(comps[i]), root(comps[j])
+            if p != q and any(near(x, y) for x in sets[i] for y in sets[j]):
+                up[p] = q
+                out.append((comps[i], comps[j]))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, sets = None, []
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            if head and (found := links(*head, sets)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=schema)
+
+        for b in batches:
+            place, comps, pairs, own = b.columns
+            ends, hashes = own.offsets.to_numpy(), own.values.to_numpy(zero_copy_only=False)
+            for k, at in enumerate(place.to_pylist()):
+                if at < 0:
+                    yield from closed()
+                    head = comps[k].as_py(), pairs[k].as_py()
+                    sets = [[] for _ in head[0]]
+                else:
+                    sets[at].append(hashes[ends[k] : ends[k + 1]].copy())
+        yield from closed()
 
     return run
 
@@ -392,19 +457,26 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
     dealt = open_rows.join(common.lookup(large), ["key", "step"], "left").withColumn("part", F.coalesce(part(F.col("step"), F.pmod(F.xxhash64("fp"), F.col("slices"))), F.lit(0).cast("long")))
     rows = dealt.join(whole_groups.unionByName(parts), ["key", "part"], "left_semi").select("key", "part", "n", "comp", "fp", "rest", "past").join(sets.select("fp", "sig"), "fp")
     rows = rows.select("key", "part", "n", "comp", "fp", "rest", "past", "sig").repartition("key", "part").sortWithinPartitions("key", "part", "n", "comp", "fp")
-    walked = common.stored(rows.mapInArrow(_grouped(percent, chunk), "a bigint, b bigint, key bigint, part bigint, chunk bigint, lo bigint, hi bigint, members binary"), "walked")
+    own = common.stored(rows.mapInArrow(_grouped(percent, chunk), _WALKED_DDL), "trees")
     common.dropped(met, unlinked)
-    trees = walked.where("members IS NOT NULL").withColumn("tree", F.struct("key", "part", "chunk"))
+    trees = own.where("members IS NOT NULL").withColumn("tree", F.struct("key", "part", "chunk"))
     # pairs of trees by name first; their members join them by tree, so a group's pairs are spread over the tasks
     named = trees.select("key", "tree", "lo", "hi")
     fitting = named.alias("x").join(named.alias("y"), "key").where("x.tree < y.tree").where((F.col("x.hi") * 100 >= F.col("y.lo") * percent) & (F.col("y.hi") * 100 >= F.col("x.lo") * percent))
     fitting = fitting.select(F.col("x.tree").alias("tree"), F.col("y.tree").alias("tree2"))
     across = fitting.join(trees.select("tree", "members"), "tree").join(trees.select(F.col("tree").alias("tree2"), F.col("members").alias("members2")), "tree2")
-    more = across.select("members", "members2").mapInArrow(_across(percent), "a bigint, b bigint")
-    pairs = walked.where("a IS NOT NULL").select("a", "b").unionByName(more).distinct()
-    links = _labelled(_labelled(verified(pairs), first, "a", "x"), first, "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    second = components(links)
-    common.dropped(walked, sets)
+    across = across.select("members", "members2", "tree.key", "tree.part", "tree.chunk", F.col("tree2.part").alias("part2"), F.col("tree2.chunk").alias("chunk2"))
+    kept = [*_UNIT, "fps", "comps", "pairs"]
+    units = common.stored(own.where("pairs IS NOT NULL").select(*kept).unionByName(across.mapInArrow(_across(percent), _WALKED_DDL).select(*kept)), "units")
+    # a unit fetches each of its members' sets once, however many pairs they are in
+    asked = units.select(*_UNIT, F.posexplode("fps").alias("place", "fp")).join(sets.select("fp", "set"), "fp")
+    asked = asked.select(*_UNIT, "place", F.lit(None).cast("array<bigint>").alias("comps"), F.lit(None).cast("binary").alias("pairs"), "set")
+    heads = units.select(*_UNIT, F.lit(-1).alias("place"), "comps", "pairs", F.lit(None).cast("array<bigint>").alias("set"))
+    ordered = heads.unionByName(asked).repartition(*_UNIT).sortWithinPartitions(*_UNIT, "place").select("place", "comps", "pairs", "set")
+    walked = common.stored(ordered.mapInArrow(_spanning(percent), "a bigint, b bigint"), "walked")
+    common.dropped(own, units, sets)
+    second = components(walked)
+    common.dropped(walked)
 
     comps = _labelled(_labelled(classes.select("fp", "fp2", "first_id"), first, "fp", "c1"), second, "c1", "c2")
     named = comps.groupBy("c2").agg(F.min("first_id").alias("component_id"))

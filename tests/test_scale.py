@@ -68,6 +68,31 @@ def test_bitmaps_tell_near_misses_apart():
     assert len(jaccard.walk(tree, tree)[0]) < 0.05 * len(sets) * (len(sets) - 1) / 2
 
 
+def test_links_of_near_copies_grow_with_members(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    base = [f"w{i}" for i in range(62)]
+    texts = [" ".join([*base[:at], f"x{i}", *base[at + 1 :]]) for i, at in enumerate(rng.integers(0, 62, 400).tolist())]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts, components = [], jaccard.components
+
+    def counted(links):
+        counts.append(links.count())
+        return components(links)
+
+    monkeypatch.setattr(jaccard, "components", counted)
+    got = {r.doc_id: r.component_id for r in jaccard.join(docs, chunk=100).select("doc_id", "component_id").collect()}
+    # one word changed in the same place or beside it leaves a Jaccard index of 0.8 or more
+    sets = [{tuple(x[i : i + 5]) for i in range(58)} for x in map(str.split, texts)]
+    want = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if want[i] != want[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                low, high = sorted((want[i], want[j]))
+                want = [low if c == high else c for c in want]
+    assert got == dict(enumerate(want))
+    assert counts[1] < 8 * len(texts)
+
+
 def test_zones_are_dealt_before_calendars_are_filled(spark, data, monkeypatch):
     whole = sorted(map(tuple, consumption._spike_frame(spark, data, "elecTotalKwh", "totalKwh").collect()), key=str)
     monkeypatch.setattr(t, "DEALT_ZONES", 2)
