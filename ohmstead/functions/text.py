@@ -147,8 +147,9 @@ def phrase_count(c: Column, phrases: Sequence[str]) -> Column:
 
 
 def slug(c: Column | str, sep: str = "-", default: str = "page") -> Column:
-    x = F.regexp_replace(strip(F.lower(F.coalesce(col(c), F.lit("")))), "[^a-z0-9]+", sep)
-    x = F.trim(x, F.lit(sep))
+    # only the dashes put in differ between separators, so slugs of one text share the costly part
+    x = F.trim(F.regexp_replace(F.lower(F.coalesce(col(c), F.lit(""))), "[^a-z0-9]+", "-"), F.lit("-"))
+    x = x if sep == "-" else F.replace(x, F.lit("-"), F.lit(sep))
     return F.when(x == "", default).otherwise(x)
 
 

@@ -35,7 +35,8 @@ def text_norm(s, sf):
  COALESCE(nullif(trim(regexp_replace(lower(trim(item)), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'section') AS section_slug, CASE WHEN item = '' THEN 'layer' ELSE substr(regexp_replace(item, '[^\\p{L}\\p{N}_\\-.]+', '_', 'g'), 1, 180) END AS file_name
 FROM (SELECT DISTINCT trim(UNNEST(string_split(text, chr(10)))) AS item FROM documents)""")
 def slugs(s, sf):
-    x = _lines(s, sf).select(F.trim("line").alias("item")).distinct()
+    # an aggregate would take the names into its own output and evaluate them at every mention
+    x = sealed(_lines(s, sf).select(F.trim("line").alias("item")).distinct())
     return x.select("item", tx.slug("item").alias("page_slug"), tx.slug("item", "_", "section").alias("section_slug"), tx.safe_name("item").alias("file_name"))
 
 

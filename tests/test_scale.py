@@ -104,3 +104,16 @@ def test_zones_are_dealt_before_calendars_are_filled(spark, data, monkeypatch):
 
 def test_routed_pages_are_ranked_from_one_scan(spark, data):
     assert "FileScan" not in plan(reports.CAT.items["spared_pages"].build(spark, data))
+
+
+def test_names_are_cut_outside_of_the_aggregate(spark, data):
+    p = plan(rules.CAT.items["slugs"].build(spark, data)).split("Final Plan")[0]
+    assert not [x for x in p.splitlines() if "Aggregate" in x and "regexp_replace" in x]
+
+
+def test_slugs_of_odd_texts(spark):
+    texts = ["", " - ", " Été 2--b_c!", "-a-", "_", "a\tb ", "İx"]
+    x = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
+    got = [tuple(r) for r in x.select(tx.slug("t"), tx.slug("t", "_", "section")).collect()]
+    assert got[:6] == [("page", "section"), ("page", "section"), ("t-2-b-c", "t_2_b_c"), ("a", "a"), ("page", "section"), ("a-b", "a_b")]
+    assert got[6][1] == got[6][0].replace("-", "_")
