@@ -59,13 +59,14 @@ def eroded(cells: DataFrame, keys: Sequence[str], r: int, size: DataFrame | None
     return iv.cells_of(iv.eroded(x.join(size, list(keys)), wide, r, F.col("w"), F.col("h")), keys)
 
 
-def runs(cells: DataFrame, keys: Sequence[str], axis: str = "h") -> DataFrame:
+def runs(cells: DataFrame, keys: Sequence[str], axis: str = "h", parts: int | None = None) -> DataFrame:
     """Cells with the start and length of their unbroken run along rows, columns or diagonals."""
     line, step = {
         "h": (F.col("y"), F.col("x")), "v": (F.col("x"), F.col("y")), "d": (F.col("y") - F.col("x"), F.col("x")), "a": (F.col("y") + F.col("x"), F.col("x")),
     }[axis]
     w = Window.partitionBy(*keys, "_line").orderBy("_step")
-    x = cells.withColumn("_line", line).withColumn("_step", step).withColumn("_island", F.col("_step") - F.row_number().over(w))
+    x = cells.withColumn("_line", line).withColumn("_step", step)
+    x = (x if parts is None else x.repartition(parts, *keys, "_line")).withColumn("_island", F.col("_step") - F.row_number().over(w))
     r = Window.partitionBy(*keys, "_line", "_island")
     return x.withColumn("run_start", F.min("_step").over(r)).withColumn("run_length", F.count("*").over(r)).withColumnRenamed("_line", "run_line").drop("_step", "_island")
 
@@ -86,11 +87,12 @@ def largest(boxes: DataFrame, keys: Sequence[str], size: str = "area") -> DataFr
     return best
 
 
-def box_counts(cells: DataFrame, keys: Sequence[str], r: int) -> DataFrame:
+def box_counts(cells: DataFrame, keys: Sequence[str], r: int, parts: int | None = None) -> DataFrame:
     """Set cells within the square of radius ``r`` around each set cell.
 
     Cells go to the tile they lie in and to those whose margin of ``r`` they touch, four at most. A tile
-    sums its cells along both axes, and four places of that table give the count of a square.
+    sums its cells along both axes, and four places of that table give the count of a square. ``parts`` is
+    the number of tasks.
     """
     side = max(TILE, 4 * r)
     tiles = lambda c: F.sequence(F.floor((F.col(c) - r) / side), F.floor((F.col(c) + r) / side))
@@ -112,6 +114,7 @@ def box_counts(cells: DataFrame, keys: Sequence[str], r: int) -> DataFrame:
         own = [pa.repeat(k, len(n)) for k in key[:n_keys]]
         return pa.Table.from_arrays([*own, pa.array(x + x0 + r), pa.array(y + y0 + r), pa.array(n)], names=schema.names)
 
+    sent = sent if parts is None else sent.repartition(parts, *keys, "_tx", "_ty")
     return sent.groupBy(*keys, "_tx", "_ty").applyInArrow(run, schema)
 
 

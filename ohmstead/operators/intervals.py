@@ -28,9 +28,24 @@ STRIP = 256
 TASK_ROWS = 1 << 21
 
 
+#: Rows that are worth a task of their own while cores are idle.
+LEAST_ROWS = 1 << 16
+
+
+def tasks_for(df: DataFrame, rows: int | None) -> int:
+    """Tasks for so many rows: none gets more than ``TASK_ROWS`` on average, and all cores have work where it pays."""
+    rows = rows or 0
+    return max(1, -(-rows // TASK_ROWS), min(df.sparkSession.sparkContext.defaultParallelism, rows // LEAST_ROWS))
+
+
 def tasks(iv: DataFrame, lines: int = 1) -> int:
     """Tasks for the ends of written intervals, each repeated on that many lines."""
-    return max(1, -(-iv.count() * 2 * lines // TASK_ROWS))
+    return tasks_for(iv, iv.count() * 2 * lines)
+
+
+def cell_tasks(iv: DataFrame) -> int:
+    """Tasks for the cells of written intervals."""
+    return tasks_for(iv, iv.agg(F.sum((F.col("e") - F.col("s") + 1) * 2)).first()[0])
 
 
 def _dealt(x: DataFrame, keys: Sequence[str], parts: int | None) -> DataFrame:
@@ -38,10 +53,10 @@ def _dealt(x: DataFrame, keys: Sequence[str], parts: int | None) -> DataFrame:
     return x if parts is None else x.repartition(parts, *keys, "y")
 
 
-def of_cells(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+def of_cells(cells: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
     """Maximal runs of cells along rows; repeated cells count once."""
     w = Window.partitionBy(*keys, "y").orderBy("x")
-    x = cells.select(*keys, "y", "x", (F.col("x") - F.dense_rank().over(w)).alias("_run"))
+    x = _dealt(cells.select(*keys, "y", "x"), keys, parts).withColumn("_run", F.col("x") - F.dense_rank().over(w))
     return x.groupBy(*keys, "y", "_run").agg(F.min("x").alias("s"), F.max("x").alias("e")).drop("_run")
 
 
@@ -49,9 +64,9 @@ def cells_of(iv: DataFrame, keys: Sequence[str], *more: str) -> DataFrame:
     return iv.select(*keys, *more, F.explode(F.sequence("s", "e")).alias("x"), "y")
 
 
-def turned(iv: DataFrame, keys: Sequence[str]) -> DataFrame:
+def turned(iv: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
     """The same cells with rows and columns swapped."""
-    return of_cells(cells_of(iv, keys).select(*keys, F.col("y").alias("x"), F.col("x").alias("y")), keys)
+    return of_cells(cells_of(iv, keys).select(*keys, F.col("y").alias("x"), F.col("x").alias("y")), keys, parts)
 
 
 def _segments(ends: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -105,18 +120,18 @@ def union(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return fused(coverage(x, keys), keys)
 
 
-def _both(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _both(a: DataFrame, b: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
     one, none = F.lit(1), F.lit(0)
     x = _ends(a, keys, F.col("y"), a=one, b=none).unionByName(_ends(b, keys, F.col("y"), a=none, b=one))
-    return _segments(x, keys, ["a", "b"])
+    return _segments(_dealt(x, keys, parts), keys, ["a", "b"])
 
 
-def minus(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return fused(_both(a, b, keys).where("a > 0 AND b = 0"), keys)
+def minus(a: DataFrame, b: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
+    return fused(_both(a, b, keys, parts).where("a > 0 AND b = 0"), keys)
 
 
-def common(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return fused(_both(a, b, keys).where("a > 0 AND b > 0"), keys)
+def common(a: DataFrame, b: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
+    return fused(_both(a, b, keys, parts).where("a > 0 AND b > 0"), keys)
 
 
 def clipped(iv: DataFrame, w: Column, h: Column) -> DataFrame:
@@ -153,14 +168,16 @@ def _bucket(x: Column) -> Column:
 
 
 def meeting(a: DataFrame, b: DataFrame, keys: Sequence[str], of_a: Sequence[str], of_b: Sequence[str], shift: int = 0, reach: int = 0) -> DataFrame:
-    """Columns of pairs of intervals, ``b`` on the line ``shift`` below, that overlap or lie within ``reach``.
+    """Columns of pairs of written intervals, ``b`` on the line ``shift`` below, that overlap or lie within ``reach``.
 
-    Intervals meet in buckets of columns; a pair is given in the first bucket it shares.
+    Intervals meet in buckets of columns; a pair is given in the first bucket it shares. A wide interval is
+    in many buckets, so these are counted for the number of tasks.
     """
     left = a.select(*keys, (F.col("y") + shift).alias("y"), (F.col("s") - reach).alias("_s"), (F.col("e") + reach).alias("_e"), *of_a)
-    left = left.withColumn("_b", F.explode(F.sequence(_bucket(F.col("_s")), _bucket(F.col("_e")))))
     right = b.select(*keys, "y", F.col("s").alias("_t"), F.col("e").alias("_f"), *of_b)
-    right = right.withColumn("_b", F.explode(F.sequence(_bucket(F.col("_t")), _bucket(F.col("_f")))))
+    sides = [(left, F.col("_s"), F.col("_e")), (right, F.col("_t"), F.col("_f"))]
+    parts = tasks_for(a, sum(x.agg(F.sum(_bucket(q) - _bucket(p) + 1)).first()[0] or 0 for x, p, q in sides))
+    left, right = (x.withColumn("_b", F.explode(F.sequence(_bucket(p), _bucket(q)))).repartition(parts, *keys, "y", "_b") for x, p, q in sides)
     met = left.join(wide_side(right), [*keys, "y", "_b"])
     first = F.greatest("_s", "_t")
     return met.where((F.col("_s") <= F.col("_f")) & (F.col("_t") <= F.col("_e")) & (F.col("_b") == _bucket(first))).select(*keys, "y", *of_a, *of_b)
@@ -242,7 +259,7 @@ def contracted(links: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def components(iv: DataFrame, keys: Sequence[str], connectivity: int = 8) -> DataFrame:
-    """Maximal intervals with ``comp``, the smallest node of their component; a node is line and start.
+    """Written maximal intervals with ``comp``, the smallest node of their component; a node is line and start.
 
     Intervals of ``STRIP`` lines are connected in one task; only links between strips, met along their
     borders, are contracted by joins.
@@ -250,18 +267,25 @@ def components(iv: DataFrame, keys: Sequence[str], connectivity: int = 8) -> Dat
     keys = list(keys)
     reach = 1 if connectivity == 8 else 0
     node = (F.col("y").cast("long") + (1 << 30)) * F.lit(1 << 32) + F.col("s").cast("long") + (1 << 30)
-    own = iv.select(*keys, *[F.col(c).cast("long").alias(c) for c in ("y", "s", "e")], node.alias("node"), F.floor(F.col("y") / STRIP).cast("long").alias("_strip"))
+    own = cut_lineage(iv.select(*keys, *[F.col(c).cast("long").alias(c) for c in ("y", "s", "e")], node.alias("node"), F.floor(F.col("y") / STRIP).cast("long").alias("_strip")))
+    parts = tasks(own)
     schema = T.StructType([*[own.schema[c] for c in (*keys, "y", "s", "e")], T.StructField("comp", T.LongType())])
-    local = cut_lineage(own.groupBy(*keys, "_strip").applyInArrow(_strip_roots(schema, reach), schema))
+    local = cut_lineage(own.repartition(parts, *keys, "_strip").groupBy(*keys, "_strip").applyInArrow(_strip_roots(schema, reach), schema))
     place = F.pmod("y", F.lit(STRIP))
     border = meeting(local.where(place == STRIP - 1).withColumnRenamed("comp", "u"), local.where(place == 0).withColumnRenamed("comp", "v"), keys, ["u"], ["v"], 1, reach)
     roots = contracted(border, keys)
     if roots.isEmpty():
         return local
-    return local.join(wide_side(roots.withColumnRenamed("node", "comp")), [*keys, "comp"], "left").select(*keys, "y", "s", "e", F.coalesce("root", "comp").alias("comp"))
+    named = local.repartition(parts, *keys, "comp").join(wide_side(roots.withColumnRenamed("node", "comp")), [*keys, "comp"], "left")
+    return cut_lineage(named.select(*keys, "y", "s", "e", F.coalesce("root", "comp").alias("comp")))
+
+
+def of_components(comps: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Written intervals whose component is among the wanted ones."""
+    return comps.repartition(tasks(comps), *keys, "comp").join(wide_side(wanted), [*keys, "comp"], "left_semi")
 
 
 def boxes(comps: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Area and bounding box of every component."""
-    return comps.groupBy(*keys, "comp").agg(
+    """Area and bounding box of every component, from written intervals."""
+    return comps.repartition(tasks(comps), *keys, "comp").groupBy(*keys, "comp").agg(
         F.sum(F.col("e") - F.col("s") + 1).alias("area"), F.min("s").alias("x0"), F.min("y").alias("y0"), F.max("e").alias("x1"), F.max("y").alias("y1"))

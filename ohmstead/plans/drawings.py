@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ohmstead.operators import entities as en
 from ohmstead.operators import grid as gd
 from ohmstead.operators import ink as ik
+from ohmstead.operators import intervals as iv
 from ohmstead.operators import regions as rg
 from ohmstead.plans.base_sql import with_
 from ohmstead.plans.component_sql import CLASS_SCORE, PLAN_SCORE, components, fan_passes, grid_cells, growth, recursive, strong_rows
@@ -401,7 +402,8 @@ def _raw(s, sf) -> DataFrame:
 
 
 def _ink(s, sf) -> DataFrame:
-    return ik.ink(_raw(s, sf))
+    raw = _raw(s, sf)
+    return ik.ink(raw, parts=iv.tasks(raw))
 
 
 @query("ink_crop", with_(INK) + "SELECT image_id, GREATEST(MIN(x) - 20, 0) AS x0, GREATEST(MIN(y) - 20, 0) AS y0, LEAST(MAX(x) + 21, 170) AS x1, LEAST(MAX(y) + 21, 170) AS y1, COUNT(*) AS n FROM ink GROUP BY 1")
@@ -430,7 +432,9 @@ _BOX = "bx AS (SELECT a.image_id, a.x, a.y, COUNT(*) AS n FROM ink a JOIN ink b
 
 @query("box_density", with_(INK, _BOX) + "SELECT image_id, x, y, n FROM bx")
 def box_density(s, sf):
-    return gd.box_counts(_ink(s, sf), ["image_id"], 4)
+    raw = _raw(s, sf)
+    parts = iv.tasks(raw)
+    return gd.box_counts(ik.ink(raw, parts=parts), ["image_id"], 4, parts)
 
 
 _THICK = """er AS (SELECT a.image_id, a.x, a.y FROM ink a JOIN ink b ON a.image_id = b.image_id AND b.x BETWEEN a.x - 2 AND a.x + 2 AND b.y BETWEEN a.y - 2 AND a.y + 2 GROUP BY 1, 2, 3

@@ -122,3 +122,27 @@ def test_slugs_of_odd_texts(spark):
 
 def test_words_of_reports_are_counted_once(spark, data):
     assert "regexp_extract_all" not in plan(rules.CAT.items["text_clarity"].build(spark, data))
+
+
+@pytest.mark.parametrize("name", ["aligned_removal", "mesh_removal", "speck_removal"])
+def test_ink_rules_do_not_depend_on_the_number_of_tasks(spark, data, monkeypatch, name):
+    want = sorted(map(tuple, drawings.CAT.items[name].build(spark, data).collect()))
+    monkeypatch.setattr(iv, "TASK_ROWS", 4000)
+    assert sorted(map(tuple, drawings.CAT.items[name].build(spark, data).collect())) == want
+
+
+def test_ink_is_dealt_once_for_pixels_and_runs(spark, data, monkeypatch):
+    monkeypatch.setattr(iv, "TASK_ROWS", 1000)
+    x = iv.of_cells(drawings._ink(spark, data), ["image_id"])
+    n = drawings._raw(spark, data).count()
+    assert x.rdd.getNumPartitions() == -(-2 * n // 1000) > 4
+
+
+def test_wide_intervals_meet_in_counted_tasks(spark, monkeypatch):
+    a = cut_lineage(spark.createDataFrame([(1, y, 0, 6399, y) for y in range(30)], "image_id int, y int, s int, e int, a int"))
+    b = cut_lineage(spark.createDataFrame([(1, y, x, x, 100 * y + x) for y in range(30) for x in (3, 5000)], "image_id int, y int, s int, e int, b int"))
+    want = sorted((y, y, 100 * y + x) for y in range(30) for x in (3, 5000))
+    monkeypatch.setattr(iv, "TASK_ROWS", 100)
+    x = iv.meeting(a, b, ["image_id"], ["a"], ["b"])
+    assert x.rdd.getNumPartitions() == 31
+    assert sorted((r.y, r.a, r.b) for r in x.collect()) == want
