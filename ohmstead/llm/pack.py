@@ -23,6 +23,8 @@ from ohmstead.llm import common, tokens
 
 CAPACITY = 2048
 GROUP_PIECES = 16_384
+#: Texts that are Python objects at a time.
+STEP = 512
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -89,14 +91,15 @@ def cut(docs: DataFrame, tokenizer: str, pieces: str = "whole", capacity: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokens.coder(tokenizer, pieces)
-        for b in batches:
+        # a batch holds thousands of texts, of which few at a time become Python objects
+        for b in (whole.slice(at, STEP) for whole in batches for at in range(0, whole.num_rows, STEP)):
             rows = []
             for doc_id, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = coder.encode(body or "") + end
                 for i in range(0, len(ids), step):
                     own = ids[i : i + step]
                     rows.append((doc_id, i // step, i // 4, len(own) // 4, zlib.crc32(own)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, schema, strict=True)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)], schema=schema)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id bigint, {PIECES}")
 

@@ -10,7 +10,8 @@
 
 A piece that is one run of plain Latin letters, or such a run with punctuation after it, goes straight
 to the vocabulary's merges; every other piece takes the tokenizer's whole path. The cache belongs to
-a worker process and is emptied when it is full, so its memory is bounded.
+a worker process and lives as long as that, so its memory is bounded: it holds two generations of pieces.
+When the younger one is full it becomes the older one, whose pieces are taken over when they are met again.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ import os
 import re
 import sys
 
-#: Pieces that a worker process keeps.
-CACHE = 800_000
+#: Pieces of a generation; a worker process keeps two.
+CACHE = 150_000
 
 _RUN = "[A-Za-zÀ-ÖØ-öø-įĲ-ɏ]+"
 _MARKS = r"[!-&(-/:-@\[-`{-~]"
@@ -45,6 +46,7 @@ class Pieces(dict):
         self.space = chr(_BYTES[ord(" ")]) if spaced else ""
         self.lower = not spaced
         self.marks: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         found = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -63,8 +65,11 @@ class Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE:
+            self.older = dict(self)
             self.clear()
-        if found := _LETTERS.fullmatch(piece):
+        if piece in self.older:
+            out = self.older[piece]
+        elif found := _LETTERS.fullmatch(piece):
             word, mark = found.groups()
             if mark or (self.lower and word != word.lower()):
                 out = self[word.lower() if self.lower else word] + self._mark(mark)

@@ -547,3 +547,16 @@ def test_spans_positions(spark):
     df = spark.createDataFrame([("日本 ab ☕ab", ), ("", ), ("xx", )], "text string")
     got = [r[0] for r in df.select(spans.written(spans.found(F.col("text"), "ab", "k"))).collect()]
     assert got == ["k:3:5,k:7:9", "", ""]
+
+
+def test_cache_keeps_common_pieces_in_bounded_memory(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE", 50)
+    coder = tokens.Coder(public_tokenizers.path("word_bpe_49k.json"), "words")
+    merged, seen = coder.known._merged, []
+    monkeypatch.setattr(coder.known, "_merged", lambda word, lead: seen.append(word) or merged(word, lead))
+    letters = "abcdefghijklmnopqrst"
+    for a in letters:
+        for b in letters:
+            coder.encode(f"common {a}{b}x common {b}{a}y")
+            assert len(coder.known) + len(coder.known.older) <= 101
+    assert seen.count("common") == 1
