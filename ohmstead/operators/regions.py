@@ -67,7 +67,7 @@ def closed(runs: DataFrame, keys: Sequence[str], r: int) -> DataFrame:
 def midpoint_labels(segs: DataFrame, box: DataFrame, comps: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Segments whose midpoint lies on a component, with that component."""
     px, py = _pixels(F.col("mx"), F.col("my"))
-    at = segs.join(box, list(keys)).select(*keys, F.struct(*segs.columns).alias("_seg"), px.alias("s"), px.alias("e"), py.alias("y"))
+    at = cut_lineage(segs.join(box, list(keys)).select(*keys, F.struct(*segs.columns).alias("_seg"), px.alias("s"), px.alias("e"), py.alias("y")))
     return iv.meeting(at, comps, keys, ["_seg"], ["comp"]).select("_seg.*", "comp")
 
 
@@ -78,7 +78,7 @@ def main_region(
     """World box of the best-scored component and its real neighbours, the whole plan when none qualifies."""
     keys = list(keys)
     box = cut_lineage(canvas(segs, keys, long_side, short_side))
-    comps = cut_lineage(iv.components(closed(cut_lineage(stretched(cut_lineage(drawn(segs, box, keys)), keys, *link)), keys, close), keys))
+    comps = iv.components(closed(cut_lineage(stretched(cut_lineage(drawn(segs, box, keys)), keys, *link)), keys, close), keys)
     seen = midpoint_labels(segs, box, comps, keys).groupBy(*keys, "comp").agg(F.count("*").alias("seg_count"))
     c = iv.boxes(comps, keys).withColumnsRenamed({"x0": "cx", "y0": "cy"}).withColumn("cw", F.col("x1") - F.col("cx") + 1).withColumn("ch", F.col("y1") - F.col("cy") + 1)
     c = c.join(seen, [*keys, "comp"]).join(box.select(*keys, "wp", "hp"), keys)
@@ -128,7 +128,7 @@ def drop_small(segs: DataFrame, keys: Sequence[str], long_side: int = 1400, shor
     """Segments on tiny isolated components removed."""
     keys = list(keys)
     box = cut_lineage(canvas(segs, keys, long_side, short_side))
-    comps = cut_lineage(iv.components(closed(cut_lineage(drawn(segs, box, keys)), keys, close), keys))
+    comps = iv.components(closed(cut_lineage(drawn(segs, box, keys)), keys, close), keys)
     boxes = iv.boxes(comps, keys)
     w, h = F.col("x1") - F.col("x0") + 1, F.col("y1") - F.col("y0") + 1
     kept = boxes.where((F.col("area") >= min_area) & ~((w < min_w) & (h < min_h))).select(*keys, "comp")
