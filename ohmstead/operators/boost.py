@@ -1,11 +1,11 @@
 """Gradient-boosted trees on binned features, for squared loss and several targets at once.
 
 Features are cut into bins once and kept as blocks of rows spread over the cluster. For every level of
-a tree one job adds up residuals and rows per (target, node, feature, bin); the driver sees only these
-sums, picks the best splits, and sends the tree so far back with the next job. The trees of all targets
-grow in the same jobs. Of two sibling nodes only the smaller one is counted: the other is what
-remains of their parent. Residuals are summed as scaled integers, so that neither the partitioning nor the
-order of arrival changes a model.
+a tree one job adds up residuals and rows per (target, feature, node, bin), brings the sums of a feature
+together by its key, and finds the best split of every node where they are. The driver sees only these
+splits, one per node and task, and sends the tree so far back with the next job; no sums leave the
+executors, so both siblings are counted. The trees of all targets grow in the same jobs. Residuals are
+summed as scaled integers, so that neither the partitioning nor the order of arrival changes a model.
 
 The fit iterates over blocks that stay in memory, thousands of short jobs that need no plan: these run
 on a cached RDD of arrays. A lost block is made again from the written table of bins.
@@ -16,7 +16,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -35,6 +35,8 @@ SCALE = float(1 << 30)
 SNAPSHOT = 10
 #: Rows that a partition should have before another one is worth its overhead.
 PARTITION_ROWS = 1 << 14
+#: Bins of all features for whose sums another task is worth its overhead.
+TASK_BINS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -123,8 +125,8 @@ def _added(pred: np.ndarray, trees: list[tuple[np.ndarray, ...]], x: np.ndarray,
     return pred
 
 
-def _sums(work: dict[int, tuple], blocks: Iterator[tuple]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Residuals and rows per (node to count, feature and bin) of each target in these blocks."""
+def _sums(work: dict[int, tuple], blocks: Iterator[tuple]) -> Iterator[tuple[tuple[int, int], tuple[np.ndarray, np.ndarray]]]:
+    """Residuals and rows by node and bin in these blocks, for every target and feature."""
     out: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for target, x, c, y, pred in blocks:
         if target not in work:
@@ -134,18 +136,59 @@ def _sums(work: dict[int, tuple], blocks: Iterator[tuple]) -> dict[int, tuple[np
         rows = np.flatnonzero(slot >= 0)
         g, n = out.get(target) or (np.zeros(n_slots * width, np.int64), np.zeros(n_slots * width, np.int64))
         if len(rows):
-            pred = _added(pred[rows], trees, x[:, rows], c[:, rows])
-            q = np.rint((y[rows] - pred) * scale)
+            x, c = x[:, rows], c[:, rows]
+            q = np.rint((y[rows] - _added(pred[rows], trees, x, c)) * scale)
             # one table of cells for all features: sums of integers below 2**53, so doubles hold them exactly
-            cells = np.concatenate([x[:, rows], c[:, rows]]) + (slot[rows].astype(np.int64) * width + np.array(offsets, np.int64)[:, None])
+            cells = np.concatenate([x, c]) + (slot[rows].astype(np.int64) * width + np.array(offsets, np.int64)[:, None])
             g = g + np.bincount(cells.ravel(), weights=np.tile(q, len(cells)), minlength=len(g)).astype(np.int64)
             n = n + np.bincount(cells.ravel(), minlength=len(n))
         out[target] = g, n
-    return out
+    for target, sums in out.items():
+        _, _, _, _, offsets, width, _ = work[target]
+        g, n = (x.reshape(-1, width) for x in sums)
+        for f, (first, end) in enumerate(zip(offsets, [*offsets[1:], width])):
+            yield (target, f), (g[:, first:end], n[:, first:end])
 
 
-def _merged(a: dict, b: dict) -> dict:
-    return {t: (a[t][0] + b[t][0], a[t][1] + b[t][1]) if t in a and t in b else a.get(t) or b.get(t) for t in a.keys() | b.keys()}
+def _merged(a: tuple, b: tuple) -> tuple:
+    return a[0] + b[0], a[1] + b[1]
+
+
+#: Residuals and rows of a node, then gain, feature and cut of its best split, and residuals and rows on the left.
+_Split = tuple[int, int, float, int, int, int, int]
+
+
+def _splits(numbers: dict[int, int], least: int, merged: Iterator[tuple]) -> Iterator[tuple[tuple[int, int], _Split]]:
+    """The best split of every node of each target among these features; feature -1 if there is none."""
+    out: dict[tuple[int, int], _Split] = {}
+    for (target, f), (g, n) in merged:
+        sums, rows = g.sum(axis=1), n.sum(axis=1)
+        # rows and sums of the left side for every cut of a number, and for every value set apart
+        if f < numbers[target]:
+            nl, gl = np.cumsum(n, axis=1), np.cumsum(g, axis=1)
+        else:
+            nl, gl = rows[:, None] - n, sums[:, None] - g
+        ok = (nl >= least) & (rows[:, None] - nl >= least)
+        if f >= numbers[target]:
+            ok[:, 0] = False  # number 0 stands for values unseen in training
+        for slot, (own_g, own_n) in enumerate(zip(sums.tolist(), rows.tolist())):
+            split = own_g, own_n, 0.0, -1, 0, 0, 0
+            at = np.flatnonzero(ok[slot])
+            if len(at):
+                a, m = gl[slot, at].astype(float), nl[slot, at].astype(float)
+                base = float(own_g) ** 2 / own_n
+                gain = a * a / m + (own_g - a) ** 2 / (own_n - m) - base
+                best = int(np.argmax(gain))
+                if gain[best] > 1e-12 * base:
+                    cut = int(at[best])
+                    split = own_g, own_n, float(gain[best]), f, cut, int(gl[slot, cut]), int(nl[slot, cut])
+            out[target, slot] = _better(out.get((target, slot), split), split)
+    yield from out.items()
+
+
+def _better(a: _Split, b: _Split) -> _Split:
+    """The split with the larger gain, of the earlier feature among equals."""
+    return min(a, b, key=lambda s: (-s[2], s[3]))
 
 
 @dataclass
@@ -159,17 +202,16 @@ class _Node:
     #: Sums and rows of the left side of the split.
     left: tuple[int, int] = (0, 0)
     children: tuple[int, int] | None = None
-    sums: tuple[np.ndarray, np.ndarray] | None = field(default=None, repr=False)
 
 
 class _Grower:
-    """One tree of one target, from the sums of its nodes."""
+    """One tree of one target, from the best splits of its nodes."""
 
     def __init__(self, binning: Binning, shape: Shape) -> None:
         self.binning, self.shape = binning, shape
         self.nodes: list[_Node] = []
-        #: (node to count, its sibling, their parent); the root has neither.
-        self.asked: list[tuple[int, int | None, int | None]] = [(0, None, None)] if binning.width else []
+        #: Nodes whose splits are wanted.
+        self.asked: list[int] = [0] if binning.width else []
 
     def tree(self, chosen: set[int], scale: float | None = None) -> Tree:
         """The tree with the chosen splits; leaf values only if ``scale`` is given."""
@@ -182,19 +224,14 @@ class _Grower:
                 t.value[i] = self.shape.rate * node.g / (node.n * scale)
         return t
 
-    def take(self, g: np.ndarray, n: np.ndarray) -> None:
-        """Sums of the asked nodes; finds splits, and asks for the children that may be split in turn."""
-        width = self.binning.width
-        g, n = g.reshape(-1, width), n.reshape(-1, width)
-        for (i, sibling, parent), own_g, own_n in zip(self.asked, g, n):
-            if parent is None:
-                first = slice(0, SLOTS if self.binning.nums else len(self.binning.values[0]) + 1)
-                self.nodes.append(_Node(0, int(own_g[first].sum()), int(own_n[first].sum())))
-            else:
-                above = self.nodes[parent].sums
-                self._split(sibling, above[0] - own_g, above[1] - own_n)
-                self.nodes[parent].sums = None
-            self._split(i, own_g, own_n)
+    def take(self, found: list[_Split]) -> None:
+        """Best splits of the asked nodes; asks for the children that may be split in turn."""
+        for i, (g, n, gain, feature, cut, *left) in zip(self.asked, found):
+            if not self.nodes:
+                self.nodes.append(_Node(0, g, n))
+            if feature >= 0:
+                node = self.nodes[i]
+                node.gain, node.feature, node.cut, node.left = gain, feature, cut, tuple(left)
         self.asked = []
         for i in sorted(self.chosen()):
             node = self.nodes[i]
@@ -203,10 +240,8 @@ class _Grower:
             (gl, nl), at = node.left, len(self.nodes)
             node.children = at, at + 1
             self.nodes += [_Node(node.depth + 1, gl, nl), _Node(node.depth + 1, node.g - gl, node.n - nl)]
-            if node.depth + 1 < self.shape.depth and max(nl, node.n - nl) >= 2 * self.shape.least_rows:
-                self.asked.append((at, at + 1, i) if nl <= node.n - nl else (at + 1, at, i))
-            else:
-                node.sums = None
+            if node.depth + 1 < self.shape.depth:
+                self.asked += [k for k in node.children if self.nodes[k].n >= 2 * self.shape.least_rows]
 
     def chosen(self) -> set[int]:
         """Splits that best-first growth takes among those known; one left out now is left out for good."""
@@ -220,40 +255,6 @@ class _Grower:
                     heapq.heappush(heap, (-self.nodes[k].gain, k))
         return out
 
-    def _split(self, i: int, g: np.ndarray, n: np.ndarray) -> None:
-        node, b, least = self.nodes[i], self.binning, self.shape.least_rows
-        if node.n < 2 * least:
-            return
-        # rows and sums of the left side for every cut of a number, and for every value set apart
-        k = SLOTS * len(b.nums)
-        nl = np.concatenate([np.cumsum(n[:k].reshape(-1, SLOTS), axis=1).ravel(), node.n - n[k:]])
-        gl = np.concatenate([np.cumsum(g[:k].reshape(-1, SLOTS), axis=1).ravel(), node.g - g[k:]])
-        ok = (nl >= least) & (node.n - nl >= least)
-        o = k
-        for known in b.values:
-            ok[o] = False  # number 0 stands for values unseen in training
-            o += len(known) + 1
-        if not ok.any():
-            return
-        at = np.flatnonzero(ok)
-        a, m = gl[at].astype(float), nl[at].astype(float)
-        base = float(node.g) ** 2 / node.n
-        gain = a * a / m + (node.g - a) ** 2 / (node.n - m) - base
-        best = int(np.argmax(gain))
-        if gain[best] <= 1e-12 * base:
-            return
-        cell = int(at[best])
-        node.gain, node.left, node.sums = float(gain[best]), (int(gl[cell]), int(nl[cell])), (g, n)
-        if cell < k:
-            node.feature, node.cut = divmod(cell, SLOTS)
-            return
-        cell -= k
-        for f, known in enumerate(b.values):
-            if cell <= len(known):
-                node.feature, node.cut = len(b.nums) + f, cell
-                return
-            cell -= len(known) + 1
-
 
 def binning(frame: Frame, bins: int = 255) -> tuple[Binning, dict[str, float]]:
     """Bins of all columns, and n, mean and reach of the truth, from one pass each over numbers and texts.
@@ -296,15 +297,23 @@ def _blocked(frame: Frame, b: Binning, target: int) -> DataFrame:
     return frame.rows.select(*[c.alias(f"_{i}") for i, c in enumerate(cols)]).mapInArrow(run, _BLOCK)
 
 
+def _spread(frame: Frame, n: int) -> Frame:
+    """The rows in as many partitions as they are worth while cores are idle."""
+    parts = min(frame.rows.sparkSession.sparkContext.defaultParallelism, n // PARTITION_ROWS)
+    return replace(frame, rows=frame.rows.repartition(parts)) if parts > frame.rows.rdd.getNumPartitions() else frame
+
+
 def fit(frames: dict[str, Frame], shape: Shape = Shape()) -> dict[str, Boosted]:
     """A model for every target. A target without rows gets none."""
     found = {name: binning(frame, shape.bins) for name, frame in frames.items()}
     names = [name for name, (_, s) in found.items() if s["n"]]
     if not names:
         return {}
-    table = None
+    table, rows = None, sum(found[name][1]["n"] for name in names)
     for t, name in enumerate(names):
-        part = _blocked(frames[name], found[name][0], t)
+        # few files hold many rows here, and one task a level would scan them all
+        own = _spread(frames[name], found[name][1]["n"])
+        part = _blocked(own, found[name][0], t)
         table = part if table is None else table.unionByName(part)
     bins = [found[name][0] for name in names]
     means = [found[name][1]["mean"] for name in names]
@@ -316,8 +325,7 @@ def fit(frames: dict[str, Frame], shape: Shape = Shape()) -> dict[str, Boosted]:
         return r.target, np.frombuffer(r.x, np.uint8).reshape(f, r.n), np.frombuffer(r.c, np.int32).reshape(c, r.n), np.frombuffer(r.y, float), np.full(r.n, means[r.target])
 
     raw = cut_lineage(table).rdd
-    parts = max(1, min(raw.getNumPartitions(), sum(found[name][1]["n"] for name in names) // PARTITION_ROWS))
-    blocks = raw.map(decoded).coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = raw.map(decoded).coalesce(max(1, min(raw.getNumPartitions(), rows // PARTITION_ROWS))).persist(StorageLevel.MEMORY_AND_DISK)
     models = [Boosted(b, mean, []) for b, mean in zip(bins, means)]
     offsets = [[*range(0, SLOTS * len(b.nums), SLOTS), *np.cumsum([SLOTS * len(b.nums), *[len(v) + 1 for v in b.values]])[:-1].tolist()] for b in bins]
     recent: list[list[tuple]] = [[] for _ in names]
@@ -343,13 +351,18 @@ def _grow(blocks: RDD, growers: list[_Grower], recent: list[list[tuple]], offset
         if g.asked:
             tree = g.tree({i for i, node in enumerate(g.nodes) if node.children})
             slots = np.full(max(1, len(g.nodes)), -1, np.int32)
-            for k, (i, _, _) in enumerate(g.asked):
+            for k, i in enumerate(g.asked):
                 slots[i] = k
             work[t] = recent[t], tree.arrays(), slots, len(g.asked), offsets[t], g.binning.width, scales[t]
-    sums = blocks.mapPartitions(lambda own: [_sums(work, own)]).treeReduce(_merged)
+    numbers, least = {t: len(growers[t].binning.nums) for t in work}, growers[0].shape.least_rows
+    parts = -(-sum(growers[t].binning.width for t in work) // TASK_BINS)
+    sums = blocks.mapPartitions(lambda own: _sums(work, own)).reduceByKey(_merged, parts, sum)
+    found: dict[tuple[int, int], _Split] = {}
+    for place, split in sums.mapPartitions(lambda own: _splits(numbers, least, own)).collect():
+        found[place] = _better(found.get(place, split), split)
     for t in work:
-        if t in sums:
-            growers[t].take(*sums[t])
+        if (t, 0) in found:
+            growers[t].take([found[t, k] for k in range(len(growers[t].asked))])
         else:
             growers[t].asked = []
 

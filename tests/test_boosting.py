@@ -1,7 +1,10 @@
 """Boosted trees against a plain version, row by row and split by split."""
 
+import pickle
+
 import numpy as np
 import pandas as pd
+import pyspark
 import pytest
 
 from ohmstead.operators import boost
@@ -110,3 +113,24 @@ def test_edges(spark, table):
     assert model.predict([["u", "x"]], [np.array([1.0, 9.0])], 2).tolist() == [7.0, 7.0]
     bare = boost.fit({"t": boost.Frame(same, [], [])}, boost.Shape(rounds=2))["t"]
     assert bare.predict([], [], 3).tolist() == [7.0] * 3
+
+
+def test_no_sums_reach_the_driver(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = pd.DataFrame({f"a{i}": rng.normal(size=600) for i in range(12)})
+    rows["_y"] = rows["a0"] * rows["a3"] + rng.normal(0, 0.1, 600)
+    frame = boost.Frame(spark.createDataFrame(rows).repartition(3), [], [f"a{i}" for i in range(12)])
+    shape = boost.Shape(depth=5, rounds=3, leaves=16, least_rows=5)
+    sizes, load = [], pyspark.rdd._load_from_socket
+
+    def counted(sock, serializer):
+        got = list(load(sock, serializer))
+        sizes.append(len(pickle.dumps(got)))
+        return iter(got)
+
+    monkeypatch.setattr(boost, "PARTITION_ROWS", 1)
+    monkeypatch.setattr(pyspark.rdd, "_load_from_socket", counted)
+    one = boost.fit({"t": frame}, shape)["t"].rows()
+    assert len(sizes) >= 9 and max(sizes) < 20_000
+    monkeypatch.setattr(boost, "TASK_BINS", boost.SLOTS)
+    assert boost.fit({"t": frame}, shape)["t"].rows() == one
