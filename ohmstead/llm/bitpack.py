@@ -37,6 +37,8 @@ from ohmstead.llm import common, tokens
 MAGIC = b"OHMBITS1"
 BLOCK_IDS = 4096
 SHARD_IDS = 1 << 23
+#: Pieces of a generation of the token cache. A writer has no other use for its worker's memory than one shard.
+CACHE = 400_000
 MANIFEST = "task bigint, part bigint, path string, n_docs bigint, n_ids bigint"
 INDEX = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -127,7 +129,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, pieces:
     end = [] if end_id is None else [end_id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = tokens.coder(tokenizer, pieces)
+        coder = tokens.coder(tokenizer, pieces, CACHE)
         task = TaskContext.get().partitionId()
         fs, root = _at(folder)
         rows, held = [], 0

@@ -560,3 +560,22 @@ def test_cache_keeps_common_pieces_in_bounded_memory(monkeypatch):
             coder.encode(f"common {a}{b}x common {b}{a}y")
             assert len(coder.known) + len(coder.known.older) <= 101
     assert seen.count("common") == 1
+
+
+@pytest.mark.parametrize(("name", "pieces"), [("word_bpe_49k.json", "words"), ("byte_bpe_50k.json", "spaced")])
+def test_bare_words_are_merged_without_a_pattern(monkeypatch, name, pieces):
+    path = public_tokenizers.path(name)
+    text = "one " + " ".join([a + b for a in ("zor", "quax", "plim") for b in ("ting", "berung", "ol")])
+    want = tokens.Coder(path, "whole").encode(text)
+    coder = tokens.Coder(path, pieces)
+    monkeypatch.setattr(tokens, "_LETTERS", None)
+    assert coder.encode(text) == want
+
+
+def test_a_coder_keeps_as_many_pieces_as_asked(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE", 10)
+    coder = tokens.Coder(public_tokenizers.path("byte_bpe_50k.json"), "spaced", 40)
+    text = " ".join([f"w{'abcdefghij'[i % 10] * (i // 10 + 1)}ß" for i in range(400)])
+    got = coder.encode(text)
+    assert len(coder.known.older) == 40 and len(coder.known) <= 40
+    assert got == tokens.Coder(public_tokenizers.path("byte_bpe_50k.json"), "whole").encode(text)
